@@ -28,6 +28,16 @@ def _map_literal(mapping: dict) -> Column:
     return F.create_map(*pairs)
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and evaluate ``body(v)``.
+
+    Written as a one-element ``transform``: when the optimizer substitutes
+    a column into a pushed-down filter, a value referenced many times stays
+    one copy instead of being repeated per reference.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def py_strip(c) -> Column:
     """Whitespace strip on both ends (rules that came from Python ``strip``)."""
     return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
@@ -178,41 +188,38 @@ def _reason(r: Column, stripped: Column, email: Column, domain: Column,
 
 
 def classify_email(raw) -> Column:
-    """struct(email, email_ok, email_reason): first failing check wins.
+    """struct(email, email_ok, email_reason): first failing check wins."""
+    r = _col(raw).cast("string")
 
-    Column form for small inputs; ``with_email_check`` is the staged
-    DataFrame form used on whole tables.
-    """
-    r = _col(raw)
-    stripped = py_strip(r.cast("string"))
-    email = F.lower(stripped)
-    domain = F.substring_index(email, "@", -1)
-    local = F.substring_index(email, "@", 1)
-    signals = gibberish_signals(local)
-    score = gibberish_score_of(signals)
-    reason = _reason(r, stripped, email, domain, signals, score)
-    out_email = F.when(r.isNull() | (stripped == ""), F.lit(None).cast("string")).otherwise(email)
-    return F.struct(out_email.alias("email"), reason.isNull().alias("email_ok"),
-                    reason.alias("email_reason"))
+    def decide(e):
+        stripped, email = e["s"], e["e"]
+        domain = F.substring_index(email, "@", -1)
+        local = F.substring_index(email, "@", 1)
+        missing = e["raw_null"] | (stripped == "")
+
+        def with_signals(signals):
+            reason = _reason(F.when(e["raw_null"], F.lit(None)).otherwise(F.lit("")), stripped, email,
+                             domain, signals, gibberish_score_of(signals))
+            return let(reason, lambda rs: F.struct(
+                F.when(missing, F.lit(None).cast("string")).otherwise(email).alias("email"),
+                rs.isNull().alias("email_ok"), rs.alias("email_reason")))
+
+        return let(gibberish_signals(local), with_signals)
+
+    stripped = py_strip(r)
+    return let(F.struct(r.isNull().alias("raw_null"), stripped.alias("s")),
+               lambda v: let(F.struct(v["raw_null"].alias("raw_null"), v["s"].alias("s"),
+                                      F.lower(v["s"]).alias("e")), decide))
 
 
 def with_email_check(df: DataFrame, raw_col: str = "email") -> DataFrame:
     """Replace ``raw_col`` by the cleaned email and add ``email_ok`` and
-    ``email_reason``; every intermediate is computed once per row."""
-    out = df.withColumn("_ec_raw", F.col(raw_col).cast("string")) \
-        .withColumn("_ec_strip", py_strip(F.col("_ec_raw")))
-    out = out.withColumn("_ec_email", F.lower(F.col("_ec_strip")))
-    out = out.withColumn("_ec_local", F.substring_index(F.col("_ec_email"), "@", 1)) \
-        .withColumn("_ec_domain", F.substring_index(F.col("_ec_email"), "@", -1))
-    out = with_gibberish(out, "_ec_local", "_ec_g")
-    missing = F.col("_ec_raw").isNull() | (F.col("_ec_strip") == "")
-    out = out.withColumn("email_reason", _reason(
-        F.col("_ec_raw"), F.col("_ec_strip"), F.col("_ec_email"), F.col("_ec_domain"),
-        F.col("_ec_g_signals"), F.col("_ec_g_score")))
-    out = out.withColumn(raw_col, F.when(missing, F.lit(None).cast("string")).otherwise(F.col("_ec_email"))) \
-        .withColumn("email_ok", F.col("email_reason").isNull())
-    return out.drop("_ec_raw", "_ec_strip", "_ec_email", "_ec_local", "_ec_domain",
-                    "_ec_g_signals", "_ec_g_score")
+    ``email_reason`` (one bound expression per row)."""
+    out = df.withColumn("_ec", classify_email(F.col(raw_col)))
+    return (out.withColumn(raw_col, F.col("_ec.email"))
+               .withColumn("email_ok", F.col("_ec.email_ok"))
+               .withColumn("email_reason", F.col("_ec.email_reason"))
+               .drop("_ec"))
 
 
 def reason_class(reason) -> Column:

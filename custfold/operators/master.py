@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from custfold import config as C
 from custfold.config import SourceSpec, ordered_specs
-from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address
+from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address, let
 from custfold.functions.text import (clean_birthday, clean_name, clean_nationality, clean_tags,
                                      first_tag_in, first_tag_not_in, is_adult)
 
@@ -66,13 +66,19 @@ def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
     """
     # Bind the corrected email and the raw birthday once (each is used
     # several times below) before filtering.
-    df = df.withColumn("_e1", fix_domain(_eval(spec.email_expr, "string"))) \
-        .withColumn("_bday", _eval(spec.birthday_expr, "date"))
+    where_extra = F.expr(spec.where_extra) if spec.where_extra else F.lit(True)
+
+    def gate(v):
+        e, b = v["e1"], v["bday"]
+        return (is_valid_address(e) & ~is_blocked_domain(e, blocked) & v["extra"]
+                & (b.isNull() | is_adult(b, as_of)))
+
+    bound = let(F.struct(_eval(spec.email_expr, "string").alias("raw")),
+                lambda r: F.struct(fix_domain(r["raw"]).alias("e1")))
+    df = df.withColumn("_e1", bound["e1"]).withColumn("_bday", _eval(spec.birthday_expr, "date"))
     e1 = F.col("_e1")
     bday = F.col("_bday")
-    where_extra = F.expr(spec.where_extra) if spec.where_extra else F.lit(True)
-    keep = (is_valid_address(e1) & ~is_blocked_domain(e1, blocked) & where_extra
-            & (bday.isNull() | is_adult(bday, as_of)))
+    keep = let(F.struct(e1.alias("e1"), bday.alias("bday"), where_extra.alias("extra")), gate)
     tags = clean_tags(F.concat(F.array(F.lit(spec.source_tag)),
                                F.coalesce(_eval(spec.extra_tags_expr, "array<string>"), _empty())))
     first = clean_name(_eval(spec.first_name_expr, "string")) if spec.first_name_expr else F.lit(None).cast("string")
@@ -153,62 +159,73 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
     aggs = [F.min_by(row, F.when(F.col("_rank") == r, F.col("_pk"))).alias(f"_c{r}") for r in ranks]
     per_email = union.groupBy("email").agg(*aggs)
 
-    # Sequential fold over the bounded list of per-source structs.
-    state = {c: F.lit(None).cast(t) for c, t in
-             [("first_name", "string"), ("last_name", "string"), ("nationality", "string"),
-              ("birthday", "date"), ("allow_email", "boolean")]}
-    state["tags"] = F.lit(None).cast("array<string>")
-    state["sources"] = F.lit(None).cast("array<string>")
-    state["needs_push"] = F.lit(None).cast("boolean")
-    exists = F.lit(False)
-    cur = per_email
-    extra = []
+    # The merge is a left fold over the per-source structs in rank order,
+    # written as one ``aggregate`` higher-order function: the state is bound
+    # once per step, so the expression does not grow with the number of
+    # sources.
     if prior is not None:
         c0 = F.col("_c0")
-        cur = cur.select("*", *[c0[c].alias(f"_s_{c}") for c in _STRUCT_COLS],
-                         c0.isNotNull().alias("_s_exists"), c0.isNotNull().alias("_had_prior"))
-        extra.append("_had_prior")
+        init = F.struct(c0.isNotNull().alias("exists"),
+                        *[c0[f].alias(f) for f in FIELDS],
+                        c0["tags"].alias("tags"), c0["sources"].alias("sources"),
+                        c0["needs_push"].alias("needs_push"),
+                        F.array().cast("array<boolean>").alias("applied"))
     else:
-        cur = cur.select("*", *[state[c].alias(f"_s_{c}") for c in _STRUCT_COLS],
-                         F.lit(False).alias("_s_exists"))
-    for r, _spec in present:
-        c = F.col(f"_c{r}")
-        s = {k: F.col(f"_s_{k}") for k in _STRUCT_COLS}
-        ex = F.col("_s_exists")
+        init = F.struct(F.lit(False).alias("exists"),
+                        *[F.lit(None).alias(f) for f in FIELDS],
+                        F.lit(None).alias("tags"), F.lit(None).alias("sources"),
+                        F.lit(None).alias("needs_push"),
+                        F.array().cast("array<boolean>").alias("applied"))
+    init = init.cast(_STATE_TYPE)
+
+    def step(st, c):
         gain = F.lit(False)
         for f in FIELDS:
-            gain = gain | (s[f].isNull() & c[f].isNotNull())
+            gain = gain | (st[f].isNull() & c[f].isNotNull())
         gain = (gain
-                | (F.size(F.array_except(c["tags"], F.coalesce(s["tags"], _empty()))) > 0)
-                | (F.size(F.array_except(c["sources"], F.coalesce(s["sources"], _empty()))) > 0))
-        applied = c.isNotNull() & (~ex | gain)
-        new = {f: F.when(applied, F.coalesce(s[f], c[f])).otherwise(s[f]) for f in FIELDS}
-        new["tags"] = F.when(applied, clean_tags(F.concat(F.coalesce(s["tags"], _empty()), c["tags"]))) \
-            .otherwise(s["tags"])
-        new["sources"] = F.when(applied, F.array_distinct(F.concat(F.coalesce(s["sources"], _empty()),
-                                                                   c["sources"]))) \
-            .otherwise(s["sources"])
-        new["needs_push"] = F.when(applied, F.lit(True)).otherwise(s["needs_push"])
-        keep = [x for x in cur.columns if not x.startswith("_s_")]
-        cur = cur.select(*keep, *[new[k].alias(f"_s_{k}") for k in _STRUCT_COLS],
-                         (ex | c.isNotNull()).alias("_s_exists"),
-                         applied.alias(f"_applied_{r}"))
-        extra.append(f"_applied_{r}")
-    applied_any = F.lit(False)
-    for r, _ in present:
-        applied_any = applied_any | F.col(f"_applied_{r}")
-    out = cur.select(
+                | (F.size(F.array_except(c["tags"], F.coalesce(st["tags"], _empty()))) > 0)
+                | (F.size(F.array_except(c["sources"], F.coalesce(st["sources"], _empty()))) > 0))
+        applied = c.isNotNull() & (~st["exists"] | gain)
+        return F.struct(
+            (st["exists"] | c.isNotNull()).alias("exists"),
+            *[F.when(applied, F.coalesce(st[f], c[f])).otherwise(st[f]).alias(f) for f in FIELDS],
+            F.when(applied, clean_tags(F.concat(F.coalesce(st["tags"], _empty()), c["tags"])))
+             .otherwise(st["tags"]).alias("tags"),
+            F.when(applied, F.array_distinct(F.concat(F.coalesce(st["sources"], _empty()), c["sources"])))
+             .otherwise(st["sources"]).alias("sources"),
+            F.when(applied, F.lit(True)).otherwise(st["needs_push"]).alias("needs_push"),
+            F.concat(st["applied"], F.array(applied)).alias("applied")).cast(_STATE_TYPE)
+
+    src_structs = F.array(*[F.col(f"_c{r}") for r, _ in present]) if present \
+        else F.array().cast(f"array<{_SRC_TYPE}>")
+    folded = per_email.select("email", *([F.col("_c0")] if prior is not None else []),
+                              F.aggregate(src_structs, init, step).alias("_m"))
+    m = F.col("_m")
+    extra = [F.get(m["applied"], i).alias(f"_applied_{r}") for i, (r, _) in enumerate(present)]
+    if prior is not None:
+        extra.append(F.col("_c0").isNotNull().alias("_had_prior"))
+        extra.append(F.col("_c0.birthday").alias("_prior_birthday"))
+    applied_any = F.coalesce(F.array_contains(m["applied"], True), F.lit(False))
+    out = folded.select(
         "email",
-        *[F.col(f"_s_{k}").alias(k) for k in FIELDS],
-        F.col("_s_tags").alias("tags"),
-        F.array_sort(F.col("_s_sources")).alias("sources"),
-        F.coalesce(F.col("_s_needs_push"), F.lit(True)).alias("needs_push"),
+        *[m[f].alias(f) for f in FIELDS],
+        m["tags"].alias("tags"),
+        F.array_sort(m["sources"]).alias("sources"),
+        F.coalesce(m["needs_push"], F.lit(True)).alias("needs_push"),
         applied_any.alias("_changed"),
         *[(F.col(f"_c0.{c}") if prior is not None else F.lit(None).cast(t)).alias(c) for c, t in _CARRY],
         *extra)
     return MergeResult(out, present, missing)
 
 
+_SRC_TYPE = ("struct<first_name:string,last_name:string,nationality:string,birthday:date,"
+             "allow_email:boolean,tags:array<string>,sources:array<string>,needs_push:boolean,"
+             "last_pushed_at:timestamp_ntz,push_status:string>")
+_STATE_TYPE = ("struct<exists:boolean,first_name:string,last_name:string,nationality:string,"
+               "birthday:date,allow_email:boolean,tags:array<string>,sources:array<string>,"
+               "needs_push:boolean,applied:array<boolean>>")
+
+
 def refresh_counts(result: MergeResult) -> DataFrame:
     """Rows inserted or really updated per source, in merge order; -1 = missing table.
 
@@ -388,7 +405,15 @@ def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = Non
     res = merge_sources(sources, registry, prior, as_of)
     merged = res.master
     full_ledger, new_minors = record_minors(sources, registry, ledger, as_of, run_ts)
-    kept, removed = purge_minors(merged, as_of)
+    # Source birthdays have passed the age gate, so a stored birthday can
+    # only be under age when it came from the prior row (which outranks the
+    # sources): testing the prior birthday is the same as testing the
+    # merged one, and keeps the fold out of the pushed-down filter.
+    if prior is not None:
+        adult = is_adult(F.col("_prior_birthday"), as_of)
+        kept, removed = merged.where(adult), merged.where(~adult)
+    else:
+        kept, removed = merged, merged.where(F.lit(False))
     dims = split_dimensions(kept)
     master = find_duplicates(dims).select(*MASTER_COLUMNS)
     return Rebuild(master, full_ledger, new_minors, removed, refresh_counts(res), res)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from custfold.operators import ingest, master
+from custfold.session import ensure_checkpoint_dir
 from custfold.sources.fixtures import fixture
 
 
@@ -23,8 +24,35 @@ def rebuild(spark: SparkSession, sf_dir: str, with_prior: bool = False) -> maste
 
 
 def master_table(spark: SparkSession, sf_dir: str, with_prior: bool = False) -> DataFrame:
+    """The rebuilt master as a lazy plan."""
     return rebuild(spark, sf_dir, with_prior).master
 
 
+_STORED: dict = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived table materialised once per session and scale directory.
+
+    Written with ``checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir``: lineage is cut (reports do not re-run the
+    merge) and the files survive the loss of an executor.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        ensure_checkpoint_dir(spark)
+        _STORED[key] = build().checkpoint(eager=True)
+    return _STORED[key]
+
+
+def stored_master(spark: SparkSession, sf_dir: str, with_prior: bool = False) -> DataFrame:
+    return stored(spark, sf_dir, f"master:{with_prior}", lambda: master_table(spark, sf_dir, with_prior))
+
+
+def stored_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    raw = source_tables(spark, sf_dir)
+    return {k: stored(spark, sf_dir, k, lambda v=v: v) for k, v in raw.items()}
+
+
 def push_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "push_state")
