@@ -328,9 +328,10 @@ def filter_selectivity(df: DataFrame, predicates: dict[str, str]) -> DataFrame:
 
 
 def field_profile(df: DataFrame, width: int = 70) -> DataFrame:
-    """Every field name (sorted) with a sample value cut to ``width`` chars."""
+    """Every field name (sorted) with a sample value cut to ``width`` chars
+    (the smallest non-null value, so the sample is deterministic)."""
     names = sorted(df.columns)
-    aggs = [F.first(F.col(f"`{c}`").cast("string"), ignorenulls=True).alias(f"_f{i}")
+    aggs = [F.min(F.col(f"`{c}`").cast("string")).alias(f"_f{i}")
             for i, c in enumerate(names)]
     one = df.agg(*aggs)
     stack_args = ", ".join(f"'{c}', _f{i}" for i, c in enumerate(names))

@@ -51,17 +51,6 @@ def q_merge_source_labels(spark, sf):
     return m.select("email", F.array_join("sources", ",").alias("sources"))
 
 
-_COUNTS_SQL = """
-SELECT source, CAST(count(*) AS BIGINT) AS rows_merged, merge_order FROM (
-  SELECT c.email, c.src AS source, c.rnk - 1 AS merge_order
-  FROM canon_one c
-  LEFT JOIN (SELECT email, rnk, first_name, last_name, birthday, tags FROM canon_one) e
-    ON e.email = c.email AND e.rnk < c.rnk
-  {prior_join}
-  GROUP BY c.email, c.src, c.rnk, c.first_name, c.last_name, c.birthday, c.tags {prior_group}
-  HAVING {cond}
-) q GROUP BY source, merge_order"""
-
 # A source row counts when it inserts (nothing before it) or gains a field,
 # a tag, or (always, for a new source label) its label.  Without a prior
 # master every source label is new, so every kept row counts.
@@ -78,19 +67,24 @@ def q_refresh_counts(spark, sf):
 _COUNTS_INC = D.with_ctes(["canon_one", "prior_master"], """
 SELECT source, CAST(count(*) FILTER (WHERE applied) AS BIGINT) AS rows_merged, merge_order FROM (
   SELECT c.src AS source, c.rnk - 1 AS merge_order,
-    p.email IS NULL AND NOT EXISTS (SELECT 1 FROM canon_one e WHERE e.email = c.email AND e.rnk < c.rnk)
-    OR (coalesce(p.first_name, (SELECT arg_min(e.first_name, e.rnk) FILTER (WHERE e.first_name IS NOT NULL)
-             FROM canon_one e WHERE e.email = c.email AND e.rnk < c.rnk)) IS NULL AND c.first_name IS NOT NULL)
-    OR (coalesce(p.last_name, (SELECT arg_min(e.last_name, e.rnk) FILTER (WHERE e.last_name IS NOT NULL)
-             FROM canon_one e WHERE e.email = c.email AND e.rnk < c.rnk)) IS NULL AND c.last_name IS NOT NULL)
-    OR (coalesce(p.birthday, (SELECT arg_min(e.birthday, e.rnk) FILTER (WHERE e.birthday IS NOT NULL)
-             FROM canon_one e WHERE e.email = c.email AND e.rnk < c.rnk)) IS NULL AND c.birthday IS NOT NULL)
-    OR (p.allow_email IS NULL AND NOT EXISTS (SELECT 1 FROM canon_one e WHERE e.email = c.email AND e.rnk < c.rnk))
+    (p.email IS NULL AND b.n_before = 0)
+    OR (coalesce(p.first_name, b.fn) IS NULL AND c.first_name IS NOT NULL)
+    OR (coalesce(p.last_name, b.ln) IS NULL AND c.last_name IS NOT NULL)
+    OR (coalesce(p.birthday, b.bd) IS NULL AND c.birthday IS NOT NULL)
+    OR (coalesce(p.allow_email, b.ae) IS NULL AND c.allow_email IS NOT NULL)
     OR len(list_filter(c.tags, lambda t: NOT list_contains(
-         coalesce(p.tags, []::VARCHAR[]) || coalesce((SELECT flatten(list(e.tags)) FROM canon_one e
-           WHERE e.email = c.email AND e.rnk < c.rnk), []::VARCHAR[]), t))) > 0
+         coalesce(p.tags, []::VARCHAR[]) || coalesce(b.tg, []::VARCHAR[]), t))) > 0
     OR NOT list_contains(coalesce(p.sources, []::VARCHAR[]), c.src) AS applied
-  FROM canon_one c LEFT JOIN prior_master p ON p.email = c.email
+  FROM canon_one c
+  JOIN (SELECT c2.email, c2.rnk, count(e.email) AS n_before,
+          arg_min(e.first_name, e.rnk) FILTER (WHERE e.first_name IS NOT NULL) AS fn,
+          arg_min(e.last_name, e.rnk) FILTER (WHERE e.last_name IS NOT NULL) AS ln,
+          arg_min(e.birthday, e.rnk) FILTER (WHERE e.birthday IS NOT NULL) AS bd,
+          bool_or(e.allow_email) AS ae,
+          flatten(list(e.tags) FILTER (WHERE e.tags IS NOT NULL)) AS tg
+        FROM canon_one c2 LEFT JOIN canon_one e ON e.email = c2.email AND e.rnk < c2.rnk
+        GROUP BY c2.email, c2.rnk) b ON b.email = c.email AND b.rnk = c.rnk
+  LEFT JOIN prior_master p ON p.email = c.email
 ) q GROUP BY source, merge_order""")
 
 
@@ -125,20 +119,20 @@ def q_purge_minors(spark, sf):
 @register("split_dimensions", D.with_ctes(["master"], """
 SELECT email, src_system, brand, country, venue FROM master"""))
 def q_split_dimensions(spark, sf):
-    return pipeline.master_table(spark, sf).select("email", "src_system", "brand", "country", "venue")
+    return pipeline.stored_master(spark, sf).select("email", "src_system", "brand", "country", "venue")
 
 
 @register("dimension_counts", D.with_ctes(["master"], """
 SELECT CAST(count(*) FILTER (WHERE brand IS NOT NULL) AS BIGINT) AS with_brand,
        CAST(count(*) FILTER (WHERE venue IS NOT NULL) AS BIGINT) AS with_venue FROM master"""))
 def q_dimension_counts(spark, sf):
-    return M.dimension_counts(pipeline.master_table(spark, sf))
+    return M.dimension_counts(pipeline.stored_master(spark, sf))
 
 
 @register("find_duplicates", D.with_ctes(["master"], """
 SELECT email, email_key, duplicate_of, dup_reason, needs_push FROM master"""))
 def q_find_duplicates(spark, sf):
-    return pipeline.master_table(spark, sf).select("email", "email_key", "duplicate_of", "dup_reason",
+    return pipeline.stored_master(spark, sf).select("email", "email_key", "duplicate_of", "dup_reason",
                                                    "needs_push")
 
 
@@ -147,7 +141,7 @@ SELECT CAST(count(*) FILTER (WHERE duplicate_of IS NOT NULL) AS BIGINT) AS dupli
        CAST(count(DISTINCT email_key) FILTER (WHERE duplicate_of IS NOT NULL) AS BIGINT) AS people_affected
 FROM master"""))
 def q_duplicate_counts(spark, sf):
-    return M.duplicate_counts(pipeline.master_table(spark, sf))
+    return M.duplicate_counts(pipeline.stored_master(spark, sf))
 
 
 @register("possible_duplicates", D.with_ctes(["master"], """
@@ -156,7 +150,7 @@ SELECT lower(trim(first_name)) AS first_name, lower(trim(last_name)) AS last_nam
 FROM master WHERE duplicate_of IS NULL AND first_name IS NOT NULL AND last_name IS NOT NULL
 GROUP BY 1, 2, 3 HAVING count(*) > 1"""))
 def q_possible_duplicates(spark, sf):
-    return M.possible_duplicates(pipeline.master_table(spark, sf))
+    return M.possible_duplicates(pipeline.stored_master(spark, sf))
 
 
 @register("possible_duplicate_members", D.with_ctes(["master"], """
@@ -169,7 +163,7 @@ JOIN master m ON m.duplicate_of IS NULL AND m.first_name IS NOT NULL AND m.last_
   AND lower(trim(m.first_name)) = g.first_name AND lower(trim(m.last_name)) = g.last_name
   AND m.birthday IS NOT DISTINCT FROM g.birthday"""))
 def q_possible_duplicate_members(spark, sf):
-    return M.possible_duplicate_members(pipeline.master_table(spark, sf))
+    return M.possible_duplicate_members(pipeline.stored_master(spark, sf))
 
 
 # ---------------------------------------------------------------------------

@@ -1 +1,121 @@
-"""Registered queries: reports."""
+"""Registered queries: document ingest, incremental loads, probes, stream."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from custfold import config as C
+from custfold.catalog import register
+from custfold.oracle import duck as D
+from custfold.operators import ingest
+from custfold.sources.fixtures import fixture
+from custfold.streaming.signups import run_signup_stream
+
+RUN_TS2 = C.RUN_TS + _dt.timedelta(days=1)
+
+
+@register("ingest_docs_evolving", D.with_ctes(["wifi_batch_1", "wifi_batch_2"], """
+SELECT doc_id, "Fname" AS fname, lname, CAST(NULL AS BIGINT) AS visits, CAST(NULL AS VARCHAR) AS meta
+FROM wifi_batch_1
+UNION ALL SELECT doc_id, fname, NULL, visits, meta FROM wifi_batch_2"""))
+def q_ingest_docs_evolving(spark, sf):
+    b1, b2 = fixture(spark, sf, "wifi_batch_1"), fixture(spark, sf, "wifi_batch_2")
+    return ingest.ingest_docs_evolving(ingest.ingest_docs_evolving(None, b1), b2)
+
+
+@register("upsert_docs_partial", D.with_ctes(["wifi_batch_1", "wifi_batch_2"], f"""
+SELECT coalesce(a.doc_id, b.doc_id) AS doc_id,
+  CASE WHEN b.doc_id IS NOT NULL THEN b.fname ELSE a."Fname" END AS fname,
+  a.lname AS lname, b.visits AS visits, b.meta AS meta,
+  strftime(CASE WHEN b.doc_id IS NOT NULL THEN TIMESTAMP '{RUN_TS2.isoformat(sep=' ')}'
+                ELSE {D.RUN_TS} END, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM wifi_batch_1 a FULL OUTER JOIN wifi_batch_2 b ON a.doc_id = b.doc_id"""))
+def q_upsert_docs_partial(spark, sf):
+    b1, b2 = fixture(spark, sf, "wifi_batch_1"), fixture(spark, sf, "wifi_batch_2")
+    t1 = ingest.upsert_docs_partial(None, b1, run_ts=C.RUN_TS)
+    t2 = ingest.upsert_docs_partial(t1, b2, run_ts=RUN_TS2)
+    return t2.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _sync_state(spark, sf):
+    """A per-brand sync state derived from the feed: one brand mid-backfill,
+    two complete with a high-water mark a year before their newest row."""
+    raw = fixture(spark, sf, "revel_raw")
+    stamp = F.expr("try_cast(updated_date AS TIMESTAMP_NTZ)")
+    return (raw.groupBy(F.col("_brand").alias("brand"))
+            .agg((F.max(stamp) - F.expr("INTERVAL 365 DAYS")).alias("watermark"))
+            .select("brand", F.lit(0).cast("long").alias("backfill_offset"),
+                    (F.col("brand") != "Bonbird").alias("backfill_complete"), "watermark",
+                    F.lit(C.RUN_TS).cast("timestamp_ntz").alias("last_run_at")))
+
+
+_STATE_SQL = f"""
+SELECT _brand AS brand, CAST(0 AS BIGINT) AS backfill_offset, _brand <> 'Bonbird' AS backfill_complete,
+  max(TRY_CAST(updated_date AS TIMESTAMP)) - INTERVAL 365 DAY AS watermark, {D.RUN_TS} AS last_run_at
+FROM revel_raw GROUP BY _brand"""
+
+_SLICE_SQL = f"""
+SELECT r.* FROM revel_raw r LEFT JOIN ({_STATE_SQL}) s ON s.brand = r._brand
+WHERE contains(r.email, '@') AND (NOT (coalesce(s.backfill_complete, false) AND s.watermark IS NOT NULL)
+  OR coalesce(TRY_CAST(r.updated_date AS TIMESTAMP) >= s.watermark - INTERVAL 1 DAY, false))"""
+
+
+@register("incremental_slice", D.with_ctes(["revel_raw"], f"SELECT _seq, _brand FROM ({_SLICE_SQL}) q"))
+def q_incremental_slice(spark, sf):
+    return ingest.incremental_slice(fixture(spark, sf, "revel_raw"), _sync_state(spark, sf)) \
+        .select("_seq", "_brand")
+
+
+@register("advance_watermark", D.with_ctes(["revel_raw"], f"""
+SELECT coalesce(s.brand, n.brand) AS brand, CAST(0 AS BIGINT) AS backfill_offset, true AS backfill_complete,
+  strftime(CASE WHEN s.watermark IS NULL THEN n.newest WHEN n.newest IS NULL THEN s.watermark
+                ELSE greatest(s.watermark, n.newest) END, '%Y-%m-%d %H:%M:%S') AS watermark,
+  strftime({D.RUN_TS}, '%Y-%m-%d %H:%M:%S') AS last_run_at
+FROM ({_STATE_SQL}) s FULL OUTER JOIN (
+  SELECT _brand AS brand, max(TRY_CAST(updated_date AS TIMESTAMP)) AS newest FROM ({_SLICE_SQL}) q GROUP BY 1) n
+ON n.brand = s.brand"""))
+def q_advance_watermark(spark, sf):
+    state = _sync_state(spark, sf)
+    rows = ingest.incremental_slice(fixture(spark, sf, "revel_raw"), state)
+    out = ingest.advance_watermark(state, rows)
+    return out.withColumn("watermark", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss")) \
+        .withColumn("last_run_at", F.date_format("last_run_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+PROBES = {
+    "(no filter)": "true",
+    "email_opt_in=true": "email_opt_in",
+    "email__contains=@": "email LIKE '%@%'",
+    "updated_date__gte=1997-01-01": "updated_date >= '1997-01-01'",
+    "opt_in + has email": "email_opt_in AND email LIKE '%@%'",
+}
+
+
+@register("filter_selectivity", D.with_ctes(["revel_raw"], " UNION ALL ".join(
+    f"SELECT '{label}' AS label, CAST(count(*) FILTER (WHERE coalesce({pred}, false)) AS BIGINT) AS n, "
+    f"round(count(*) FILTER (WHERE coalesce({pred}, false)) * 100.0 / count(*), 1) AS pct FROM revel_raw"
+    for label, pred in PROBES.items())))
+def q_filter_selectivity(spark, sf):
+    return ingest.filter_selectivity(fixture(spark, sf, "revel_raw"), PROBES)
+
+
+_PROFILE_COLS = ["_brand", "_seq", "email", "email_opt_in", "first_name", "last_name", "resource_uri",
+                 "updated_date"]
+
+
+@register("field_profile", D.with_ctes(["revel_raw"], " UNION ALL ".join(
+    f"SELECT '{c}' AS field, substr(min(CAST({c} AS VARCHAR)), 1, 70) AS sample FROM revel_raw"
+    for c in _PROFILE_COLS)))
+def q_field_profile(spark, sf):
+    return ingest.field_profile(fixture(spark, sf, "revel_raw"))
+
+
+@register("signup_stream", D.with_ctes(["newsletter_signups"], """
+SELECT email, brand, country, site, page, first_name, last_name,
+  strftime(signed_up_at, '%Y-%m-%d %H:%M:%S.%f') AS signed_up_at FROM newsletter_signups"""))
+def q_signup_stream(spark, sf):
+    out = run_signup_stream(spark, fixture(spark, sf, "signup_events"))
+    return out.select("email", "brand", "country", "site", "page", "first_name", "last_name",
+                      F.date_format("signed_up_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("signed_up_at"))
