@@ -133,7 +133,7 @@ def _gibberish_from_parts(w: Column, n: Column, mask: Column, bigrams: Column) -
         (repeated == 1) & (max_count >= 3),
     ]
     names = [F.when(cond, F.lit(name)) for cond, (name, _) in zip(conds, _SIGNAL_WEIGHTS)]
-    sig = F.filter(F.array(*names), lambda x: x.isNotNull())
+    sig = F.array_compact(F.array(*names))
     return F.when(n < 6, F.array().cast("array<string>")).otherwise(sig)
 
 
@@ -212,14 +212,40 @@ def classify_email(raw) -> Column:
                                       F.lower(v["s"]).alias("e")), decide))
 
 
+def _cheap_reason(r: Column, stripped: Column, email: Column, domain: Column) -> Column:
+    """The reason from every check except the gibberish score (which has
+    the lowest priority); NULL when those checks pass."""
+    return (F.when(r.isNull() | (stripped == ""), F.lit("missing"))
+            .when(~email.rlike(MASTER_EMAIL_RE), F.lit("bad_format"))
+            .when(email.isin(C.PLACEHOLDER_ADDRESSES), F.lit("placeholder"))
+            .when(domain.isin(C.INTERNAL_DOMAINS), F.lit("internal_domain"))
+            .when(domain.isin(C.DISPOSABLE_DOMAINS), F.lit("disposable")))
+
+
 def with_email_check(df: DataFrame, raw_col: str = "email") -> DataFrame:
-    """Replace ``raw_col`` by the cleaned email and add ``email_ok`` and
-    ``email_reason`` (one bound expression per row)."""
-    out = df.withColumn("_ec", classify_email(F.col(raw_col)))
-    return (out.withColumn(raw_col, F.col("_ec.email"))
-               .withColumn("email_ok", F.col("_ec.email_ok"))
-               .withColumn("email_reason", F.col("_ec.email_reason"))
-               .drop("_ec"))
+    """Replace ``raw_col`` by the cleaned email and add ``email_ok``,
+    ``email_reason`` and ``email_reason_pre`` (the reason before the
+    gibberish score).  Computed in staged columns, each once per row and
+    inside generated code; filters on ``email_reason_pre`` stay small when
+    pushed down."""
+    out = df.withColumn("_ec_raw", F.col(raw_col).cast("string"))
+    out = out.withColumn("_ec_strip", py_strip(F.col("_ec_raw")))
+    out = out.withColumn("_ec_email", F.lower(F.col("_ec_strip")))
+    out = out.withColumn("_ec_local", F.substring_index(F.col("_ec_email"), "@", 1)) \
+        .withColumn("_ec_domain", F.substring_index(F.col("_ec_email"), "@", -1))
+    out = out.withColumn("email_reason_pre", _cheap_reason(F.col("_ec_raw"), F.col("_ec_strip"),
+                                                           F.col("_ec_email"), F.col("_ec_domain")))
+    out = with_gibberish(out, "_ec_local", "_ec_g")
+    pre = F.col("email_reason_pre")
+    reason = F.when(pre.isNotNull(), pre).when(
+        F.col("_ec_g_score") >= C.GIBBERISH_REJECT_AT,
+        F.concat(F.lit("gibberish:"), F.array_join(F.col("_ec_g_signals"), ",")))
+    missing = F.col("_ec_raw").isNull() | (F.col("_ec_strip") == "")
+    out = out.withColumn("email_reason", reason) \
+        .withColumn(raw_col, F.when(missing, F.lit(None).cast("string")).otherwise(F.col("_ec_email"))) \
+        .withColumn("email_ok", F.col("email_reason").isNull())
+    return out.drop("_ec_raw", "_ec_strip", "_ec_email", "_ec_local", "_ec_domain",
+                    "_ec_g_signals", "_ec_g_score")
 
 
 def reason_class(reason) -> Column:

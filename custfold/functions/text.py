@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re as _re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,38 +69,41 @@ def clean_tags(c) -> Column:
 def parse_market(c, country_map: dict | None = None) -> Column:
     """``{brand}-{country slug}-{venue}`` -> [BRAND, COUNTRY(, VENUE)].
 
-    Slugs are tried longest first; an unknown country is taken to be the
-    next ``-`` segment.  NULL or blank input gives an empty array.
+    Slugs are tried longest first (one alternation regex, alternatives in
+    that order); an unknown country is taken to be the next ``-`` segment.
+    NULL or blank input gives an empty array.
     """
     m = _col(c)
     cmap = C.COUNTRY_MAP if country_map is None else country_map
+    slugs = sorted(cmap, key=len, reverse=True)
+    pattern = "^(" + "|".join(_re.escape(x) for x in slugs) + r")(?:-|\z)"
+    tag_of = F.create_map(*[x for k in slugs for x in (F.lit(k), F.lit(cmap[k]))])
     clean = F.regexp_replace(F.lower(F.trim(F.split_part(m, F.lit("?"), F.lit(1)))), "-+$", "")
-    brand = F.split_part(clean, F.lit("-"), F.lit(1))
-    rest = F.substring(clean, F.length(brand) + 2, 1 << 30)
-    first_seg = F.split_part(rest, F.lit("-"), F.lit(1))
-    country = None
-    venue = None
-    for slug in sorted(cmap, key=len, reverse=True):
-        tag = cmap[slug]
-        exact = rest == F.lit(slug)
-        prefix = rest.startswith(slug + "-")
-        country = (F.when(exact | prefix, F.lit(tag)) if country is None
-                   else country.when(exact | prefix, F.lit(tag)))
-        venue = (F.when(exact, F.lit(None).cast("string")) if venue is None
-                 else venue.when(exact, F.lit(None).cast("string")))
-        venue = venue.when(prefix, F.substring(rest, len(slug) + 2, 1 << 30))
-    if country is None:
-        country_v = first_seg
-        venue_v = F.substring(rest, F.length(first_seg) + 2, 1 << 30)
-    else:
-        country_v = country.otherwise(first_seg)
-        venue_v = venue.otherwise(F.substring(rest, F.length(first_seg) + 2, 1 << 30))
-    head = F.array(F.upper(brand), F.upper(country_v))
-    tags = F.when(F.coalesce(venue_v, F.lit("")) == "", head) \
-        .otherwise(F.concat(head, F.array(F.upper(venue_v))))
+
+    def parts(v):
+        brand, rest = v["brand"], v["rest"]
+        slug = F.regexp_extract(rest, pattern, 1)
+        seg = F.split_part(rest, F.lit("-"), F.lit(1))
+        matched = slug != ""
+        country = F.when(matched, F.try_element_at(tag_of, slug)).otherwise(seg)
+        venue = F.when(matched, F.substring(rest, F.length(slug) + 2, 1 << 30)) \
+            .otherwise(F.substring(rest, F.length(seg) + 2, 1 << 30))
+        head = F.array(F.upper(brand), F.upper(country))
+        return F.when(F.coalesce(venue, F.lit("")) == "", head) \
+            .otherwise(F.concat(head, F.array(F.upper(venue))))
+
+    def split(cl):
+        brand = F.split_part(cl, F.lit("-"), F.lit(1))
+        return F.struct(brand.alias("brand"), F.substring(cl, F.length(brand) + 2, 1 << 30).alias("rest"))
+
+    tags = _let(_let(clean, split), parts)
     return F.when(m.isNull() | (F.trim(m) == ""), F.array().cast("array<string>")).otherwise(tags)
 
 
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def first_tag_in(tags, values) -> Column:
     """First element of ``tags`` that is in ``values`` (array order)."""
     return F.get(F.filter(_col(tags), lambda t: t.isin(list(values))), 0)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from custfold import config as C
 from custfold.functions.email import py_strip, reason_class, with_email_check
 from custfold.functions.text import blank_to_null
+from custfold.session import spread
 
 
 # ---------------------------------------------------------------------------
@@ -30,9 +31,12 @@ def pick_by_key(df: DataFrame, keys: list[str], order: Column, latest: bool = Tr
     batch number and arrival sequence).
     """
     cols = [c for c in df.columns]
-    pick = F.max_by if latest else F.min_by
-    row = pick(F.struct(*[F.col(c) for c in cols]), order).alias("_row")
-    return df.groupBy(*keys).agg(row).select("_row.*")
+    # max/min of struct(order, row): struct comparison is by the first
+    # field, so this picks the row with the extreme order; it combines
+    # map-side like any max.
+    packed = F.struct(order.alias("_o"), F.struct(*[F.col(c) for c in cols]).alias("_r"))
+    pick = F.max if latest else F.min
+    return df.groupBy(*keys).agg(pick(packed).alias("_p")).select("_p._r.*")
 
 
 def _truthy(c: Column, dtype: T.DataType) -> Column:
@@ -72,18 +76,25 @@ def ingest_pos_customers(raw: DataFrame, brand_col: str = "_brand") -> DataFrame
                      stamp.alias("_stamp"),
                      seq.alias("_seq"))
              .where(F.col("revel_id").isNotNull() & (F.col("revel_id") != "")))
-    return (with_email_check(typed, "email")
+    return (with_email_check(spread(typed), "email")
             .select("revel_id", "brand", "first_name", "last_name", "email", "email_ok",
                     "email_opt_in",
                     F.expr("try_cast(_stamp AS TIMESTAMP_NTZ)").alias("updated_date"),
-                    "email_reason", "_seq"))
+                    "email_reason", "email_reason_pre", "_seq"))
 
 
 def discard_rejects(classified: DataFrame, reasons=None) -> tuple[DataFrame, DataFrame]:
     """Split off rows whose reason class is to be thrown away before storing."""
     reasons = list(C.DISCARD_REASONS if reasons is None else reasons)
-    cls = reason_class(F.col("email_reason"))
-    hit = F.coalesce(cls.isin(reasons), F.lit(False))
+    if "email_reason_pre" in classified.columns:
+        # Test the small pre-gibberish reason; the score only when the
+        # gibberish class itself is discarded.
+        pre = F.col("email_reason_pre")
+        hit = F.coalesce(pre.isin(reasons), F.lit(False))
+        if "gibberish" in reasons:
+            hit = hit | (pre.isNull() & ~F.col("email_ok"))
+    else:
+        hit = F.coalesce(reason_class(F.col("email_reason")).isin(reasons), F.lit(False))
     return classified.where(~hit), classified.where(hit)
 
 

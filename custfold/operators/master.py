@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from custfold import config as C
 from custfold.config import SourceSpec, ordered_specs
+from custfold.session import spread
 from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address, let
 from custfold.functions.text import (clean_birthday, clean_name, clean_nationality, clean_tags,
                                      first_tag_in, first_tag_not_in, is_adult)
@@ -73,12 +74,21 @@ def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
         return (is_valid_address(e) & ~is_blocked_domain(e, blocked) & v["extra"]
                 & (b.isNull() | is_adult(b, as_of)))
 
-    bound = let(F.struct(_eval(spec.email_expr, "string").alias("raw")),
-                lambda r: F.struct(fix_domain(r["raw"]).alias("e1")))
-    df = df.withColumn("_e1", bound["e1"]).withColumn("_bday", _eval(spec.birthday_expr, "date"))
+    df = spread(df)
+    plain = isinstance(spec.email_expr, str) and spec.email_expr.isidentifier()
+    if plain:
+        # A bare column is cheap to repeat: plain expressions stay in codegen.
+        df = df.withColumn("_e1", fix_domain(F.col(spec.email_expr)))
+    else:
+        # A computed email is bound once so pushed-down filters stay small.
+        bound = let(F.struct(_eval(spec.email_expr, "string").alias("raw")),
+                    lambda r: F.struct(fix_domain(r["raw"]).alias("e1")))
+        df = df.withColumn("_e1", bound["e1"])
+    df = df.withColumn("_bday", _eval(spec.birthday_expr, "date"))
     e1 = F.col("_e1")
     bday = F.col("_bday")
-    keep = let(F.struct(e1.alias("e1"), bday.alias("bday"), where_extra.alias("extra")), gate)
+    keep = (gate(F.struct(e1.alias("e1"), bday.alias("bday"), where_extra.alias("extra"))) if plain
+            else let(F.struct(e1.alias("e1"), bday.alias("bday"), where_extra.alias("extra")), gate))
     tags = clean_tags(F.concat(F.array(F.lit(spec.source_tag)),
                                F.coalesce(_eval(spec.extra_tags_expr, "array<string>"), _empty())))
     first = clean_name(_eval(spec.first_name_expr, "string")) if spec.first_name_expr else F.lit(None).cast("string")
@@ -159,6 +169,9 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
     aggs = [F.min_by(row, F.when(F.col("_rank") == r, F.col("_pk"))).alias(f"_c{r}") for r in ranks]
     per_email = union.groupBy("email").agg(*aggs)
 
+    if prior is None:
+        return MergeResult(_flat_merge(per_email, present), present, missing)
+
     # The merge is a left fold over the per-source structs in rank order,
     # written as one ``aggregate`` higher-order function: the state is bound
     # once per step, so the expression does not grow with the number of
@@ -218,6 +231,28 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
     return MergeResult(out, present, missing)
 
 
+def _flat_merge(per_email: DataFrame, present) -> DataFrame:
+    """The fold without a prior master, in closed form.
+
+    With no prior row every source brings a source label the state lacks,
+    so every present source is applied: fields are the first non-null in
+    rank order, tags the ordered distinct concatenation (each source's tags
+    are already clean), sources the set of labels, needs_push true.
+    """
+    cs = [F.col(f"_c{r}") for r, _ in present]
+    tags = F.array_distinct(F.concat(*[F.coalesce(c["tags"], _empty()) for c in cs]))
+    srcs = F.array_sort(F.array_distinct(F.concat(*[F.coalesce(c["sources"], _empty()) for c in cs])))
+    return per_email.select(
+        "email",
+        *[F.coalesce(*[c[f] for c in cs]).alias(f) for f in FIELDS],
+        F.when(F.size(tags) > 0, tags).alias("tags"),
+        srcs.alias("sources"),
+        F.lit(True).alias("needs_push"),
+        F.lit(True).alias("_changed"),
+        *[F.lit(None).cast(t).alias(c) for c, t in _CARRY],
+        *[c.isNotNull().alias(f"_applied_{r}") for c, (r, _) in zip(cs, present)])
+
+
 _SRC_TYPE = ("struct<first_name:string,last_name:string,nationality:string,birthday:date,"
              "allow_email:boolean,tags:array<string>,sources:array<string>,needs_push:boolean,"
              "last_pushed_at:timestamp_ntz,push_status:string>")

@@ -47,3 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="custfold-ckpt-", dir="/tmp")
     sc.setCheckpointDir(current)
     return current
+
+
+def spread(df):
+    """Spread a CPU-heavy row pass over all cores when the scan yields
+    fewer partitions than the cluster has task slots (small inputs only;
+    a large input already arrives in many splits and is left alone)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
