@@ -103,10 +103,25 @@ def gibberish_word(local) -> Column:
     return F.regexp_replace(w, r"[0-9]+$", "")
 
 
-def _gibberish_from_parts(w: Column, n: Column, mask: Column, bigrams: Column) -> Column:
-    """Signal array from an already computed word, its length, consonant
-    mask and bigram list (each referenced several times, so callers bind
-    them once)."""
+_SEP = "\u0001"
+# A run of equal 2-character units in a sorted, separator-joined list.
+_RUN = r"(?:^|\x01)(..)(?:\x01\1)+(?=\x01|$)"
+_RUN3 = r"(?:^|\x01)(..)(?:\x01\1){2,}(?=\x01|$)"
+
+
+def _consonant_mask(w: Column) -> Column:
+    """consonant -> 'c', anything else -> '.'."""
+    return F.regexp_replace(F.regexp_replace(w, f"[{C.CONSONANTS}]", "c"), "[^c]", ".")
+
+
+def _sorted_bigrams(w: Column) -> Column:
+    """Overlapping bigrams (a zero-width lookahead per position), sorted and
+    joined, so equal bigrams form runs a back-reference regex can count."""
+    return F.array_join(F.array_sort(F.regexp_extract_all(w, F.lit(r"(?s)(?=(..))"), 1)), _SEP)
+
+
+def _gibberish_flags(w: Column, n: Column, mask: Column, bigrams: Column) -> list[Column]:
+    """The ten signal conditions, in rule order, from bound parts."""
     nn = F.when(n >= 6, n)                       # divisions only for 6+ chars
     cons = f"[{C.CONSONANTS}]"
     vowels = n - F.length(F.regexp_replace(w, f"[{C.VOWELS}]", ""))
@@ -116,13 +131,10 @@ def _gibberish_from_parts(w: Column, n: Column, mask: Column, bigrams: Column) -
     runs = (F.length(dotted) - F.length(F.replace(dotted, F.lit(".c"), F.lit("")))) / 2
     pairs = n_cons - runs
     diversity = F.size(F.array_distinct(F.split(w, ""))) / nn
-    counts = F.transform(F.array_distinct(bigrams),
-                         lambda b: F.size(F.filter(bigrams, lambda x: x == b)))
-    repeated = F.size(F.filter(counts, lambda k: k >= 2))
-    max_count = F.array_max(counts)
-    conds = [
-        w.rlike(r"(.)\1{2,}"),
-        w.rlike(r"^(.{1,2})\1{2,}"),
+    repeated = F.size(F.regexp_extract_all(bigrams, F.lit("(?s)" + _RUN), 1))
+    return [
+        w.rlike(r"(?s)(.)\1{2,}"),
+        w.rlike(r"(?s)^(.{1,2})\1{2,}"),
         vowels == 0,
         (vowels > 0) & (vowels / nn < 0.15),
         w.rlike(cons + "{5,}"),
@@ -130,20 +142,20 @@ def _gibberish_from_parts(w: Column, n: Column, mask: Column, bigrams: Column) -
         diversity <= 0.4,
         (diversity > 0.4) & (diversity <= 0.5),
         repeated >= 2,
-        (repeated == 1) & (max_count >= 3),
+        (repeated == 1) & bigrams.rlike("(?s)" + _RUN3),
     ]
-    names = [F.when(cond, F.lit(name)) for cond, (name, _) in zip(conds, _SIGNAL_WEIGHTS)]
-    sig = F.array_compact(F.array(*names))
-    return F.when(n < 6, F.array().cast("array<string>")).otherwise(sig)
 
 
-def _consonant_mask(w: Column) -> Column:
-    """consonant -> 'c', anything else -> '.'."""
-    return F.regexp_replace(F.regexp_replace(w, f"[{C.CONSONANTS}]", "c"), "[^c]", ".")
+def _signals_of(flags: list[Column], n: Column) -> Column:
+    names = [F.when(f, F.lit(name)) for f, (name, _) in zip(flags, _SIGNAL_WEIGHTS)]
+    return F.when(n < 6, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*names)))
 
 
-def _bigrams(w: Column, n: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(w, i, 2))
+def _score_of(flags: list[Column], n: Column) -> Column:
+    total = F.lit(0)
+    for f, (_, weight) in zip(flags, _SIGNAL_WEIGHTS):
+        total = total + F.when(f, F.lit(weight)).otherwise(F.lit(0))
+    return F.when(n < 6, F.lit(0)).otherwise(total).cast("int")
 
 
 def gibberish_signals(local) -> Column:
@@ -153,21 +165,24 @@ def gibberish_signals(local) -> Column:
     ``transform`` so the regex chain is not repeated per signal.
     """
     word = gibberish_word(local)
-    return F.get(F.transform(F.array(word), lambda w: _gibberish_from_parts(
-        w, F.length(w), _consonant_mask(w), _bigrams(w, F.length(w)))), 0)
+    return let(word, lambda w: _signals_of(
+        _gibberish_flags(w, F.length(w), _consonant_mask(w), _sorted_bigrams(w)), F.length(w)))
 
 
 def with_gibberish(df: DataFrame, local_col: str, prefix: str = "gibberish") -> DataFrame:
-    """Add ``<prefix>_signals`` and ``<prefix>_score`` computed in stages."""
+    """Add ``<prefix>_signals`` and ``<prefix>_score``, computed in staged
+    columns entirely inside generated code (regex and string functions)."""
     t = f"_{prefix}"
-    out = (df.withColumn(f"{t}_w", gibberish_word(F.col(local_col)))
-             .withColumn(f"{t}_n", F.length(f"{t}_w")))
-    out = (out.withColumn(f"{t}_mask", _consonant_mask(F.col(f"{t}_w")))
-              .withColumn(f"{t}_big", _bigrams(F.col(f"{t}_w"), F.col(f"{t}_n"))))
-    out = out.withColumn(f"{prefix}_signals", _gibberish_from_parts(
-        F.col(f"{t}_w"), F.col(f"{t}_n"), F.col(f"{t}_mask"), F.col(f"{t}_big")))
-    out = out.withColumn(f"{prefix}_score", gibberish_score_of(F.col(f"{prefix}_signals")))
-    return out.drop(f"{t}_w", f"{t}_n", f"{t}_mask", f"{t}_big")
+    out = df.withColumn(f"{t}_w", gibberish_word(F.col(local_col)))
+    w = F.col(f"{t}_w")
+    out = out.withColumns({f"{t}_n": F.length(w), f"{t}_mask": _consonant_mask(w),
+                           f"{t}_big": _sorted_bigrams(w)})
+    n = F.col(f"{t}_n")
+    flags = _gibberish_flags(w, n, F.col(f"{t}_mask"), F.col(f"{t}_big"))
+    out = out.withColumn(f"{t}_f", F.array(*flags))
+    bound = [F.get(F.col(f"{t}_f"), i) for i in range(len(flags))]
+    out = out.withColumns({f"{prefix}_signals": _signals_of(bound, n), f"{prefix}_score": _score_of(bound, n)})
+    return out.drop(f"{t}_w", f"{t}_n", f"{t}_mask", f"{t}_big", f"{t}_f")
 
 
 def gibberish_score_of(signals: Column) -> Column:
