@@ -306,8 +306,12 @@ def export_members(master: DataFrame, brand: str | None = None) -> DataFrame:
 
 
 def write_export_csv(export: DataFrame, path: str) -> None:
-    """CSV with a header, CRLF line ends and doubled quotes."""
-    (export.coalesce(1).write.mode("overwrite")
+    """CSV with a header, CRLF line ends and doubled quotes.
+
+    Written in parallel: the export is range-partitioned by email, so the
+    part files are in email order and each starts with the heading row.
+    """
+    (export.write.mode("overwrite")
      .option("header", True).option("lineSep", "\r\n").option("escape", '"')
      .option("emptyValue", "").csv(path))
 

@@ -450,3 +450,15 @@ def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = Non
     dims = split_dimensions(kept)
     master = find_duplicates(dims).select(*MASTER_COLUMNS)
     return Rebuild(master, full_ledger, new_minors, removed, refresh_counts(res), res)
+
+
+def rebuild_metrics(rb: Rebuild) -> DataFrame:
+    """One row: newly excluded minors, rows purged, dimension and duplicate counts."""
+    out = dimension_counts(rb.master)
+    dup = duplicate_counts(rb.master)
+    for c in dup.columns:
+        out = out.withColumn(c, dup.select(c).scalar())
+    out = out.withColumn("newly_excluded", rb.new_minors.agg(F.count(F.lit(1))).scalar()) \
+        .withColumn("removed_from_master", rb.removed.agg(F.count(F.lit(1))).scalar())
+    return out.select("newly_excluded", "removed_from_master", "with_brand", "with_venue",
+                      "duplicates", "people_affected")

@@ -373,3 +373,56 @@ def q_upsert_signups(spark, sf):
     n = ingest.newsletter_signups(fixture(spark, sf, "signup_events"))
     return n.select("email", "brand", "country", "src_system", "site", "page", "first_name", "last_name",
                     F.date_format("signed_up_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("signed_up_at"))
+
+
+# ---------------------------------------------------------------------------
+# Registry with a table that does not exist, rebuild metrics, two batches
+# ---------------------------------------------------------------------------
+_ABSENT = C.SourceSpec(source_table="loyalty_cards", email_expr="email", source_tag="LOYALTY", priority=30)
+
+
+@register("refresh_counts_missing_table", D.with_ctes(["canon_one"], """
+SELECT src AS source, CAST(count(*) AS BIGINT) AS rows_merged, rnk - 1 AS merge_order
+FROM canon_one GROUP BY src, rnk
+UNION ALL SELECT 'loyalty_cards', CAST(-1 AS BIGINT), 3"""))
+def q_refresh_counts_missing(spark, sf):
+    src = dict(pipeline.source_tables(spark, sf), loyalty_cards=None)
+    res = M.merge_sources(src, registry=C.DEFAULT_REGISTRY + [_ABSENT])
+    return M.refresh_counts(res)
+
+
+@register("rebuild_metrics", D.with_ctes(["minor_ledger", "merged_inc", "master_inc"], f"""
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM minor_ledger) AS newly_excluded,
+  (SELECT CAST(count(*) AS BIGINT) FROM merged_inc WHERE NOT {D.adult('birthday')}) AS removed_from_master,
+  CAST(count(*) FILTER (WHERE brand IS NOT NULL) AS BIGINT) AS with_brand,
+  CAST(count(*) FILTER (WHERE venue IS NOT NULL) AS BIGINT) AS with_venue,
+  CAST(count(*) FILTER (WHERE duplicate_of IS NOT NULL) AS BIGINT) AS duplicates,
+  CAST(count(DISTINCT email_key) FILTER (WHERE duplicate_of IS NOT NULL) AS BIGINT) AS people_affected
+FROM master_inc"""))
+def q_rebuild_metrics(spark, sf):
+    rb = pipeline.rebuild(spark, sf, with_prior=True)
+    return M.rebuild_metrics(rb)
+
+
+def _typed_batches_sql():
+    return f"""
+SELECT revel_id, brand, first_name, last_name, email, email_ok, email_opt_in,
+  CAST(updated_date AS VARCHAR) AS updated_date, email_reason,
+  strftime(CASE WHEN b = 1 THEN {D.RUN_TS} ELSE {D.RUN_TS} - INTERVAL 1 DAY END, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM (SELECT k.*, CASE WHEN r.updated_date < '1995' THEN 0 ELSE 1 END AS b,
+        row_number() OVER (PARTITION BY k.revel_id ORDER BY CASE WHEN r.updated_date < '1995' THEN 0 ELSE 1 END DESC,
+                           k._seq DESC) AS rn
+      FROM revel_kept k JOIN revel_raw r ON r._seq = k._seq) q
+WHERE rn = 1"""
+
+
+@register("upsert_pos_incremental", D.with_ctes(["revel_kept", "revel_raw"], _typed_batches_sql()))
+def q_upsert_pos_incremental(spark, sf):
+    import datetime as _dt
+    raw = fixture(spark, sf, "revel_raw")
+    first = ingest.revel_customers(raw.where(F.col("updated_date") < "1995"),
+                                   run_ts=C.RUN_TS - _dt.timedelta(days=1))
+    second = ingest.revel_customers(raw.where(~F.coalesce(F.col("updated_date") < "1995", F.lit(False))),
+                                    existing=first)
+    return second.withColumn("updated_date", F.date_format("updated_date", "yyyy-MM-dd HH:mm:ss")) \
+        .withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
