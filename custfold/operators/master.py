@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from custfold import config as C
 from custfold.config import SourceSpec, ordered_specs
+from custfold.session import ensure_checkpoint_dir
 from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address, let
 from custfold.functions.text import (clean_birthday, clean_name, clean_nationality, clean_tags,
                                      first_tag_in, first_tag_not_in, is_adult)
@@ -433,8 +434,14 @@ class Rebuild:
 
 def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = None,
                      ledger: DataFrame | None = None, as_of: _dt.date = C.AS_OF,
-                     run_ts: _dt.datetime = C.RUN_TS) -> Rebuild:
-    """refresh -> minors -> dimensions -> duplicates, as one lazy plan."""
+                     run_ts: _dt.datetime = C.RUN_TS, materialize: bool = True) -> Rebuild:
+    """refresh -> minors -> dimensions -> duplicates.
+
+    With ``materialize`` the merged rows are checkpointed (shared
+    ``spark.checkpoint.dir``) before the duplicate pass: its keeper
+    aggregate and the rows it joins back to then read one stored copy
+    instead of each re-running the merge.
+    """
     res = merge_sources(sources, registry, prior, as_of)
     merged = res.master
     full_ledger, new_minors = record_minors(sources, registry, ledger, as_of, run_ts)
@@ -448,6 +455,9 @@ def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = Non
     else:
         kept, removed = merged, merged.where(F.lit(False))
     dims = split_dimensions(kept)
+    if materialize:
+        ensure_checkpoint_dir(dims.sparkSession)
+        dims = dims.checkpoint(eager=True)
     master = find_duplicates(dims).select(*MASTER_COLUMNS)
     return Rebuild(master, full_ledger, new_minors, removed, refresh_counts(res), res)
 

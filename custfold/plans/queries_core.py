@@ -61,7 +61,7 @@ FROM canon_one GROUP BY src, rnk""")
 
 @register("refresh_counts", _COUNTS_FULL)
 def q_refresh_counts(spark, sf):
-    return pipeline.rebuild(spark, sf).counts
+    return M.refresh_counts(M.merge_sources(pipeline.source_tables(spark, sf)))
 
 
 _COUNTS_INC = D.with_ctes(["canon_one", "prior_master"], """
@@ -90,7 +90,8 @@ SELECT source, CAST(count(*) FILTER (WHERE applied) AS BIGINT) AS rows_merged, m
 
 @register("refresh_counts_incremental", _COUNTS_INC)
 def q_refresh_counts_inc(spark, sf):
-    return pipeline.rebuild(spark, sf, with_prior=True).counts
+    prior = fixture(spark, sf, "prior_master")
+    return M.refresh_counts(M.merge_sources(pipeline.source_tables(spark, sf), prior=prior))
 
 
 @register("refresh_changed", D.with_ctes(["merged_inc"], """
