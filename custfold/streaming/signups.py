@@ -1,11 +1,14 @@
 """Newsletter signups as a Structured Streaming job.
 
-File source -> ``foreachBatch``: each micro-batch is validated, folded into
-a per-email state and merged with the previous state version.  The state
-keeps every field with the arrival sequence it was seen at, so merging is
-min/max (order-free) and replaying a micro-batch writes the same version
-again (idempotent).  Versions are written to a new folder per epoch and
-never overwrite the folder being read.
+File source -> validation (stateless) -> streaming ``groupBy(email)``
+aggregation in update mode.  The fold per email (oldest brand/country,
+newest names, first row's site/page/time) is kept by Spark's state store,
+each value stored with the arrival sequence it was seen at, so the result
+does not depend on the order files arrive in.  Every micro-batch emits only
+the emails it changed; ``foreachBatch`` writes them as one delta folder per
+epoch (overwrite, so a replayed epoch rewrites the same delta).  The table
+is the newest delta row per email, read with a map-side-combining
+aggregate.  Nothing reads or rewrites the whole state per batch.
 """
 
 from __future__ import annotations
@@ -13,60 +16,46 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from custfold.operators import ingest
 from custfold.session import ensure_checkpoint_dir
 
 
-def _version_path(state_dir: str, epoch: int) -> str:
-    return f"{state_dir.rstrip('/')}/v{epoch:09d}"
+def _delta_path(table_dir: str, epoch: int) -> str:
+    return f"{table_dir.rstrip('/')}/epoch={epoch:09d}"
 
 
-def _fs(spark: SparkSession, path: str):
-    """Hadoop file system of ``path`` (works for shared cluster storage)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def _committed(spark: SparkSession, path: str) -> bool:
-    fs, _ = _fs(spark, path)
-    return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
-
-
-def latest_state(spark: SparkSession, state_dir: str) -> DataFrame | None:
-    fs, jdir = _fs(spark, state_dir)
-    if not fs.exists(jdir):
-        return None
-    names = sorted(st.getPath().getName() for st in fs.listStatus(jdir))
-    done = [n for n in names if n.startswith("v") and _committed(spark, f"{state_dir.rstrip('/')}/{n}")]
-    if not done:
-        return None
-    return spark.read.parquet(f"{state_dir.rstrip('/')}/{done[-1]}")
-
-
-def _merge_batch(state_dir: str):
+def _write_delta(table_dir: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = None
-        if epoch_id > 0:
-            p = _version_path(state_dir, epoch_id - 1)
-            if _committed(spark, p):
-                prev = spark.read.parquet(p)
-        st = ingest.signup_state(ingest.accept_signups(batch), batch=0)
-        merged = st if prev is None else ingest.merge_signup_states(prev, st)
-        merged.write.mode("overwrite").parquet(_version_path(state_dir, epoch_id))
+        (batch.withColumn("epoch", F.lit(epoch_id).cast("long"))
+         .write.mode("overwrite").parquet(_delta_path(table_dir, epoch_id)))
     return run
 
 
-def start_signup_stream(spark: SparkSession, source_dir: str, state_dir: str, checkpoint: str,
+def signup_state_stream(events: DataFrame) -> DataFrame:
+    """The streaming per-email state (same aggregate as the batch fold)."""
+    return ingest.signup_state(ingest.accept_signups(events), batch=0)
+
+
+def start_signup_stream(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
                         schema, files_per_trigger: int = 1) -> StreamingQuery:
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_dir))
-    return (stream.writeStream.foreachBatch(_merge_batch(state_dir))
+    return (signup_state_stream(stream).writeStream.outputMode("update")
+            .foreachBatch(_write_delta(table_dir))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def read_signup_table(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Current state: per email the row of the newest delta holding it."""
+    deltas = spark.read.parquet(table_dir)
+    cols = [c for c in deltas.columns if c not in ("email", "epoch")]
+    newest = F.max(F.struct(F.col("epoch").alias("_e"), *[F.col(c) for c in cols])).alias("_n")
+    return deltas.groupBy("email").agg(newest).select("email", *[F.col(f"_n.{c}").alias(c) for c in cols])
+
+
 def run_signup_stream(spark: SparkSession, events: DataFrame, n_files: int = 3) -> DataFrame:
     """Land ``events`` as files in the shared checkpoint folder, stream
     them through the job and return the resulting signup table."""
@@ -74,9 +63,6 @@ def run_signup_stream(spark: SparkSession, events: DataFrame, n_files: int = 3)
     src = f"{root}/landed"
     events.repartition(n_files, "event_id").write.parquet(src)
     schema = spark.read.parquet(src).schema
-    q = start_signup_stream(spark, src, f"{root}/state", f"{root}/chk", schema)
+    q = start_signup_stream(spark, src, f"{root}/table", f"{root}/chk", schema)
     q.awaitTermination()
-    st = latest_state(spark, f"{root}/state")
-    if st is None:
-        return ingest.signups_from_state(ingest.signup_state(ingest.accept_signups(events.limit(0))))
-    return ingest.signups_from_state(st)
+    return ingest.signups_from_state(read_signup_table(spark, f"{root}/table"))
