@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from custfold import config as C
 from custfold.functions.email import py_strip, reason_class, with_email_check
 from custfold.functions.text import blank_to_null
-from custfold.session import spread
+from custfold.session import checked_broadcast, spread
 
 
 # ---------------------------------------------------------------------------
@@ -156,10 +156,10 @@ def incremental_slice(feed: DataFrame, state: DataFrame, brand_col: str = "_bran
     ``watermark - 1 day``; other brands get everything.
 
     ``state`` has one row per brand (bounded by the number of brand
-    accounts), so it is broadcast.
+    accounts): broadcast after a bounded size check.
     """
-    st = F.broadcast(state.select(F.col("brand").alias("_st_brand"),
-                                  "backfill_complete", "watermark"))
+    st = checked_broadcast(state.select(F.col("brand").alias("_st_brand"),
+                                        "backfill_complete", "watermark"))
     stamp = F.expr("try_cast(CAST(updated_date AS STRING) AS TIMESTAMP_NTZ)")
     joined = feed.join(st, F.col(brand_col) == F.col("_st_brand"), "left")
     incremental = F.coalesce(F.col("backfill_complete"), F.lit(False)) & F.col("watermark").isNotNull()

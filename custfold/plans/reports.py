@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from custfold import config as C
 from custfold.functions.email import reason_class
+from custfold.session import checked_broadcast
 
 def _cnt(cond) -> F.Column:
     return F.count_if(F.coalesce(cond, F.lit(False))).cast("long")
@@ -174,9 +175,9 @@ def segment_counts(m: DataFrame, k: int = 25) -> DataFrame:
 
 def corrected_domains_report(wifi: DataFrame, corrections: DataFrame, k: int = 15) -> DataFrame:
     """``wrong -> right`` with record counts.  The corrections table is a
-    checked-small dimension (broadcast)."""
+    dimension, broadcast after a bounded size check."""
     dom = F.lower(F.split_part(F.col("email"), F.lit("@"), F.lit(2)))
-    j = wifi.select(dom.alias("wrong")).join(F.broadcast(corrections), "wrong")
+    j = wifi.select(dom.alias("wrong")).join(checked_broadcast(corrections), "wrong")
     g = j.groupBy(F.concat(F.col("wrong"), F.lit(" -> "), F.col("correct")).alias("correction")) \
         .agg(F.count(F.lit(1)).alias("records"))
     return g.orderBy(F.desc("records"), F.asc("correction")).limit(k)

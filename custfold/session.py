@@ -61,3 +61,13 @@ def spread(df):
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
     return df
+
+
+def checked_broadcast(df, max_rows: int = 100_000):
+    """Broadcast ``df`` only when it provably holds at most ``max_rows``
+    rows (a bounded ``limit(max_rows + 1).count()``); otherwise return it
+    unchanged so the planner picks a shuffle join."""
+    from pyspark.sql import functions as F
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
