@@ -140,7 +140,7 @@ def _prior_rows(prior: DataFrame) -> DataFrame:
 
 
 def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
-                  as_of: _dt.date = C.AS_OF) -> MergeResult:
+                  as_of: _dt.date = C.AS_OF, exclude: DataFrame | None = None) -> MergeResult:
     """Fold all sources (and the prior master) into one row per email.
 
     Equivalent to merging source by source in (priority, source_table)
@@ -167,6 +167,10 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
     row = F.struct(*[F.col(c) for c in _STRUCT_COLS + [c for c, _ in _CARRY]])
     aggs = [F.min_by(row, F.when(F.col("_rank") == r, F.col("_pk"))).alias(f"_c{r}") for r in ranks]
     per_email = union.groupBy("email").agg(*aggs)
+    if exclude is not None:
+        # After the aggregation every email is one row, so the anti-join
+        # shuffles no hot key.
+        per_email = per_email.join(exclude.select("email").distinct(), "email", "left_anti")
 
     if prior is None:
         return MergeResult(_flat_merge(per_email, present), present, missing)
@@ -434,7 +438,8 @@ class Rebuild:
 
 def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = None,
                      ledger: DataFrame | None = None, as_of: _dt.date = C.AS_OF,
-                     run_ts: _dt.datetime = C.RUN_TS, materialize: bool = True) -> Rebuild:
+                     run_ts: _dt.datetime = C.RUN_TS, materialize: bool = True,
+                     strict_minors: bool = False) -> Rebuild:
     """refresh -> minors -> dimensions -> duplicates.
 
     With ``materialize`` the merged rows are checkpointed (shared
@@ -442,9 +447,14 @@ def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = Non
     aggregate and the rows it joins back to then read one stored copy
     instead of each re-running the merge.
     """
-    res = merge_sources(sources, registry, prior, as_of)
-    merged = res.master
     full_ledger, new_minors = record_minors(sources, registry, ledger, as_of, run_ts)
+    exclude = None
+    if strict_minors:
+        # Keep every ledger address out, compared on the corrected key
+        # (the ledger holds the raw lower/trim address).
+        exclude = full_ledger.select(F.lower(F.trim(fix_domain(F.col("email")))).alias("email"))
+    res = merge_sources(sources, registry, prior, as_of, exclude=exclude)
+    merged = res.master
     # Source birthdays have passed the age gate, so a stored birthday can
     # only be under age when it came from the prior row (which outranks the
     # sources): testing the prior birthday is the same as testing the

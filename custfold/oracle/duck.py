@@ -346,3 +346,11 @@ def master_cols(alias: str = "") -> str:
             f"array_to_string({p}tags, ',') AS tags, {p}src_system, {p}brand, {p}country, {p}venue, "
             f"{p}allow_email, {p}email_key, {p}duplicate_of, {p}dup_reason, "
             f"array_to_string({p}sources, ',') AS sources, {p}needs_push")
+
+cte("merged_strict", ["merged_full", "minor_ledger", "domain_corrections"], """
+SELECT * FROM merged_full WHERE email NOT IN (
+  SELECT lower(trim(CASE WHEN position('@' IN l.email) = 0 THEN l.email
+                         ELSE split_part(l.email, '@', 1) || '@' || coalesce(dc.correct, split_part(l.email, '@', 2))
+                    END))
+  FROM minor_ledger l LEFT JOIN domain_corrections dc ON dc.wrong = split_part(l.email, '@', 2))""")
+_finish("master_strict", "merged_strict", "true")

@@ -427,3 +427,9 @@ def q_upsert_pos_incremental(spark, sf):
                                     existing=first)
     return second.withColumn("updated_date", F.date_format("updated_date", "yyyy-MM-dd HH:mm:ss")) \
         .withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("rebuild_strict_minors", D.with_ctes(["master_strict"], f"SELECT {D.master_cols()} FROM master_strict"))
+def q_rebuild_strict_minors(spark, sf):
+    rb = M.rebuild_pipeline(pipeline.source_tables(spark, sf), strict_minors=True)
+    return master_view(rb.master)
