@@ -9,8 +9,19 @@ from custfold.session import ensure_checkpoint_dir
 from custfold.sources.fixtures import fixture
 
 
+_SOURCES: dict = {}
+
+
 def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three stored source tables, derived from the raw feeds."""
+    """The three stored source tables, derived from the raw feeds (lazy
+    plans, built once per session and scale directory)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SOURCES:
+        _SOURCES[key] = _build_sources(spark, sf_dir)
+    return dict(_SOURCES[key])
+
+
+def _build_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "wifi_guests": fixture(spark, sf_dir, "wifi_guests"),
         "revel_customers": ingest.revel_customers(fixture(spark, sf_dir, "revel_raw")),

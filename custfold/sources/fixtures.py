@@ -30,15 +30,22 @@ def register_base(spark: SparkSession, sf_dir: str, names=None) -> None:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
 
 
+_PLANS: dict = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived input, read lazily from the parquet tables of ``sf_dir``.
 
     The base tables are registered as temp views scoped to this call's
     ``sf_dir``; the returned plan keeps its own scan nodes, so re-registering
-    views for another scale later does not change it.
+    views for another scale later does not change it.  The lazy plan (not
+    data) is reused within a session, which saves re-analysis.
     """
-    register_base(spark, sf_dir, _FIXTURE_BASES[name])
-    return spark.sql(spark_fixture_sql(name))
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _PLANS:
+        register_base(spark, sf_dir, _FIXTURE_BASES[name])
+        _PLANS[key] = spark.sql(spark_fixture_sql(name))
+    return _PLANS[key]
 
 
 def fixtures(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
