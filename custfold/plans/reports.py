@@ -15,6 +15,7 @@ from custfold import config as C
 from custfold.functions.email import reason_class
 from custfold.session import checked_broadcast
 
+
 def _cnt(cond) -> F.Column:
     return F.count_if(F.coalesce(cond, F.lit(False))).cast("long")
 
