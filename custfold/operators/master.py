@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from custfold import config as C
 from custfold.config import SourceSpec, ordered_specs
-from custfold.session import ensure_checkpoint_dir
+from custfold.session import ensure_checkpoint_dir, spread
 from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address, let
 from custfold.functions.text import (clean_birthday, clean_name, clean_nationality, clean_tags,
                                      first_tag_in, first_tag_not_in, is_adult)
@@ -74,6 +74,7 @@ def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
         return (is_valid_address(e) & ~is_blocked_domain(e, blocked) & v["extra"]
                 & (b.isNull() | is_adult(b, as_of)))
 
+    df = spread(df, "registry_rows")
     plain = isinstance(spec.email_expr, str) and spec.email_expr.isidentifier()
     if plain:
         # A bare column is cheap to repeat: plain expressions stay in codegen.

@@ -53,13 +53,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def spread(df):
+def spread(df, metric: str = "rows_in"):
     """Spread a CPU-heavy row pass over all cores when the scan yields
     fewer partitions than the cluster has task slots (small inputs only;
-    a large input already arrives in many splits and is left alone)."""
+    a large input already arrives in many splits and is left alone).
+
+    The spread rows are counted with ``observe`` (the input row count of
+    the pass, readable from the query's observed metrics); filters of the
+    pass are not pushed below an observation, so they run after the
+    spread on all task slots.
+    """
+    import uuid
+    from pyspark.sql import functions as F
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
+        name = f"{metric}_{uuid.uuid4().hex[:8]}"
+        return df.repartition(slots).observe(name, F.count(F.lit(1)).alias("rows"))
     return df
 
 
