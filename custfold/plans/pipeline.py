@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from custfold.operators import ingest, master
@@ -43,16 +45,20 @@ _STORED: dict = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived table materialised once per session and scale directory.
+    """A derived table written once per session and scale directory.
 
-    Written with ``checkpoint()`` into the shared folder named by
-    ``spark.checkpoint.dir``: lineage is cut (reports do not re-run the
-    merge) and the files survive the loss of an executor.
+    Written as a parquet table under the shared folder named by
+    ``spark.checkpoint.dir`` and read back: lineage is cut (reports do not
+    re-run the merge), the files survive the loss of an executor, and
+    every report reading it gets column pruning and filter pushdown.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        ensure_checkpoint_dir(spark)
-        _STORED[key] = build().checkpoint(eager=True)
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        safe = "".join(ch if ch.isalnum() else "_" for ch in name)
+        path = f"{root}/tables/{safe}-{uuid.uuid4().hex}"
+        build().write.mode("overwrite").parquet(path)
+        _STORED[key] = spark.read.parquet(path)
     return _STORED[key]
 
 
