@@ -1,7 +1,10 @@
 """Email column expressions: correction, validation, classification, keys.
 
-All of these are built-in Spark expressions (regex, string and higher-order
-functions), so they stay inside whole-stage codegen; no Python runs per row.
+All of these are built-in Spark expressions; no Python runs per row.  The
+staged DataFrame forms (``with_gibberish``, ``with_email_check``) use only
+regex, string and array functions and run in generated code; the
+self-contained Column forms bind shared values with a one-element
+``transform`` (interpreted, but compact).
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custfold import config as C
+from custfold.functions.common import let
 
 # Address shape required by the master build.  ``\z`` rather than ``$``:
 # Java's ``$`` also matches before a trailing newline.
@@ -28,16 +32,6 @@ def _map_literal(mapping: dict) -> Column:
     return F.create_map(*pairs)
 
 
-def let(value: Column, body) -> Column:
-    """Bind ``value`` once and evaluate ``body(v)``.
-
-    Written as a one-element ``transform``: when the optimizer substitutes
-    a column into a pushed-down filter, a value referenced many times stays
-    one copy instead of being repeated per reference.
-    """
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def py_strip(c) -> Column:
     """Whitespace strip on both ends (rules that came from Python ``strip``)."""
     return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
@@ -191,15 +185,22 @@ def gibberish_score_of(signals: Column) -> Column:
                        lambda acc, s: acc + F.element_at(weights, s)).cast("int")
 
 
-def _reason(r: Column, stripped: Column, email: Column, domain: Column,
-            signals: Column, score: Column) -> Column:
+def _cheap_reason(r: Column, stripped: Column, email: Column, domain: Column) -> Column:
+    """The reason from every check except the gibberish score (which has
+    the lowest priority); NULL when those checks pass."""
     return (F.when(r.isNull() | (stripped == ""), F.lit("missing"))
             .when(~email.rlike(MASTER_EMAIL_RE), F.lit("bad_format"))
             .when(email.isin(C.PLACEHOLDER_ADDRESSES), F.lit("placeholder"))
             .when(domain.isin(C.INTERNAL_DOMAINS), F.lit("internal_domain"))
-            .when(domain.isin(C.DISPOSABLE_DOMAINS), F.lit("disposable"))
-            .when(score >= C.GIBBERISH_REJECT_AT,
-                  F.concat(F.lit("gibberish:"), F.array_join(signals, ","))))
+            .when(domain.isin(C.DISPOSABLE_DOMAINS), F.lit("disposable")))
+
+
+def _reason(r: Column, stripped: Column, email: Column, domain: Column,
+            signals: Column, score: Column) -> Column:
+    """First failing check wins; the gibberish score comes last."""
+    return F.coalesce(_cheap_reason(r, stripped, email, domain),
+                      F.when(score >= C.GIBBERISH_REJECT_AT,
+                             F.concat(F.lit("gibberish:"), F.array_join(signals, ","))))
 
 
 def classify_email(raw) -> Column:
@@ -227,16 +228,6 @@ def classify_email(raw) -> Column:
                                       F.lower(v["s"]).alias("e")), decide))
 
 
-def _cheap_reason(r: Column, stripped: Column, email: Column, domain: Column) -> Column:
-    """The reason from every check except the gibberish score (which has
-    the lowest priority); NULL when those checks pass."""
-    return (F.when(r.isNull() | (stripped == ""), F.lit("missing"))
-            .when(~email.rlike(MASTER_EMAIL_RE), F.lit("bad_format"))
-            .when(email.isin(C.PLACEHOLDER_ADDRESSES), F.lit("placeholder"))
-            .when(domain.isin(C.INTERNAL_DOMAINS), F.lit("internal_domain"))
-            .when(domain.isin(C.DISPOSABLE_DOMAINS), F.lit("disposable")))
-
-
 def with_email_check(df: DataFrame, raw_col: str = "email") -> DataFrame:
     """Replace ``raw_col`` by the cleaned email and add ``email_ok``,
     ``email_reason`` and ``email_reason_pre`` (the reason before the

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from custfold import config as C
+from custfold.functions.common import let
 
 
 def _col(c) -> Column:
@@ -96,14 +97,10 @@ def parse_market(c, country_map: dict | None = None) -> Column:
         brand = F.split_part(cl, F.lit("-"), F.lit(1))
         return F.struct(brand.alias("brand"), F.substring(cl, F.length(brand) + 2, 1 << 30).alias("rest"))
 
-    tags = _let(_let(clean, split), parts)
+    tags = let(let(clean, split), parts)
     return F.when(m.isNull() | (F.trim(m) == ""), F.array().cast("array<string>")).otherwise(tags)
 
 
-def _let(value: Column, body) -> Column:
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def first_tag_in(tags, values) -> Column:
     """First element of ``tags`` that is in ``values`` (array order)."""
     return F.get(F.filter(_col(tags), lambda t: t.isin(list(values))), 0)

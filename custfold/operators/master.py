@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from custfold import config as C
 from custfold.config import SourceSpec, ordered_specs
 from custfold.session import ensure_checkpoint_dir, spread
-from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address, let
+from custfold.functions.common import let
+from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address
 from custfold.functions.text import (clean_birthday, clean_name, clean_nationality, clean_tags,
                                      first_tag_in, first_tag_not_in, is_adult)
 
