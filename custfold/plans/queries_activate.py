@@ -284,17 +284,26 @@ def q_push_plan_brand(spark, sf):
 _H = C.EXPORT_HEADINGS
 
 
-@register("export_members", D.with_ctes(["master"], f"""
+_EXPORT_SQL = f"""
 SELECT email AS "{_H[0]}", coalesce(first_name, '') AS "{_H[1]}", coalesce(last_name, '') AS "{_H[2]}",
   coalesce(nationality, '') AS "{_H[3]}", coalesce(strftime(birthday, '%d.%m.%Y'), '') AS "{_H[4]}",
   CASE WHEN len(coalesce(tags, []::VARCHAR[])) = 0 THEN '[]' ELSE '["' || array_to_string(tags, '", "') || '"]' END
     AS "{_H[5]}",
   CASE WHEN allow_email IS NULL THEN '' WHEN allow_email THEN 'true' ELSE 'false' END AS "{_H[6]}"
-FROM master ORDER BY email"""))
+FROM master ORDER BY email"""
+
+
+@register("export_members", D.with_ctes(["master"], _EXPORT_SQL))
 def q_export_members(spark, sf):
     return A.export_members(_m(spark, sf))
 
 
+@register("export_members_brand", D.with_ctes(["master"], _EXPORT_SQL.replace(
+    "FROM master ORDER BY email", "FROM master WHERE list_contains(tags, 'BONBIRD') ORDER BY email")))
+def q_export_members_brand(spark, sf):
+    return A.export_members(_m(spark, sf), brand="bonbird")
+
+
 @register("customer_360", D.with_ctes(["push_state", "master", "wifi_guests", "revel_customers"], """
 SELECT e.email, coalesce(m.email IS NOT NULL, false) AS in_master, m.first_name, m.last_name,
   array_to_string(m.tags, ',') AS tags,
