@@ -14,3 +14,9 @@ def let(value: Column, body) -> Column:
     one copy instead of being repeated per reference.
     """
     return F.get(F.transform(F.array(value), body), 0)
+
+
+def ts_ntz(value) -> Column:
+    """A ``datetime`` as a TIMESTAMP_NTZ literal, independent of the session
+    and process time zones (cast from its ISO text)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custfold import config as C
+from custfold.functions.common import ts_ntz
 
 RESPONSE_SCHEMA = ("struct<status:string,membership:struct<comoMemberId:string,commonExtId:string>,"
                    "errors:array<struct<code:string,cause:array<struct<code:string>>>>>")
@@ -198,7 +199,7 @@ def apply_signup_outcomes(signups: DataFrame, outcomes: DataFrame,
     hit = F.col("_st").isNotNull()
     return (j.withColumn("como_status", F.when(hit, F.col("_st")).otherwise(F.col("como_status")))
              .withColumn("como_detail", F.when(hit, F.col("_dt")).otherwise(F.col("como_detail")))
-             .withColumn("como_at", F.when(hit, F.lit(run_ts).cast("timestamp_ntz")).otherwise(F.col("como_at")))
+             .withColumn("como_at", F.when(hit, ts_ntz(run_ts)).otherwise(F.col("como_at")))
              .drop("_st", "_dt"))
 
 
@@ -222,7 +223,7 @@ def record_push_state(state: DataFrame, outcomes: DataFrame, run_ts: _dt.datetim
                     F.when(new, F.col("_d")).otherwise(F.col("detail")).alias("detail"),
                     F.coalesce(F.col("_m"), F.col("como_member_id")).alias("como_member_id"),
                     F.coalesce(F.col("_x"), F.col("common_ext_id")).alias("common_ext_id"),
-                    F.when(new, F.lit(run_ts).cast("timestamp_ntz"))
+                    F.when(new, ts_ntz(run_ts))
                     .otherwise(F.col("last_pushed_at").cast("timestamp_ntz")).alias("last_pushed_at"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from custfold import config as C
+from custfold.functions.common import ts_ntz
 from custfold.functions.email import py_strip, reason_class, with_email_check
 from custfold.functions.text import blank_to_null
 from custfold.session import checked_broadcast, spread
@@ -106,7 +107,7 @@ def upsert_pos_customers(existing: DataFrame | None, rows: DataFrame,
                          run_ts: _dt.datetime = C.RUN_TS, key_cols=("revel_id",)) -> DataFrame:
     """Insert or replace by key; the last arrival wins; ``updated_at`` = run_ts."""
     new = rows.select(*[c for c in POS_COLUMNS if c != "updated_at"], "_seq") \
-        .withColumn("updated_at", F.lit(run_ts).cast("timestamp_ntz")) \
+        .withColumn("updated_at", ts_ntz(run_ts)) \
         .withColumn("_batch", F.lit(1))
     if existing is not None:
         old = existing.select(*POS_COLUMNS).withColumn("_seq", F.lit(0).cast("long")) \
@@ -185,7 +186,7 @@ def advance_watermark(state: DataFrame | None, rows: DataFrame, run_ts: _dt.date
         F.lit(0).cast("long").alias("backfill_offset"),
         F.lit(True).alias("backfill_complete"),
         F.greatest(F.col("watermark"), F.col("_newest")).alias("watermark"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("last_run_at"))
+        ts_ntz(run_ts).alias("last_run_at"))
 
 
 # ---------------------------------------------------------------------------
@@ -258,7 +259,7 @@ def signups_from_state(state: DataFrame, run_ts: _dt.datetime = C.RUN_TS) -> Dat
         F.lit(None).cast("string").alias("como_status"), F.lit(None).cast("string").alias("como_detail"),
         F.lit(None).cast("timestamp_ntz").alias("como_at"),
         F.col("first_row.ts").cast("timestamp_ntz").alias("signed_up_at"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("updated_at"))
+        ts_ntz(run_ts).alias("updated_at"))
 
 
 def upsert_signups(rows: DataFrame, run_ts: _dt.datetime = C.RUN_TS) -> DataFrame:
@@ -302,7 +303,7 @@ def upsert_docs_partial(existing: DataFrame | None, batch: DataFrame, key: str =
     b = ingest_docs_evolving(None, batch)
     b_fields = [c for c in b.columns if c != key]
     if existing is None:
-        return b.withColumn("updated_at", F.lit(run_ts).cast("timestamp_ntz"))
+        return b.withColumn("updated_at", ts_ntz(run_ts))
     old_fields = [c for c in existing.columns if c not in (key, "updated_at")]
     all_fields = old_fields + [c for c in b_fields if c not in old_fields]
     o = existing.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_o_{c}") for c in old_fields],
@@ -318,7 +319,7 @@ def upsert_docs_partial(existing: DataFrame | None, batch: DataFrame, key: str =
             out.append(F.col(f"_n_{c}").alias(c))
         else:
             out.append(F.col(f"_o_{c}").alias(c))
-    out.append(F.when(F.col("_in_batch"), F.lit(run_ts).cast("timestamp_ntz"))
+    out.append(F.when(F.col("_in_batch"), ts_ntz(run_ts))
                .otherwise(F.col("_o_updated_at")).alias("updated_at"))
     return j.select(*out)
 

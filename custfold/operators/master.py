@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from custfold import config as C
 from custfold.config import SourceSpec, ordered_specs
 from custfold.session import ensure_checkpoint_dir, spread
-from custfold.functions.common import let
+from custfold.functions.common import let, ts_ntz
 from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address
 from custfold.functions.text import (clean_birthday, clean_name, clean_nationality, clean_tags,
                                      first_tag_in, first_tag_not_in, is_adult)
@@ -339,7 +339,7 @@ def record_minors(sources: dict, registry=None, ledger: DataFrame | None = None,
     if ledger is not None:
         firsts = firsts.join(ledger.select("email"), "email", "left_anti")
     new = firsts.select("email", "source_table",
-                        F.lit(run_ts).cast("timestamp_ntz").alias("excluded_at"))
+                        ts_ntz(run_ts).alias("excluded_at"))
     full = new if ledger is None else ledger.select(*LEDGER_COLUMNS).unionByName(new)
     return full, new
 

@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from custfold import config as C
+from custfold.functions.common import ts_ntz
 from custfold.catalog import register
 from custfold.oracle import duck as D
 from custfold.operators import ingest
@@ -48,7 +49,7 @@ def _sync_state(spark, sf):
             .agg((F.max(stamp) - F.expr("INTERVAL 365 DAYS")).alias("watermark"))
             .select("brand", F.lit(0).cast("long").alias("backfill_offset"),
                     (F.col("brand") != "Bonbird").alias("backfill_complete"), "watermark",
-                    F.lit(C.RUN_TS).cast("timestamp_ntz").alias("last_run_at")))
+                    ts_ntz(C.RUN_TS).alias("last_run_at")))
 
 
 _STATE_SQL = f"""
