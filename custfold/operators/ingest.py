@@ -340,12 +340,12 @@ def filter_selectivity(df: DataFrame, predicates: dict[str, str]) -> DataFrame:
 
 
 def field_profile(df: DataFrame, width: int = 70) -> DataFrame:
-    """Every field name (sorted) with a sample value cut to ``width`` chars
-    (the smallest non-null value, so the sample is deterministic)."""
+    """Row count, and every field name (sorted) with a sample value cut to
+    ``width`` chars (the smallest non-null value, so it is deterministic)."""
     names = sorted(df.columns)
-    aggs = [F.min(F.col(f"`{c}`").cast("string")).alias(f"_f{i}")
-            for i, c in enumerate(names)]
+    aggs = [F.count(F.lit(1)).alias("_rows")] + \
+        [F.min(F.col(f"`{c}`").cast("string")).alias(f"_f{i}") for i, c in enumerate(names)]
     one = df.agg(*aggs)
     stack_args = ", ".join(f"'{c}', _f{i}" for i, c in enumerate(names))
-    return one.selectExpr(f"stack({len(names)}, {stack_args}) AS (field, sample)") \
-        .select("field", F.substring("sample", 1, width).alias("sample"))
+    return one.selectExpr("_rows AS rows", f"stack({len(names)}, {stack_args}) AS (field, sample)") \
+        .select("rows", "field", F.substring("sample", 1, width).alias("sample"))

@@ -107,7 +107,8 @@ _PROFILE_COLS = ["_brand", "_seq", "email", "email_opt_in", "first_name", "last_
 
 
 @register("field_profile", D.with_ctes(["revel_raw"], " UNION ALL ".join(
-    f"SELECT '{c}' AS field, substr(min(CAST({c} AS VARCHAR)), 1, 70) AS sample FROM revel_raw"
+    f"SELECT CAST(count(*) AS BIGINT) AS rows, '{c}' AS field, substr(min(CAST({c} AS VARCHAR)), 1, 70) AS sample "
+    f"FROM revel_raw"
     for c in _PROFILE_COLS)))
 def q_field_profile(spark, sf):
     return ingest.field_profile(fixture(spark, sf, "revel_raw"))
