@@ -42,6 +42,14 @@ def adult(d: str) -> str:
     return f"({cb} IS NULL OR {cb} <= {ADULT_CUTOFF})"
 
 
+def adult_at(d: str, as_of) -> str:
+    """The age gate for another run date (a ``datetime.date``)."""
+    cut = f"DATE '{as_of.replace(year=as_of.year - C.MIN_AGE).isoformat()}'"
+    old = f"DATE '{as_of.replace(year=as_of.year - C.MAX_AGE).isoformat()}'"
+    cb = f"(CASE WHEN {d} > DATE '{as_of.isoformat()}' OR {d} < {old} THEN NULL ELSE {d} END)"
+    return f"({cb} IS NULL OR {cb} <= {cut})"
+
+
 def clean_name(x: str) -> str:
     return (f"(CASE WHEN lower(trim(coalesce({x}, ''))) IN {_in_list(C.NAME_PLACEHOLDERS)} "
             f"THEN NULL ELSE trim({x}) END)")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt_mod
+
 from pyspark.sql import functions as F
 
 from custfold import config as C
@@ -433,3 +435,26 @@ def q_upsert_pos_incremental(spark, sf):
 def q_rebuild_strict_minors(spark, sf):
     rb = M.rebuild_pipeline(pipeline.source_tables(spark, sf), strict_minors=True)
     return master_view(rb.master)
+
+
+# A ledger left by a run twelve years earlier (when the youngest birthdays
+# were still in the future, so not recorded); this run adds only new
+# addresses and keeps every earlier entry, also of people who are adults now.
+_EARLIER = _dt_mod.date(C.AS_OF.year - 12, C.AS_OF.month, C.AS_OF.day)
+_EARLIER_TS = _dt_mod.datetime(_EARLIER.year, _EARLIER.month, _EARLIER.day)
+
+
+@register("record_minors_incremental", D.with_ctes(["wifi_guests"], f"""
+, b AS (SELECT lower(trim(email)) AS email, {D.WIFI_BDAY} AS d FROM wifi_guests
+           WHERE email IS NOT NULL AND trim(email) <> ''),
+prior AS (SELECT DISTINCT email FROM b WHERE d IS NOT NULL AND NOT {D.adult_at('d', _EARLIER)}),
+now_ AS (SELECT DISTINCT email FROM b WHERE d IS NOT NULL AND NOT {D.adult('d')})
+SELECT email, 'wifi_guests' AS source_table, '{_EARLIER_TS.isoformat(sep=' ')}' AS excluded_at FROM prior
+UNION ALL
+SELECT email, 'wifi_guests', '{C.RUN_TS.isoformat(sep=' ')}' FROM now_ WHERE email NOT IN (SELECT email FROM prior)"""))
+def q_record_minors_incremental(spark, sf):
+    src = pipeline.source_tables(spark, sf)
+    prior, _ = M.record_minors(src, as_of=_EARLIER, run_ts=_EARLIER_TS)
+    full, _new = M.record_minors(src, ledger=prior)
+    return full.select("email", "source_table",
+                       F.date_format("excluded_at", "yyyy-MM-dd HH:mm:ss").alias("excluded_at"))
