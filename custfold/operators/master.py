@@ -180,21 +180,13 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
     # The merge is a left fold over the per-source structs in rank order,
     # written as one ``aggregate`` higher-order function: the state is bound
     # once per step, so the expression does not grow with the number of
-    # sources.
-    if prior is not None:
-        c0 = F.col("_c0")
-        init = F.struct(c0.isNotNull().alias("exists"),
-                        *[c0[f].alias(f) for f in FIELDS],
-                        c0["tags"].alias("tags"), c0["sources"].alias("sources"),
-                        c0["needs_push"].alias("needs_push"),
-                        F.array().cast("array<boolean>").alias("applied"))
-    else:
-        init = F.struct(F.lit(False).alias("exists"),
-                        *[F.lit(None).alias(f) for f in FIELDS],
-                        F.lit(None).alias("tags"), F.lit(None).alias("sources"),
-                        F.lit(None).alias("needs_push"),
-                        F.array().cast("array<boolean>").alias("applied"))
-    init = init.cast(_STATE_TYPE)
+    # sources.  The prior row is the initial state.
+    c0 = F.col("_c0")
+    init = F.struct(c0.isNotNull().alias("exists"),
+                    *[c0[f].alias(f) for f in FIELDS],
+                    c0["tags"].alias("tags"), c0["sources"].alias("sources"),
+                    c0["needs_push"].alias("needs_push"),
+                    F.array().cast("array<boolean>").alias("applied")).cast(_STATE_TYPE)
 
     def step(st, c):
         gain = F.lit(False)
@@ -216,13 +208,10 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
 
     src_structs = F.array(*[F.col(f"_c{r}") for r, _ in present]) if present \
         else F.array().cast(f"array<{_SRC_TYPE}>")
-    folded = per_email.select("email", *([F.col("_c0")] if prior is not None else []),
-                              F.aggregate(src_structs, init, step).alias("_m"))
+    folded = per_email.select("email", c0, F.aggregate(src_structs, init, step).alias("_m"))
     m = F.col("_m")
     extra = [F.get(m["applied"], i).alias(f"_applied_{r}") for i, (r, _) in enumerate(present)]
-    if prior is not None:
-        extra.append(F.col("_c0").isNotNull().alias("_had_prior"))
-        extra.append(F.col("_c0.birthday").alias("_prior_birthday"))
+    extra += [c0.isNotNull().alias("_had_prior"), c0["birthday"].alias("_prior_birthday")]
     applied_any = F.coalesce(F.array_contains(m["applied"], True), F.lit(False))
     out = folded.select(
         "email",
@@ -231,7 +220,7 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
         F.array_sort(m["sources"]).alias("sources"),
         F.coalesce(m["needs_push"], F.lit(True)).alias("needs_push"),
         applied_any.alias("_changed"),
-        *[(F.col(f"_c0.{c}") if prior is not None else F.lit(None).cast(t)).alias(c) for c, t in _CARRY],
+        *[c0[c].alias(c) for c, _ in _CARRY],
         *extra)
     return MergeResult(out, present, missing)
 

@@ -421,10 +421,9 @@ WHERE rn = 1"""
 
 @register("upsert_pos_incremental", D.with_ctes(["revel_kept", "revel_raw"], _typed_batches_sql()))
 def q_upsert_pos_incremental(spark, sf):
-    import datetime as _dt
     raw = fixture(spark, sf, "revel_raw")
     first = ingest.revel_customers(raw.where(F.col("updated_date") < "1995"),
-                                   run_ts=C.RUN_TS - _dt.timedelta(days=1))
+                                   run_ts=C.RUN_TS - _dt_mod.timedelta(days=1))
     second = ingest.revel_customers(raw.where(~F.coalesce(F.col("updated_date") < "1995", F.lit(False))),
                                     existing=first)
     return second.withColumn("updated_date", F.date_format("updated_date", "yyyy-MM-dd HH:mm:ss")) \
