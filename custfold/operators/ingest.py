@@ -1,7 +1,8 @@
 """Sources, ingest and upsert (batch).
 
 Upserts are set-based: the old table and the new rows are unioned and one
-row per key is chosen with ``max_by``/``min_by`` aggregates.  Those
+row per key is chosen with ``max``/``min`` of ``struct(order, row)`` (and
+the signup fold with min/max of value-with-sequence structs).  Those
 aggregates combine map-side, so a key holding a third of all rows is
 reduced inside each map task before the shuffle instead of landing whole
 in one reducer (a window over the key would).
