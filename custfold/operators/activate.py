@@ -209,9 +209,26 @@ def apply_signup_outcomes(signups: DataFrame, outcomes: DataFrame,
 STATE_COLUMNS = ["email", "brand", "status", "detail", "como_member_id", "common_ext_id", "last_pushed_at"]
 
 
-def record_push_state(state: DataFrame, outcomes: DataFrame, run_ts: _dt.datetime = C.RUN_TS) -> DataFrame:
+def record_push_state(state: DataFrame, outcomes: DataFrame, run_ts: _dt.datetime = C.RUN_TS,
+                      order_col: str | None = None) -> DataFrame:
     """Upsert on (email, brand): replace status and detail (cut to 500);
-    never replace a held id with NULL.  Outcomes must be one per key."""
+    never replace a held id with NULL.
+
+    With several attempts per key in one log, ``order_col`` names the
+    attempt order: status and detail come from the last attempt and each
+    id from the last attempt that carried one, as writing the attempts one
+    by one would leave them (one map-side-combined aggregate per key).
+    Without it the log must hold one row per key.
+    """
+    if order_col is not None:
+        o_ = F.col(order_col)
+
+        def last_id(c):
+            return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o_)).alias(c)
+
+        outcomes = outcomes.groupBy("email", "brand").agg(
+            F.max_by("status", o_).alias("status"), F.max_by("detail", o_).alias("detail"),
+            last_id("como_member_id"), last_id("common_ext_id"))
     o = outcomes.select("email", "brand", F.col("status").alias("_s"),
                         F.substring(F.coalesce(F.col("detail"), F.lit("")), 1, 500).alias("_d"),
                         F.col("como_member_id").alias("_m"), F.col("common_ext_id").alias("_x"),

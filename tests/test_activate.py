@@ -68,3 +68,16 @@ def test_push_plan_text(spark):
     assert r.human == "10 min"
     r2 = A.push_plan(master, None, "PICKL", rate=600).collect()[0]
     assert (r2.queued, r2.over_limit, r2.human) == (0, True, "0 sec")
+
+
+def test_record_push_state_last_attempt_wins(spark):
+    state = spark.createDataFrame([], "email string, brand string, status string, detail string, "
+                                      "como_member_id string, common_ext_id string, last_pushed_at timestamp_ntz")
+    log = spark.createDataFrame([("a", "PICKL", "failed", "boom", None, None, 1),
+                                 ("a", "PICKL", "ok", "created", "m9", None, 2),
+                                 ("a", "PICKL", "exists", "already in Como", None, None, 3)],
+                                "email string, brand string, status string, detail string, como_member_id string, "
+                                "common_ext_id string, attempt int")
+    rows = A.record_push_state(state, log, order_col="attempt").collect()
+    # last attempt's status; the id from attempt 2 is not replaced by NULL
+    assert len(rows) == 1 and rows[0].status == "exists" and rows[0].como_member_id == "m9"
