@@ -3,13 +3,18 @@ DuckDB statements of those that SQL can express."""
 
 from __future__ import annotations
 
-from custfold.llm import exact_dedup, token_counts
+from custfold.llm import decontaminate, exact_dedup, line_dedup, sentence_dedup, token_counts
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
+    "op9_substring_dedup": sentence_dedup.op9_substring_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op5_line_dedup": line_dedup.OP5_SQL,
+    "op6_benchmark_decontamination": decontaminate.OP6_SQL,
 }
