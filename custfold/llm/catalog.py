@@ -3,10 +3,11 @@ DuckDB statements of those that SQL can express."""
 
 from __future__ import annotations
 
-from custfold.llm import decontaminate, exact_dedup, line_dedup, sentence_dedup, token_counts
+from custfold.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, sentence_dedup, token_counts
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_ngram_jaccard_join": jaccard_join.op4_ngram_jaccard_join,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op9_substring_dedup": sentence_dedup.op9_substring_dedup,
