@@ -2,9 +2,9 @@
 
 The byte-level BPE cuts a text into pretokens before any merge, so a token
 never crosses a pretoken boundary.  A position is a *proven stable* boundary
-when a visible character precedes it, a space or line feed stands at it and a
-visible character follows: whatever else the text holds, a pretoken starts
-there, and the special strings hold neither character.  Between two stable
+when a visible character precedes it, a space stands at it and a visible
+character follows: whatever else the text holds, a pretoken starts
+there, and the special strings hold no space.  Between two stable
 boundaries the tokens depend on nothing outside, so each piece is encoded by
 the library itself, once per worker while it stays in a bounded memo.
 
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from custfold.llm.common import same_key, store, table, text_of
 
 CHUNK, OVERLAP, LIMIT = 16_384, 256, 1024
+SLICE = 1 << 20  # characters cut into pieces at once
 MEMO = 1 << 19  # pieces in a generation of a worker's memo
 #: U+180E is white space in older Unicode tables only; never cut beside it.
-STABLE = re.compile("(?<=[^\\s\u180e])(?=[ \n][^\\s\u180e])")
+STABLE = re.compile("(?<=[^\\s\u180e])(?= [^\\s\u180e])")
 VISIBLE = re.compile("[^\\s\u180e](?:.*[^\\s\u180e])?", re.S)
 FIRST = re.compile(".*[^\\s\u180e]", re.S)
 _TOKENIZERS: dict = {}
@@ -88,27 +89,36 @@ class PieceCounter:
     def count_all(self, texts: list[str]) -> list[int]:
         """Tokens of each text.  Texts are cut at single spaces; where a space
         is not a stable boundary the text takes the pattern instead."""
-        cuts = [t.split(" ") for t in texts]
-        self.learn(set().union(*(c[1:] for c in cuts)))
-        out = self.encode([c[0] for c in cuts])
-        for i, c in enumerate(cuts):
-            ks = list(map(self.memo.__getitem__, c[1:]))
-            if ks and (-1 in ks or not FIRST.fullmatch(c[0])):
-                out[i] = sum(self.encode(STABLE.split(texts[i])))
-            else:
-                out[i] += sum(ks)
+        out: list[int] = []
+        lo = 0
+        while lo < len(texts):  # some texts at a time, to bound the pieces in memory
+            hi, size = lo, 0
+            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SLICE):
+                size += len(texts[hi])
+                hi += 1
+            cuts = [t.split(" ") for t in texts[lo:hi]]
+            self.learn(set().union(*(c[1:] for c in cuts)))
+            heads = self.encode([c[0] for c in cuts])
+            for i, c in enumerate(cuts):
+                ks = list(map(self.memo.__getitem__, c[1:]))
+                if ks and (-1 in ks or not FIRST.fullmatch(c[0])):
+                    out.append(self.boundaries(texts[lo + i])[2])
+                else:
+                    out.append(heads[i] + sum(ks))
+            lo = hi
         return out
 
     def boundaries(self, text: str) -> tuple[list[int], list[int], int]:
         """Offsets of stable boundaries, tokens before each, tokens in all."""
         pieces = STABLE.split(text)
-        at, before, pos, n = [], [], 0, 0
-        for p, k in zip(pieces, self.encode(pieces), strict=True):
-            if pos:
-                at.append(pos)
-                before.append(n)
+        self.learn({p[1:] for p in pieces[1:]})
+        at, before, pos, n = [], [], len(pieces[0]), self.encode(pieces[:1])[0]
+        for p in pieces[1:]:
+            at.append(pos)
+            before.append(n)
+            k = self.memo[p[1:]]
+            n += k if k >= 0 else self.encode([p])[0]
             pos += len(p)
-            n += k
         return at, before, n
 
 
