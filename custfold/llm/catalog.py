@@ -3,13 +3,15 @@ DuckDB statements of those that SQL can express."""
 
 from __future__ import annotations
 
-from custfold.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, sentence_dedup, token_counts
+from custfold.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, sentence_dedup, source_mix, token_counts, toxicity
 
 QUERIES = {
+    "op2_source_mix": source_mix.op2_source_mix,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_ngram_jaccard_join": jaccard_join.op4_ngram_jaccard_join,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op9_substring_dedup": sentence_dedup.op9_substring_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
 }
