@@ -6,11 +6,13 @@ support vector machine, trained on labelled texts.
   letter weighs ``GAP``, a skipped sign (white space, digit, punctuation)
   ``SIGN``, and a landmark's own subsequences skip one letter at most; so ``l-o-s-e-r`` and ``idiiot`` stay near ``loser``, ``idiot``.
   Letters are compared without case; bytes beyond ASCII fall in five classes.
-* **Landmarks.**  Letter runs of 4 to 6 that mark the toxic labels best
+* **Landmarks.**  Runs of 4 to 6 letters (or a word's start and the letters
+  after it) that mark the toxic labels best
   (counted in Spark over the training texts), no two of them much alike.
 * **Features.**  For every landmark its best kernel value over the text's
-  half-overlapping windows of ``WINDOW`` bytes, whitened by the inverse root
-  of the landmarks' own kernel matrix (Nystrom).
+  half-overlapping windows of ``WINDOW`` bytes, and the logarithm of how many
+  windows reach ``GOOD``; both whitened by the inverse root of the landmarks'
+  own kernel matrix (Nystrom).
 * **Machine.**  A linear SVM (squared hinge, Newton steps) on these features
   and a logistic curve on its margins.
 
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from custfold.llm.common import store, table, text_of
 
-P, SPAN, GAP, SIGN, WINDOW = 4, 7, 0.5, 0.9, 16
+P, SPAN, GAP, SIGN, WINDOW, GOOD = 4, 7, 0.5, 0.9, 16, 0.7
 TRAIN_ROWS, LANDMARKS, LEAST_DOCS, ALIKE, COST = 8000, 48, 4, 0.3, 10.0
 RUNS = (4, 5, 6)
 SEGMENT = 1 << 19
@@ -117,8 +119,8 @@ class Features:
             pos = np.flatnonzero(self.known[code])
             if not len(pos):
                 continue
-            skipped = letter[pos + off[3] + 1] - letter[pos] - P
-            w = GAP ** skipped * SIGN ** (off[3] + 1 - P - skipped)
+            skipped = letter[pos + off[3] + 1] - letter[pos] - P + (c[pos] == 0)
+            w = GAP ** skipped * SIGN ** (off[3] + 1 - P - skipped.astype(float))
             e = np.searchsorted(self.codes, code[pos])
             times = self.times[e]
             slot = np.repeat(self.first[e] - (np.cumsum(times) - times), times) + np.arange(times.sum())
@@ -129,54 +131,59 @@ class Features:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         return np.concatenate(at), np.concatenate(mark), np.concatenate(weight)
 
-    def _best(self, texts: list[bytes]) -> np.ndarray:
-        """Best windows of texts that are padded to whole windows."""
+    def _best(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Best window and number of good windows of texts that are padded to
+        whole windows."""
         raw = b"".join(texts)
         at, mark, weight = self._hits(classes(raw + b" " * SPAN))
         begin = np.cumsum([0, *(len(t) // WINDOW for t in texts[:-1])])
-        out = np.zeros((len(texts), self.m))
+        best, many = np.zeros((2, len(texts), self.m))
         wide = len(raw) // WINDOW + 1
         for shift in (0, WINDOW // 2):
-            total = np.bincount((at + shift) // WINDOW * self.m + mark, weights=weight, minlength=wide * self.m)
-            np.maximum(out, np.maximum.reduceat(total.reshape(wide, self.m), begin), out=out)
-        return out
+            total = np.bincount((at + shift) // WINDOW * self.m + mark, weights=weight, minlength=wide * self.m).reshape(wide, self.m)
+            np.maximum(best, np.maximum.reduceat(total, begin), out=best)
+            np.maximum(many, np.add.reduceat(total >= GOOD, begin, dtype=float), out=many)
+        return best, many
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.m))
+        """``2 m`` features of each text: the best windows, then the logarithms
+        of the numbers of good windows."""
+        best, many = np.zeros((2, len(texts), self.m))
         if not self.m:
-            return out
+            return best
         group: list[bytes] = []
         begin = size = 0
         for i, t in enumerate(texts):
-            raw = t.encode("utf-8", "replace")
+            raw = b" " + t.encode("utf-8", "replace")
             # Half a window of blanks at least, so that no window holds letters of two texts.
             raw += b" " * (WINDOW - len(raw) % WINDOW if len(raw) % WINDOW <= WINDOW // 2 else 2 * WINDOW - len(raw) % WINDOW)
             if group and size + len(raw) > SEGMENT:
-                out[begin:i] = self._best(group)
+                best[begin:i], many[begin:i] = self._best(group)
                 group, begin, size = [], i, 0
             if len(raw) > SEGMENT:  # overlapping parts of one long text
                 for lo in range(0, len(raw), SEGMENT):
-                    out[i] = np.maximum(out[i], self._best([raw[lo: lo + SEGMENT + 2 * WINDOW]])[0])
+                    b, n = self._best([raw[lo: lo + SEGMENT + 2 * WINDOW]])
+                    best[i], many[i] = np.maximum(best[i], b[0]), many[i] + n[0]
                 begin = i + 1
                 continue
             group.append(raw)
             size += len(raw)
         if group:
-            out[begin:] = self._best(group)
-        return out
+            best[begin:], many[begin:] = self._best(group)
+        return np.concatenate([best, np.log2(1 + many)], axis=1)
 
 
 def runs_of(text: str) -> np.ndarray:
-    """Distinct letter runs of a text: letters in five bits each, the length
-    above them."""
-    c = classes(text.encode("utf-8", "replace")).astype(np.int64)
+    """Distinct letter runs of a text, also those that begin at a word's start
+    (the sign before it): five bits a letter, the length above them."""
+    c = classes(b" " + text.encode("utf-8", "replace")).astype(np.int64)
     found = []
     for n in RUNS:
         if len(c) >= n:
             code, fine = np.zeros(len(c) - n + 1, dtype=np.int64), np.ones(len(c) - n + 1, dtype=bool)
             for i in range(n):
                 part = c[i: len(c) - n + 1 + i]
-                code, fine = code << 5 | part, fine & (part > 0)
+                code, fine = code << 5 | part, fine & ((part > 0) | (i == 0))
             found.append(np.unique(code[fine]) | n << 40)
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
@@ -264,7 +271,7 @@ def train_model(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_c
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series(list(Features.of(marks)(texts.tolist())))
 
-    got = train.select(features("body").alias("f"), "toxic").collect()  # bounded: 2 * rows * LANDMARKS numbers
+    got = train.select(features("body").alias("f"), "toxic").collect()  # bounded: 4 * rows * LANDMARKS numbers
     got.sort()
     f, y = np.array([r["f"] for r in got]), np.array([2 * r["toxic"] - 1 for r in got], dtype=float)
     subs = [subsequences(x) for x in marks]
@@ -272,8 +279,9 @@ def train_model(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_c
     gram = np.array([[kernel(s, t) for t in subs] for s in subs]) / np.sqrt(np.outer(own, own))
     value, vector = np.linalg.eigh(gram)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    w = fit_svm(f @ root, y)
-    weights, offset = root @ w[:-1], w[-1]
+    both = np.kron(np.eye(2), root)
+    w = fit_svm(f @ both, y)
+    weights, offset = both @ w[:-1], w[-1]
     slope, shift = fit_curve(f @ weights + offset, y)
     return Model(marks, tuple(map(float, weights)), float(offset), slope, shift, prior)
 
