@@ -3,9 +3,10 @@ DuckDB statements of those that SQL can express."""
 
 from __future__ import annotations
 
-from custfold.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, sentence_dedup, source_mix, token_counts, toxicity
+from custfold.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, sentence_dedup, source_mix, token_counts, toxicity, url_filter
 
 QUERIES = {
+    "op1_url_filter": url_filter.op1_url_filter,
     "op2_source_mix": source_mix.op2_source_mix,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_ngram_jaccard_join": jaccard_join.op4_ngram_jaccard_join,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_url_filter": url_filter.OP1_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
     "op6_benchmark_decontamination": decontaminate.OP6_SQL,
