@@ -3,7 +3,7 @@ DuckDB statements of those that SQL can express."""
 
 from __future__ import annotations
 
-from custfold.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, sentence_dedup, source_mix, token_counts, toxicity, url_filter
+from custfold.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, secret_scan, sentence_dedup, source_mix, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -13,6 +13,7 @@ QUERIES = {
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_substring_dedup": sentence_dedup.op9_substring_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
 }

@@ -69,3 +69,11 @@ def same_key(a: DataFrame, b: DataFrame, names: list[str]) -> Column:
     for n in names[1:]:
         cond = cond & a[n].eqNullSafe(b[n])
     return cond
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose document is not in ``gone (doc_id, _h)``; the
+    columns of ``docs`` stay as they are, whatever their names."""
+    named = gone.select(F.col("doc_id").alias("_gone_id"), F.col("_h").alias("_gone_h"))
+    key = docs[id_col].eqNullSafe(named["_gone_id"]) & (F.xxhash64(text_of(docs, text_col)) == named["_gone_h"])
+    return docs.join(named, key, "left_anti")

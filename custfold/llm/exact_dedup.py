@@ -112,6 +112,22 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     (alone | (F.col("_row") == F.col("_keep_row"))).alias("kept"), "text_sha256"))
 
 
+def unique_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, columns unchanged.
+    Of rows that agree in ``doc_id`` and text any one stays."""
+    out = store(exact_duplicates(docs, id_col, text_col).where(~F.col("kept"))
+                .select("doc_id", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("tie"), "text_sha256"), "dedup-dropped")
+    sha = F.sha2(text_of(docs, text_col), 256)
+
+    def matching(rows: DataFrame, kind: str) -> DataFrame:
+        named = rows.select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
+        return docs.join(named, docs[id_col].eqNullSafe(named["_gone_id"]) & (sha == named["_gone_sha"]), kind)
+
+    stay = matching(out, "left_anti")
+    ties = out.where("tie")
+    return stay if ties.isEmpty() else stay.unionByName(matching(ties, "left_semi").dropDuplicates([id_col, text_col]))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies over all of ``documents``, byte for byte."""
     return exact_duplicates(table(spark, sf_dir, "documents"))

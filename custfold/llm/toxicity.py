@@ -309,6 +309,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, columns unchanged."""
+    model = train_model(docs, labels, id_col=id_col, text_col=text_col)
+    return docs.where(toxic_score(model, text_of(docs, text_col)) < 0.5)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all ``documents``, learned from ``labels``."""
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
