@@ -70,6 +70,8 @@ def _limit(n: int, threshold: float) -> np.uint64:
 
 def chosen(s: np.ndarray, paths: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Children of ``paths`` for the set ``s``: index of the parent, path."""
+    if not len(s) or not len(paths):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     limit, up, out = _limit(len(s), threshold), [], []
     step = max(1, (1 << 18) // max(1, len(s)))
     for lo in range(0, len(paths), step):
@@ -77,7 +79,7 @@ def chosen(s: np.ndarray, paths: np.ndarray, threshold: float) -> tuple[np.ndarr
         i, j = np.nonzero(h < limit)
         up.append(i + lo)
         out.append(mix(h[i, j] + paths[lo:lo + step][i] * _U(0x9E3779B97F4A7C15)))
-    return (np.concatenate(up), np.concatenate(out)) if up else (np.empty(0, int), np.empty(0, np.uint64))
+    return np.concatenate(up), np.concatenate(out)
 
 
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
