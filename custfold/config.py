@@ -150,17 +150,40 @@ class SourceSpec:
     extra: dict = field(default_factory=dict, hash=False, compare=False)
 
 
-def _wifi_market_tags():
-    from custfold.functions.text import parse_market
-    from pyspark.sql import functions as F
-    return parse_market(F.col("lastmarket"))
-
-
 WIFI_BIRTHDAY_EXPR = (
     "CASE WHEN dob RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}' "
     "THEN try_cast(substring(dob, 1, 10) AS DATE) END"
 )
 
+@dataclass(frozen=True)
+class Dimensions:
+    """The tables users edit: domain corrections, blocked domains, countries.
+
+    They are bounded configuration and become expressions of the build.
+    """
+    corrections: dict = field(default_factory=lambda: dict(DOMAIN_CORRECTIONS))
+    blocked: tuple = tuple(BLOCKED_DOMAINS)
+    countries: dict = field(default_factory=lambda: dict(COUNTRY_MAP))
+
+    @classmethod
+    def from_tables(cls, corrections=None, blocked=None, countries=None, most: int = 10_000):
+        """From DataFrames ``(wrong, correct)``, ``(domain)`` and ``(slug,
+        tag)``; a table of more than ``most`` rows is refused."""
+        def rows(df):
+            got = df.limit(most + 1).collect()
+            if len(got) > most:
+                raise ValueError(f"a dimension table holds more than {most} rows")
+            return got
+        kept = {}
+        if corrections is not None:
+            kept["corrections"] = {r[0]: r[1] for r in rows(corrections.select("wrong", "correct"))}
+        if blocked is not None:
+            kept["blocked"] = tuple(r[0] for r in rows(blocked.select("domain")))
+        if countries is not None:
+            kept["countries"] = {r[0]: r[1] for r in rows(countries.select("slug", "tag"))}
+        return cls(**kept)
+
+
 DEFAULT_REGISTRY = [
     SourceSpec(
         source_table="newsletter_signups", email_expr="email",
@@ -172,7 +195,7 @@ DEFAULT_REGISTRY = [
         source_table="wifi_guests", email_expr="email",
         first_name_expr="fname", last_name_expr="lname",
         birthday_expr=WIFI_BIRTHDAY_EXPR, source_tag="WIFI",
-        extra_tags_expr=_wifi_market_tags, allow_email_expr="true",
+        extra_tags_expr="market:lastmarket", allow_email_expr="true",
         priority=10, key_expr="doc_id",
     ),
     SourceSpec(
@@ -190,3 +213,18 @@ def ordered_specs(registry=None):
     specs = DEFAULT_REGISTRY if registry is None else registry
     return sorted((s for s in specs if s.enabled),
                   key=lambda s: (s.priority, s.source_table))
+
+
+# Detail texts of push outcomes and names of the pre-flight
+# checks, as they are stored and shown.
+DETAIL_LEFT_ALONE = "already in Como - left alone"
+DETAIL_NOT_CHECKED = "couldn't check whether they exist"
+DETAIL_CREATED = "created"
+DETAIL_UPDATED = "updated"
+DETAIL_ALREADY = "already in Como"
+PREFLIGHT_CHECKS = (
+    "No two queued records share an inbox",
+    "Nobody already in Como is queued again",
+    "No records flagged as duplicates are queued",
+    "Every queued record has a brand tag",
+)

@@ -19,6 +19,10 @@ from custfold.functions.common import let
 # Java's ``$`` also matches before a trailing newline.
 MASTER_EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}\z"
 DIGITS_ONLY_RE = r"^[0-9]+\z"
+# White space as Python's ``str`` methods and patterns see it.
+PY_SPACE = r"\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The same address shape under that white space (the point-of-sale check).
+POS_EMAIL_RE = rf"^[^@{PY_SPACE}]+@[^@{PY_SPACE}]+\.[A-Za-z]{{2,}}\z"
 
 
 def _col(c) -> Column:
@@ -33,8 +37,9 @@ def _map_literal(mapping: dict) -> Column:
 
 
 def py_strip(c) -> Column:
-    """Whitespace strip on both ends (rules that came from Python ``strip``)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Whitespace strip on both ends (rules that came from Python ``strip``,
+    which strips every Unicode space)."""
+    return F.regexp_replace(_col(c), rf"^[{PY_SPACE}]+|[{PY_SPACE}]+\z", "")
 
 
 def fix_domain(c, corrections: dict | None = None) -> Column:
@@ -189,7 +194,7 @@ def _cheap_reason(r: Column, stripped: Column, email: Column, domain: Column) ->
     """The reason from every check except the gibberish score (which has
     the lowest priority); NULL when those checks pass."""
     return (F.when(r.isNull() | (stripped == ""), F.lit("missing"))
-            .when(~email.rlike(MASTER_EMAIL_RE), F.lit("bad_format"))
+            .when(~email.rlike(POS_EMAIL_RE), F.lit("bad_format"))
             .when(email.isin(C.PLACEHOLDER_ADDRESSES), F.lit("placeholder"))
             .when(domain.isin(C.INTERNAL_DOMAINS), F.lit("internal_domain"))
             .when(domain.isin(C.DISPOSABLE_DOMAINS), F.lit("disposable")))

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from custfold import config as C
+from custfold.functions.email import py_strip
 from custfold.functions.common import let
 
 
@@ -30,7 +31,7 @@ def clean_nationality(c) -> Column:
 
 def blank_to_null(c) -> Column:
     """Python-style ``(x or '').strip() or None``."""
-    s = F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    s = py_strip(c)
     return F.when(s == "", F.lit(None).cast("string")).otherwise(s)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custfold import config as C
@@ -38,8 +38,8 @@ def pending_queue(master: DataFrame, state: DataFrame | None, brand: str | None
     """Per brand: tagged, not a duplicate, no ok/exists for that brand and
     (unless retrying) no conflict; ordered by email, optional cap per brand.
 
-    The per-brand cap is ``row_number() <= limit``, which Spark plans as a
-    per-partition group limit before the shuffle.
+    The cap takes the first rows per brand as a sorted limit of each brand
+    (a few brands), so no task ever holds a brand's whole queue.
     """
     brands = [brand.upper()] if brand else None
     fields = ["email", "first_name", "last_name", "nationality", "birthday", "allow_email",
@@ -54,10 +54,13 @@ def pending_queue(master: DataFrame, state: DataFrame | None, brand: str | None
     if not retry_conflicts:
         keep = keep & (F.col("status").isNull() | (F.col("status") != "conflict"))
     q = q.where(keep)
-    if limit:
-        w = Window.partitionBy("brand").orderBy("email")
-        q = q.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
-    return q
+    if not limit:
+        return q.orderBy("brand", "email")
+    parts = [q.where(F.col("brand") == b).orderBy("email").limit(limit) for b in (brands or C.BRANDS)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -121,43 +124,98 @@ def error_codes(parsed: Column) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
+def _ascii_text(piece: Column) -> Column:
+    """Characters beyond ASCII as ``\\uXXXX`` (pairs above the first plane)."""
+    def unit(n):
+        return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(n), 4, "0")))
+
+    def char(c):
+        n = F.ascii(c).cast("long")
+        low = n - 65536
+        pair = F.concat(unit(F.lit(55296) + F.shiftright(low, 10)), unit(F.lit(56320) + low.bitwiseAND(F.lit(1023))))
+        return F.when(n < 128, c).when(n < 65536, unit(n)).otherwise(pair)
+
+    return F.when(piece.rlike(r"[^\x00-\x7F]"), F.array_join(F.transform(F.split(piece, ""), char), "")).otherwise(piece)
+
+
+def json_dumps_text(raw: Column, ascii_only: bool = True) -> Column:
+    """JSON text as Python's ``json.dumps`` prints it: a space after each
+    separator outside strings, none elsewhere, and (by default) characters
+    beyond ASCII escaped.  Numbers are taken as they are written."""
+    pieces = F.regexp_extract_all(raw, F.lit(r'"(?:[^"\\]|\\.)*"|[^"]+'), F.lit(0))
+
+    def one(p):
+        text = F.replace(p, F.lit("\\/"), F.lit("/"))
+        outside = F.regexp_replace(F.regexp_replace(p, r"\s+", ""), "([,:])", "$1 ")
+        return F.when(p.startswith('"'), _ascii_text(text) if ascii_only else text).otherwise(outside)
+
+    return F.array_join(F.transform(pieces, one), "")
+
+
 def py_json_text(raw: Column, width: int) -> Column:
-    """A response body as Python's ``json.dumps`` prints it, cut to ``width``:
-    separators gain a space; a missing body prints ``null``."""
-    spaced = F.regexp_replace(raw, r'([,:])(?=["\[{0-9tfn-])', "$1 ")
-    return F.substring(F.coalesce(spaced, F.lit("null")), 1, width)
+    """A response body as Python's ``json.dumps`` prints it, cut to ``width``;
+    a missing body prints ``null``."""
+    return F.substring(F.coalesce(json_dumps_text(raw), F.lit("null")), 1, width)
+
+
+def tags_json(tags: Column, ascii_only: bool = True) -> Column:
+    """A tag array as JSON text (``["A", "B"]``); NULL and empty give ``[]``."""
+    return json_dumps_text(F.to_json(F.coalesce(tags, F.array().cast("array<string>"))), ascii_only)
+
+
+def _raised(responses: DataFrame, body: str) -> Column:
+    """Text of the call that raised instead of answering with ``body``."""
+    if "error_text" not in responses.columns:
+        return F.lit(None).cast("string")
+    return F.when(F.col(body).isNull(), F.col("error_text"))
+
+
+def py_tenth(x: Column) -> Column:
+    """A non-negative double with one decimal as Python's ``.1f`` prints it:
+    rounded from the exact binary value, ties to even."""
+    scale = F.when(x < 2048, F.lit(2.0 ** 52)).otherwise(F.lit(2.0 ** 40))
+    exact = (x * scale).cast("decimal(19,0)")          # a power of two: no rounding
+    unit = scale.cast("decimal(17,0)")
+    low = F.floor(x * 10).cast("long")
+    low = F.when(low.cast("decimal(18,0)") * unit > exact * 10, low - 1).otherwise(low)
+    twice = exact * 20 - low.cast("decimal(18,0)") * unit * 2   # fraction of a tenth, over 2 units
+    up = (twice > unit) | ((twice == unit) & (low % 2 == 1))
+    tenths = F.when(up, low + 1).otherwise(low)
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
 
 
 def _ok(p: Column) -> Column:
     return F.coalesce(p["status"] == "ok", F.lit(False))
 
 
-def push_outcome_create(responses: DataFrame) -> DataFrame:
-    """Lookup then create: exists / failed / ok / exists / failed."""
+def _parsed(responses: DataFrame) -> DataFrame:
+    return responses.withColumns({"_lk": parse_body(F.col("lookup_body")), "_cr": parse_body(F.col("create_body")),
+                                  "_up": parse_body(F.col("update_body"))})
+
+
+def _outcome(status: Column, detail: Column, member: Column) -> Column:
+    return F.struct(status.alias("status"), detail.alias("detail"), member["comoMemberId"].alias("como_member_id"),
+                    member["commonExtId"].alias("common_ext_id"))
+
+
+def _create_outcome(responses: DataFrame) -> Column:
     lk, cr = F.col("_lk"), F.col("_cr")
-    r = responses.withColumn("_lk", parse_body(F.col("lookup_body"))) \
-        .withColumn("_cr", parse_body(F.col("create_body")))
     lk_codes, cr_codes = error_codes(lk), error_codes(cr)
     found = _ok(lk)
     not_found = F.array_contains(lk_codes, C.CODE_CUSTOMER_NOT_FOUND)
+    exists = F.array_contains(cr_codes, C.CODE_ALREADY_EXISTS)
     status = (F.when(found, "exists").when(~not_found, "failed")
-              .when(_ok(cr), "ok").when(F.array_contains(cr_codes, C.CODE_ALREADY_EXISTS), "exists")
-              .otherwise("failed"))
-    detail = (F.when(found, F.lit("already in Como - left alone"))
-              .when(~not_found, F.lit("couldn't check whether they exist"))
-              .when(_ok(cr), F.lit("created"))
-              .when(F.array_contains(cr_codes, C.CODE_ALREADY_EXISTS), F.lit("already in Como"))
-              .otherwise(py_json_text(F.col("create_body"), 200)))
-    member = F.when(found, lk["membership"]).when(not_found & _ok(cr), cr["membership"])
-    return r.select("email", "brand", status.alias("status"), detail.alias("detail"),
-                    member["comoMemberId"].alias("como_member_id"), member["commonExtId"].alias("common_ext_id"))
+              .when(_ok(cr), "ok").when(exists, "exists").otherwise("failed"))
+    detail = (F.when(found, F.lit(C.DETAIL_LEFT_ALONE))
+              .when(~not_found, F.lit(C.DETAIL_NOT_CHECKED))
+              .when(_ok(cr), F.lit(C.DETAIL_CREATED))
+              .when(exists, F.lit(C.DETAIL_ALREADY))
+              .otherwise(F.coalesce(_raised(responses, "create_body"), py_json_text(F.col("create_body"), 200))))
+    return _outcome(status, detail, F.when(found, lk["membership"]).when(not_found & _ok(cr), cr["membership"]))
 
 
-def push_outcome_update(responses: DataFrame) -> DataFrame:
-    """Update then create; not-found is checked before already-exists."""
+def _update_outcome(responses: DataFrame) -> Column:
     up, cr = F.col("_up"), F.col("_cr")
-    r = responses.withColumn("_up", parse_body(F.col("update_body"))) \
-        .withColumn("_cr", parse_body(F.col("create_body")))
     up_codes, cr_codes = error_codes(up), error_codes(cr)
     not_found = F.array_contains(up_codes, C.CODE_CUSTOMER_NOT_FOUND)
     exists = F.array_contains(up_codes, C.CODE_ALREADY_EXISTS)
@@ -165,20 +223,33 @@ def push_outcome_update(responses: DataFrame) -> DataFrame:
     status = (F.when(_ok(up), "ok")
               .when(not_found & _ok(cr), "ok").when(not_found & cr_exists, "conflict").when(not_found, "failed")
               .when(exists, "conflict").otherwise("failed"))
-    detail = (F.when(_ok(up), F.lit("updated"))
-              .when(not_found & _ok(cr), F.lit("created"))
-              .when(not_found, py_json_text(F.col("create_body"), 200))
-              .otherwise(py_json_text(F.col("update_body"), 200)))
-    member = F.when(~_ok(up) & not_found & _ok(cr), cr["membership"])
-    return r.select("email", "brand", status.alias("status"), detail.alias("detail"),
-                    member["comoMemberId"].alias("como_member_id"), member["commonExtId"].alias("common_ext_id"))
+    detail = (F.when(_ok(up), F.lit(C.DETAIL_UPDATED))
+              .when(not_found & _ok(cr), F.lit(C.DETAIL_CREATED))
+              .when(not_found, F.coalesce(_raised(responses, "create_body"), py_json_text(F.col("create_body"), 200)))
+              .otherwise(F.coalesce(_raised(responses, "update_body"), py_json_text(F.col("update_body"), 200))))
+    return _outcome(status, detail, F.when(~_ok(up) & not_found & _ok(cr), cr["membership"]))
+
+
+def push_outcome_create(responses: DataFrame) -> DataFrame:
+    """Lookup then create: exists / failed / ok / exists / failed.  A call
+    that raised leaves its text (``error_text``) as the detail."""
+    return _parsed(responses).select("email", "brand", _create_outcome(responses).alias("o")).select("email", "brand", "o.*")
+
+
+def push_outcome_update(responses: DataFrame) -> DataFrame:
+    """Update then create; not-found is checked before already-exists."""
+    return _parsed(responses).select("email", "brand", _update_outcome(responses).alias("o")).select("email", "brand", "o.*")
 
 
 def push_outcomes(responses: DataFrame) -> DataFrame:
-    """Outcome per response row by its mode (create or update)."""
-    c = push_outcome_create(responses.where(F.col("mode") == "create"))
-    u = push_outcome_update(responses.where(F.col("mode") == "update"))
-    return c.unionByName(u)
+    """Outcome per response row by its mode (create or update), in one pass;
+    the attempt number stays where the log has one."""
+    c, u = _create_outcome(responses), _update_outcome(responses)
+    r = _parsed(responses)
+    pick = F.when(F.col("mode") == "create", c).when(F.col("mode") == "update", u)
+    return r.where(F.col("mode").isin("create", "update")).select(
+        "email", "brand", *[x for x in ("attempt",) if x in responses.columns], pick.alias("o")).select(
+        "email", "brand", *[x for x in ("attempt",) if x in responses.columns], "o.*")
 
 
 def push_outcome_signup(responses: DataFrame, body_col: str = "create_body") -> DataFrame:
@@ -186,15 +257,20 @@ def push_outcome_signup(responses: DataFrame, body_col: str = "create_body") ->
     p = parse_body(F.col(body_col))
     text = F.coalesce(F.col(body_col), F.lit("null"))
     status = F.when(_ok(p), "ok").when(text.contains("already exists"), "exists").otherwise("failed")
-    detail = F.when(_ok(p), F.lit("created")).when(text.contains("already exists"), F.lit("already in Como")) \
-        .otherwise(py_json_text(F.col(body_col), 300))
-    return responses.select("email", status.alias("como_status"), detail.alias("como_detail"))
-
-
-def apply_signup_outcomes(signups: DataFrame, outcomes: DataFrame,
-                          run_ts: _dt.datetime = C.RUN_TS) -> DataFrame:
-    """Write outcomes back onto the signup rows (by email)."""
-    o = outcomes.select("email", F.col("como_status").alias("_st"), F.col("como_detail").alias("_dt"))
+    raised = F.substring(_raised(responses, body_col), 1, 300)
+    detail = F.when(_ok(p), F.lit(C.DETAIL_CREATED)).when(text.contains("already exists"), F.lit(C.DETAIL_ALREADY)) \
+        .otherwise(F.coalesce(raised, py_json_text(F.col(body_col), 300)))
+    return responses.select("email", *[x for x in ("attempt",) if x in responses.columns],
+                            status.alias("como_status"), detail.alias("como_detail"))
+
+
+def apply_signup_outcomes(signups: DataFrame, outcomes: DataFrame, run_ts: _dt.datetime = C.RUN_TS,
+                          order_col: str = "attempt") -> DataFrame:
+    """Write outcomes back onto the signup rows (by email): the last attempt's,
+    so a signup row stays one row."""
+    last = F.max_by(F.struct("como_status", "como_detail"), F.col(order_col))
+    o = outcomes.groupBy("email").agg(last.alias("_o")).select(
+        "email", F.col("_o.como_status").alias("_st"), F.col("_o.como_detail").alias("_dt"))
     j = signups.join(o, "email", "left")
     hit = F.col("_st").isNotNull()
     return (j.withColumn("como_status", F.when(hit, F.col("_st")).otherwise(F.col("como_status")))
@@ -214,21 +290,22 @@ def record_push_state(state: DataFrame, outcomes: DataFrame, run_ts: _dt.datetim
     """Upsert on (email, brand): replace status and detail (cut to 500);
     never replace a held id with NULL.
 
-    With several attempts per key in one log, ``order_col`` names the
-    attempt order: status and detail come from the last attempt and each
-    id from the last attempt that carried one, as writing the attempts one
-    by one would leave them (one map-side-combined aggregate per key).
-    Without it the log must hold one row per key.
+    ``order_col`` names the attempt order of the log (default: ``attempt``; a
+    log without that column must hold one row per key, and the key stays
+    unique in any case): status and detail come from the last attempt and each id from the last attempt that carried one,
+    as writing the attempts one by one would leave them (one
+    map-side-combined aggregate per key).
     """
-    if order_col is not None:
-        o_ = F.col(order_col)
+    if order_col is None and "attempt" in outcomes.columns:
+        order_col = "attempt"
+    o_ = F.col(order_col) if order_col else F.lit(0)
 
-        def last_id(c):
-            return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o_)).alias(c)
+    def last_id(c):
+        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o_)).alias(c)
 
-        outcomes = outcomes.groupBy("email", "brand").agg(
-            F.max_by("status", o_).alias("status"), F.max_by("detail", o_).alias("detail"),
-            last_id("como_member_id"), last_id("common_ext_id"))
+    outcomes = outcomes.groupBy("email", "brand").agg(
+        F.max_by("status", o_).alias("status"), F.max_by("detail", o_).alias("detail"),
+        last_id("como_member_id"), last_id("common_ext_id"))
     o = outcomes.select("email", "brand", F.col("status").alias("_s"),
                         F.substring(F.coalesce(F.col("detail"), F.lit("")), 1, 500).alias("_d"),
                         F.col("como_member_id").alias("_m"), F.col("common_ext_id").alias("_x"),
@@ -296,7 +373,7 @@ def push_plan(master: DataFrame, state: DataFrame | None, brand: str = "ALL", ra
                                   if batch_size and batch_pause else F.lit(0.0))
     human = (F.when(seconds < 60, F.concat(F.floor(seconds).cast("long").cast("string"), F.lit(" sec")))
              .when(seconds < 3600, F.concat(F.bround(seconds / 60, 0).cast("long").cast("string"), F.lit(" min")))
-             .otherwise(F.concat(F.format_string("%.1f", F.bround(seconds / 3600, 1)), F.lit(" hours"))))
+             .otherwise(F.concat(py_tenth(seconds / 3600.0), F.lit(" hours"))))
     return queued.select(
         q.alias("queued"), calls.alias("api_calls"), batches.alias("batches"),
         F.floor(seconds).cast("long").alias("seconds"), human.alias("human"),
@@ -310,9 +387,7 @@ def push_plan(master: DataFrame, state: DataFrame | None, brand: str = "ALL", ra
 def export_members(master: DataFrame, brand: str | None = None) -> DataFrame:
     """Rows of the import template (all rows, or one brand), ordered by email."""
     m = master if not brand else master.where(F.array_contains(F.col("tags"), brand.upper()))
-    tags = F.coalesce(F.col("tags"), F.array().cast("array<string>"))
-    tag_json = F.when(F.size(tags) == 0, F.lit("[]")).otherwise(
-        F.concat(F.lit('["'), F.array_join(tags, '", "'), F.lit('"]')))
+    tag_json = tags_json(F.col("tags"))
     h = C.EXPORT_HEADINGS
     return m.orderBy("email").select(
         F.col("email").alias(h[0]), F.coalesce("first_name", F.lit("")).alias(h[1]),
@@ -356,3 +431,18 @@ def customer_360(emails: DataFrame, master: DataFrame, sources: dict[str, DataFr
         out = out.join(counts, "email", "left").withColumn(
             "push_rows", F.coalesce(F.col("push_rows"), F.lit(0)).cast("long"))
     return out.withColumn("in_master", F.coalesce(F.col("in_master"), F.lit(False)))
+
+
+def customer_rows(emails: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows behind each looked-up address, in long form: ``email, table,
+    row`` (the row as JSON text).  Tables are first cut to the asked-for
+    addresses, then turned into text; a hot address gives many rows, never an
+    array."""
+    e = emails.select(F.lower(F.trim(F.col("email"))).alias("_asked")).distinct()
+    out = None
+    for name, df in tables.items():
+        mine = df.join(e, F.lower(F.col("email")) == F.col("_asked"), "left_semi")
+        part = mine.select(F.lower(F.col("email")).alias("email"), F.lit(name).alias("table"),
+                           F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -20,7 +20,6 @@ from custfold import config as C
 from custfold.functions.common import ts_ntz
 from custfold.functions.email import py_strip, reason_class, with_email_check
 from custfold.functions.text import blank_to_null
-from custfold.session import checked_broadcast, spread
 
 
 # ---------------------------------------------------------------------------
@@ -69,16 +68,17 @@ def ingest_pos_customers(raw: DataFrame, brand_col: str = "_brand") -> DataFrame
     opt_in_type = raw.schema["email_opt_in"].dataType if "email_opt_in" in cols else T.NullType()
     opt_in = _truthy(F.col("email_opt_in"), opt_in_type) if "email_opt_in" in cols else F.lit(False)
     stamp = F.col("updated_date").cast("string") if "updated_date" in cols else F.lit(None).cast("string")
-    seq = F.col("_seq") if "_seq" in cols else F.monotonically_increasing_id()
+    if "_seq" not in cols:
+        raise ValueError("the feed needs its arrival order in a column _seq")
     typed = (raw
              .select(revel_id.alias("revel_id"),
                      F.col(brand_col).alias("brand"),
                      F.col("first_name"), F.col("last_name"), F.col("email"),
                      opt_in.alias("email_opt_in"),
                      stamp.alias("_stamp"),
-                     seq.alias("_seq"))
+                     F.col("_seq"))
              .where(F.col("revel_id").isNotNull() & (F.col("revel_id") != "")))
-    return (with_email_check(spread(typed), "email")
+    return (with_email_check(typed, "email")
             .select("revel_id", "brand", "first_name", "last_name", "email", "email_ok",
                     "email_opt_in",
                     F.expr("try_cast(_stamp AS TIMESTAMP_NTZ)").alias("updated_date"),
@@ -132,12 +132,12 @@ def pos_write_stats(raw: DataFrame) -> DataFrame:
     discarded = F.coalesce(cls.isin(list(C.DISCARD_REASONS)), F.lit(False))
     outcome = (F.when(discarded, F.lit("discarded"))
                .when(F.col("email_ok"), F.lit("ok")).otherwise(F.lit("rejected")))
-    per_outcome = typed.groupBy(outcome.alias("reason")).agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("kind", F.lit("outcome"))
-    per_reason = typed.where(~discarded & F.col("email_reason").isNotNull()) \
-        .groupBy(cls.alias("reason")).agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("kind", F.lit("reason"))
-    return per_outcome.unionByName(per_reason).select("kind", "reason", "n")
+    # One pass over the classified rows; the few groups are then reshaped.
+    groups = typed.groupBy(outcome.alias("outcome"), cls.alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    shaped = groups.select("n", F.explode(F.array(
+        F.struct(F.lit("outcome").alias("kind"), F.col("outcome").alias("reason")),
+        F.struct(F.lit("reason").alias("kind"), F.when(F.col("outcome") != "discarded", F.col("class")).alias("reason")))).alias("s"))
+    return shaped.where(F.col("s.reason").isNotNull()).groupBy("s.kind", "s.reason").agg(F.sum("n").cast("long").alias("n"))
 
 
 # ---------------------------------------------------------------------------
@@ -157,11 +157,11 @@ def incremental_slice(feed: DataFrame, state: DataFrame, brand_col: str = "_bran
     is complete and that hold a watermark only get rows updated on or after
     ``watermark - 1 day``; other brands get everything.
 
-    ``state`` has one row per brand (bounded by the number of brand
-    accounts): broadcast after a bounded size check.
+    The join with the state (one row per brand) is left to the planner.  A
+    feed landed by ``land_feed`` is partitioned by day, and the filter on
+    ``updated_day`` then prunes folders (``since_day`` gives the bound).
     """
-    st = checked_broadcast(state.select(F.col("brand").alias("_st_brand"),
-                                        "backfill_complete", "watermark"))
+    st = state.select(F.col("brand").alias("_st_brand"), "backfill_complete", "watermark")
     stamp = F.expr("try_cast(CAST(updated_date AS STRING) AS TIMESTAMP_NTZ)")
     joined = feed.join(st, F.col(brand_col) == F.col("_st_brand"), "left")
     incremental = F.coalesce(F.col("backfill_complete"), F.lit(False)) & F.col("watermark").isNotNull()
@@ -170,24 +170,51 @@ def incremental_slice(feed: DataFrame, state: DataFrame, brand_col: str = "_bran
     return joined.where(keep).drop("_st_brand", "backfill_complete", "watermark")
 
 
+def land_feed(feed: DataFrame, path: str, brand_col: str = "_brand") -> None:
+    """Write the feed partitioned by brand and day of ``updated_date`` (rows
+    without a parsable date in a folder of their own)."""
+    day = F.expr("coalesce(CAST(CAST(try_cast(CAST(updated_date AS STRING) AS TIMESTAMP_NTZ) AS DATE) AS STRING), 'none')")
+    feed.withColumn("updated_day", day).withColumn("feed_brand", F.col(brand_col)) \
+        .write.partitionBy("feed_brand", "updated_day").parquet(path)
+
+
+def landed_slice(landed: DataFrame, marks: dict, brand_col: str = "_brand") -> DataFrame:
+    """The incremental slice of a landed feed.  ``marks`` holds per brand the
+    watermark, or None while its backfill runs (bounded by the number of brand
+    accounts); the day bounds become partition filters of the scan."""
+    day, stamp = F.col("updated_day"), F.expr("try_cast(CAST(updated_date AS STRING) AS TIMESTAMP_NTZ)")
+    known = {b: m - _dt.timedelta(days=1) for b, m in marks.items() if m is not None}
+    keep = ~F.col("feed_brand").isin(list(known)) if known else F.lit(True)
+    for brand, since in known.items():
+        fresh = (day >= since.date().isoformat()) & (day != "none") & (stamp >= ts_ntz(since))
+        keep = keep | ((F.col("feed_brand") == brand) & fresh)
+    return landed.where(keep & F.col("email").contains("@")).drop("feed_brand", "updated_day")
+
+
 def advance_watermark(state: DataFrame | None, rows: DataFrame, run_ts: _dt.datetime = C.RUN_TS,
-                      brand_col: str = "_brand", brands=None) -> DataFrame:
-    """Per brand: new mark = max(prior, newest parsable updated_date) (old
-    mark kept when nothing parsed); offset 0 and complete at end of feed."""
+                      brand_col: str = "_brand", brands=None, end_of_feed: bool = True) -> DataFrame:
+    """Per brand of the run: new mark = max(prior, newest parsable
+    updated_date) (old mark kept when nothing parsed); offset 0 and complete
+    at end of feed.  ``brands`` names the brands of the run (default: those of
+    ``rows``); the state of all others stays as it is, as does offset and
+    completion of a run that stopped early (``end_of_feed=False``)."""
     stamp = F.expr("try_cast(CAST(updated_date AS STRING) AS TIMESTAMP_NTZ)")
     newest = rows.groupBy(F.col(brand_col).alias("brand")).agg(F.max(stamp).alias("_newest"))
     if brands is not None:
         seen = rows.sparkSession.createDataFrame([(b,) for b in brands], "brand string")
         newest = seen.join(newest, "brand", "left")
+    newest = newest.withColumn("_run", F.lit(True))
     if state is None:
         state = rows.sparkSession.createDataFrame([], SYNC_STATE_SCHEMA)
     merged = state.join(newest, "brand", "full")
+    run = F.col("_run").isNotNull()
+    done = run & F.lit(end_of_feed)
     return merged.select(
         "brand",
-        F.lit(0).cast("long").alias("backfill_offset"),
-        F.lit(True).alias("backfill_complete"),
+        F.when(done, F.lit(0)).otherwise(F.coalesce("backfill_offset", F.lit(0))).cast("long").alias("backfill_offset"),
+        (done | F.coalesce("backfill_complete", F.lit(False))).alias("backfill_complete"),
         F.greatest(F.col("watermark"), F.col("_newest")).alias("watermark"),
-        ts_ntz(run_ts).alias("last_run_at"))
+        F.when(run, ts_ntz(run_ts)).otherwise(F.col("last_run_at")).alias("last_run_at"))
 
 
 # ---------------------------------------------------------------------------
@@ -263,9 +290,31 @@ def signups_from_state(state: DataFrame, run_ts: _dt.datetime = C.RUN_TS) -> Dat
         ts_ntz(run_ts).alias("updated_at"))
 
 
-def upsert_signups(rows: DataFrame, run_ts: _dt.datetime = C.RUN_TS) -> DataFrame:
-    """Batch upsert of accepted signups into the newsletter table."""
-    return signups_from_state(signup_state(rows), run_ts)
+def upsert_signups(rows: DataFrame, run_ts: _dt.datetime = C.RUN_TS, existing: DataFrame | None = None) -> DataFrame:
+    """Batch upsert of accepted signups into the newsletter table.
+
+    With ``existing``, a stored email keeps its first values (brand, country,
+    site, page, signup time) and its recorded push outcome, takes newer
+    non-empty names, and gets ``updated_at`` = run_ts; emails without a new
+    row stay untouched.
+    """
+    new = signups_from_state(signup_state(rows), run_ts)
+    if existing is None:
+        return new
+    o, n = existing.alias("o"), new.alias("n")
+    j = o.join(n, F.col("o.email") == F.col("n.email"), "full")
+    old, fresh = F.col("o.email").isNotNull(), F.col("n.email").isNotNull()
+
+    def value(c):
+        if c in ("email", "brand", "country"):
+            return F.coalesce(f"o.{c}", f"n.{c}")
+        if c in ("first_name", "last_name"):
+            return F.coalesce(f"n.{c}", f"o.{c}")
+        if c == "updated_at":
+            return F.when(fresh, F.col("n.updated_at")).otherwise(F.col("o.updated_at"))
+        return F.when(old, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}"))
+
+    return j.select(*[value(c).alias(c) for c in SIGNUP_COLUMNS])
 
 
 def newsletter_signups(events: DataFrame, run_ts: _dt.datetime = C.RUN_TS) -> DataFrame:
@@ -281,47 +330,90 @@ def _json_text(c: Column, dtype: T.DataType) -> Column:
     return c
 
 
-def ingest_docs_evolving(existing: DataFrame | None, batch: DataFrame) -> DataFrame:
+def _lowered(batch: DataFrame) -> dict[str, Column]:
+    """Lower-case field name -> value; names that differ in case only are one
+    field (the first value that is not NULL)."""
+    groups: dict[str, list[Column]] = {}
+    for i, f in enumerate(batch.schema.fields):
+        groups.setdefault(f.name.lower(), []).append(_json_text(F.col(f"c{i}"), f.dataType))
+    return {k: v[0] if len(v) == 1 else F.coalesce(*v) for k, v in groups.items()}
+
+
+def _numbered(batch: DataFrame) -> DataFrame:
+    """The columns by position (names may differ in case only)."""
+    return batch.toDF(*[f"c{i}" for i in range(len(batch.columns))])
+
+
+def fields_with_values(batch: DataFrame) -> list[str]:
+    """Lower-case names of the fields that hold a value in some row (one
+    aggregation over the batch, run here)."""
+    cols = _lowered(batch)
+    row = _numbered(batch).select(*[v.alias(f"c{i}") for i, v in enumerate(cols.values())]) \
+        .agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(cols))]).first()
+    return [c for i, c in enumerate(cols) if row[i]]
+
+
+def ingest_docs_evolving(existing: DataFrame | None, batch: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Lower-case field names, nested values as JSON text, and widen the
     table by name: a field unseen so far becomes a new column, rows that
-    lack a column hold NULL there."""
-    lowered = batch.select(*[_json_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name.lower())
-                             for f in batch.schema.fields])
+    lack a column hold NULL there.  With ``fields`` (see
+    ``fields_with_values``) a field unseen so far waits for a value."""
+    held = [] if existing is None else existing.columns
+    lowered = _numbered(batch).select(*[v.alias(c) for c, v in _lowered(batch).items() if fields is None or c in fields or c in held])
     if existing is None:
         return lowered
     return existing.unionByName(lowered, allowMissingColumns=True)
 
 
-def upsert_docs_partial(existing: DataFrame | None, batch: DataFrame, key: str = "doc_id",
-                        run_ts: _dt.datetime = C.RUN_TS) -> DataFrame:
-    """Insert or update by key; only the fields present in the batch
-    overwrite (an explicit NULL overwrites too); others keep old values.
+def docs_from_json(raw: DataFrame, fields: list[str], json_col: str = "body") -> DataFrame:
+    """Documents as JSON text -> one text column per field (nested values as
+    JSON text) and ``_present``, the field names each document has."""
+    j = F.col(json_col)
+    keys = F.coalesce(F.json_object_keys(j), F.array().cast("array<string>"))
+    value = F.from_json(j, "map<string,string>")
+    kept = [c for c in raw.columns if c != json_col]
+    lowered = F.transform_keys(value, lambda k, _v: F.lower(k))
+    return raw.select(*kept, *[F.try_element_at(lowered, F.lit(f)).alias(f) for f in fields], keys.alias("_present"))
 
-    Field presence is per batch schema (every row of a batch carries the
-    batch's fields).  Full outer join on the key: each key occurs at most
-    once per side, so no row multiplication.
+
+def upsert_docs_partial(existing: DataFrame | None, batch: DataFrame, key: str = "doc_id",
+                        run_ts: _dt.datetime = C.RUN_TS, order_col: str | None = None,
+                        present_col: str = "_present") -> DataFrame:
+    """Insert or update by key; only the fields a document has overwrite (an
+    explicit NULL overwrites too); the others keep their values.
+
+    A batch with ``present_col`` names the fields of each document; without
+    it every document has the batch's columns.  Several versions of a key in
+    one batch are folded first, in the order of ``order_col``: each field
+    comes from the last version that has it (one map-side-combined aggregate
+    per key), so the key stays unique.  A batch without ``order_col`` must
+    hold one document per key.
     """
-    b = ingest_docs_evolving(None, batch)
-    b_fields = [c for c in b.columns if c != key]
+    at = {c: F.col(f"c{i}") for i, c in enumerate(batch.columns)}
+    cols = {c: v for c, v in _lowered(batch).items() if c not in (key, present_col, order_col)}
+    order = at[order_col] if order_col else F.lit(0)
+    if present_col in at:
+        names = F.transform(at[present_col], lambda x: F.lower(x))
+        has = {c: F.array_contains(names, c) for c in cols}
+    else:
+        has = {c: F.lit(True) for c in cols}
+    new = _numbered(batch).groupBy(at[key].alias("_kn")).agg(
+        F.lit(True).alias("_in_batch"),
+        *[F.max_by(F.struct(v.alias("v")), F.when(has[c], order)).alias(f"_n_{c}") for c, v in cols.items()])
     if existing is None:
-        return b.withColumn("updated_at", ts_ntz(run_ts))
-    old_fields = [c for c in existing.columns if c not in (key, "updated_at")]
-    all_fields = old_fields + [c for c in b_fields if c not in old_fields]
-    o = existing.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_o_{c}") for c in old_fields],
-                        F.col("updated_at").alias("_o_updated_at"))
-    n = b.select(F.col(key).alias("_kn"), *[F.col(c).alias(f"_n_{c}") for c in b_fields],
-                 F.lit(True).alias("_in_batch"))
-    j = o.join(n, F.col("_k") == F.col("_kn"), "full")
-    out = [F.coalesce(F.col("_k"), F.col("_kn")).alias(key)]
-    for c in all_fields:
-        if c in b_fields and c in old_fields:
-            out.append(F.when(F.col("_in_batch"), F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}")).alias(c))
-        elif c in b_fields:
-            out.append(F.col(f"_n_{c}").alias(c))
-        else:
+        return new.select(F.col("_kn").alias(key), *[F.col(f"_n_{c}.v").alias(c) for c in cols], ts_ntz(run_ts).alias("updated_at"))
+    held = [c for c in existing.columns if c not in (key, "updated_at")]
+    o = existing.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_o_{c}") for c in held], F.col("updated_at").alias("_o_updated_at"))
+    j = o.join(new, F.col("_k") == F.col("_kn"), "full")
+    out = [F.coalesce("_k", "_kn").alias(key)]
+    for c in held + [c for c in cols if c not in held]:
+        if c not in cols:
             out.append(F.col(f"_o_{c}").alias(c))
-    out.append(F.when(F.col("_in_batch"), ts_ntz(run_ts))
-               .otherwise(F.col("_o_updated_at")).alias("updated_at"))
+        elif c not in held:
+            out.append(F.col(f"_n_{c}.v").alias(c))
+        else:
+            out.append(F.when(F.col(f"_n_{c}").isNotNull(), F.col(f"_n_{c}.v")).otherwise(F.col(f"_o_{c}")).alias(c))
+    out.append(F.when(F.col("_in_batch"), ts_ntz(run_ts)).otherwise(F.col("_o_updated_at")).alias("updated_at"))
     return j.select(*out)
 
 
@@ -334,8 +426,8 @@ def filter_selectivity(df: DataFrame, predicates: dict[str, str]) -> DataFrame:
     for i, (label, pred) in enumerate(predicates.items()):
         aggs.append(F.count_if(F.coalesce(F.expr(pred), F.lit(False))).alias(f"_p{i}"))
     one = df.agg(*aggs)
-    stack_args = ", ".join(f"'{label}', _p{i}" for i, label in enumerate(predicates))
-    return one.selectExpr("_total", f"stack({len(predicates)}, {stack_args}) AS (label, n)") \
+    pairs = F.array(*[F.struct(F.lit(label).alias("label"), F.col(f"_p{i}").alias("n")) for i, label in enumerate(predicates)])
+    return one.select("_total", F.inline(pairs)) \
         .select("label", F.col("n").cast("long").alias("n"),
                 F.round(F.col("n") * 100.0 / F.nullif(F.col("_total"), F.lit(0)), 1).alias("pct"))
 
@@ -347,6 +439,6 @@ def field_profile(df: DataFrame, width: int = 70) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_rows")] + \
         [F.min(F.col(f"`{c}`").cast("string")).alias(f"_f{i}") for i, c in enumerate(names)]
     one = df.agg(*aggs)
-    stack_args = ", ".join(f"'{c}', _f{i}" for i, c in enumerate(names))
-    return one.selectExpr("_rows AS rows", f"stack({len(names)}, {stack_args}) AS (field, sample)") \
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"_f{i}").alias("sample")) for i, c in enumerate(names)])
+    return one.select(F.col("_rows").alias("rows"), F.inline(pairs)) \
         .select("rows", "field", F.substring("sample", 1, width).alias("sample"))

@@ -21,18 +21,19 @@ Plan shape at scale
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custfold import config as C
-from custfold.config import SourceSpec, ordered_specs
-from custfold.session import ensure_checkpoint_dir, spread
+from custfold.config import Dimensions, SourceSpec, ordered_specs
+from custfold.session import ensure_checkpoint_dir
 from custfold.functions.common import let, ts_ntz
 from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address
 from custfold.functions.text import (clean_birthday, clean_name, clean_nationality, clean_tags,
-                                     first_tag_in, first_tag_not_in, is_adult)
+                                     first_tag_in, first_tag_not_in, is_adult, parse_market)
 
 
 
@@ -47,11 +48,16 @@ MASTER_COLUMNS = ["email", "first_name", "last_name", "nationality", "birthday",
                   "push_status"]
 
 
-def _eval(x, dtype: str) -> Column:
+MARKET = "market:"
+
+
+def _eval(x, dtype: str, dims: Dimensions | None = None) -> Column:
+    """A registry cell: an SQL expression, or ``market:<column>`` for the tags
+    of a market name (brand, country, venue)."""
     if x is None:
         return F.lit(None).cast(dtype)
-    if callable(x):
-        return x()
+    if x.startswith(MARKET):
+        return parse_market(F.col(x.removeprefix(MARKET)), dims.countries if dims else None)
     return F.expr(x)
 
 
@@ -59,31 +65,31 @@ def _eval(x, dtype: str) -> Column:
 # Registry projection
 # ---------------------------------------------------------------------------
 def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
-                     blocked=None) -> DataFrame:
+                     dims: Dimensions | None = None) -> DataFrame:
     """Source rows -> canonical rows after every filter, before dedupe.
 
     Filter order: correct domain -> format -> digits-only -> blocked ->
     ``where_extra`` -> age gate (on the raw birthday); the stored birthday
-    is the cleaned one.
+    is the cleaned one.  ``dims`` replaces the dimension tables.
     """
+    dims = dims or Dimensions()
     # Bind the corrected email and the raw birthday once (each is used
     # several times below) before filtering.
     where_extra = F.expr(spec.where_extra) if spec.where_extra else F.lit(True)
 
     def gate(v):
         e, b = v["e1"], v["bday"]
-        return (is_valid_address(e) & ~is_blocked_domain(e, blocked) & v["extra"]
+        return (is_valid_address(e) & ~is_blocked_domain(e, dims.blocked) & v["extra"]
                 & (b.isNull() | is_adult(b, as_of)))
 
-    df = spread(df, "registry_rows")
     plain = isinstance(spec.email_expr, str) and spec.email_expr.isidentifier()
     if plain:
         # A bare column is cheap to repeat: plain expressions stay in codegen.
-        df = df.withColumn("_e1", fix_domain(F.col(spec.email_expr)))
+        df = df.withColumn("_e1", fix_domain(F.col(spec.email_expr), dims.corrections))
     else:
         # A computed email is bound once so pushed-down filters stay small.
         bound = let(F.struct(_eval(spec.email_expr, "string").alias("raw")),
-                    lambda r: F.struct(fix_domain(r["raw"]).alias("e1")))
+                    lambda r: F.struct(fix_domain(r["raw"], dims.corrections).alias("e1")))
         df = df.withColumn("_e1", bound["e1"])
     df = df.withColumn("_bday", _eval(spec.birthday_expr, "date"))
     e1 = F.col("_e1")
@@ -91,7 +97,7 @@ def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
     keep = (gate(F.struct(e1.alias("e1"), bday.alias("bday"), where_extra.alias("extra"))) if plain
             else let(F.struct(e1.alias("e1"), bday.alias("bday"), where_extra.alias("extra")), gate))
     tags = clean_tags(F.concat(F.array(F.lit(spec.source_tag)),
-                               F.coalesce(_eval(spec.extra_tags_expr, "array<string>"), _empty())))
+                               F.coalesce(_eval(spec.extra_tags_expr, "array<string>", dims), _empty())))
     first = clean_name(_eval(spec.first_name_expr, "string")) if spec.first_name_expr else F.lit(None).cast("string")
     last = clean_name(_eval(spec.last_name_expr, "string")) if spec.last_name_expr else F.lit(None).cast("string")
     nat = clean_nationality(_eval(spec.nationality_expr, "string")) if spec.nationality_expr \
@@ -142,7 +148,8 @@ def _prior_rows(prior: DataFrame) -> DataFrame:
 
 
 def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
-                  as_of: _dt.date = C.AS_OF, exclude: DataFrame | None = None) -> MergeResult:
+                  as_of: _dt.date = C.AS_OF, exclude: DataFrame | None = None,
+                  dims: Dimensions | None = None) -> MergeResult:
     """Fold all sources (and the prior master) into one row per email.
 
     Equivalent to merging source by source in (priority, source_table)
@@ -157,7 +164,7 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
     if prior is not None:
         parts.append(_prior_rows(prior).withColumn("_rank", F.lit(0)))
     for rank, spec in present:
-        parts.append(registry_project(sources[spec.source_table], spec, as_of)
+        parts.append(registry_project(sources[spec.source_table], spec, as_of, dims)
                      .withColumn("_rank", F.lit(rank)))
     if not parts:
         raise ValueError("no source tables and no prior master")
@@ -430,21 +437,26 @@ class Rebuild:
 def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = None,
                      ledger: DataFrame | None = None, as_of: _dt.date = C.AS_OF,
                      run_ts: _dt.datetime = C.RUN_TS, materialize: bool = True,
-                     strict_minors: bool = False) -> Rebuild:
+                     strict_minors: bool = False, dims: Dimensions | None = None) -> Rebuild:
     """refresh -> minors -> dimensions -> duplicates.
 
-    With ``materialize`` the merged rows are checkpointed (shared
-    ``spark.checkpoint.dir``) before the duplicate pass: its keeper
-    aggregate and the rows it joins back to then read one stored copy
-    instead of each re-running the merge.
+    With ``materialize`` the merged rows, with their change flags, are
+    written once as Parquet in the shared folder before anything branches off
+    them: kept and removed rows, counts, dimensions and the duplicate pass
+    (whose keeper aggregate reads four columns) all read that copy.
     """
     full_ledger, new_minors = record_minors(sources, registry, ledger, as_of, run_ts)
     exclude = None
     if strict_minors:
         # Keep every ledger address out, compared on the corrected key
         # (the ledger holds the raw lower/trim address).
-        exclude = full_ledger.select(F.lower(F.trim(fix_domain(F.col("email")))).alias("email"))
-    res = merge_sources(sources, registry, prior, as_of, exclude=exclude)
+        exclude = full_ledger.select(F.lower(F.trim(fix_domain(F.col("email"), (dims or Dimensions()).corrections))).alias("email"))
+    res = merge_sources(sources, registry, prior, as_of, exclude=exclude, dims=dims)
+    if materialize:
+        root = ensure_checkpoint_dir(res.master.sparkSession).rstrip("/")
+        path = f"{root}/merged/{uuid.uuid4().hex}"
+        res.master.write.parquet(path)
+        res.master = res.master.sparkSession.read.schema(res.master.schema).parquet(path)
     merged = res.master
     # Source birthdays have passed the age gate, so a stored birthday can
     # only be under age when it came from the prior row (which outranks the
@@ -455,11 +467,8 @@ def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = Non
         kept, removed = merged.where(adult), merged.where(~adult)
     else:
         kept, removed = merged, merged.where(F.lit(False))
-    dims = split_dimensions(kept)
-    if materialize:
-        ensure_checkpoint_dir(dims.sparkSession)
-        dims = dims.checkpoint(eager=True)
-    master = find_duplicates(dims).select(*MASTER_COLUMNS)
+    split = split_dimensions(kept)
+    master = find_duplicates(split).select(*MASTER_COLUMNS)
     return Rebuild(master, full_ledger, new_minors, removed, refresh_counts(res), res)
 
 

@@ -24,7 +24,9 @@ AS_OF = f"DATE '{C.AS_OF.isoformat()}'"
 ADULT_CUTOFF = f"DATE '{C.AS_OF.replace(year=C.AS_OF.year - C.MIN_AGE).isoformat()}'"
 OLDEST = f"DATE '{C.AS_OF.replace(year=C.AS_OF.year - C.MAX_AGE).isoformat()}'"
 RUN_TS = f"TIMESTAMP '{C.RUN_TS.isoformat(sep=' ')}'"
-STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+# trim() over the listed characters (every space Python's strip removes)
+SPACES = " || ".join(f"chr({c})" for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
+STRIP = "trim({x}, " + SPACES.replace("{", "").replace("}", "") + ")"
 EMAIL_RE = "'^[^@[:space:]]+@[^@[:space:]]+\\.[A-Za-z]{2,}$'"
 BRANDS = _in_list(C.BRANDS)
 
@@ -161,7 +163,7 @@ SELECT {strip("CAST(coalesce(nullif(resource_uri, ''), NULL) AS VARCHAR)")} AS r
   coalesce(email_opt_in, false) AS email_opt_in,
   TRY_CAST(CAST(updated_date AS VARCHAR) AS TIMESTAMP) AS updated_date,
   CASE WHEN email IS NULL OR e_strip = '' THEN 'missing'
-       WHEN NOT regexp_matches(e_low, '^[^@\\s]+@[^@\\s]+\\.[A-Za-z]{{2,}}$') THEN 'bad_format'
+       WHEN NOT regexp_matches(e_low, '^[^@\\s]+@[^@\\s]+\\.[A-Za-z]{{2,}}$') OR length(translate(e_low, {SPACES}, '')) < length(e_low) THEN 'bad_format'
        WHEN e_low IN {_in_list(C.PLACEHOLDER_ADDRESSES)} THEN 'placeholder'
        WHEN e_dom IN {_in_list(C.INTERNAL_DOMAINS)} THEN 'internal_domain'
        WHEN e_dom IN {_in_list(C.DISPOSABLE_DOMAINS)} THEN 'disposable'
@@ -196,7 +198,8 @@ FROM (
     nullif({strip('first_name')}, '') AS first_name,
     nullif({strip('last_name')}, '') AS last_name
   FROM signup_events) q""")
-cte("newsletter_signups", ["signup_checked"], f"""
+def newsletter_sql(batch: str = "true") -> str:
+    return f"""
 SELECT email,
   arg_min(brand, seq) FILTER (WHERE brand IS NOT NULL) AS brand,
   arg_min(country, seq) FILTER (WHERE country IS NOT NULL) AS country,
@@ -207,7 +210,10 @@ SELECT email,
   CAST(NULL AS VARCHAR) AS como_status, CAST(NULL AS VARCHAR) AS como_detail,
   CAST(NULL AS TIMESTAMP) AS como_at,
   arg_min_null(ts, seq) AS signed_up_at, {RUN_TS} AS updated_at
-FROM signup_checked WHERE reject_reason IS NULL GROUP BY email""")
+FROM signup_checked WHERE reject_reason IS NULL AND {batch} GROUP BY email"""
+
+
+cte("newsletter_signups", ["signup_checked"], newsletter_sql())
 
 
 # -- canonical rows per source ----------------------------------------------
@@ -331,8 +337,25 @@ WHERE email IS NOT NULL AND trim(email) <> '' AND b IS NOT NULL AND NOT {adult('
 cte("push_state_t", ["push_state"], "SELECT * FROM push_state")
 
 
+#: Statement -> (names, body), to build the same report over another master.
+BUILT: dict[str, tuple[list[str], str]] = {}
+
+
+def over_prior(statement: str) -> str:
+    """The same statement over the master that was merged with a prior."""
+    names, body = BUILT[statement]
+    head = with_ctes([n if n != "master" else "master_inc" for n in names], "")
+    return f"{head.rstrip()},\nmaster AS (SELECT * FROM master_inc)\n{body.strip()}"
+
+
 def with_ctes(names, body: str) -> str:
     """``WITH`` clause holding ``names`` and their dependencies, then ``body``."""
+    statement = _with_ctes(names, body)
+    BUILT[statement] = (list(names), body)
+    return statement
+
+
+def _with_ctes(names, body: str) -> str:
     order: list[str] = []
 
     def visit(n):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from custfold.operators import ingest, master
-from custfold.session import ensure_checkpoint_dir
+from custfold.session import ensure_checkpoint_dir, folder_version
 from custfold.sources.fixtures import fixture
 
 
@@ -17,7 +18,7 @@ _SOURCES: dict = {}
 def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three stored source tables, derived from the raw feeds (lazy
     plans, built once per session and scale directory)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, folder_version(spark, sf_dir))
     if key not in _SOURCES:
         _SOURCES[key] = _build_sources(spark, sf_dir)
     return dict(_SOURCES[key])
@@ -45,14 +46,14 @@ _STORED: dict = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived table written once per session and scale directory.
+    """A derived table written once per session and state of its inputs.
 
     Written as a parquet table under the shared folder named by
     ``spark.checkpoint.dir`` and read back: lineage is cut (reports do not
     re-run the merge), the files survive the loss of an executor, and
     every report reading it gets column pruning and filter pushdown.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, folder_version(spark, sf_dir), name)
     if key not in _STORED:
         root = ensure_checkpoint_dir(spark).rstrip("/")
         safe = "".join(ch if ch.isalnum() else "_" for ch in name)
@@ -62,7 +63,21 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return _STORED[key]
 
 
-def stored_master(spark: SparkSession, sf_dir: str, with_prior: bool = False) -> DataFrame:
+_OVER_PRIOR: list[bool] = [False]
+
+
+@contextlib.contextmanager
+def over_prior():
+    """Reports built inside read the master that was merged with a prior."""
+    _OVER_PRIOR.append(True)
+    try:
+        yield
+    finally:
+        _OVER_PRIOR.pop()
+
+
+def stored_master(spark: SparkSession, sf_dir: str, with_prior: bool | None = None) -> DataFrame:
+    with_prior = _OVER_PRIOR[-1] if with_prior is None else with_prior
     return stored(spark, sf_dir, f"master:{with_prior}", lambda: master_table(spark, sf_dir, with_prior))
 
 

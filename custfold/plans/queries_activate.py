@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from custfold import config as C
-from custfold.catalog import register
+from custfold.catalog import REGISTRY, register
 from custfold.operators import activate as A
 from custfold.oracle import duck as D
 from custfold.plans import pipeline
@@ -125,17 +125,25 @@ UNION ALL SELECT email, brand, 'create', array_to_string({_codes('create_body')}
 UNION ALL SELECT email, brand, 'update', array_to_string({_codes('update_body')}, ',') FROM push_responses"""))
 def q_push_error_codes(spark, sf):
     r = _responses(spark, sf)
-    out = None
-    for kind in ["lookup", "create", "update"]:
-        p = r.select("email", "brand", F.lit(kind).alias("body"),
-                     F.array_join(A.error_codes(A.parse_body(F.col(f"{kind}_body"))), ",").alias("codes"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    kinds = [F.struct(F.lit(k).alias("body"), F.array_join(A.error_codes(A.parse_body(F.col(f"{k}_body"))), ",").alias("codes"))
+             for k in ("lookup", "create", "update")]
+    return r.select("email", "brand", F.inline(F.array(*kinds)))
 
 
 def _pyjson(body, width):
-    return (f"substr(coalesce(regexp_replace({body}, '([,:])([\"\\[{{0-9tfn-])', '\\1 \\2', 'g'), 'null'), "
-            f"1, {width})")
+    """Segments between quotes: those outside strings get a space after each
+    separator, those inside have characters beyond ASCII escaped."""
+    esc = ("array_to_string(list_transform(string_split(s, ''), lambda c: CASE WHEN unicode(c) > 127 "
+           "THEN '\\u' || lpad(lower(to_hex(unicode(c))), 4, '0') ELSE c END), '')")
+    text = (f"array_to_string(list_transform(string_split({body}, '\"'), lambda s, i: CASE WHEN i % 2 = 1 "
+            f"THEN replace(replace(s, ',', ', '), ':', ': ') ELSE {esc} END), '\"')")
+    return f"substr(coalesce({text}, 'null'), 1, {width})"
+
+
+def _failure(body, width=200, cut=""):
+    """The text of a call that raised, else the body."""
+    raised = f"substr(error_text, 1, {cut})" if cut else "error_text"
+    return f"coalesce(CASE WHEN {body} IS NULL THEN {raised} END, {_pyjson(body, width)})"
 
 
 def _ok(body):
@@ -154,13 +162,13 @@ SELECT email, brand,
          THEN 'couldn''t check whether they exist'
        WHEN {_ok('create_body')} THEN 'created'
        WHEN list_contains({_codes('create_body')}, '{C.CODE_ALREADY_EXISTS}') THEN 'already in Como'
-       ELSE {_pyjson('create_body', 200)} END AS detail,
+       ELSE {_failure('create_body')} END AS detail,
   CASE WHEN {_ok('lookup_body')} THEN json_extract_string(lookup_body, '$.membership.comoMemberId')
        WHEN list_contains({_codes('lookup_body')}, '{C.CODE_CUSTOMER_NOT_FOUND}') AND {_ok('create_body')}
          THEN json_extract_string(create_body, '$.membership.comoMemberId') END AS como_member_id,
   CASE WHEN {_ok('lookup_body')} THEN json_extract_string(lookup_body, '$.membership.commonExtId')
        WHEN list_contains({_codes('lookup_body')}, '{C.CODE_CUSTOMER_NOT_FOUND}') AND {_ok('create_body')}
-         THEN json_extract_string(create_body, '$.membership.commonExtId') END AS common_ext_id
+         THEN json_extract_string(create_body, '$.membership.commonExtId') END AS common_ext_id, attempt
 FROM push_responses WHERE mode = 'create'"""
 
 _NF = f"list_contains({_codes('update_body')}, '{C.CODE_CUSTOMER_NOT_FOUND}')"
@@ -174,21 +182,21 @@ SELECT email, brand,
        ELSE 'failed' END AS status,
   CASE WHEN {_ok('update_body')} THEN 'updated'
        WHEN {_NF} AND {_ok('create_body')} THEN 'created'
-       WHEN {_NF} THEN {_pyjson('create_body', 200)}
-       ELSE {_pyjson('update_body', 200)} END AS detail,
+       WHEN {_NF} THEN {_failure('create_body')}
+       ELSE {_failure('update_body')} END AS detail,
   CASE WHEN NOT {_ok('update_body')} AND {_NF} AND {_ok('create_body')}
        THEN json_extract_string(create_body, '$.membership.comoMemberId') END AS como_member_id,
   CASE WHEN NOT {_ok('update_body')} AND {_NF} AND {_ok('create_body')}
-       THEN json_extract_string(create_body, '$.membership.commonExtId') END AS common_ext_id
+       THEN json_extract_string(create_body, '$.membership.commonExtId') END AS common_ext_id, attempt
 FROM push_responses WHERE mode = 'update'"""
 
 
-@register("push_outcome_create", D.with_ctes(["push_responses"], _CREATE))
+@register("push_outcome_create", D.with_ctes(["push_responses"], f"SELECT * EXCLUDE (attempt) FROM ({_CREATE}) q"))
 def q_push_outcome_create(spark, sf):
     return A.push_outcome_create(_responses(spark, sf).where(F.col("mode") == "create"))
 
 
-@register("push_outcome_update", D.with_ctes(["push_responses"], _UPDATE))
+@register("push_outcome_update", D.with_ctes(["push_responses"], f"SELECT * EXCLUDE (attempt) FROM ({_UPDATE}) q"))
 def q_push_outcome_update(spark, sf):
     return A.push_outcome_update(_responses(spark, sf).where(F.col("mode") == "update"))
 
@@ -199,8 +207,9 @@ SELECT n.email, n.brand, o.como_status, o.como_detail FROM newsletter_signups n
     CASE WHEN {_ok('create_body')} THEN 'ok' WHEN contains(coalesce(create_body, 'null'), 'already exists')
          THEN 'exists' ELSE 'failed' END AS como_status,
     CASE WHEN {_ok('create_body')} THEN 'created' WHEN contains(coalesce(create_body, 'null'), 'already exists')
-         THEN 'already in Como' ELSE {_pyjson('create_body', 300)} END AS como_detail
-  FROM push_responses) o ON o.email = n.email"""))
+         THEN 'already in Como' ELSE {_failure('create_body', 300, 300)} END AS como_detail
+  FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY attempt DESC) AS rn FROM push_responses) r WHERE rn = 1) o
+  ON o.email = n.email"""))
 def q_push_outcome_signup(spark, sf):
     news = pipeline.stored_sources(spark, sf)["newsletter_signups"]
     out = A.apply_signup_outcomes(news, A.push_outcome_signup(_responses(spark, sf)))
@@ -225,7 +234,11 @@ SELECT coalesce(o.email, s.email) AS email, coalesce(o.brand, s.brand) AS brand,
   coalesce(o.common_ext_id, s.common_ext_id) AS common_ext_id,
   strftime(CASE WHEN o.email IS NOT NULL THEN {D.RUN_TS} ELSE s.last_pushed_at END, '%Y-%m-%d %H:%M:%S')
     AS last_pushed_at
-FROM push_state s FULL OUTER JOIN ({_CREATE} UNION ALL {_UPDATE}) o ON o.email = s.email AND o.brand = s.brand"""))
+FROM push_state s FULL OUTER JOIN (
+  SELECT email, brand, arg_max(status, attempt) AS status, arg_max(detail, attempt) AS detail,
+    arg_max(como_member_id, attempt) FILTER (WHERE como_member_id IS NOT NULL) AS como_member_id,
+    arg_max(common_ext_id, attempt) FILTER (WHERE common_ext_id IS NOT NULL) AS common_ext_id
+  FROM ({_CREATE} UNION ALL {_UPDATE}) a GROUP BY email, brand) o ON o.email = s.email AND o.brand = s.brand"""))
 def q_record_push_state(spark, sf):
     st = A.record_push_state(_state(spark, sf), A.push_outcomes(_responses(spark, sf)))
     return st.withColumn("last_pushed_at", F.date_format("last_pushed_at", "yyyy-MM-dd HH:mm:ss"))
@@ -261,7 +274,7 @@ SELECT queued, CAST(floor(queued * {C.CALLS_PER_QUEUED}) AS BIGINT) AS api_calls
   CAST(floor({secs}) AS BIGINT) AS seconds,
   CASE WHEN {secs} < 60 THEN CAST(CAST(floor({secs}) AS BIGINT) AS VARCHAR) || ' sec'
        WHEN {secs} < 3600 THEN CAST(CAST(round_even({secs} / 60, 0) AS BIGINT) AS VARCHAR) || ' min'
-       ELSE printf('%.1f', round_even({secs} / 3600, 1)) || ' hours' END AS human,
+       ELSE printf('%.1f', {secs} / 3600) || ' hours' END AS human,
   CAST({rate or int(60 / per_call)} AS BIGINT) AS rate, {str(bool(rate and rate > C.PUSH_RATE_LIMIT)).lower()}
     AS over_limit
 FROM (SELECT CAST(count(*) AS BIGINT) AS queued FROM master m
@@ -320,3 +333,25 @@ def q_customer_360(spark, sf):
     st = _state(spark, sf)
     return A.customer_360(st.select("email"), _m(spark, sf),
                           {"wifi_guests": src["wifi_guests"], "revel_customers": src["revel_customers"]}, st)
+
+
+@register("customer_rows", D.with_ctes(["push_state", "wifi_guests"], """
+SELECT lower(w.email) AS email, 'wifi_guests' AS "table", count(*) AS n, min(w.doc_id) AS first_key FROM wifi_guests w
+WHERE lower(w.email) IN (SELECT lower(trim(email)) FROM push_state) GROUP BY 1
+UNION ALL SELECT s.email, 'push_state', count(*), min(s.brand) FROM push_state s
+WHERE s.email IN (SELECT lower(trim(email)) FROM push_state) GROUP BY 1"""))
+def q_customer_rows(spark, sf):
+    st = _state(spark, sf)
+    rows = A.customer_rows(st.select("email"), {"wifi_guests": fixture(spark, sf, "wifi_guests"), "push_state": st})
+    key = F.coalesce(F.get_json_object("row", "$.doc_id"), F.get_json_object("row", "$.brand"))
+    return rows.groupBy("email", "table").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"))
+
+
+for _name in ["build_payloads"]:
+    _fn, _sql = REGISTRY[_name]
+
+    def _over_prior(spark, sf, fn=_fn):
+        with pipeline.over_prior():
+            return fn(spark, sf)
+
+    register(f"{_name}_prior", D.over_prior(_sql))(_over_prior)

@@ -10,7 +10,7 @@ from custfold import config as C
 from custfold.functions.common import ts_ntz
 from custfold.catalog import register
 from custfold.oracle import duck as D
-from custfold.operators import ingest
+from custfold.operators import activate, ingest
 from custfold.sources.fixtures import fixture
 from custfold.streaming.signups import run_signup_stream
 
@@ -85,6 +85,81 @@ def q_advance_watermark(spark, sf):
         .withColumn("last_run_at", F.date_format("last_run_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+_ONE = f"({_SLICE_SQL.replace('SELECT r.*', 'SELECT r._brand, r.updated_date')} AND r._brand = 'Pickl')"
+
+
+@register("advance_watermark_one_brand", D.with_ctes(["revel_raw"], f"""
+SELECT s.brand, CAST(0 AS BIGINT) AS backfill_offset, s.backfill_complete OR s.brand = 'Pickl' AS backfill_complete,
+  strftime(CASE WHEN s.brand = 'Pickl' THEN greatest(s.watermark, n.newest) ELSE s.watermark END, '%Y-%m-%d %H:%M:%S') AS watermark,
+  strftime(CASE WHEN s.brand = 'Pickl' THEN TIMESTAMP '{RUN_TS2.isoformat(sep=' ')}' ELSE s.last_run_at END, '%Y-%m-%d %H:%M:%S') AS last_run_at
+FROM ({_STATE_SQL}) s LEFT JOIN (SELECT _brand AS brand, max(TRY_CAST(updated_date AS TIMESTAMP)) AS newest FROM {_ONE} q GROUP BY 1) n
+ON n.brand = s.brand"""))
+def q_advance_watermark_one_brand(spark, sf):
+    """A run over one brand leaves the state of the others alone."""
+    state = _sync_state(spark, sf)
+    rows = ingest.incremental_slice(fixture(spark, sf, "revel_raw").where("_brand = 'Pickl'"), state)
+    out = ingest.advance_watermark(state, rows, run_ts=RUN_TS2, brands=["Pickl"])
+    return out.withColumn("watermark", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss")) \
+        .withColumn("last_run_at", F.date_format("last_run_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+_JSON_FIELDS = ["fname", "lname", "visits", "meta"]
+
+
+def _json_docs(spark, sf, name):
+    return ingest.docs_from_json(fixture(spark, sf, name), _JSON_FIELDS)
+
+
+@register("ingest_docs_json", D.with_ctes(["wifi_json_1", "wifi_json_2"], """
+SELECT doc_id, body ->> '$.Fname' AS fname, body ->> '$.lname' AS lname, body ->> '$.visits' AS visits, body ->> '$.meta' AS meta
+FROM (SELECT * FROM wifi_json_1 UNION ALL SELECT * FROM wifi_json_2) d"""))
+def q_ingest_docs_json(spark, sf):
+    one, two = (_json_docs(spark, sf, n).drop("_present", "_seq") for n in ("wifi_json_1", "wifi_json_2"))
+    return ingest.ingest_docs_evolving(ingest.ingest_docs_evolving(None, one), two)
+
+
+def _field_sql(f, path):
+    """Last value of a field among the documents that have it."""
+    return f"""(SELECT body ->> '$.{path}' FROM wifi_json_2 x WHERE x.doc_id = k.doc_id AND list_contains(json_keys(body), '{path}')
+    ORDER BY _seq DESC LIMIT 1) AS {f}, (SELECT count(*) FROM wifi_json_2 x WHERE x.doc_id = k.doc_id AND list_contains(json_keys(body), '{path}')) > 0 AS has_{f}"""
+
+
+@register("upsert_docs_presence", D.with_ctes(["wifi_json_1", "wifi_json_2"], f"""
+SELECT coalesce(a.doc_id, b.doc_id) AS doc_id,
+  CASE WHEN b.has_fname THEN b.fname ELSE a.body ->> '$.Fname' END AS fname,
+  CASE WHEN b.has_lname THEN b.lname ELSE a.body ->> '$.lname' END AS lname, b.visits, b.meta,
+  strftime(CASE WHEN b.doc_id IS NOT NULL THEN TIMESTAMP '{RUN_TS2.isoformat(sep=' ')}' ELSE {D.RUN_TS} END, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM wifi_json_1 a FULL OUTER JOIN (
+  SELECT k.doc_id, {_field_sql('fname', 'Fname')}, {_field_sql('lname', 'lname')}, {_field_sql('visits', 'visits')}, {_field_sql('meta', 'meta')}
+  FROM (SELECT DISTINCT doc_id FROM wifi_json_2) k) b ON a.doc_id = b.doc_id"""))
+def q_upsert_docs_presence(spark, sf):
+    """Absent, NULL, repeated and nested fields, document by document."""
+    one, two = _json_docs(spark, sf, "wifi_json_1"), _json_docs(spark, sf, "wifi_json_2")
+    t1 = ingest.upsert_docs_partial(None, one, run_ts=C.RUN_TS, order_col="_seq")
+    t2 = ingest.upsert_docs_partial(t1, two, run_ts=RUN_TS2, order_col="_seq")
+    return t2.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("upsert_signups_second_batch", D.with_ctes(["signup_checked", "push_responses"], f"""
+SELECT coalesce(a.email, b.email) AS email, coalesce(a.brand, b.brand) AS brand, coalesce(a.country, b.country) AS country,
+  CASE WHEN a.email IS NOT NULL THEN a.site ELSE b.site END AS site, coalesce(b.first_name, a.first_name) AS first_name,
+  CASE WHEN a.email IS NOT NULL AND o.email IS NOT NULL THEN 'ok' END AS como_status,
+  strftime(CASE WHEN a.email IS NOT NULL THEN a.signed_up_at ELSE b.signed_up_at END, '%Y-%m-%d %H:%M:%S.%f') AS signed_up_at,
+  strftime(CASE WHEN b.email IS NOT NULL THEN TIMESTAMP '{RUN_TS2.isoformat(sep=' ')}' ELSE {D.RUN_TS} END, '%Y-%m-%d %H:%M:%S') AS updated_at
+FROM ({D.newsletter_sql('seq % 2 = 0')}) a FULL OUTER JOIN ({D.newsletter_sql('seq % 2 = 1')}) b ON a.email = b.email
+LEFT JOIN (SELECT DISTINCT email FROM push_responses) o ON o.email = a.email"""))
+def q_upsert_signups_second_batch(spark, sf):
+    """A second batch keeps recorded outcomes and first values."""
+    checked = ingest.accept_signups(fixture(spark, sf, "signup_events"))
+    first = ingest.upsert_signups(checked.where("seq % 2 = 0"))
+    sent = fixture(spark, sf, "push_responses").select("email", "attempt", F.lit("ok").alias("como_status"), F.lit("created").alias("como_detail"))
+    stored = activate.apply_signup_outcomes(first, sent)
+    out = ingest.upsert_signups(checked.where("seq % 2 = 1"), run_ts=RUN_TS2, existing=stored)
+    return out.select("email", "brand", "country", "site", "first_name", "como_status",
+                      F.date_format("signed_up_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("signed_up_at"),
+                      F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
+
+
 PROBES = {
     "(no filter)": "true",
     "email_opt_in=true": "email_opt_in",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from custfold import config as C
-from custfold.catalog import register
+from custfold.catalog import REGISTRY, register
 from custfold.operators import ingest, master as M
 from custfold.oracle import duck as D
 from custfold.plans import pipeline, reports as R
@@ -138,7 +138,7 @@ _PUSH_BY_BRAND = f"""
 SELECT b.brand, coalesce(t.tagged, 0) AS tagged, coalesce(s.ok, 0) AS ok, coalesce(s.failed, 0) AS failed,
   coalesce(s.conflict, 0) AS conflict, coalesce(t.tagged, 0) - coalesce(s.ok, 0) AS pending,
   CAST(CASE WHEN coalesce(t.tagged, 0) > 0 THEN floor(coalesce(s.ok, 0) * 100.0 / t.tagged + 0.5) ELSE 0 END AS BIGINT)
-    AS progress
+    AS progress, true AS configured
 FROM {_BRAND_VALUES} b
 LEFT JOIN (SELECT b2.brand, {CNT} AS tagged FROM {_BRAND_VALUES} b2 JOIN master m ON list_contains(m.tags, b2.brand)
            GROUP BY 1) t ON t.brand = b.brand
@@ -221,20 +221,23 @@ def q_signup_latest(spark, sf):
 
 
 @register("latest_runs", D.with_ctes(["run_log"], """
-SELECT id, job, strftime(started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at, status
+SELECT id, job, strftime(started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
+  strftime(finished_at, '%Y-%m-%d %H:%M:%S.%f') AS finished_at, status
 FROM run_log ORDER BY run_log.started_at DESC, id LIMIT 50"""))
 def q_latest_runs(spark, sf):
     return R.latest_runs(fixture(spark, sf, "run_log")).withColumn(
-        "started_at", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        "started_at", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")).withColumn(
+        "finished_at", F.date_format("finished_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @register("conflict_queue", D.with_ctes(["push_state", "master"], """
-SELECT s.email, s.brand, s.status, s.detail, m.first_name, m.last_name, array_to_string(m.tags, ',') AS tags
+SELECT s.email, s.brand, s.status, s.detail, strftime(s.last_pushed_at, '%Y-%m-%d %H:%M:%S') AS last_pushed_at, m.first_name, m.last_name, array_to_string(m.tags, ',') AS tags
 FROM push_state s LEFT JOIN master m ON m.email = s.email
 WHERE s.status IN ('conflict', 'failed')
 ORDER BY s.status, s.last_pushed_at DESC, s.email, s.brand LIMIT 200"""))
 def q_conflict_queue(spark, sf):
-    return R.conflict_queue(_state(spark, sf), _m(spark, sf))
+    return R.conflict_queue(_state(spark, sf), _m(spark, sf)).withColumn(
+        "last_pushed_at", F.date_format("last_pushed_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register("preflight_inbox_collisions", D.with_ctes(["master"], f"""
@@ -277,15 +280,15 @@ _COLL = ("SELECT email_key FROM master WHERE needs_push AND duplicate_of IS NULL
 
 
 @register("preflight_summary", D.with_ctes(["master", "push_state"], f"""
-SELECT check_no, "check", n AS count, n = 0 AS pass,
+SELECT check_no, "check", least(n, 25) AS count, n AS total, n = 0 AS pass,
   (SELECT {_cnt('needs_push AND duplicate_of IS NULL')} FROM master) AS queued,
   (SELECT bool_and(x = 0) FROM (SELECT count(*) AS x FROM ({_COLL}) a UNION ALL SELECT count(*) FROM ({_SETTLED}) b
      UNION ALL SELECT count(*) FROM ({_LEAKED}) c UNION ALL SELECT count(*) FROM ({_UNROUTED}) d) z) AS all_clear
 FROM (
-  SELECT 1 AS check_no, 'No two queued records share an inbox' AS "check", {CNT} AS n FROM ({_COLL}) a
-  UNION ALL SELECT 2, 'Nobody already in Como is queued again', {CNT} FROM ({_SETTLED}) b
-  UNION ALL SELECT 3, 'No records flagged as duplicates are queued', {CNT} FROM ({_LEAKED}) c
-  UNION ALL SELECT 4, 'Every queued record has a brand tag', {CNT} FROM ({_UNROUTED}) d) q"""))
+  SELECT 1 AS check_no, 'No two queued records share an inbox' AS "check", {CNT} AS n FROM ({_COLL.replace(' LIMIT 25', '')}) a
+  UNION ALL SELECT 2, 'Nobody already in Como is queued again', {CNT} FROM ({_SETTLED.replace(' LIMIT 25', '')}) b
+  UNION ALL SELECT 3, 'No records flagged as duplicates are queued', {CNT} FROM ({_LEAKED.replace(' LIMIT 25', '')}) c
+  UNION ALL SELECT 4, 'Every queued record has a brand tag', {CNT} FROM ({_UNROUTED.replace(' LIMIT 25', '')}) d) q"""))
 def q_preflight_summary(spark, sf):
     return R.preflight_summary(_m(spark, sf), _state(spark, sf))
 
@@ -311,3 +314,24 @@ def q_pipeline_overview(spark, sf):
     out = R.pipeline_overview(fixture(spark, sf, "wifi_guests"), _pos(spark, sf), _sync_state(spark, sf),
                               _m(spark, sf), _state(spark, sf))
     return out.withColumn("last_load", F.date_format("last_load", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("possible_duplicates_top", D.with_ctes(["master"], """
+SELECT lower(trim(first_name)) AS first_name, lower(trim(last_name)) AS last_name,
+  strftime(birthday, '%Y-%m-%d') AS birthday, CAST(count(*) AS BIGINT) AS records, min(email) AS first_email
+FROM master WHERE duplicate_of IS NULL AND first_name IS NOT NULL AND last_name IS NOT NULL
+GROUP BY 1, 2, master.birthday HAVING count(*) > 1
+ORDER BY records DESC, 1, 2, master.birthday NULLS FIRST LIMIT 20"""))
+def q_possible_duplicates_top(spark, sf):
+    return R.top_possible_duplicates(M.possible_duplicates(_m(spark, sf))).withColumn(
+        "birthday", F.date_format("birthday", "yyyy-MM-dd"))
+
+
+for _name in ["quality_totals", "consent_overall", "consent_by_source", "consent_by_brand", "master_summary"]:
+    _fn, _sql = REGISTRY[_name]
+
+    def _over_prior(spark, sf, fn=_fn):
+        with pipeline.over_prior():
+            return fn(spark, sf)
+
+    register(f"{_name}_prior", D.over_prior(_sql))(_over_prior)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from custfold import config as C
 from custfold.functions.email import reason_class
-from custfold.session import checked_broadcast
+from custfold.operators.activate import tags_json
 
 
 def _cnt(cond) -> F.Column:
@@ -26,9 +26,7 @@ def _brand_tags(tags_col="tags") -> F.Column:
 
 def json_array_text(arr) -> F.Column:
     """Tags as a JSON array with a space after each comma (``["A", "B"]``)."""
-    a = F.col(arr) if isinstance(arr, str) else arr
-    return F.when(F.size(F.coalesce(a, F.array().cast("array<string>"))) == 0, F.lit("[]")) \
-        .otherwise(F.concat(F.lit('["'), F.array_join(a, '", "'), F.lit('"]')))
+    return tags_json(F.col(arr) if isinstance(arr, str) else arr, ascii_only=False)
 
 
 # ---------------------------------------------------------------------------
@@ -131,8 +129,9 @@ def _brand_list(spark) -> DataFrame:
     return spark.createDataFrame([(b,) for b in C.BRANDS], "brand string")
 
 
-def push_by_brand(m: DataFrame, state: DataFrame) -> DataFrame:
-    """All brands always present; pending = tagged - ok; progress rounded half up."""
+def push_by_brand(m: DataFrame, state: DataFrame, configured=None) -> DataFrame:
+    """All brands always present; pending = tagged - ok; progress rounded half
+    up; ``configured``: the brand has an account (default: all have)."""
     tagged = m.select(F.explode(_brand_tags()).alias("brand")).groupBy("brand") \
         .agg(F.count(F.lit(1)).alias("tagged"))
     st = state.groupBy("brand").agg(_cnt(F.col("status") == "ok").alias("ok"),
@@ -143,7 +142,8 @@ def push_by_brand(m: DataFrame, state: DataFrame) -> DataFrame:
                                 for c in ["tagged", "ok", "failed", "conflict"]])
     return out.withColumn("pending", F.col("tagged") - F.col("ok")).withColumn(
         "progress", F.when(F.col("tagged") > 0,
-                           F.floor(F.col("ok") * 100.0 / F.col("tagged") + 0.5)).otherwise(F.lit(0)).cast("long"))
+                           F.floor(F.col("ok") * 100.0 / F.col("tagged") + 0.5)).otherwise(F.lit(0)).cast("long")) \
+        .withColumn("configured", F.col("brand").isin(list(C.BRANDS if configured is None else configured)))
 
 
 def brand_coverage(m: DataFrame, state: DataFrame) -> DataFrame:
@@ -175,10 +175,9 @@ def segment_counts(m: DataFrame, k: int = 25) -> DataFrame:
 
 
 def corrected_domains_report(wifi: DataFrame, corrections: DataFrame, k: int = 15) -> DataFrame:
-    """``wrong -> right`` with record counts.  The corrections table is a
-    dimension, broadcast after a bounded size check."""
+    """``wrong -> right`` with record counts."""
     dom = F.lower(F.split_part(F.col("email"), F.lit("@"), F.lit(2)))
-    j = wifi.select(dom.alias("wrong")).join(checked_broadcast(corrections), "wrong")
+    j = wifi.select(dom.alias("wrong")).join(corrections, "wrong")
     g = j.groupBy(F.concat(F.col("wrong"), F.lit(" -> "), F.col("correct")).alias("correction")) \
         .agg(F.count(F.lit(1)).alias("records"))
     return g.orderBy(F.desc("records"), F.asc("correction")).limit(k)
@@ -209,14 +208,14 @@ def signup_latest(s: DataFrame, k: int = 50) -> DataFrame:
 
 
 def latest_runs(runs: DataFrame, k: int = 50) -> DataFrame:
-    return runs.orderBy(F.desc("started_at"), F.asc("id")).limit(k).select("id", "job", "started_at", "status")
+    return runs.orderBy(F.desc("started_at"), F.asc("id")).limit(k).select("id", "job", "started_at", "finished_at", "status")
 
 
 def conflict_queue(state: DataFrame, m: DataFrame, k: int = 200) -> DataFrame:
     s = state.where(F.col("status").isin("conflict", "failed"))
     j = s.join(m.select("email", "first_name", "last_name", "tags"), "email", "left")
     return j.orderBy("status", F.desc("last_pushed_at"), "email", "brand").limit(k) \
-        .select("email", "brand", "status", "detail", "first_name", "last_name",
+        .select("email", "brand", "status", "detail", "last_pushed_at", "first_name", "last_name",
                 F.array_join("tags", ",").alias("tags"))
 
 
@@ -227,17 +226,30 @@ def _queued(m: DataFrame) -> DataFrame:
     return m.where(F.coalesce(F.col("needs_push"), F.lit(False)))
 
 
+def _collisions(m: DataFrame) -> DataFrame:
+    q = _queued(m).where(F.col("duplicate_of").isNull() & F.col("email_key").isNotNull())
+    return q.groupBy("email_key").agg(F.count(F.lit(1)).alias("records"), F.min("email").alias("first_email")).where("records > 1")
+
+
 def preflight_inbox_collisions(m: DataFrame, k: int = C.PREFLIGHT_SAMPLE) -> DataFrame:
     """Inbox keys shared by more than one queued non-duplicate record
     (size and first address per key; members are rows, never an array)."""
-    q = _queued(m).where(F.col("duplicate_of").isNull() & F.col("email_key").isNotNull())
-    g = q.groupBy("email_key").agg(F.count(F.lit(1)).alias("records"), F.min("email").alias("first_email"))
-    return g.where(F.col("records") > 1).orderBy("email_key").limit(k)
+    return _collisions(m).orderBy("email_key").limit(k)
 
 
-def preflight_already_settled(m: DataFrame, state: DataFrame, k: int = C.PREFLIGHT_SAMPLE) -> DataFrame:
+def preflight_collision_members(m: DataFrame) -> DataFrame:
+    """The queued records of every shared inbox, as rows."""
+    q = _queued(m).where(F.col("duplicate_of").isNull()).select("email_key", "email")
+    return q.join(_collisions(m).select("email_key", "records"), "email_key").select("email_key", "records", "email")
+
+
+def _settled(m: DataFrame, state: DataFrame) -> DataFrame:
     s = state.where(F.col("status").isin("ok", "exists")).select("email", "brand", "status")
-    return _queued(m).select("email").join(s, "email").orderBy("email", "brand").limit(k)
+    return _queued(m).select("email").join(s, "email")
+
+
+def preflight_already_settled(m: DataFrame, state: DataFrame, k: int = C.PREFLIGHT_SAMPLE) -> DataFrame:
+    return _settled(m, state).orderBy("email", "brand").limit(k)
 
 
 def preflight_leaked_duplicates(m: DataFrame, k: int = C.PREFLIGHT_SAMPLE) -> DataFrame:
@@ -252,22 +264,26 @@ def preflight_unrouted(m: DataFrame, k: int = C.PREFLIGHT_SAMPLE) -> DataFrame:
 
 
 def preflight_summary(m: DataFrame, state: DataFrame) -> DataFrame:
-    """check, pass, count (capped at the sample size), queued, all_clear."""
-    checks = [
-        ("No two queued records share an inbox", preflight_inbox_collisions(m)),
-        ("Nobody already in Como is queued again", preflight_already_settled(m, state)),
-        ("No records flagged as duplicates are queued", preflight_leaked_duplicates(m)),
-        ("Every queued record has a brand tag", preflight_unrouted(m)),
-    ]
-    parts = None
-    for i, (name, df) in enumerate(checks):
-        c = df.agg(F.count(F.lit(1)).alias("count")).select(
-            F.lit(i + 1).alias("check_no"), F.lit(name).alias("check"), "count")
-        parts = c if parts is None else parts.unionByName(c)
-    parts = parts.withColumn("pass", F.col("count") == 0)
-    queued = _queued(m).where(F.col("duplicate_of").isNull()).agg(F.count(F.lit(1)).alias("queued"))
-    all_clear = parts.agg(F.bool_and("pass").alias("all_clear"))
-    return _with_total(_with_total(parts, queued), all_clear)
+    """check, pass, count (capped at the sample size), total (uncapped),
+    queued, all_clear.  One conditional aggregate over the master and one pass
+    for each of the two keyed checks."""
+    q = F.coalesce(F.col("needs_push"), F.lit(False))
+    brands = F.array(*[F.lit(b) for b in C.BRANDS])
+    one = m.agg(_cnt(q & F.col("duplicate_of").isNotNull()).alias("n3"), _cnt(q & ~F.arrays_overlap(F.col("tags"), brands)).alias("n4"),
+                _cnt(q & F.col("duplicate_of").isNull()).alias("queued"))
+    one = _with_total(one, _collisions(m).agg(F.count(F.lit(1)).alias("n1")))
+    one = _with_total(one, _settled(m, state).agg(F.count(F.lit(1)).alias("n2")))
+    checks = F.array(*[F.struct(F.lit(i).alias("check_no"), F.lit(name).alias("check"), F.col(f"n{i}").cast("long").alias("total"))
+                       for i, name in enumerate(C.PREFLIGHT_CHECKS, 1)])
+    clear = (F.col("n1") == 0) & (F.col("n2") == 0) & (F.col("n3") == 0) & (F.col("n4") == 0)
+    return one.select(F.inline(checks), "queued", clear.alias("all_clear")).select(
+        "check_no", "check", F.least("total", F.lit(C.PREFLIGHT_SAMPLE)).cast("long").alias("count"), "total",
+        (F.col("total") == 0).alias("pass"), "queued", "all_clear")
+
+
+def top_possible_duplicates(groups: DataFrame, k: int = 20) -> DataFrame:
+    """The largest groups of people with equal names and birthday."""
+    return groups.orderBy(F.desc("records"), F.asc("first_name"), F.asc("last_name"), F.asc_nulls_first("birthday")).limit(k)
 
 
 # ---------------------------------------------------------------------------

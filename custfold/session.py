@@ -42,41 +42,34 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as given.
-    Only when it is unset (local tests) is a scratch folder created.
+    On a cluster the setting names a folder that driver and executors share
+    and is used as given.  Only a local master may go without it; it gets one
+    scratch folder per application.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = sc.getConf().get("spark.checkpoint.dir", None) or getattr(sc, "_custfold_scratch", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="custfold-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(current)
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        current = sc._custfold_scratch = tempfile.mkdtemp(prefix="custfold-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
-def spread(df, metric: str = "rows_in"):
-    """Spread a CPU-heavy row pass over all cores when the scan yields
-    fewer partitions than the cluster has task slots (small inputs only;
-    a large input already arrives in many splits and is left alone).
-
-    The spread rows are counted with ``observe`` (the input row count of
-    the pass, readable from the query's observed metrics); filters of the
-    pass are not pushed below an observation, so they run after the
-    spread on all task slots.
-    """
-    import uuid
-    from pyspark.sql import functions as F
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        name = f"{metric}_{uuid.uuid4().hex[:8]}"
-        return df.repartition(slots).observe(name, F.count(F.lit(1)).alias("rows"))
-    return df
+def is_local(master: str) -> bool:
+    """One JVM: every task sees the driver's folders."""
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
-def checked_broadcast(df, max_rows: int = 100_000):
-    """Broadcast ``df`` only when it provably holds at most ``max_rows``
-    rows (a bounded ``limit(max_rows + 1).count()``); otherwise return it
-    unchanged so the planner picks a shuffle join."""
-    from pyspark.sql import functions as F
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def folder_version(spark: SparkSession, folder: str) -> tuple:
+    """Paths, lengths and modification times of the tables in a folder, so
+    that what is kept for a session is not used for changed inputs."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for pattern in ("*.parquet", "*.parquet/*"):
+        for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(path, pattern)) or []:
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))

@@ -18,7 +18,7 @@ SELECT 'doc-' || CAST(c_custkey AS STRING) AS doc_id,
        WHEN c_custkey % 31 = 0 THEN CAST(900000 + c_custkey AS STRING) || '@gmail.com'
        WHEN c_custkey % 37 = 0 THEN 'staff' || CAST(c_custkey AS STRING) || '@yolkbrands.com'
        WHEN c_custkey % 41 = 0 THEN 'broken' || CAST(c_custkey AS STRING) || '.example.com'
-       ELSE CASE WHEN c_custkey % 4 = 0 THEN ' User.' ELSE 'user' END || CAST(c_custkey % 1000 AS STRING)
+       ELSE CASE WHEN c_custkey % 4 = 0 THEN ' User.' ELSE 'user' END || CAST(CASE WHEN c_custkey % 20 IN (12, 16) THEN c_custkey - 6 WHEN c_custkey % 30 = 24 THEN c_custkey - 12 ELSE c_custkey END AS STRING)
             || CASE WHEN c_custkey % 8 = 0 THEN '+promo' ELSE '' END || '@'
             || split_part('gmail.com,googlemail.com,gmial.com,hotmail.com,yahoo.con,example.com', ',', CAST(c_custkey % 6 AS INT) + 1)
   END AS email,
@@ -52,7 +52,9 @@ SELECT o_orderkey AS _seq,
        WHEN o_orderkey % 20 = 4 THEN split_part('sdfgsdfgsdfg,qwrtplkjh,aaaaaaaa,xyzxyzxyz,hjklhjkl', ',', CAST(o_custkey % 5 AS INT) + 1) || '@gmail.com'
        WHEN o_orderkey % 20 = 5 THEN 'no-at-sign'
        WHEN o_orderkey % 20 = 6 THEN '   '
-       ELSE ' User' || CAST(o_custkey % 1000 AS STRING) || '@'
+       WHEN o_orderkey % 20 = 7 THEN chr(160) || 'User' || CAST(o_custkey AS STRING) || '@hotmail.com'
+       WHEN o_orderkey % 20 = 8 THEN 'us' || chr(160) || 'er' || CAST(o_custkey AS STRING) || '@hotmail.com'
+       ELSE ' User' || CAST(o_custkey AS STRING) || '@'
             || split_part('gmail.com,hotmail.com,example.com', ',', CAST(o_custkey % 3 AS INT) + 1) END AS email,
   CASE WHEN o_orderpriority = '5-LOW' THEN NULL
        ELSE o_orderpriority IN ('1-URGENT', '2-HIGH') END AS email_opt_in,
@@ -89,36 +91,46 @@ SELECT email, brand, status,
   CASE WHEN status IN ('failed', 'conflict') THEN 'rejected by platform' ELSE 'created' END AS detail,
   CASE WHEN status = 'ok' THEN 'm' || CAST(k AS STRING) END AS como_member_id,
   CAST(NULL AS STRING) AS common_ext_id,
-  TIMESTAMP '2024-01-20 00:00:00' AS last_pushed_at
+  TIMESTAMP '2024-01-20 00:00:00' - INTERVAL '1' DAY * CAST(k % 30 AS INT) AS last_pushed_at
 FROM (
   SELECT c_custkey AS k,
     'user' || CAST(c_custkey AS STRING) || '@' || split_part('gmail.com,hotmail.com,example.com', ',', CAST(c_custkey % 3 AS INT) + 1) AS email,
     split_part('PICKL,BONBIRD,SOUTHPOUR', ',', CAST(c_custkey % 3 AS INT) + 1) AS brand,
-    split_part('ok,exists,failed,conflict', ',', CAST(c_custkey % 4 AS INT) + 1) AS status
-  FROM customer WHERE c_custkey < 1000 AND c_custkey % 5 = 0) q
+    split_part('ok,exists,failed,conflict,failed', ',', CAST(c_custkey % 5 AS INT) + 1) AS status
+  FROM customer) q
 """,
     "push_responses": """
-SELECT 'user' || CAST(c_custkey AS STRING) || '@example.com' AS email,
-  split_part('PICKL,BONBIRD,SOUTHPOUR', ',', CAST(c_custkey % 3 AS INT) + 1) AS brand,
-  CASE WHEN c_custkey % 2 = 0 THEN 'create' ELSE 'update' END AS mode,
-  CASE CAST(c_custkey % 5 AS INT)
-    WHEN 0 THEN '{"status":"ok","membership":{"comoMemberId":"m' || CAST(c_custkey AS STRING) || '","commonExtId":"x' || CAST(c_custkey AS STRING) || '"}}'
-    WHEN 4 THEN NULL
-    WHEN 3 THEN '{"status":"error","errors":[{"code":"5000001"}]}'
-    ELSE '{"status":"error","errors":[{"code":"4001012"}]}' END AS lookup_body,
-  CASE CAST(c_custkey % 7 AS INT)
-    WHEN 0 THEN '{"status":"error","errors":[{"code":"4000","cause":[{"code":4000000}]}]}'
-    WHEN 1 THEN NULL
-    WHEN 2 THEN '{"status":"error","errors":[{"code":"9999999"}]}'
-    ELSE '{"status":"ok","membership":{"comoMemberId":"n' || CAST(c_custkey AS STRING) || '"}}' END AS create_body,
-  CASE CAST(c_custkey % 11 AS INT)
-    WHEN 1 THEN '{"status":"error","errors":[{"code":"4001012"}]}'
-    WHEN 3 THEN '{"status":"error","errors":[{"code":"4000000"}]}'
-    WHEN 5 THEN '{"status":"error","errors":[{"code":"4000000","cause":[{"code":"4001012"}]}]}'
-    WHEN 7 THEN '{"status":"error","errors":[{"code":"9999999"}]}'
-    WHEN 9 THEN NULL
-    ELSE '{"status":"ok"}' END AS update_body
-FROM customer
+SELECT email, brand, mode, attempt, lookup_body, create_body, update_body,
+  CASE WHEN create_body IS NULL AND update_body IS NULL THEN 'HTTPSConnectionPool(host=''api''): "timed out" é' END AS error_text
+FROM (
+  SELECT 'user' || CAST(c_custkey AS STRING) || '@example.com' AS email,
+    split_part('PICKL,BONBIRD,SOUTHPOUR', ',', CAST(c_custkey % 3 AS INT) + 1) AS brand,
+    CASE WHEN c_custkey % 2 = 0 THEN 'create' ELSE 'update' END AS mode, 1 AS attempt,
+    CASE CAST(c_custkey % 5 AS INT)
+      WHEN 0 THEN '{"status":"ok","membership":{"comoMemberId":"m' || CAST(c_custkey AS STRING) || '","commonExtId":"x' || CAST(c_custkey AS STRING) || '"}}'
+      WHEN 4 THEN NULL
+      WHEN 3 THEN '{"status":"error","errors":[{"code":"5000001"}]}'
+      ELSE '{"status":"error","errors":[{"code":"4001012"}]}' END AS lookup_body,
+    CASE CAST(c_custkey % 7 AS INT)
+      WHEN 0 THEN '{"status":"error","errors":[{"code":"4000","cause":[{"code":4000000}]}]}'
+      WHEN 1 THEN NULL
+      WHEN 2 THEN '{"status":"error","errors":[{"code":"9999999","message":"retry at 12:30,then [é]"}]}'
+      WHEN 3 THEN '{"status":"error","errors":[{"code":"9999998","message":"member already exists"}]}'
+      ELSE '{"status":"ok","membership":{"comoMemberId":"n' || CAST(c_custkey AS STRING) || '"}}' END AS create_body,
+    CASE CAST(c_custkey % 11 AS INT)
+      WHEN 1 THEN '{"status":"error","errors":[{"code":"4001012"}]}'
+      WHEN 3 THEN '{"status":"error","errors":[{"code":"4000000"}]}'
+      WHEN 5 THEN '{"status":"error","errors":[{"code":"4000000","cause":[{"code":"4001012"}]}]}'
+      WHEN 7 THEN '{"status":"error","errors":[{"code":"9999999"}]}'
+      WHEN 9 THEN NULL
+      ELSE '{"status":"ok"}' END AS update_body
+  FROM customer
+  UNION ALL
+  SELECT 'user' || CAST(c_custkey AS STRING) || '@example.com',
+    split_part('PICKL,BONBIRD,SOUTHPOUR', ',', CAST(c_custkey % 3 AS INT) + 1), 'create', 2,
+    '{"status":"error","errors":[{"code":"4001012"}]}',
+    CASE WHEN c_custkey % 4 = 0 THEN '{"status":"ok","membership":{"comoMemberId":"r' || CAST(c_custkey AS STRING) || '"}}' END, NULL
+  FROM customer WHERE c_custkey % 6 < 2) q
 """,
     "wifi_batch_1": """
 SELECT 'doc-' || CAST(c_custkey AS STRING) AS doc_id, 'F' || CAST(c_custkey % 7 AS STRING) AS "Fname",
@@ -127,11 +139,28 @@ SELECT 'doc-' || CAST(c_custkey AS STRING) AS doc_id, 'F' || CAST(c_custkey % 7
     "wifi_batch_2": """
 SELECT 'doc-' || CAST(c_custkey AS STRING) AS doc_id, 'G' || CAST(c_custkey % 7 AS STRING) AS fname,
   c_custkey % 12 AS visits, '{"plan": "free"}' AS meta FROM customer WHERE c_custkey % 4 <> 0
+""",
+    "wifi_json_1": """
+SELECT c_custkey AS _seq, 'doc-' || CAST(c_custkey AS STRING) AS doc_id,
+  '{"Fname":"F' || CAST(c_custkey % 7 AS STRING) || '","lname":"L' || CAST(c_custkey % 5 AS STRING) || '"}' AS body
+FROM customer WHERE c_custkey % 4 <> 3
+""",
+    "wifi_json_2": """
+SELECT c_custkey AS _seq, 'doc-' || CAST(c_custkey AS STRING) AS doc_id,
+  '{"visits":' || CAST(c_custkey % 12 AS STRING)
+    || CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 3 = 1 THEN ',"Fname":null' ELSE ',"Fname":"G' || CAST(c_custkey % 7 AS STRING) || '"' END
+    || CASE WHEN c_custkey % 5 = 0 THEN ',"meta":{"plan":"free","n":[1,2]}' ELSE '' END || '}' AS body
+FROM customer WHERE c_custkey % 4 <> 0
+UNION ALL
+SELECT 1000000000 + c_custkey, 'doc-' || CAST(c_custkey AS STRING),
+  CASE WHEN c_custkey % 8 = 1 THEN '{"visits":null}' ELSE '{"lname":"second","visits":99}' END
+FROM customer WHERE c_custkey % 4 = 1
 """,
     "run_log": """
 SELECT 'run' || CAST(event_id AS STRING) AS id,
   split_part('wifi,revel,master,push,push_dry', ',', CAST(event_id % 5 AS INT) + 1) AS job,
-  ts AS started_at, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status
-FROM events WHERE event_id % 7 = 0
+  ts AS started_at, CASE WHEN event_id % 3 = 0 THEN NULL ELSE ts + INTERVAL '1' MINUTE END AS finished_at,
+  CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status
+FROM events
 """,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from custfold.session import folder_version
 from custfold.sources.fixture_sql import FIXTURE_SQL
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
@@ -16,13 +17,14 @@ _FIXTURE_BASES = {
     "signup_events": ["events"], "prior_master": ["supplier"],
     "push_state": ["customer"], "push_responses": ["customer"],
     "wifi_batch_1": ["customer"], "wifi_batch_2": ["customer"],
+    "wifi_json_1": ["customer"], "wifi_json_2": ["customer"],
     "run_log": ["events"],
 }
 
 
 def spark_fixture_sql(name: str) -> str:
     """The portable fixture text in Spark's identifier quoting."""
-    return FIXTURE_SQL[name].replace('"Fname"', "`Fname`")
+    return FIXTURE_SQL[name].replace('AS "Fname"', "AS `Fname`")
 
 
 def register_base(spark: SparkSession, sf_dir: str, names=None) -> None:
@@ -41,7 +43,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     views for another scale later does not change it.  The lazy plan (not
     data) is reused within a session, which saves re-analysis.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, folder_version(spark, sf_dir), name)
     if key not in _PLANS:
         register_base(spark, sf_dir, _FIXTURE_BASES[name])
         _PLANS[key] = spark.sql(spark_fixture_sql(name))

@@ -39,8 +39,14 @@ def signup_state_stream(events: DataFrame) -> DataFrame:
     return ingest.signup_state(ingest.accept_signups(events), batch=0)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start_signup_stream(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
-                        schema, files_per_trigger: int = 1) -> StreamingQuery:
+                        schema, files_per_trigger: int = 100) -> StreamingQuery:
+    """Start the job over what has landed.  The state of all emails is kept by
+    RocksDB on the executors' disks, not in their heaps."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_dir))
     return (signup_state_stream(stream).writeStream.outputMode("update")
@@ -48,12 +54,40 @@ def start_signup_stream(spark: SparkSession, source_dir: str, table_dir: str, ch
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def read_signup_table(spark: SparkSession, table_dir: str) -> DataFrame:
-    """Current state: per email the row of the newest delta holding it."""
-    deltas = spark.read.parquet(table_dir)
+def _folders(spark: SparkSession, folder: str, prefix: str) -> dict[int, str]:
+    """Number -> path of the folders ``<prefix><number>`` that were written whole."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(path(folder, f"{prefix}*/_SUCCESS")) or []
+    paths = [f.getPath().getParent().toString() for f in found]
+    return {int(p.rsplit(prefix, 1)[1]): p for p in paths}
+
+
+def _newest(deltas: DataFrame) -> DataFrame:
     cols = [c for c in deltas.columns if c not in ("email", "epoch")]
-    newest = F.max(F.struct(F.col("epoch").alias("_e"), *[F.col(c) for c in cols])).alias("_n")
-    return deltas.groupBy("email").agg(newest).select("email", *[F.col(f"_n.{c}").alias(c) for c in cols])
+    newest = F.max(F.struct(F.col("epoch").alias("epoch"), *[F.col(c) for c in cols])).alias("_n")
+    return deltas.groupBy("email").agg(newest).select("email", "_n.*")
+
+
+def _current(spark: SparkSession, table_dir: str) -> DataFrame:
+    base = _folders(spark, table_dir, "base=")
+    upto = max(base, default=-1)
+    paths = ([base[upto]] if base else []) + [p for e, p in sorted(_folders(spark, table_dir, "epoch=").items()) if e > upto]
+    return _newest(spark.read.parquet(*paths))
+
+
+def read_signup_table(spark: SparkSession, table_dir: str) -> DataFrame:
+    """Current state: per email the newest row among the latest base and the
+    epochs after it."""
+    return _current(spark, table_dir).drop("epoch")
+
+
+def compact_signup_table(spark: SparkSession, table_dir: str) -> None:
+    """Fold the base and all epochs so far into a new base; readers then open
+    the base and newer epochs only."""
+    upto = max(_folders(spark, table_dir, "epoch="), default=None)
+    if upto is not None:
+        _current(spark, table_dir).write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/base={upto:09d}")
 
 
 def run_signup_stream(spark: SparkSession, events: DataFrame, n_files: int = 3) -> DataFrame:
@@ -63,6 +97,6 @@ def run_signup_stream(spark: SparkSession, events: DataFrame, n_files: int = 3)
     src = f"{root}/landed"
     events.repartition(n_files, "event_id").write.parquet(src)
     schema = spark.read.parquet(src).schema
-    q = start_signup_stream(spark, src, f"{root}/table", f"{root}/chk", schema)
+    q = start_signup_stream(spark, src, f"{root}/table", f"{root}/chk", schema, files_per_trigger=1)
     q.awaitTermination()
     return ingest.signups_from_state(read_signup_table(spark, f"{root}/table"))
