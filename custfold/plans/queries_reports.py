@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from custfold import config as C
 from custfold.catalog import REGISTRY, register
-from custfold.operators import ingest, master as M
+from custfold.operators import activate, ingest, master as M
 from custfold.oracle import duck as D
 from custfold.plans import pipeline, reports as R
 from custfold.sources.fixtures import fixture
@@ -335,3 +335,50 @@ for _name in ["quality_totals", "consent_overall", "consent_by_source", "consent
             return fn(spark, sf)
 
     register(f"{_name}_prior", D.over_prior(_sql))(_over_prior)
+
+
+# A master on which the duplicate pass has not run, one whose duplicates were
+# queued again, a brand in mid-backfill, and signups with recorded outcomes.
+_OPEN = _COLL.replace("SELECT email_key", f"SELECT email_key, {CNT} AS records, min(email) AS first_email").replace(" AND duplicate_of IS NULL", "")
+_UNFLAGGED = "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS duplicate_of, true AS needs_push) FROM master"
+
+
+def _unflagged(spark, sf):
+    return _m(spark, sf).withColumn("duplicate_of", F.lit(None).cast("string")).withColumn("needs_push", F.lit(True))
+
+
+@register("preflight_inbox_collisions_unflagged", D.with_ctes(["master"], _OPEN.replace("FROM master", f"FROM ({_UNFLAGGED}) m")))
+def q_preflight_inbox_unflagged(spark, sf):
+    return R.preflight_inbox_collisions(_unflagged(spark, sf))
+
+
+@register("preflight_collision_members", D.with_ctes(["master"], f"""
+SELECT email_key, CAST(count(*) OVER (PARTITION BY email_key) AS BIGINT) AS records, email FROM ({_UNFLAGGED}) m
+WHERE email_key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY email_key) > 1"""))
+def q_preflight_collision_members(spark, sf):
+    return R.preflight_collision_members(_unflagged(spark, sf))
+
+
+@register("preflight_leaked_duplicates_requeued", D.with_ctes(["master"], _LEAKED.replace("needs_push AND ", "")))
+def q_preflight_leaked_requeued(spark, sf):
+    return R.preflight_leaked_duplicates(_m(spark, sf).withColumn("needs_push", F.lit(True)))
+
+
+@register("pipeline_overview_backfill", D.with_ctes(["revel_customers"], f"""
+SELECT 'revel' AS stage, {CNT} AS rows, {_cnt('email_ok')} AS usable, 'backfilling: Bonbird' AS detail, true AS warn FROM revel_customers"""))
+def q_pipeline_overview_backfill(spark, sf):
+    state = ingest.advance_watermark(None, fixture(spark, sf, "revel_raw")).withColumn("backfill_complete", F.col("brand") != "Bonbird")
+    out = R.pipeline_overview(None, _pos(spark, sf), state, None, None)
+    return out.where("stage = 'revel'").select("stage", "rows", "usable", "detail", "warn")
+
+
+@register("signup_totals_after_push", D.with_ctes(["newsletter_signups", "push_responses"], f"""
+SELECT {CNT} AS total, {_cnt("st = 'ok'")} AS pushed, {_cnt("st = 'exists'")} AS already_there, {_cnt("st = 'failed'")} AS failed,
+  {_cnt('st IS NULL')} AS not_tried
+FROM newsletter_signups n LEFT JOIN (
+  SELECT email, arg_max(CASE WHEN coalesce(json_extract_string(create_body, '$.status') = 'ok', false) THEN 'ok'
+    WHEN contains(coalesce(create_body, 'null'), 'already exists') THEN 'exists' ELSE 'failed' END, attempt) AS st
+  FROM push_responses GROUP BY email) o ON o.email = n.email"""))
+def q_signup_totals_after_push(spark, sf):
+    done = activate.push_outcome_signup(fixture(spark, sf, "push_responses"))
+    return R.signup_totals(activate.apply_signup_outcomes(_news(spark, sf), done))

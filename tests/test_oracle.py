@@ -24,12 +24,12 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     fn, sql = REGISTRY[name]
     r = compare(spark, con, name, fn, sql, SMALL)
-    assert r.get("ok") in (True, None), r
+    assert sql and r.get("ok") is True, r
 
 
 def test_entry_smoke(spark):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as e
     df = e.entry(spark)
-    assert df.count() >= 0
+    assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
