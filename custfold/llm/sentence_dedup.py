@@ -96,7 +96,8 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     repeated = store(found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), "span-repeats")
     at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_h", "pos").alias("at")
     places = store(found.join(repeated, "a").select("a", "b", at, "last"), "span-places")
-    first = places.groupBy("a", "b").agg(F.min("at").alias("first"))
+    # Written, so that the join below deals both sides anew and hot spans are split.
+    first = store(places.groupBy("a", "b").agg(F.min("at").alias("first")), "span-first")
     later = places.join(first, ["a", "b"]).where(F.col("at") > F.col("first"))
     gone = (later.select("at.doc_id", "at._h", F.explode(F.sequence("at.pos", "last")).alias("pos"))
             .groupBy("doc_id", "_h").agg(F.collect_set("pos").alias("gone")))
