@@ -413,14 +413,16 @@ def customer_360(emails: DataFrame, master: DataFrame, sources: dict[str, DataFr
                  state: DataFrame | None) -> DataFrame:
     """One row per looked-up email: master fields and per-table row counts.
 
-    Source tables are pre-aggregated by lower(email) before the join, so
-    a hot address costs one row per table, not its raw rows.
+    Source tables are cut to the asked-for addresses, then pre-aggregated by
+    lower(email), so a hot address costs one row per table, not its raw rows.
     """
     e = emails.select(F.lower(F.trim(F.col("email"))).alias("email")).distinct()
     out = e.join(master.select("email", F.lit(True).alias("in_master"), "first_name", "last_name",
                                F.array_join("tags", ",").alias("tags")), "email", "left")
     for name, df in sources.items():
-        counts = df.where(F.col("email").isNotNull()).groupBy(F.lower(F.col("email")).alias("email")) \
+        asked = e.select(F.col("email").alias("_asked"))
+        mine = df.join(asked, F.lower(F.col("email")) == F.col("_asked"), "left_semi")
+        counts = mine.groupBy(F.lower(F.col("email")).alias("email")) \
             .agg(F.count(F.lit(1)).alias(f"{name}_rows"))
         out = out.join(counts, "email", "left").withColumn(
             f"{name}_rows", F.coalesce(F.col(f"{name}_rows"), F.lit(0)).cast("long"))

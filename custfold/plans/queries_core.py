@@ -315,9 +315,8 @@ def q_gibberish_score(spark, sf):
 SELECT _seq, email, CASE WHEN email_reason IS NULL THEN 'keep' ELSE 'drop' END AS verdict, email_reason
 FROM revel_typed ORDER BY _seq LIMIT 15"""))
 def q_email_check_sample(spark, sf):
-    raw = fixture(spark, sf, "revel_raw").select("_seq", "email")
-    chk = E.with_email_check(raw, "email")
-    return chk.orderBy("_seq").limit(15).select(
+    first = fixture(spark, sf, "revel_raw").select("_seq", "email").orderBy("_seq").limit(15)  # the report's rows
+    return E.with_email_check(first, "email").select(
         "_seq", "email", F.when(F.col("email_ok"), "keep").otherwise("drop").alias("verdict"), "email_reason")
 
 
