@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custfold.llm.common import store, table, text_of
+from custfold.llm.common import ship, store, table, text_of
 
 #: Fingerprints that a shard of merged filters holds on average.
 SHARD_ROWS = 1 << 20
@@ -61,6 +61,7 @@ def merge_filters(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
 
 def repeated_fingerprints(prints: DataFrame, col: str = "fp") -> DataFrame:
     """Fingerprints (``fp``, ``copies``) that occur more than once."""
+    ship(prints.sparkSession)
     n = prints.count()
     bits = max(MIN_SHARD_BITS, min(24, (n // SHARD_ROWS).bit_length()))
 

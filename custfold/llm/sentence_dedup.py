@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custfold.llm.common import same_key, store, table, text_of
+from custfold.llm.common import same_key, ship, store, table, text_of
 
 MIN_SENTENCES, MIN_WORDS, ALONE_WORDS = 2, 12, 30
 #: One sentence with the white space behind it; every character is in one.
@@ -88,6 +88,7 @@ def _emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_sentences, n_removed, text`` (what stays) of every row."""
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_of(docs, text_col)
     rows = docs.select(docs[id_col].alias("doc_id"), text.alias("body"), F.xxhash64(text).alias("_h"))

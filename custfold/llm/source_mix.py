@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from custfold.llm.common import same_key, store, table, text_of
+from custfold.llm.common import same_key, ship, store, table, text_of
 
 BLOCK, RESERVE, CAP, WEIGHTS, SEED = 1024, 12, 3, (1, 2, 3), 7
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -128,6 +128,7 @@ def _decide(names: list[str], seed: int, level: int, last: bool):
 def balanced(units: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """``units (sid, p, size, ...)`` with every ``p`` decided to 0 or 1, the
     sums of ``p`` and of ``p * size`` kept per ``sid``."""
+    ship(units.sparkSession)
     schema = units.schema
     undecided = (F.col("p") > 0) & (F.col("p") < 1)
     done, todo, level = None, units, 0

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custfold.llm.common import same_key, store, table, text_of
+from custfold.llm.common import same_key, ship, store, table, text_of
 
 CHUNK, OVERLAP, LIMIT = 16_384, 256, 1024
 SLICE = 1 << 20  # characters cut into pieces at once
@@ -185,6 +185,7 @@ def _long_counts(long: DataFrame, tokenizer: str, chunk: int, overlap: int) -> D
 def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT, chunk: int = CHUNK,
                  overlap: int = OVERLAP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row of ``docs``."""
+    ship(docs.sparkSession)
     tokenizer = tokenizer or default_tokenizer()
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("body"))
     huge = F.length("body") > chunk + overlap

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custfold.llm.common import store, table, text_of
+from custfold.llm.common import ship, store, table, text_of
 
 P, SPAN, GAP, SIGN, WINDOW, GOOD = 4, 7, 0.5, 0.9, 16, 0.7
 TRAIN_ROWS, LANDMARKS, LEAST_DOCS, ALIKE, COST = 8000, 48, 4, 0.3, 10.0
@@ -255,6 +255,7 @@ def fold(doc_id: Column) -> Column:
 
 def train_model(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on at most ``rows`` labelled rows outside the held-out fold."""
+    ship(docs.sparkSession)
     known = labels.select(labels["doc_id"], labels["toxic"].cast("int").alias("toxic")).where("toxic IS NOT NULL AND doc_id IS NOT NULL")
     known = known.where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = store(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "toxic-labels")
