@@ -40,10 +40,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custfold.llm.common import same_key, store, table, text_of
+from custfold.llm.common import same_key, ship, store, table, text_of
 from custfold.llm.shingles import mix, shingle_sets
 
-THRESHOLD, LEAF, DEPTH, RECALL = 0.8, 64, 3, 0.995
+THRESHOLD, LEAF, DEPTH, RECALL = 0.8, 128, 3, 0.995
 BINS, LIKELY = 64, 0.58
 _U = np.uint64
 
@@ -252,6 +252,11 @@ def _edges(rows: list[tuple]) -> pa.RecordBatch:
 def connected(edges: DataFrame) -> DataFrame:
     """``v, c``: every endpoint of ``edges (u, v)`` with the smallest vertex of
     its component, by min-label rounds with pointer jumping."""
+    # One star step first: each vertex points at its smallest root, and its
+    # other roots at that one, so many roots of a large group become few edges.
+    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    edges = (edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.withColumnRenamed("m", "v"))
+             .where("u <> v").distinct())
     both = store(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "cc-edges")
     label = store(both.groupBy("v").agg(F.min("u").alias("c")).select("v", F.least("v", "c").alias("c")), "cc-labels")
     while True:
@@ -290,6 +295,7 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     """``doc_id, _h, class_id, class_h, n_links`` of every row: the class of
     linked texts, named by its first document, and the number of other rows
     whose text is linked to this one."""
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_of(docs, text_col)
     rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(text).alias("_h"), text.alias("body"))
