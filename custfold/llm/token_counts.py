@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +33,13 @@ from pyspark.sql import functions as F
 from custfold.llm.common import same_key, ship, store, table, text_of
 
 CHUNK, OVERLAP, LIMIT = 16_384, 256, 1024
+FEW = 64  # chunks cut into pieces at once
 SLICE = 1 << 20  # characters cut into pieces at once
-MEMO = 1 << 19  # pieces in a generation of a worker's memo
+MEMO = 1 << 20  # pieces in a generation of a worker's memo
 #: U+180E is white space in older Unicode tables only; never cut beside it.
 STABLE = re.compile("(?<=[^\\s\u180e])(?= [^\\s\u180e])")
 VISIBLE = re.compile("[^\\s\u180e](?:.*[^\\s\u180e])?", re.S)
+BLANK = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 FIRST = re.compile(".*[^\\s\u180e]", re.S)
 _TOKENIZERS: dict = {}
 
@@ -87,8 +90,7 @@ class PieceCounter:
         memo.update(zip(ok, self.encode([" " + p for p in ok]), strict=True))
 
     def count_all(self, texts: list[str]) -> list[int]:
-        """Tokens of each text.  Texts are cut at single spaces; where a space
-        is not a stable boundary the text takes the pattern instead."""
+        """Tokens of each text."""
         out: list[int] = []
         lo = 0
         while lo < len(texts):  # some texts at a time, to bound the pieces in memory
@@ -96,20 +98,37 @@ class PieceCounter:
             while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SLICE):
                 size += len(texts[hi])
                 hi += 1
-            cuts = [t.split(" ") for t in texts[lo:hi]]
-            self.learn(set().union(*(c[1:] for c in cuts)))
-            heads = self.encode([c[0] for c in cuts])
-            for i, c in enumerate(cuts):
-                ks = list(map(self.memo.__getitem__, c[1:]))
-                if ks and (-1 in ks or not FIRST.fullmatch(c[0])):
-                    out.append(self.boundaries(texts[lo + i])[2])
-                else:
-                    out.append(heads[i] + sum(ks))
+            out += [n for _, _, n in self.stable(texts[lo:hi])]
             lo = hi
         return out
 
-    def boundaries(self, text: str) -> tuple[list[int], list[int], int]:
-        """Offsets of stable boundaries, tokens before each, tokens in all."""
+    def stable(self, texts: list[str]) -> Iterator[tuple[list[int], list[int], int]]:
+        """Of each text: offsets of its stable boundaries, tokens before each,
+        tokens in all.  Texts are cut at single spaces; where a space is not a
+        stable boundary the text takes the pattern instead."""
+        cuts = [t.split(" ") for t in texts]
+        self.learn(set().union(*(c[1:] for c in cuts)))
+        # A blank at the end belongs to the last piece.
+        for c in cuts:
+            if len(c) > 2 and not c[-1]:
+                c[-2:] = [c[-2] + " "]
+        ends = self.encode([" " + c[-1] if len(c) > 1 else c[0] for c in cuts])
+        heads = self.encode([c[0] for c in cuts])
+        counts = [list(map(self.memo.__getitem__, c[1:-1])) for c in cuts]  # before the memo turns over
+        for text, c, ks, head, end in zip(texts, cuts, counts, heads, ends, strict=True):
+            if len(c) == 1:
+                yield [], [], head
+                continue
+            if -1 in ks or not c[-1][:1].strip(BLANK) or not (c[0] == "" or FIRST.fullmatch(c[0])):
+                yield self.by_pattern(text)
+                continue
+            at = list(accumulate(map(len, c[:-1])))
+            at = [a + i for i, a in enumerate(at)]
+            before = list(accumulate(ks, initial=head))
+            skip = 1 if not at[0] else 0  # the start of a text is no boundary inside it
+            yield at[skip:], before[skip:], before[-1] + end
+
+    def by_pattern(self, text: str) -> tuple[list[int], list[int], int]:
         pieces = STABLE.split(text)
         self.learn({p[1:] for p in pieces[1:]})
         at, before, pos, n = [], [], len(pieces[0]), self.encode(pieces[:1])[0]
@@ -165,8 +184,8 @@ def _long_counts(long: DataFrame, tokenizer: str, chunk: int, overlap: int) -> D
         counter = PieceCounter.of(tokenizer)
         for b in batches:
             rows = []
-            for d, h, s, e, body in zip(b["doc_id"], b["_h"], b["start"], b["end"], b["body"], strict=True):
-                at, before, n = counter.boundaries(body)
+            found = (x for lo in range(0, len(b), FEW) for x in counter.stable(b["body"].iloc[lo:lo + FEW].tolist()))
+            for d, h, s, e, (at, before, n) in zip(b["doc_id"], b["_h"], b["start"], b["end"], found, strict=True):
                 keep = [i for i, a in enumerate(at) if a <= overlap or a >= e - s - overlap]
                 rows.append((d, h, s, e, [at[i] for i in keep], [before[i] for i in keep], n))
             yield pd.DataFrame(rows, columns=["doc_id", "_h", "start", "end", "at", "before", "n"]).astype({"doc_id": b["doc_id"].dtype})
