@@ -261,7 +261,8 @@ def connected(edges: DataFrame) -> DataFrame:
     label = store(both.groupBy("v").agg(F.min("u").alias("c")).select("v", F.least("v", "c").alias("c")), "cc-labels")
     while True:
         near = (both.join(label.select(F.col("v").alias("u"), "c"), "u").groupBy("v").agg(F.min("c").alias("m")))
-        step = label.join(near, "v").select("v", "c", F.least("c", "m").alias("m"))
+        # Written, so that the next join deals both sides anew and a hot root is split.
+        step = store(label.join(near, "v").select("v", "c", F.least("c", "m").alias("m")), "cc-step")
         up = step.select(F.col("v").alias("m"), F.col("m").alias("to"))
         new = store(step.join(up, "m").select("v", "c", F.least("m", "to").alias("m")), "cc-labels")
         done = new.where("m <> c").isEmpty()
@@ -280,7 +281,8 @@ def _buckets(one: DataFrame, leaf: int, depth: int) -> DataFrame:
             above = F.transform(f"up{d}", lambda i: F.get(parents, i))  # noqa: B023
         rows = one.select("k", F.explode(F.arrays_zip(above.alias("parent"), F.col(f"p{d}").alias("path"))).alias("e")).select("k", "e.parent", "e.path")
         if big is not None:
-            rows = rows.join(big.select(F.col("path").alias("parent")), "parent")
+            # Read twice below, by the counts and by the leaves.
+            rows = store(rows.join(big.select(F.col("path").alias("parent")), "parent").select("k", "path"), f"bucket-rows-{d}")
         rows = rows.select("k", "path")
         counts = store(rows.groupBy("path").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"), f"bucket-sizes-{d}")
         small = counts.where(F.col("cnt") <= leaf) if d < depth else counts
