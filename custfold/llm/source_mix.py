@@ -9,9 +9,11 @@ at least one of the three is decided.
 
 Documents are dealt by a hash into blocks of about ``BLOCK`` within their
 source.  A block leaves at most two undecided documents, which meet in the
-blocks of the next round, until a source fits one block.  There ``RESERVE``
-documents are held back; they and what the flight leaves are the landing
-problem, solved by trying its outcomes for the word total nearest to the target.  All draws come from hashes, so reruns agree.
+blocks of the next round, until a source fits one block; sources of one block
+do not wait for larger ones.  ``RESERVE`` documents of each source are held
+back (of several blocks each holds its share for the next round); they and what
+the flight leaves are the landing problem, solved by trying its outcomes for
+the word total nearest to the target.  All draws come from hashes, so reruns agree.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 last in the order; a source without words has target 0 and gives nothing; a
@@ -113,14 +115,16 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def _decide(names: list[str], seed: int, level: int, last: bool):
+def _decide(names: list[str], seed: int, level: int, block: int):
     def work(g: pd.DataFrame) -> pd.DataFrame:
+        blocks = int(g["_blocks"].iloc[0])  # of this source alone
         g = g.sort_values(["_r", "doc_id", "size"], kind="stable")
         at = [seed, level, int(g["sid"].iloc[0]), int(g["_b"].iloc[0])]
         p, size = g["p"].to_numpy(copy=True), g["size"].to_numpy()
-        held = min(RESERVE, len(p)) if last else 0  # kept for the landing
+        # Kept for the landing; small blocks hold less, so that each round leaves fewer.
+        held = RESERVE if blocks == 1 else -(-min(RESERVE, block // 4) // blocks)
         p[held:] = fly(p[held:], size[held:], np.random.default_rng(at))
-        return g.assign(p=land(p, size) if last else p)[names]
+        return g.assign(p=land(p, size) if blocks == 1 else p)[names]
 
     return work
 
@@ -134,12 +138,12 @@ def balanced(units: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFram
     done, todo, level = None, units, 0
     while True:
         counts = todo.groupBy("sid").agg(F.count(F.lit(1)).alias("n"))
-        blocks = store(counts.select("sid", F.ceil(F.col("n") / block).cast("long").alias("blocks")), "mix-blocks")
-        last = blocks.where("blocks > 1").isEmpty()
+        blocks = store(counts.select("sid", F.ceil(F.col("n") / block).cast("long").alias("_blocks")), "mix-blocks")
+        last = blocks.where("_blocks > 1").isEmpty()
 
         random = F.xxhash64("doc_id", "size", F.lit(seed * 1000 + level))
-        dealt = todo.join(blocks, "sid").withColumn("_r", random).withColumn("_b", F.pmod(F.col("_r"), F.col("blocks"))).drop("blocks")
-        out = store(dealt.groupBy("sid", "_b").applyInPandas(_decide(schema.names, seed, level, last), schema), f"mix-level-{level}")
+        dealt = todo.join(blocks, "sid").withColumn("_r", random).withColumn("_b", F.pmod(F.col("_r"), F.col("_blocks")))
+        out = store(dealt.groupBy("sid", "_b").applyInPandas(_decide(schema.names, seed, level, block), schema), f"mix-level-{level}")
         ready = out.where(~undecided)
         done = ready if done is None else done.unionByName(ready)
         if last:

@@ -212,6 +212,26 @@ def test_mix_meets_targets(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_mix_is_near_for_small_sources_beside_large_ones(spark):
+    # Sources of one block, of two and of many: each lands over its own reserve.
+    rng = random.Random(5)
+    count = {sid: 60 for sid in range(10)} | {sid: 100 for sid in range(10, 20)} | {20: 3000}
+    rows = [(k, sid, rng.randint(50, 500), rng.uniform(0.1, 0.9)) for k, sid in enumerate(s for s, n in count.items() for _ in range(n))]
+    units = spark.createDataFrame(rows, "doc_id long, sid int, size long, p double")
+    want, got, docs = collections.Counter(), collections.Counter(), collections.Counter()
+    for _, sid, size, p in rows:
+        want[sid] += p * size
+        docs[sid] += p
+    done = source_mix.balanced(units, block=64).collect()
+    assert len(done) == len(rows) and {r["p"] for r in done} == {0.0, 1.0}
+    for r in done:
+        got[r["sid"]] += r["p"] * r["size"]
+        docs[r["sid"]] -= r["p"]
+    assert all(abs(d) <= 1 + 1e-6 for d in docs.values())
+    for sids in (range(10), range(10, 20), [20]):
+        assert sum(abs(got[s] - want[s]) / want[s] for s in sids) / len(sids) < 0.003
+
+
 def test_flight_keeps_totals():
     rng = np.random.default_rng(4)
     p, z = rng.random(500), rng.integers(0, 50, 500)
