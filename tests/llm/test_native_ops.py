@@ -122,6 +122,17 @@ def test_decontamination_equals_plain_version(spark):
     assert have == sorted(want)
 
 
+def test_terms_do_not_depend_on_their_neighbours(spark):
+    import hashlib
+    bench = [(1, "Α.Σ. ΟΔΟΣ.ΑΒ"), (2, "ΟΔΟΣ'ΑΒ:Σ İ.I one two three four five six seven eight nine")]
+    texts = ["Α.Σ. ΟΔΟΣ.ΑΒ", "x Α Σ ΟΔΟΣ ΑΒ y", "ΟΔΟΣ ΑΒ Σ İ I one two three four five", "α.σ. οδος.αβ", "ΟΔΟΣ"]
+    got = decontaminate.contamination_digest(decontaminate.contamination(docs_of(spark, texts), items(spark, bench))).collect()
+    for r in got:
+        n, h, ids = plain_hits(texts[r["doc_id"]], bench)
+        assert (r["n_words"], r["n_hit"], r["items_sha256"]) == (n, h, hashlib.sha256(ids.encode()).hexdigest())
+    assert sorted(r["doc_id"] for r in got if r["contaminated"]) == [0, 1, 2]
+
+
 def test_decontamination_empty_tables(spark):
     docs, bench = edge_docs(spark), items(spark, [(1, "a b c")])
     assert decontaminate.contamination(docs.limit(0), bench).count() == 0
