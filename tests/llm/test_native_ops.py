@@ -148,6 +148,19 @@ def test_proximity_matches(spark):
     assert [r["doc_id"] for r in decontaminate.proximity_matches(index, probes, slop=10).collect()] == [0]
 
 
+def test_near_matches_with_production_parameters(spark):
+    import hashlib
+    item = "alpha bravo charlie delta echo foxtrot golf hotel india juliett kilo lima"
+    bench = [(1, item + " absentword"), (2, "zulu yankee xray whiskey absentone victor"), (3, "lonely absenttwo absentthree absentfour")]
+    w = item.split()
+    texts = [" ".join(reversed(w)), " ".join(["swapped" if x == "delta" else x for x in w]), "victor then whiskey and xray or yankee of zulu",
+             (" filler" * 50).join(w), "lonely words", "alpha " + "filler " * 19 + "bravo charlie", "", None, item]
+    got = {r["doc_id"]: r for r in decontaminate.contamination_digest(decontaminate.contamination(docs_of(spark, texts), items(spark, bench))).collect()}
+    near = {0: "1", 1: "1", 2: "2", 8: "1"}
+    assert {i: r["near_items_sha256"] for i, r in got.items()} == {i: hashlib.sha256(near.get(i, "").encode()).hexdigest() for i in range(len(texts))}
+    assert all(r["n_near"] == (i in near) and r["contaminated"] == (i == 8) for i, r in got.items())
+
+
 def test_secret_scan(spark):
     good = "0123456789abcdef0123456789abcdef01234567"
     texts = [f'some words token = "{good[k % 16:]}{k:04d}" more' if k % 2 else f"call 40{k:014d} or see /path/{k:020d}/x now" for k in range(120)]
