@@ -3,7 +3,21 @@ DuckDB statements of those that SQL can express."""
 
 from __future__ import annotations
 
-from custfold.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, secret_scan, sentence_dedup, source_mix, token_counts, toxicity, url_filter
+from custfold.llm import (
+    collocations,
+    conversations,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    line_dedup,
+    packing,
+    secret_scan,
+    sentence_dedup,
+    source_mix,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -16,6 +30,9 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_substring_dedup": sentence_dedup.op9_substring_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_packing": packing.op11_packing,
+    "op12_conversation_repair": conversations.op12_conversation_repair,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
 ORACLES = {
@@ -23,4 +40,5 @@ ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
     "op6_benchmark_decontamination": decontaminate.OP6_SQL,
+    "op13_phrase_collocations": collocations.OP13_SQL,
 }
