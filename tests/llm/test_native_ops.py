@@ -22,8 +22,9 @@ def test_equals_sql(spark, name):
     for t in ("documents", "pages", "benchmark", "labels"):
         db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = db.sql(ORACLES[name])
-    cols = want.columns
-    got = sorted(tuple(map(str, r)) for r in QUERIES[name](spark, SF).select(*cols).collect())
+    result = QUERIES[name](spark, SF)
+    assert sorted(result.columns) == sorted(want.columns)
+    got = sorted(tuple(map(str, r)) for r in result.select(*want.columns).collect())
     assert got and got == sorted(tuple(map(str, r)) for r in want.fetchall())
 
 
@@ -141,11 +142,17 @@ def test_decontamination_empty_tables(spark):
 
 
 def test_proximity_matches(spark):
-    docs = decontaminate._keyed(docs_of(spark, ["zeta then omega and sigma", "zeta " + "filler " * 60 + "omega " + "filler " * 60 + "sigma", "nothing"]), "doc_id", "text")
-    bench = decontaminate.benchmark_items(items(spark, [(1, "alpha sigma omega zeta")]))
-    probes = decontaminate.rarest_probes(docs.unionByName(decontaminate._keyed(docs_of(spark, ["alpha sigma omega zeta"] * 1), "doc_id", "text")), bench, probes=4)
-    index = decontaminate.positional_index(docs, probes)
-    assert [r["doc_id"] for r in decontaminate.proximity_matches(index, probes, slop=10).collect()] == [0]
+    rows = decontaminate._keyed(docs_of(spark, ["zeta then omega and sigma", "zeta " + "filler " * 60 + "omega " + "filler " * 60 + "sigma",
+                                                "omega sigma", "and zeta omega zeta omega zeta"]), "doc_id", "text")
+    bench = decontaminate.benchmark_items(items(spark, [(1, "alpha sigma omega zeta and")]))
+    counts = decontaminate.term_counts(rows, bench)
+    assert {r["term"]: r["n"] for r in counts.collect()} == {"sigma": 3, "omega": 4, "zeta": 3, "and": 2}
+    rare = decontaminate.rare_terms(bench, counts, rows, docs=3)
+    assert sorted(r["term"] for r in rare.collect()) == ["and", "sigma", "zeta"]
+    index = decontaminate.positional_index(rows, rare)
+    near = decontaminate.proximity_matches(index, rare, slop=10, least=3)
+    assert [(r["doc_id"], r["near"]) for r in near.collect()] == [(0, 3)]
+    assert decontaminate.proximity_matches(index, rare, slop=4, least=3).count() == 0  # five words apart
 
 
 def test_near_matches_with_production_parameters(spark):
@@ -155,7 +162,7 @@ def test_near_matches_with_production_parameters(spark):
     w = item.split()
     texts = [" ".join(reversed(w)), " ".join(["swapped" if x == "delta" else x for x in w]), "victor then whiskey and xray or yankee of zulu",
              (" filler" * 50).join(w), "lonely words", "alpha " + "filler " * 19 + "bravo charlie", "", None, item]
-    got = {r["doc_id"]: r for r in decontaminate.contamination_digest(decontaminate.contamination(docs_of(spark, texts), items(spark, bench))).collect()}
+    got = {r["doc_id"]: r for r in decontaminate.contamination_digest(decontaminate.contamination(docs_of(spark, texts), items(spark, bench), proximity=True)).collect()}
     near = {0: "1", 1: "1", 2: "2", 8: "1"}
     assert {i: r["near_items_sha256"] for i, r in got.items()} == {i: hashlib.sha256(near.get(i, "").encode()).hexdigest() for i in range(len(texts))}
     assert all(r["n_near"] == (i in near) and r["contaminated"] == (i == 8) for i, r in got.items())
