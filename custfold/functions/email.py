@@ -9,6 +9,8 @@ self-contained Column forms bind shared values with a one-element
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ from custfold.functions.common import let
 # Java's ``$`` also matches before a trailing newline.
 MASTER_EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}\z"
 DIGITS_ONLY_RE = r"^[0-9]+\z"
+# Both rules in one pattern: a filter that is pushed below the projection of a
+# corrected address then repeats that expression once, not once per rule.
+MASTER_ADDRESS_RE = r"^(?![0-9]+@)[^@\s]+@[^@\s]+\.[A-Za-z]{2,}\z"
 # White space as Python's ``str`` methods and patterns see it.
 PY_SPACE = r"\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The same address shape under that white space (the point-of-sale check).
@@ -60,9 +65,7 @@ def fix_domain(c, corrections: dict | None = None) -> Column:
 
 def is_valid_address(c) -> Column:
     """Not blank, of the form x@y.tld, and the local part not digits only."""
-    e = _col(c)
-    return (e.isNotNull() & (F.trim(e) != "") & e.rlike(MASTER_EMAIL_RE)
-            & ~F.split_part(e, F.lit("@"), F.lit(1)).rlike(DIGITS_ONLY_RE))
+    return F.coalesce(_col(c).rlike(MASTER_ADDRESS_RE), F.lit(False))
 
 
 def email_domain(c) -> Column:
@@ -259,5 +262,22 @@ def with_email_check(df: DataFrame, raw_col: str = "email") -> DataFrame:
                     "_ec_g_signals", "_ec_g_score")
 
 
+def has_reason(raw, reasons) -> Column:
+    """Whether the reason that ``with_email_check`` would give is one of the
+    domain lists of ``reasons`` (``internal_domain``, ``disposable``): a test on the
+    address alone, with the raw value evaluated once.  None where a reason
+    needs more than that."""
+    lists = {"internal_domain": C.INTERNAL_DOMAINS, "disposable": [d for d in C.DISPOSABLE_DOMAINS if d not in C.INTERNAL_DOMAINS]}
+    if not set(reasons) <= set(lists):
+        return None
+    domains = [d for r in reasons for d in lists[r]]
+    addresses = [a for a in C.PLACEHOLDER_ADDRESSES if a.rsplit("@", 1)[-1] in domains]
+    if not domains:
+        return F.lit(False)
+    but = "".join(f"(?!{re.escape(a)}\\z)" for a in addresses)
+    pattern = rf"^{but}[^@{PY_SPACE}]+@(?:" + "|".join(re.escape(d) for d in domains) + r")\z"
+    return F.coalesce(F.lower(py_strip(_col(raw).cast("string"))).rlike(pattern), F.lit(False))
+
+
 def reason_class(reason) -> Column:
     return F.split_part(_col(reason), F.lit(":"), F.lit(1))

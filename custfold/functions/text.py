@@ -57,8 +57,9 @@ def clean_birthday(c, as_of: _dt.date = C.AS_OF) -> Column:
 
 def is_adult(c, as_of: _dt.date = C.AS_OF, min_age: int = C.MIN_AGE) -> Column:
     """Unknown or implausible birthday passes; else born on/before as_of - 18y."""
-    cb = clean_birthday(c, as_of)
-    return F.when(cb.isNull(), F.lit(True)).otherwise(cb <= _years_before(as_of, min_age))
+    # An implausible birthday lies outside the range that makes a minor.
+    minor = _col(c).between(F.date_add(_years_before(as_of, min_age), 1), F.lit(as_of))
+    return ~F.coalesce(minor, F.lit(False))
 
 
 def clean_tags(c) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from custfold import config as C
 from custfold.functions.common import ts_ntz
-from custfold.functions.email import py_strip, reason_class, with_email_check
+from custfold.functions.email import has_reason, py_strip, reason_class, with_email_check
 from custfold.functions.text import blank_to_null
 
 
@@ -55,7 +55,13 @@ def _truthy(c: Column, dtype: T.DataType) -> Column:
 # Point-of-sale feed
 # ---------------------------------------------------------------------------
 def ingest_pos_customers(raw: DataFrame, brand_col: str = "_brand") -> DataFrame:
-    """Raw feed rows -> typed rows with the email classified.
+    """Raw feed rows -> typed rows with the email classified (see ``pos_rows``
+    for the typed columns)."""
+    return classified_pos_rows(pos_rows(raw, brand_col))
+
+
+def pos_rows(raw: DataFrame, brand_col: str = "_brand") -> DataFrame:
+    """Raw feed rows -> typed rows, the email as it came.
 
     ``revel_id`` is the stripped ``resource_uri`` (falling back to ``id``
     when the uri is empty); rows with neither are dropped.  Unparsable
@@ -70,14 +76,17 @@ def ingest_pos_customers(raw: DataFrame, brand_col: str = "_brand") -> DataFrame
     stamp = F.col("updated_date").cast("string") if "updated_date" in cols else F.lit(None).cast("string")
     if "_seq" not in cols:
         raise ValueError("the feed needs its arrival order in a column _seq")
-    typed = (raw
-             .select(revel_id.alias("revel_id"),
-                     F.col(brand_col).alias("brand"),
-                     F.col("first_name"), F.col("last_name"), F.col("email"),
-                     opt_in.alias("email_opt_in"),
-                     stamp.alias("_stamp"),
-                     F.col("_seq"))
-             .where(F.col("revel_id").isNotNull() & (F.col("revel_id") != "")))
+    return (raw
+            .select(revel_id.alias("revel_id"),
+                    F.col(brand_col).alias("brand"),
+                    F.col("first_name"), F.col("last_name"), F.col("email"),
+                    opt_in.alias("email_opt_in"),
+                    stamp.alias("_stamp"),
+                    F.col("_seq"))
+            .where(F.col("revel_id") != ""))
+
+
+def classified_pos_rows(typed: DataFrame) -> DataFrame:
     return (with_email_check(typed, "email")
             .select("revel_id", "brand", "first_name", "last_name", "email", "email_ok",
                     "email_opt_in",
@@ -88,7 +97,11 @@ def ingest_pos_customers(raw: DataFrame, brand_col: str = "_brand") -> DataFrame
 def discard_rejects(classified: DataFrame, reasons=None) -> tuple[DataFrame, DataFrame]:
     """Split off rows whose reason class is to be thrown away before storing."""
     reasons = list(C.DISCARD_REASONS if reasons is None else reasons)
-    if "email_reason_pre" in classified.columns:
+    by_address = has_reason("email", reasons)
+    if by_address is not None:
+        # The cleaned address tells: the checks are not repeated in the filter.
+        hit = by_address
+    elif "email_reason_pre" in classified.columns:
         # Test the small pre-gibberish reason; the score only when the
         # gibberish class itself is discarded.
         pre = F.col("email_reason_pre")
@@ -105,24 +118,48 @@ POS_COLUMNS = ["revel_id", "brand", "first_name", "last_name", "email", "email_o
 
 
 def upsert_pos_customers(existing: DataFrame | None, rows: DataFrame,
-                         run_ts: _dt.datetime = C.RUN_TS, key_cols=("revel_id",)) -> DataFrame:
-    """Insert or replace by key; the last arrival wins; ``updated_at`` = run_ts."""
-    new = rows.select(*[c for c in POS_COLUMNS if c != "updated_at"], "_seq") \
-        .withColumn("updated_at", ts_ntz(run_ts)) \
-        .withColumn("_batch", F.lit(1))
-    if existing is not None:
-        old = existing.select(*POS_COLUMNS).withColumn("_seq", F.lit(0).cast("long")) \
-            .withColumn("_batch", F.lit(0))
-        new = old.unionByName(new)
-    order = F.struct(F.col("_batch"), F.col("_seq"))
-    return pick_by_key(new, list(key_cols), order, latest=True).select(*POS_COLUMNS)
+                         run_ts: _dt.datetime = C.RUN_TS, key_cols=("revel_id",), unique: bool = False) -> DataFrame:
+    """Insert or replace by key; the last arrival wins; ``updated_at`` = run_ts.
+    ``unique`` says that no key is repeated in ``rows``."""
+    new = (rows if unique else newest_arrivals(rows, list(key_cols))).select(*[c for c in POS_COLUMNS if c != "updated_at"]) \
+        .withColumn("updated_at", ts_ntz(run_ts))
+    if existing is None:
+        return new
+    old = existing.select(*POS_COLUMNS)
+    same = F.lit(True)
+    for k in key_cols:
+        same = same & old[k].eqNullSafe(new[k])
+    return old.join(new, same, "left_anti").unionByName(new)
+
+
+def newest_arrivals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The row with the greatest ``_seq`` per key (``_seq`` is unique).
+
+    Only key and number go through the aggregation, which is hash-based and
+    combines map-side; the rows are then shuffled once by key and number, so a
+    hot key is spread over all tasks.
+    """
+    last = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max("_seq").alias("_last"))
+    same = rows["_seq"] == last["_last"]
+    for i, k in enumerate(keys):
+        same = same & rows[k].eqNullSafe(last[f"_k{i}"])
+    return rows.join(last, same, "left_semi")
 
 
 def revel_customers(raw: DataFrame, existing: DataFrame | None = None,
-                    run_ts: _dt.datetime = C.RUN_TS) -> DataFrame:
-    """Feed -> classify -> discard -> upsert: the stored POS customer table."""
-    kept, _ = discard_rejects(ingest_pos_customers(raw))
-    return upsert_pos_customers(existing, kept, run_ts)
+                    run_ts: _dt.datetime = C.RUN_TS, reasons=None) -> DataFrame:
+    """Feed -> discard -> newest per key -> classify: the stored POS customer table.
+
+    Where the discarded reasons can be told from the address alone, the rows
+    are dropped and the newest arrival is picked first, so that the checks run
+    once for each row that is stored."""
+    reasons = list(C.DISCARD_REASONS if reasons is None else reasons)
+    hit = has_reason("email", reasons)
+    if hit is None:
+        kept, _ = discard_rejects(ingest_pos_customers(raw), reasons)
+        return upsert_pos_customers(existing, kept, run_ts)
+    newest = newest_arrivals(pos_rows(raw).where(~hit), ["revel_id"])
+    return upsert_pos_customers(existing, classified_pos_rows(newest), run_ts, unique=True)
 
 
 def pos_write_stats(raw: DataFrame) -> DataFrame:
@@ -254,6 +291,12 @@ def signup_state(accepted: DataFrame, batch: int = 1) -> DataFrame:
     and a replayed batch changes nothing.
     """
     ok = accepted.where(F.col("reject_reason").isNull())
+    return ok.groupBy("email").agg(*signup_folds(batch))
+
+
+def signup_folds(batch: int = 1, present: Column | None = None) -> list[Column]:
+    """The aggregates of ``signup_state``; with ``present`` only rows for which it
+    holds can be an email's first row."""
     o = F.struct(F.lit(batch).alias("b"), F.col("seq").alias("s"))
 
     def oldest(c):
@@ -262,10 +305,9 @@ def signup_state(accepted: DataFrame, batch: int = 1) -> DataFrame:
     def newest(c):
         return F.max(F.when(F.col(c).isNotNull(), F.struct(o.alias("o"), F.col(c).alias("v")))).alias(c)
 
-    first_row = F.min(F.struct(o.alias("o"), F.col("site").alias("site"), F.col("page").alias("page"),
-                               F.col("ts").alias("ts"))).alias("first_row")
-    return ok.groupBy("email").agg(oldest("brand"), oldest("country"),
-                                   newest("first_name"), newest("last_name"), first_row)
+    row = F.struct(o.alias("o"), F.col("site").alias("site"), F.col("page").alias("page"), F.col("ts").alias("ts"))
+    first_row = F.min(row if present is None else F.when(present, row)).alias("first_row")
+    return [oldest("brand"), oldest("country"), newest("first_name"), newest("last_name"), first_row]
 
 
 def merge_signup_states(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -277,8 +319,9 @@ def merge_signup_states(a: DataFrame, b: DataFrame) -> DataFrame:
         F.min("first_row").alias("first_row"))
 
 
-def signups_from_state(state: DataFrame, run_ts: _dt.datetime = C.RUN_TS) -> DataFrame:
-    """Surface the stored table columns from a signup state."""
+def signups_from_state(state: DataFrame, run_ts: _dt.datetime = C.RUN_TS, keep: tuple = ()) -> DataFrame:
+    """Surface the stored table columns from a signup state (and the state's
+    columns ``keep``)."""
     return state.select(
         "email", F.col("brand.v").alias("brand"), F.col("country.v").alias("country"),
         F.lit("NEWSLETTER").alias("src_system"),
@@ -287,7 +330,7 @@ def signups_from_state(state: DataFrame, run_ts: _dt.datetime = C.RUN_TS) -> Dat
         F.lit(None).cast("string").alias("como_status"), F.lit(None).cast("string").alias("como_detail"),
         F.lit(None).cast("timestamp_ntz").alias("como_at"),
         F.col("first_row.ts").cast("timestamp_ntz").alias("signed_up_at"),
-        ts_ntz(run_ts).alias("updated_at"))
+        ts_ntz(run_ts).alias("updated_at"), *keep)
 
 
 def upsert_signups(rows: DataFrame, run_ts: _dt.datetime = C.RUN_TS, existing: DataFrame | None = None) -> DataFrame:
@@ -393,26 +436,31 @@ def upsert_docs_partial(existing: DataFrame | None, batch: DataFrame, key: str =
     cols = {c: v for c, v in _lowered(batch).items() if c not in (key, present_col, order_col)}
     order = at[order_col] if order_col else F.lit(0)
     if present_col in at:
-        names = F.transform(at[present_col], lambda x: F.lower(x))
-        has = {c: F.array_contains(names, c) for c in cols}
+        present = F.transform(at[present_col], lambda x: F.lower(x))
+        has = {c: F.array_contains(present, c) for c in cols}
     else:
         has = {c: F.lit(True) for c in cols}
+    # Columns by number: a document may name its fields in any way.
+    held = [] if existing is None else [c for c in existing.columns if c not in (key, "updated_at")]
+    names = held + [c for c in cols if c not in held]
+    at_new = {c: F.col(f"_n{i}") for i, c in enumerate(cols)}
     new = _numbered(batch).groupBy(at[key].alias("_kn")).agg(
         F.lit(True).alias("_in_batch"),
-        *[F.max_by(F.struct(v.alias("v")), F.when(has[c], order)).alias(f"_n_{c}") for c, v in cols.items()])
+        *[F.max_by(F.struct(v.alias("v")), F.when(has[c], order)).alias(f"_n{i}") for i, (c, v) in enumerate(cols.items())])
     if existing is None:
-        return new.select(F.col("_kn").alias(key), *[F.col(f"_n_{c}.v").alias(c) for c in cols], ts_ntz(run_ts).alias("updated_at"))
-    held = [c for c in existing.columns if c not in (key, "updated_at")]
-    o = existing.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_o_{c}") for c in held], F.col("updated_at").alias("_o_updated_at"))
+        return new.select(F.col("_kn").alias(key), *[at_new[c]["v"].alias(c) for c in names], ts_ntz(run_ts).alias("updated_at"))
+    at_old = {c: F.col(f"_o{i}") for i, c in enumerate(held)}
+    o = existing.select(F.col(key).alias("_k"), *[F.col("`" + c.replace("`", "``") + "`").alias(f"_o{i}") for i, c in enumerate(held)],
+                        F.col("updated_at").alias("_o_updated_at"))
     j = o.join(new, F.col("_k") == F.col("_kn"), "full")
     out = [F.coalesce("_k", "_kn").alias(key)]
-    for c in held + [c for c in cols if c not in held]:
+    for c in names:
         if c not in cols:
-            out.append(F.col(f"_o_{c}").alias(c))
+            out.append(at_old[c].alias(c))
         elif c not in held:
-            out.append(F.col(f"_n_{c}.v").alias(c))
+            out.append(at_new[c]["v"].alias(c))
         else:
-            out.append(F.when(F.col(f"_n_{c}").isNotNull(), F.col(f"_n_{c}.v")).otherwise(F.col(f"_o_{c}")).alias(c))
+            out.append(F.when(at_new[c].isNotNull(), at_new[c]["v"]).otherwise(at_old[c]).alias(c))
     out.append(F.when(F.col("_in_batch"), ts_ntz(run_ts)).otherwise(F.col("_o_updated_at")).alias("updated_at"))
     return j.select(*out)
 

@@ -79,8 +79,7 @@ def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
 
     def gate(v):
         e, b = v["e1"], v["bday"]
-        return (is_valid_address(e) & ~is_blocked_domain(e, dims.blocked) & v["extra"]
-                & (b.isNull() | is_adult(b, as_of)))
+        return is_valid_address(e) & ~is_blocked_domain(e, dims.blocked) & v["extra"] & is_adult(b, as_of)
 
     plain = isinstance(spec.email_expr, str) and spec.email_expr.isidentifier()
     if plain:

@@ -34,7 +34,7 @@ def _build_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def rebuild(spark: SparkSession, sf_dir: str, with_prior: bool = False) -> master.Rebuild:
     prior = fixture(spark, sf_dir, "prior_master") if with_prior else None
-    return master.rebuild_pipeline(source_tables(spark, sf_dir), prior=prior)
+    return master.rebuild_pipeline(stored_sources(spark, sf_dir), prior=prior)
 
 
 def master_table(spark: SparkSession, sf_dir: str, with_prior: bool = False) -> DataFrame:

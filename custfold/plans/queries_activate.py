@@ -201,14 +201,17 @@ def q_push_outcome_update(spark, sf):
     return A.push_outcome_update(_responses(spark, sf).where(F.col("mode") == "update"))
 
 
-@register("push_outcome_signup", D.with_ctes(["newsletter_signups", "push_responses"], f"""
-SELECT n.email, n.brand, o.como_status, o.como_detail FROM newsletter_signups n LEFT JOIN (
+SIGNUP_OUTCOME_SQL = f"""
   SELECT email,
     CASE WHEN {_ok('create_body')} THEN 'ok' WHEN contains(coalesce(create_body, 'null'), 'already exists')
          THEN 'exists' ELSE 'failed' END AS como_status,
     CASE WHEN {_ok('create_body')} THEN 'created' WHEN contains(coalesce(create_body, 'null'), 'already exists')
          THEN 'already in Como' ELSE {_failure('create_body', 300, 300)} END AS como_detail
-  FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY attempt DESC) AS rn FROM push_responses) r WHERE rn = 1) o
+  FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY attempt DESC) AS rn FROM push_responses) r WHERE rn = 1"""
+
+
+@register("push_outcome_signup", D.with_ctes(["newsletter_signups", "push_responses"], f"""
+SELECT n.email, n.brand, o.como_status, o.como_detail FROM newsletter_signups n LEFT JOIN ({SIGNUP_OUTCOME_SQL}) o
   ON o.email = n.email"""))
 def q_push_outcome_signup(spark, sf):
     news = pipeline.stored_sources(spark, sf)["newsletter_signups"]

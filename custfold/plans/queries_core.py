@@ -34,7 +34,7 @@ def q_refresh_master(spark, sf):
 SELECT email, first_name, last_name, nationality, birthday, allow_email,
   array_to_string(tags, ',') AS tags, array_to_string(sources, ',') AS sources FROM merged_full"""))
 def q_merge_sources(spark, sf):
-    m = M.merge_sources(pipeline.source_tables(spark, sf)).master
+    m = M.merge_sources(pipeline.stored_sources(spark, sf)).master
     return m.select("email", "first_name", "last_name", "nationality", "birthday", "allow_email",
                     F.array_join("tags", ",").alias("tags"), F.array_join("sources", ",").alias("sources"))
 
@@ -42,14 +42,14 @@ def q_merge_sources(spark, sf):
 @register("merge_tags", D.with_ctes(["merged_full"], """
 SELECT email, array_to_string(tags, ',') AS tags FROM merged_full"""))
 def q_merge_tags(spark, sf):
-    m = M.merge_sources(pipeline.source_tables(spark, sf)).master
+    m = M.merge_sources(pipeline.stored_sources(spark, sf)).master
     return m.select("email", F.array_join("tags", ",").alias("tags"))
 
 
 @register("merge_source_labels", D.with_ctes(["merged_full"], """
 SELECT email, array_to_string(sources, ',') AS sources FROM merged_full"""))
 def q_merge_source_labels(spark, sf):
-    m = M.merge_sources(pipeline.source_tables(spark, sf)).master
+    m = M.merge_sources(pipeline.stored_sources(spark, sf)).master
     return m.select("email", F.array_join("sources", ",").alias("sources"))
 
 
@@ -63,7 +63,7 @@ FROM canon_one GROUP BY src, rnk""")
 
 @register("refresh_counts", _COUNTS_FULL)
 def q_refresh_counts(spark, sf):
-    return M.refresh_counts(M.merge_sources(pipeline.source_tables(spark, sf)))
+    return M.refresh_counts(M.merge_sources(pipeline.stored_sources(spark, sf)))
 
 
 _COUNTS_INC = D.with_ctes(["canon_one", "prior_master"], """
@@ -93,7 +93,7 @@ SELECT source, CAST(count(*) FILTER (WHERE applied) AS BIGINT) AS rows_merged, m
 @register("refresh_counts_incremental", _COUNTS_INC)
 def q_refresh_counts_inc(spark, sf):
     prior = fixture(spark, sf, "prior_master")
-    return M.refresh_counts(M.merge_sources(pipeline.source_tables(spark, sf), prior=prior))
+    return M.refresh_counts(M.merge_sources(pipeline.stored_sources(spark, sf), prior=prior))
 
 
 @register("refresh_changed", D.with_ctes(["merged_inc"], """
@@ -101,12 +101,12 @@ SELECT email, CASE WHEN change = 'inserted' THEN true ELSE needs_push END AS nee
 FROM merged_inc"""))
 def q_refresh_changed(spark, sf):
     prior = fixture(spark, sf, "prior_master")
-    return M.refresh_changed(M.merge_sources(pipeline.source_tables(spark, sf), prior=prior))
+    return M.refresh_changed(M.merge_sources(pipeline.stored_sources(spark, sf), prior=prior))
 
 
 @register("record_minors", D.with_ctes(["minor_ledger"], "SELECT email, source_table FROM minor_ledger"))
 def q_record_minors(spark, sf):
-    full, _new = M.record_minors(pipeline.source_tables(spark, sf))
+    full, _new = M.record_minors(pipeline.stored_sources(spark, sf))
     return full.select("email", "source_table")
 
 
@@ -114,7 +114,7 @@ def q_record_minors(spark, sf):
 SELECT email, birthday FROM merged_inc WHERE NOT {D.adult('birthday')}"""))
 def q_purge_minors(spark, sf):
     prior = fixture(spark, sf, "prior_master")
-    res = M.merge_sources(pipeline.source_tables(spark, sf), prior=prior)
+    res = M.merge_sources(pipeline.stored_sources(spark, sf), prior=prior)
     _kept, removed = M.purge_minors(res.master)
     return removed.select("email", "birthday")
 
@@ -267,7 +267,7 @@ def q_inbox_key(spark, sf):
 SELECT email, src AS source, pk, first_name, last_name, birthday, array_to_string(tags, ',') AS tags
 FROM canon"""))
 def q_registry_project(spark, sf):
-    src = pipeline.source_tables(spark, sf)
+    src = pipeline.stored_sources(spark, sf)
     out = None
     for spec in C.ordered_specs():
         p = M.registry_project(src[spec.source_table], spec).select(
@@ -280,7 +280,7 @@ def q_registry_project(spark, sf):
 @register("dedupe_within_source", D.with_ctes(["canon_one"], """
 SELECT email, src AS source, pk FROM canon_one"""))
 def q_dedupe_within_source(spark, sf):
-    src = pipeline.source_tables(spark, sf)
+    src = pipeline.stored_sources(spark, sf)
     out = None
     for spec in C.ordered_specs():
         p = M.dedupe_within_source(M.registry_project(src[spec.source_table], spec)).select(
@@ -388,7 +388,7 @@ SELECT src AS source, CAST(count(*) AS BIGINT) AS rows_merged, rnk - 1 AS merge_
 FROM canon_one GROUP BY src, rnk
 UNION ALL SELECT 'loyalty_cards', CAST(-1 AS BIGINT), 3"""))
 def q_refresh_counts_missing(spark, sf):
-    src = dict(pipeline.source_tables(spark, sf), loyalty_cards=None)
+    src = dict(pipeline.stored_sources(spark, sf), loyalty_cards=None)
     res = M.merge_sources(src, registry=C.DEFAULT_REGISTRY + [_ABSENT])
     return M.refresh_counts(res)
 
@@ -431,7 +431,7 @@ def q_upsert_pos_incremental(spark, sf):
 
 @register("rebuild_strict_minors", D.with_ctes(["master_strict"], f"SELECT {D.master_cols()} FROM master_strict"))
 def q_rebuild_strict_minors(spark, sf):
-    rb = M.rebuild_pipeline(pipeline.source_tables(spark, sf), strict_minors=True)
+    rb = M.rebuild_pipeline(pipeline.stored_sources(spark, sf), strict_minors=True)
     return master_view(rb.master)
 
 
@@ -451,7 +451,7 @@ SELECT email, 'wifi_guests' AS source_table, '{_EARLIER_TS.isoformat(sep=' ')}'
 UNION ALL
 SELECT email, 'wifi_guests', '{C.RUN_TS.isoformat(sep=' ')}' FROM now_ WHERE email NOT IN (SELECT email FROM prior)"""))
 def q_record_minors_incremental(spark, sf):
-    src = pipeline.source_tables(spark, sf)
+    src = pipeline.stored_sources(spark, sf)
     prior, _ = M.record_minors(src, as_of=_EARLIER, run_ts=_EARLIER_TS)
     full, _new = M.record_minors(src, ledger=prior)
     return full.select("email", "source_table",

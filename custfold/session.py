@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Streaming state on the executors' disks, not in their heaps.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Let the JIT compile large generated methods (wide staged projections)
     # instead of leaving them to the bytecode interpreter.
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",

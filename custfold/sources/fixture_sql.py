@@ -155,6 +155,27 @@ UNION ALL
 SELECT 1000000000 + c_custkey, 'doc-' || CAST(c_custkey AS STRING),
   CASE WHEN c_custkey % 8 = 1 THEN '{"visits":null}' ELSE '{"lname":"second","visits":99}' END
 FROM customer WHERE c_custkey % 4 = 1
+""",
+    "wifi_typed_1": """
+SELECT c_custkey AS _seq, 'doc-' || CAST(c_custkey AS STRING) AS doc_id,
+  '{"Visits":' || CAST(c_custkey % 12 AS STRING) || ',"vip":' || CASE WHEN c_custkey % 3 = 0 THEN 'true' ELSE 'false' END
+    || ',"spend":' || CAST(c_custkey % 50 AS STRING) || CASE WHEN c_custkey % 4 = 0 THEN '' WHEN c_custkey % 4 = 1 THEN '.25' ELSE '.5' END
+    || ',"joined":"2023-0' || CAST(1 + c_custkey % 9 AS STRING) || '-11T0' || CAST(c_custkey % 10 AS STRING) || ':30:00Z"'
+    || ',"born":"19' || CAST(50 + c_custkey % 50 AS STRING) || '-06-15"'
+    || ',"score":' || CAST(c_custkey % 7 AS STRING) || ',"code":' || CAST(c_custkey % 100 AS STRING)
+    || CASE WHEN c_custkey % 5 = 0 THEN ',"meta":{"n":' || CAST(c_custkey % 3 AS STRING) || '}' ELSE '' END
+    || ',"empty":null}' AS body
+FROM customer WHERE c_custkey % 4 <> 3
+""",
+    "wifi_typed_2": """
+SELECT c_custkey AS _seq, 'doc-' || CAST(c_custkey AS STRING) AS doc_id,
+  '{"visits":' || CASE WHEN c_custkey % 6 = 0 THEN 'null' ELSE CAST(100 + c_custkey % 12 AS STRING) END
+    || ',"born":"19' || CAST(50 + c_custkey % 50 AS STRING) || CASE WHEN c_custkey % 7 = 0 THEN '-06-15T12:00:00Z"' ELSE '-06-15"' END
+    || ',"score":' || CAST(c_custkey % 7 AS STRING) || '.5'
+    || CASE WHEN c_custkey % 9 = 0 THEN ',"code":"A' || CAST(c_custkey % 100 AS STRING) || '"' WHEN c_custkey % 9 = 1 THEN ',"Code":7' ELSE '' END
+    || ',"big":' || CASE WHEN c_custkey % 10 = 0 THEN '123456789012345678901' ELSE CAST(c_custkey AS STRING) END
+    || CASE WHEN c_custkey % 8 = 1 THEN ',"note":"2024-13-45"' WHEN c_custkey % 8 = 2 THEN ',"note":"2024-01-05"' ELSE '' END || '}' AS body
+FROM customer WHERE c_custkey % 4 <> 0
 """,
     "run_log": """
 SELECT 'run' || CAST(event_id AS STRING) AS id,

@@ -18,6 +18,7 @@ _FIXTURE_BASES = {
     "push_state": ["customer"], "push_responses": ["customer"],
     "wifi_batch_1": ["customer"], "wifi_batch_2": ["customer"],
     "wifi_json_1": ["customer"], "wifi_json_2": ["customer"],
+    "wifi_typed_1": ["customer"], "wifi_typed_2": ["customer"],
     "run_log": ["events"],
 }
 

@@ -20,6 +20,7 @@ from custfold.plans import pipeline
 from custfold.plans import reports as R
 from custfold.sources.fixture_sql import FIXTURE_SQL
 from custfold.sources.fixtures import fixture
+from custfold.streaming import epochs
 from custfold.streaming import signups as S
 
 load_all()
@@ -227,4 +228,4 @@ def test_stream_table_compacts(spark, tmp_path):
     S.compact_signup_table(spark, table)
     assert any(f.startswith("base=") for f in os.listdir(table))
     assert sorted(map(str, S.read_signup_table(spark, table).collect())) == before
-    assert len(S._folders(spark, table, "epoch=")) == 3
+    assert len(epochs.marked(spark, table, "epoch")) == 3
