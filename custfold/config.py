@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
-from typing import Callable, Optional, Union
+from typing import Optional
 
 # ---------------------------------------------------------------------------
 # Run parameters.  "today" and "now" are parameters so that every query is
@@ -124,10 +124,10 @@ EXPORT_HEADINGS = ["Email Address", "First Name", "Last Name",
 
 # ---------------------------------------------------------------------------
 # Source registry.  Each cell is a Spark SQL snippet evaluated against the
-# source table (or a Python callable returning a Column, for the market
-# parser).  ``None`` means the source lacks that field.
+# source table; the scalar rules are SQL functions in it.  ``None`` means the
+# source lacks that field.
 # ---------------------------------------------------------------------------
-Expr = Union[str, Callable[[], "object"], None]
+Expr = Optional[str]
 
 
 @dataclass(frozen=True)
@@ -195,7 +195,7 @@ DEFAULT_REGISTRY = [
         source_table="wifi_guests", email_expr="email",
         first_name_expr="fname", last_name_expr="lname",
         birthday_expr=WIFI_BIRTHDAY_EXPR, source_tag="WIFI",
-        extra_tags_expr="market:lastmarket", allow_email_expr="true",
+        extra_tags_expr="parse_market(lastmarket)", allow_email_expr="true",
         priority=10, key_expr="doc_id",
     ),
     SourceSpec(

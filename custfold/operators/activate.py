@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from custfold import config as C
@@ -38,8 +38,9 @@ def pending_queue(master: DataFrame, state: DataFrame | None, brand: str | None
     """Per brand: tagged, not a duplicate, no ok/exists for that brand and
     (unless retrying) no conflict; ordered by email, optional cap per brand.
 
-    The cap takes the first rows per brand as a sorted limit of each brand
-    (a few brands), so no task ever holds a brand's whole queue.
+    The cap ranks within a brand; Spark limits every task to the cap before the
+    shuffle (window group limit), so no task ever holds a brand's whole queue
+    and the join runs once.
     """
     brands = [brand.upper()] if brand else None
     fields = ["email", "first_name", "last_name", "nationality", "birthday", "allow_email",
@@ -56,11 +57,8 @@ def pending_queue(master: DataFrame, state: DataFrame | None, brand: str | None
     q = q.where(keep)
     if not limit:
         return q.orderBy("brand", "email")
-    parts = [q.where(F.col("brand") == b).orderBy("email").limit(limit) for b in (brands or C.BRANDS)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    first = Window.partitionBy("brand").orderBy("email")
+    return q.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= limit).drop("_n").orderBy("brand", "email")
 
 
 # ---------------------------------------------------------------------------
@@ -291,8 +289,8 @@ def record_push_state(state: DataFrame, outcomes: DataFrame, run_ts: _dt.datetim
     never replace a held id with NULL.
 
     ``order_col`` names the attempt order of the log (default: ``attempt``; a
-    log without that column must hold one row per key, and the key stays
-    unique in any case): status and detail come from the last attempt and each id from the last attempt that carried one,
+    log without that column must hold one row per key, else the job fails):
+    status and detail come from the last attempt and each id from the last attempt that carried one,
     as writing the attempts one by one would leave them (one
     map-side-combined aggregate per key).
     """
@@ -303,8 +301,12 @@ def record_push_state(state: DataFrame, outcomes: DataFrame, run_ts: _dt.datetim
     def last_id(c):
         return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), o_)).alias(c)
 
+    status = F.max_by("status", o_)
+    if not order_col:
+        twice = F.raise_error(F.lit("a key has several outcomes and the log has no attempt order"))
+        status = F.when(F.count(F.lit(1)) > 1, twice.cast("string")).otherwise(status)
     outcomes = outcomes.groupBy("email", "brand").agg(
-        F.max_by("status", o_).alias("status"), F.max_by("detail", o_).alias("detail"),
+        status.alias("status"), F.max_by("detail", o_).alias("detail"),
         last_id("como_member_id"), last_id("common_ext_id"))
     o = outcomes.select("email", "brand", F.col("status").alias("_s"),
                         F.substring(F.coalesce(F.col("detail"), F.lit("")), 1, 500).alias("_d"),
@@ -427,7 +429,8 @@ def customer_360(emails: DataFrame, master: DataFrame, sources: dict[str, DataFr
         out = out.join(counts, "email", "left").withColumn(
             f"{name}_rows", F.coalesce(F.col(f"{name}_rows"), F.lit(0)).cast("long"))
     if state is not None:
-        counts = state.groupBy("email").agg(F.count(F.lit(1)).alias("push_rows"),
+        mine = state.join(e, "email", "left_semi")
+        counts = mine.groupBy("email").agg(F.count(F.lit(1)).alias("push_rows"),
                                             F.array_join(F.array_sort(F.collect_set("brand")), ",")
                                             .alias("push_brands"))
         out = out.join(counts, "email", "left").withColumn(

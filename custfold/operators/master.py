@@ -32,8 +32,9 @@ from custfold.config import Dimensions, SourceSpec, ordered_specs
 from custfold.session import ensure_checkpoint_dir
 from custfold.functions.common import let, ts_ntz
 from custfold.functions.email import fix_domain, inbox_key, is_blocked_domain, is_valid_address
+from custfold.functions.sql import register_rules
 from custfold.functions.text import (clean_birthday, clean_name, clean_nationality, clean_tags,
-                                     first_tag_in, first_tag_not_in, is_adult, parse_market)
+                                     first_tag_in, first_tag_not_in, is_adult)
 
 
 
@@ -48,17 +49,10 @@ MASTER_COLUMNS = ["email", "first_name", "last_name", "nationality", "birthday",
                   "push_status"]
 
 
-MARKET = "market:"
-
-
-def _eval(x, dtype: str, dims: Dimensions | None = None) -> Column:
-    """A registry cell: an SQL expression, or ``market:<column>`` for the tags
-    of a market name (brand, country, venue)."""
-    if x is None:
-        return F.lit(None).cast(dtype)
-    if x.startswith(MARKET):
-        return parse_market(F.col(x.removeprefix(MARKET)), dims.countries if dims else None)
-    return F.expr(x)
+def _eval(x, dtype: str) -> Column:
+    """A registry cell: an SQL expression (the rules of ``functions/sql.py`` are
+    functions in it)."""
+    return F.lit(None).cast(dtype) if x is None else F.expr(x)
 
 
 # ---------------------------------------------------------------------------
@@ -73,6 +67,7 @@ def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
     is the cleaned one.  ``dims`` replaces the dimension tables.
     """
     dims = dims or Dimensions()
+    register_rules(df.sparkSession, dims, as_of)
     # Bind the corrected email and the raw birthday once (each is used
     # several times below) before filtering.
     where_extra = F.expr(spec.where_extra) if spec.where_extra else F.lit(True)
@@ -96,7 +91,7 @@ def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
     keep = (gate(F.struct(e1.alias("e1"), bday.alias("bday"), where_extra.alias("extra"))) if plain
             else let(F.struct(e1.alias("e1"), bday.alias("bday"), where_extra.alias("extra")), gate))
     tags = clean_tags(F.concat(F.array(F.lit(spec.source_tag)),
-                               F.coalesce(_eval(spec.extra_tags_expr, "array<string>", dims), _empty())))
+                               F.coalesce(_eval(spec.extra_tags_expr, "array<string>"), _empty())))
     first = clean_name(_eval(spec.first_name_expr, "string")) if spec.first_name_expr else F.lit(None).cast("string")
     last = clean_name(_eval(spec.last_name_expr, "string")) if spec.last_name_expr else F.lit(None).cast("string")
     nat = clean_nationality(_eval(spec.nationality_expr, "string")) if spec.nationality_expr \
@@ -114,6 +109,26 @@ def registry_project(df: DataFrame, spec: SourceSpec, as_of: _dt.date = C.AS_OF,
                     *[F.lit(None).cast(t).alias(c) for c, t in _CARRY]))
 
 
+REGISTRY_COLUMNS = ["source_table", "email_expr", "first_name_expr", "last_name_expr", "nationality_expr", "birthday_expr", "source_tag",
+                    "extra_tags_expr", "allow_email_expr", "where_extra", "priority", "enabled", "key_expr"]
+REGISTRY_SCHEMA = ", ".join(f"{c} {'int' if c == 'priority' else 'boolean' if c == 'enabled' else 'string'}" for c in REGISTRY_COLUMNS)
+
+
+def registry_table(spark, specs=None) -> DataFrame:
+    """The registry as a table, one row per source."""
+    specs = C.DEFAULT_REGISTRY if specs is None else specs
+    return spark.createDataFrame([tuple(getattr(s, c) for c in REGISTRY_COLUMNS) for s in specs], REGISTRY_SCHEMA)
+
+
+def specs_from_table(registry: DataFrame, most: int = 1000) -> list[SourceSpec]:
+    """The sources of a registry table (configuration: more than ``most`` rows
+    are refused).  Absent optional columns and NULL cells take their defaults."""
+    rows = registry.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the registry holds more than {most} sources")
+    return [SourceSpec(**{c: r[c] for c in REGISTRY_COLUMNS if c in registry.columns and r[c] is not None}) for r in rows]
+
+
 def dedupe_within_source(canonical: DataFrame) -> DataFrame:
     """One row per email within one source: the row with the smallest key."""
     cols = [c for c in canonical.columns if c != "email"]
@@ -318,6 +333,7 @@ def record_minors(sources: dict, registry=None, ledger: DataFrame | None = None,
     if not specs:
         empty = spark.createDataFrame([], "email string, source_table string, excluded_at timestamp_ntz")
         return (ledger if ledger is not None else empty), empty
+    register_rules(spark, None, as_of)
     parts = []
     for rank, spec in enumerate(specs):
         e = _eval(spec.email_expr, "string")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from custfold import config as C
-from custfold.catalog import REGISTRY, register
+from custfold.catalog import REGISTRY, master_view, register
 from custfold.operators import activate as A
+from custfold.operators import lookup
 from custfold.oracle import duck as D
 from custfold.plans import pipeline
+from custfold.session import ensure_checkpoint_dir, folder_version
 from custfold.sources.fixtures import fixture
 
 BRL = "[" + ", ".join(f"'{b}'" for b in C.BRANDS) + "]"
@@ -358,3 +362,49 @@ for _name in ["build_payloads"]:
             return fn(spark, sf)
 
     register(f"{_name}_prior", D.over_prior(_sql))(_over_prior)
+
+
+# Addresses a user asks for, as typed.
+ASKED = ["User1@hotmail.com ", "user3@gmail.com", "USER6@GMAIL.COM", "user10@hotmail.com", "user11@example.com", "nobody@nowhere.org"]
+_ASKED_SQL = "(" + ", ".join(f"'{a.strip().lower()}'" for a in ASKED) + ")"
+
+
+def _lookup_table(spark, sf, name, df):
+    """A table stored for lookups (once per session and state of its inputs)."""
+    key = (spark.sparkContext.applicationId, sf, folder_version(spark, sf), name)
+    if key not in _LOOKUPS:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lookup-{name}-{uuid.uuid4().hex}"
+        _LOOKUPS[key] = lookup.store_lookup(df(), path)
+    return _LOOKUPS[key]
+
+
+_LOOKUPS: dict = {}
+_STAMP = "strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
+
+
+@register("lookup_master", D.with_ctes(["master"], f"SELECT {D.master_cols()} FROM master WHERE email IN {_ASKED_SQL}"))
+def q_lookup_master(spark, sf):
+    table = _lookup_table(spark, sf, "master", lambda: _m(spark, sf))
+    return master_view(lookup.lookup(table, ASKED))
+
+
+@register("lookup_wifi", D.with_ctes(["wifi_guests"], f"""
+SELECT doc_id, fname, lname, email, dob, lastmarket, {_STAMP.format(c='updated_at')} FROM wifi_guests WHERE lower(email) IN {_ASKED_SQL}"""))
+def q_lookup_wifi(spark, sf):
+    table = _lookup_table(spark, sf, "wifi", lambda: pipeline.stored_sources(spark, sf)["wifi_guests"])
+    return lookup.lookup(table, ASKED).withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("lookup_pos", D.with_ctes(["revel_customers"], f"""
+SELECT revel_id, brand, first_name, last_name, email, email_ok, email_opt_in, CAST(updated_date AS VARCHAR) AS updated_date, email_reason
+FROM revel_customers WHERE lower(email) IN {_ASKED_SQL}"""))
+def q_lookup_pos(spark, sf):
+    table = _lookup_table(spark, sf, "pos", lambda: pipeline.stored_sources(spark, sf)["revel_customers"])
+    return lookup.lookup(table, ASKED).drop("updated_at").withColumn("updated_date", F.date_format("updated_date", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("lookup_push", D.with_ctes(["push_state"], f"""
+SELECT email, brand, status, detail, como_member_id, common_ext_id, {_STAMP.format(c='last_pushed_at')} FROM push_state WHERE email IN {_ASKED_SQL}"""))
+def q_lookup_push(spark, sf):
+    table = _lookup_table(spark, sf, "push", lambda: _state(spark, sf))
+    return lookup.lookup(table, ASKED).withColumn("last_pushed_at", F.date_format("last_pushed_at", "yyyy-MM-dd HH:mm:ss")).orderBy("email", "brand")

@@ -10,6 +10,7 @@ from custfold import config as C
 from custfold.catalog import master_view, register
 from custfold.functions import email as E
 from custfold.functions import text as T
+from custfold.functions.sql import register_rules
 from custfold.operators import ingest, master as M
 from custfold.oracle import duck as D
 from custfold.plans import pipeline
@@ -277,6 +278,52 @@ def q_registry_project(spark, sf):
     return out
 
 
+def _registry(spark, sf):
+    """A stored registry: the default sources in another order, a disabled one and
+    one whose table does not exist."""
+    off = C.SourceSpec(source_table="wifi_archive", email_expr="upper(email)", source_tag="OLD", priority=1, enabled=False)
+    gone = C.SourceSpec(source_table="loyalty_app", email_expr="mail", source_tag="APP", priority=15)
+    return pipeline.stored(spark, sf, "source_map", lambda: M.registry_table(spark, [gone, *reversed(C.DEFAULT_REGISTRY), off]))
+
+
+@register("registry_from_table", D.with_ctes(["merged_full"], """
+SELECT email, first_name, last_name, nationality, birthday, allow_email,
+  array_to_string(tags, ',') AS tags, array_to_string(sources, ',') AS sources FROM merged_full"""))
+def q_registry_from_table(spark, sf):
+    """The merge by a registry read from a table."""
+    src = pipeline.stored_sources(spark, sf)
+    m = M.merge_sources({**src, "wifi_archive": src["wifi_guests"]}, registry=M.specs_from_table(_registry(spark, sf))).master
+    return m.select("email", "first_name", "last_name", "nationality", "birthday", "allow_email",
+                    F.array_join("tags", ",").alias("tags"), F.array_join("sources", ",").alias("sources"))
+
+
+@register("registry_counts_from_table", D.with_ctes(["canon_one"], """
+SELECT src AS source, CAST(count(*) AS BIGINT) AS rows_merged, rnk - 1 + CASE WHEN src = 'revel_customers' THEN 1 ELSE 0 END AS merge_order
+FROM canon_one GROUP BY src, rnk UNION ALL SELECT 'loyalty_app', -1, 2"""))
+def q_registry_counts_from_table(spark, sf):
+    """Rows per source of that registry; -1 for the missing table."""
+    return M.refresh_counts(M.merge_sources(pipeline.stored_sources(spark, sf), registry=M.specs_from_table(_registry(spark, sf))))
+
+
+@register("sql_rules", D.with_ctes(["wifi_guests", "domain_corrections"], f"""
+SELECT w.doc_id, {_FIX} AS fixed, coalesce(regexp_matches({_FIX}, {D.EMAIL_RE}) AND NOT regexp_matches(split_part({_FIX}, '@', 1), '^[0-9]+$'), false) AS valid,
+  coalesce(lower(split_part(email, '@', 2)) IN {D._in_list(C.BLOCKED_DOMAINS)}, false) AS blocked, {D.clean_name('fname')} AS first_name,
+  {D.WIFI_BDAY} AS parsed, {D.clean_birthday(D.WIFI_BDAY)} AS birthday, {D.WIFI_BDAY} IS NULL OR {D.adult(D.WIFI_BDAY)} AS adult,
+  array_to_string({D.market_tags('lastmarket')}, ',') AS market,
+  array_to_string({D.clean_tags("['wifi', ' Wifi '] || " + D.market_tags('lastmarket') + " || [lower(lname)]")}, ',') AS tags,
+  {D.inbox_key('email')} AS inbox, nullif(trim(lname), '') AS nationality
+FROM wifi_guests w LEFT JOIN domain_corrections dc ON dc.wrong = split_part(lower(trim(w.email)), '@', 2)"""))
+def q_sql_rules(spark, sf):
+    """The scalar rules called as SQL functions."""
+    register_rules(spark)
+    return _wifi(spark, sf).selectExpr(
+        "doc_id", "fix_domain(email) AS fixed", "is_valid_address(fix_domain(email)) AS valid", "is_blocked_domain(email) AS blocked",
+        "clean_name(fname) AS first_name", "parse_birthday(dob) AS parsed", "plausible_birthday(parse_birthday(dob)) AS birthday",
+        "is_adult(parse_birthday(dob)) AS adult", "array_join(parse_market(lastmarket), ',') AS market",
+        "array_join(clean_tags(concat(array('wifi', ' Wifi '), parse_market(lastmarket), array(lower(lname)))), ',') AS tags",
+        "inbox_key(email) AS inbox", "clean_nationality(lname) AS nationality")
+
+
 @register("dedupe_within_source", D.with_ctes(["canon_one"], """
 SELECT email, src AS source, pk FROM canon_one"""))
 def q_dedupe_within_source(spark, sf):

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+
 from pyspark.sql import functions as F
 
 from custfold import config as C
 from custfold.catalog import REGISTRY, register
-from custfold.operators import activate, ingest, master as M
+from custfold.operators import activate, ingest, master as M, runlog
 from custfold.oracle import duck as D
 from custfold.plans import pipeline, reports as R
+from custfold.session import ensure_checkpoint_dir
 from custfold.sources.fixtures import fixture
 
 BR = D._in_list(C.BRANDS)
@@ -382,3 +386,49 @@ FROM newsletter_signups n LEFT JOIN (
 def q_signup_totals_after_push(spark, sf):
     done = activate.push_outcome_signup(fixture(spark, sf, "push_responses"))
     return R.signup_totals(activate.apply_signup_outcomes(_news(spark, sf), done))
+
+
+_BUNDLE = """SELECT '{report}' AS report, {key} AS key, CAST(count(*) AS BIGINT) AS people,
+  CAST(count(*) FILTER (WHERE allow_email) AS BIGINT) AS consented, CAST(count(*) FILTER (WHERE allow_email = false) AS BIGINT) AS opted_out,
+  CAST(count(*) FILTER (WHERE allow_email IS NULL) AS BIGINT) AS unknown, CAST(count(first_name) AS BIGINT) AS has_first,
+  CAST(count(last_name) AS BIGINT) AS has_last, CAST(count(birthday) AS BIGINT) AS has_birthday, CAST(count(nationality) AS BIGINT) AS has_nationality,
+  CAST(count(*) FILTER (WHERE len(sources) > 1) AS BIGINT) AS multi_source
+FROM {rows} WHERE {key} IS NOT NULL GROUP BY 2"""
+_PER_TAG = "(SELECT *, unnest(list_distinct(tags)) AS t FROM master) q"
+_BUNDLES = [("total", "''", "master"), ("sources", "array_to_string(list_sort(sources), ' + ')", "master"), ("tag", "t", _PER_TAG),
+            ("brand", "CASE WHEN t IN ('PICKL', 'BONBIRD', 'SOUTHPOUR') THEN t END", _PER_TAG),
+            *[(f"segment {c}", c, "master") for c in ("src_system", "brand", "country", "venue")]]
+
+
+@register("report_bundle", D.with_ctes(["master"], " UNION ALL ".join(_BUNDLE.format(report=r, key=k, rows=q) for r, k, q in _BUNDLES)))
+def q_report_bundle(spark, sf):
+    """The reports over the master's own columns, from one scan."""
+    return R.report_bundle(pipeline.stored_master(spark, sf))
+
+
+@register("report_bundle_prior", D.over_prior(D.with_ctes(["master"], " UNION ALL ".join(_BUNDLE.format(report=r, key=k, rows=q) for r, k, q in _BUNDLES))))
+def q_report_bundle_prior(spark, sf):
+    return R.report_bundle(pipeline.stored_master(spark, sf, with_prior=True))
+
+
+_LOG_SQL = f"""
+SELECT 'revel' AS job, 'ok' AS status, metric, n FROM (
+  SELECT unnest(['rows', 'discarded', 'ok', 'rejected']) AS metric, unnest([count(*), count(*) FILTER (WHERE c = 'discarded'), count(*) FILTER (WHERE c = 'ok'),
+    count(*) FILTER (WHERE c = 'rejected')]) AS n FROM (
+    SELECT CASE WHEN split_part(email_reason, ':', 1) IN {D._in_list(C.DISCARD_REASONS)} THEN 'discarded' WHEN email_reason IS NULL THEN 'ok' ELSE 'rejected' END AS c
+    FROM revel_typed WHERE revel_id IS NOT NULL AND revel_id <> '') q) r
+UNION ALL SELECT 'master', 'ok', src, CAST(count(*) AS BIGINT) FROM canon_one GROUP BY src
+UNION ALL SELECT 'master', 'ok', unnest(['people', 'changed']), unnest([count(*), count(*)]) FROM merged_full
+UNION ALL SELECT 'master', 'failed', NULL, NULL"""
+
+
+@register("run_log_of_jobs", D.with_ctes(["revel_typed", "canon_one", "merged_full"], _LOG_SQL))
+def q_run_log_of_jobs(spark, sf):
+    """The log that an ingest, a rebuild and a rebuild without sources leave."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobs-{uuid.uuid4().hex}"
+    log = f"{root}/log"
+    runlog.ingest_pos_logged(spark, fixture(spark, sf, "revel_raw"), f"{root}/pos", log)
+    runlog.rebuild_logged(spark, pipeline.stored_sources(spark, sf), f"{root}/merged", log)
+    with contextlib.suppress(ValueError):  # logged as failed
+        runlog.rebuild_logged(spark, {}, f"{root}/none", log)
+    return runlog.log_metrics(spark.read.schema(runlog.LOG_SCHEMA).parquet(log)).select("job", "status", "metric", "n")

@@ -8,7 +8,7 @@ fixed brand list (a bounded literal, no join).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custfold import config as C
@@ -339,3 +339,27 @@ def pipeline_overview(wifi: DataFrame | None, pos: DataFrame | None, sync_state:
         res = res.unionByName(o, allowMissingColumns=True)
     schema_cols = [c.split(" ")[0] for c in cols.split(", ")]
     return res.select(*[F.col(c) if c in res.columns else F.lit(None).alias(c) for c in schema_cols])
+
+
+def report_bundle(m: DataFrame) -> DataFrame:
+    """Quality, consent, tag, segment and overlap counts from one scan.
+
+    Every master row gives its keys ``(report, key)`` (itself, its source
+    combination, its tags, brands and segments), one aggregation counts all
+    measures per key, and it combines map-side, so what is shuffled is the number
+    of keys, not of rows.  ``report, key, people, consented, opted_out, unknown,
+    has_first, has_last, has_birthday, has_nationality, multi_source``.
+    """
+    def key(report: str, value) -> Column:
+        return F.struct(F.lit(report).alias("report"), value.alias("key"))
+
+    combo = F.array_join(F.array_sort("sources"), " + ")
+    tags = F.coalesce(F.array_distinct("tags"), F.array().cast("array<string>"))
+    brands = F.array(*[F.lit(b) for b in C.BRANDS])
+    single = [key("total", F.lit("")), key("sources", combo), *[key(f"segment {c}", F.col(c)) for c in ("src_system", "brand", "country", "venue")]]
+    keys = F.concat(F.array(*single), F.transform(tags, lambda t: key("tag", t)), F.transform(F.array_intersect(tags, brands), lambda t: key("brand", t)))
+    has = {"first": "first_name", "last": "last_name", "birthday": "birthday", "nationality": "nationality"}
+    flags = m.select(F.explode(F.filter(keys, lambda k: k["key"].isNotNull())).alias("k"), "allow_email",
+                     *[F.col(c).isNotNull().alias(f"_{n}") for n, c in has.items()], (F.size("sources") > 1).alias("_multi"))
+    return flags.groupBy("k.report", "k.key").agg(
+        F.count(F.lit(1)).alias("people"), *_consent_aggs(), *[_cnt(F.col(f"_{n}")).alias(f"has_{n}") for n in has], _cnt(F.col("_multi")).alias("multi_source"))

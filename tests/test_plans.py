@@ -1,11 +1,16 @@
 """Plan guards: no cross products anywhere; the merge pre-aggregates before
 its shuffle; a hot address (a third of all rows) merges correctly."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from custfold.catalog import REGISTRY, load_all
 from custfold.config import SourceSpec
+from custfold.operators import activate as A
+from custfold.operators import ingest
 from custfold.operators import master as M
+from custfold.plans import pipeline
+from custfold.sources.fixtures import fixture
 
 from conftest import SMALL
 
@@ -42,3 +47,56 @@ def test_merge_preaggregates_hot_address(spark):
     # the smallest source key of the hot address is row 0 (no first name)
     assert hot[0].first_name is None
     assert res.master.count() == 1 + (n - n // 3)
+
+
+HEADLINE = ["upsert_pos_customers", "classify_email", "rebuild_pipeline", "refresh_master", "refresh_counts", "refresh_counts_incremental", "merge_sources",
+            "registry_project", "pending_queue", "record_push_state", "customer_360", "pos_write_stats"]
+
+
+def test_generated_code_never_falls_back(spark):
+    """A stage whose code does not compile fails here (by default Spark would
+    run it interpreted)."""
+    strict = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    old = {k: spark.conf.get(k) for k in strict}
+    try:
+        for k, v in strict.items():
+            spark.conf.set(k, v)
+        for name in HEADLINE:
+            REGISTRY[name][0](spark, SMALL).write.format("noop").mode("overwrite").save()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_pos_checks_run_once_per_stored_row(spark):
+    raw = fixture(spark, SMALL, "revel_raw")
+    plan = ingest.revel_customers(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("THEN placeholder") == 1 and plan.count("gibberish:") == 1
+    # The classification stands above the pick of the newest arrival.
+    assert plan.index("THEN placeholder") < plan.index("LeftSemi")
+    kept, _gone = ingest.discard_rejects(ingest.ingest_pos_customers(raw))
+    # The address is tested by itself (the derived feed's own expression is part of the text).
+    conditions = [x for x in kept._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in x]
+    assert conditions and all("placeholder" not in c and "mailinator" not in c.split("@(?:")[1] for c in conditions)
+
+
+def test_capped_queue_joins_once(spark):
+    master = pipeline.stored_master(spark, SMALL)
+    state = fixture(spark, SMALL, "push_state")
+    capped = A.pending_queue(master, state, limit=3)
+    plan = _plan(capped)
+    assert plan.count("WindowGroupLimit") == 2 and len([x for x in plan.split("\n") if "Join " in x and "Exchange" not in x]) <= 2
+    rows = A.pending_queue(master, state).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["brand"], []).append(r["email"])
+    assert {(r["brand"], r["email"]) for r in capped.collect()} == {(b, e) for b, es in by.items() for e in sorted(es)[:3]}
+
+
+def test_repeated_outcomes_without_order_are_refused(spark):
+    state = fixture(spark, SMALL, "push_state")
+    log = spark.createDataFrame([("a@x.com", "PICKL", "ok", None, None, None), ("a@x.com", "PICKL", "failed", None, None, None)],
+                                "email string, brand string, status string, detail string, como_member_id string, common_ext_id string")
+    with pytest.raises(Exception, match="no attempt order"):
+        A.record_push_state(state, log).collect()
+    assert A.record_push_state(state, log.limit(1)).where("email = 'a@x.com'").count() == 1

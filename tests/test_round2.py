@@ -208,7 +208,7 @@ def test_preflight_totals_and_members(spark):
 
 
 def test_dimension_tables_are_parameters(spark):
-    spec = C.SourceSpec(source_table="s", email_expr="email", source_tag="S", key_expr="email", extra_tags_expr="market:market")
+    spec = C.SourceSpec(source_table="s", email_expr="email", source_tag="S", key_expr="email", extra_tags_expr="parse_market(market)")
     df = spark.createDataFrame([("a@wrong.tld", "pickl-atlantis-hall"), ("b@spam.com", None)], "email string, market string")
     dims = C.Dimensions.from_tables(corrections=spark.createDataFrame([("wrong.tld", "right.com")], "wrong string, correct string"),
                                     blocked=spark.createDataFrame([("spam.com",)], "domain string"),
