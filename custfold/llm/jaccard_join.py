@@ -8,11 +8,12 @@ more are links.  Texts of equal sets form one class and are joined once.
   where ``hash(run, j) < 1 / (0.8 n)``.  Two sets of similarity 0.8 or more
   share at least one taken shingle on average, two that share little almost
   none.  Buckets of more than ``LEAF`` sets are split again the same way with
-  a hash of the path so far, down to ``DEPTH`` levels.
-* **Brute force.**  All pairs of a small bucket are compared.  A bucket that
-  splitting cannot reduce (sets that are all alike) is compared in cells of
-  two blocks of at most about ``LEAF`` sets each, so no task holds a large
-  bucket.  A pair that meets in several buckets counts in the one of the
+  a hash of the path so far, down to ``DEPTH`` levels, unless their sets are
+  alike: splitting cannot reduce such a bucket and would only repeat its sets.
+  A bucket's sets are alike where their sketches agree in most of ``BITS`` bits.
+* **Brute force.**  All pairs of a small bucket are compared.  A large bucket
+  of alike sets, or at the last level, is compared in cells of two blocks of at
+  most about ``LEAF`` sets each, so no task holds a large bucket.  A pair that meets in several buckets counts in the one of the
   smallest path only.  A 64-bin sketch first drops members without any likely
   partner; what remains is compared on its whole sets, exactly.
 * **Repeat.**  The number of runs follows from the target recall: a pair at
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from custfold.llm.common import same_key, ship, store, table, text_of
@@ -45,6 +46,10 @@ from custfold.llm.shingles import mix, shingle_sets
 
 THRESHOLD, LEAF, DEPTH, RECALL = 0.8, 128, 3, 0.995
 BINS, LIKELY = 64, 0.58
+#: One bit of so many bins tells whether a bucket's sets agree: nearly all sets
+#: have the same bit for near copies, about half of them for other sets.  Empty
+#: bins tell nothing and count as no agreement.
+BITS, ALIKE = 16, 0.6
 _U = np.uint64
 
 
@@ -64,6 +69,22 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.where(low >> _U(58) == np.arange(BINS, dtype=np.uint64), value, 0).astype(np.uint8)
 
 
+def bits_of(sk: np.ndarray) -> int:
+    """Of every fourth bin of a sketch the lowest bit, and above these bits
+    whether the bin is filled, as one number."""
+    bins = sk[::BINS // BITS].astype(np.int64)
+    return int(((bins & 1) << np.arange(BITS)).sum() | ((bins > 0).astype(np.int64) << np.arange(BITS, 2 * BITS)).sum())
+
+
+def _agreement(bits: str = "bits") -> Column:
+    """How far the sets of a bucket agree in their bits: 0 (not) to 1 (all)."""
+    def surplus(i: int) -> Column:
+        one, filled = f"(({bits} >> {i}) & 1)", f"(({bits} >> {BITS + i}) & 1)"
+        return F.abs(F.expr(f"sum(2 * {one} - {filled})"))
+
+    return sum((surplus(i) for i in range(1, BITS)), surplus(0)) / (F.count(F.lit(1)) * BITS)
+
+
 def _limit(n: int, threshold: float) -> np.uint64:
     return _U(min((1 << 64) - 1, int((1 << 64) / (threshold * n))))
 
@@ -93,19 +114,21 @@ def _signer(runs: int, threshold: float, depth: int):
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, sizes, sketches = [], [], []
+            keys, sizes, sketches, bits = [], [], [], []
             levels: list[list[list[np.ndarray]]] = [[[], []] for _ in range(depth)]
             for s in shingle_sets(b.column("body").to_pylist()):
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sizes.append(len(s))
-                sketches.append(sketch(s).tobytes() if len(s) else b"")
+                sk = sketch(s) if len(s) else np.zeros(0, np.uint8)
+                sketches.append(sk.tobytes())
+                bits.append(bits_of(sk) if len(s) else 0)
                 paths = roots if len(s) else roots[:0]
                 for up, at in levels:
                     parent, paths = chosen(s, paths, threshold)
                     up.append(parent.astype(np.int32))
                     at.append(paths.view(np.int64))
-            cols = [b.column("doc_id"), b.column("_h"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary())]
-            names = ["doc_id", "_h", "k", "n", "sketch"]
+            cols = [b.column("doc_id"), b.column("_h"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.array(bits, pa.int64())]
+            names = ["doc_id", "_h", "k", "n", "sketch", "bits"]
             for d, (up, at) in enumerate(levels, 1):
                 cols += [_lists(up, pa.int32()), _lists(at, pa.int64())]
                 names += [f"up{d}", f"p{d}"]
@@ -279,16 +302,15 @@ def _buckets(one: DataFrame, leaf: int, depth: int) -> DataFrame:
         if d > 1:
             parents = F.col(f"p{d - 1}")
             above = F.transform(f"up{d}", lambda i: F.get(parents, i))  # noqa: B023
-        rows = one.select("k", F.explode(F.arrays_zip(above.alias("parent"), F.col(f"p{d}").alias("path"))).alias("e")).select("k", "e.parent", "e.path")
+        rows = one.select("k", "bits", F.explode(F.arrays_zip(above.alias("parent"), F.col(f"p{d}").alias("path"))).alias("e")).select("k", "bits", "e.parent", "e.path")
         if big is not None:
             # Read twice below, by the counts and by the leaves.
-            rows = store(rows.join(big.select(F.col("path").alias("parent")), "parent").select("k", "path"), f"bucket-rows-{d}")
-        rows = rows.select("k", "path")
-        counts = store(rows.groupBy("path").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"), f"bucket-sizes-{d}")
-        small = counts.where(F.col("cnt") <= leaf) if d < depth else counts
-        found = rows.join(small, "path").select("k", "path", "cnt")
+            rows = store(rows.join(big.select(F.col("path").alias("parent")), "parent").select("k", "bits", "path"), f"bucket-rows-{d}")
+        counts = store(rows.groupBy("path").agg(F.count(F.lit(1)).alias("cnt"), _agreement().alias("alike")).where("cnt > 1"), f"bucket-sizes-{d}")
+        splits = (F.col("cnt") > leaf) & (F.col("alike") < ALIKE) if d < depth else F.lit(False)
+        found = rows.join(counts.where(~splits), "path").select("k", "path", "cnt")
         leaves = found if leaves is None else leaves.unionByName(found)
-        big = counts.where(F.col("cnt") > leaf)
+        big = counts.where(splits)
     return leaves
 
 
@@ -302,11 +324,11 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     text = text_of(docs, text_col)
     rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(text).alias("_h"), text.alias("body"))
     runs = runs_for(recall, depth)
-    schema = f"doc_id {kind}, _h long, k binary, n int, sketch binary, " + ", ".join(f"up{d} array<int>, p{d} array<long>" for d in range(1, depth + 1))
+    schema = f"doc_id {kind}, _h long, k binary, n int, sketch binary, bits long, " + ", ".join(f"up{d} array<int>, p{d} array<long>" for d in range(1, depth + 1))
     signed = store(rows.mapInArrow(_signer(runs, threshold, depth), schema), "join-signatures")
 
     name = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_h")
-    cols = ["n", "sketch", *(f"{x}{d}" for d in range(1, depth + 1) for x in ("up", "p"))]
+    cols = ["n", "sketch", "bits", *(f"{x}{d}" for d in range(1, depth + 1) for x in ("up", "p"))]
     one = store(signed.where("n > 0").groupBy("k").agg(F.min(name).alias("name"), F.count(F.lit(1)).alias("copies"),
                                                          F.first(F.struct(*cols)).alias("s")).select("k", "name", "copies", "s.*"), "join-sets")
     leaves = _buckets(one, leaf, depth)

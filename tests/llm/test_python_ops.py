@@ -340,3 +340,21 @@ def test_memo_generations(monkeypatch):
     texts = [" ".join(str(rng.randrange(200)) for _ in range(30)) for _ in range(40)]
     assert [c.count_all([t])[0] for t in texts] == library_counts(texts)
     assert len(c.memo) <= 80 and len(c.old) <= 80
+
+
+def test_alike_sets_agree_in_their_bits():
+    """Near copies are told from texts that share one passage."""
+    rnd = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(5000)]
+    base = list(rnd.choice(words, 300))
+
+    def agreement(texts):
+        bits = [jaccard_join.bits_of(jaccard_join.sketch(s)) for s in jaccard_join.shingle_sets(texts)]
+        n = jaccard_join.BITS
+        return sum(abs(sum(2 * (b >> i & 1) - (b >> n + i & 1) for b in bits)) for i in range(n)) / (len(bits) * n)
+
+    near = [" ".join(w if rnd.random() > 0.02 else "x" + w for w in base) for _ in range(200)]
+    passage = [" ".join([*base[:60], *rnd.choice(words, 240)]) for _ in range(200)]
+    assert agreement(near) > jaccard_join.ALIKE + 0.1 and agreement(passage) < jaccard_join.ALIKE - 0.1
+    short = [" ".join(["the", "same", "five", "words", "here", w]) for w in words[:200]]  # few bins filled
+    assert agreement(short) < 0.2
