@@ -161,21 +161,34 @@ def _prior_rows(prior: DataFrame) -> DataFrame:
         *[(F.col(c) if c in prior.columns else F.lit(None)).cast(t).alias(c) for c, t in _CARRY])
 
 
+def store_keyed(df: DataFrame, table: str, path: str, key: str = "email", buckets: int | None = None) -> DataFrame:
+    """Write a table bucketed and sorted by its key.  A merge that deals its
+    sources into as many partitions (``spark.sql.shuffle.partitions``) then reads
+    this side where it lies, without a shuffle."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(table))
+    return spark.table(table)
+
+
 def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
                   as_of: _dt.date = C.AS_OF, exclude: DataFrame | None = None,
-                  dims: Dimensions | None = None) -> MergeResult:
+                  dims: Dimensions | None = None, keyed_prior: bool = False) -> MergeResult:
     """Fold all sources (and the prior master) into one row per email.
 
     Equivalent to merging source by source in (priority, source_table)
     order with "fill only NULL fields, union tags and sources, touch the
     row only when something is gained".  The prior row outranks every
-    source.
+    source.  ``keyed_prior`` says that no address is repeated in the prior master:
+    it is then joined to the merged sources by address instead of being grouped
+    with them, and one stored by ``store_keyed`` is not shuffled.
     """
     specs = ordered_specs(registry)
     present = [(i + 1, s) for i, s in enumerate(specs) if sources.get(s.source_table) is not None]
     missing = [s for s in specs if sources.get(s.source_table) is None]
     parts = []
-    if prior is not None:
+    joined = prior is not None and keyed_prior and bool(present)
+    if prior is not None and not joined:
         parts.append(_prior_rows(prior).withColumn("_rank", F.lit(0)))
     for rank, spec in present:
         parts.append(registry_project(sources[spec.source_table], spec, as_of, dims)
@@ -186,10 +199,14 @@ def merge_sources(sources: dict, registry=None, prior: DataFrame | None = None,
     for p in parts[1:]:
         union = union.unionByName(p)
 
-    ranks = ([0] if prior is not None else []) + [r for r, _ in present]
+    ranks = ([0] if prior is not None and not joined else []) + [r for r, _ in present]
     row = F.struct(*[F.col(c) for c in _STRUCT_COLS + [c for c, _ in _CARRY]])
     aggs = [F.min_by(row, F.when(F.col("_rank") == r, F.col("_pk"))).alias(f"_c{r}") for r in ranks]
     per_email = union.groupBy("email").agg(*aggs)
+    if joined:
+        held = _prior_rows(prior).select(F.col("email").alias("_held"), row.alias("_c0"))
+        per_email = per_email.join(held, F.col("email") == F.col("_held"), "full").select(
+            F.coalesce("email", "_held").alias("email"), "_c0", *[f"_c{r}" for r in ranks])
     if exclude is not None:
         # After the aggregation every email is one row, so the anti-join
         # shuffles no hot key.
@@ -452,7 +469,7 @@ class Rebuild:
 def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = None,
                      ledger: DataFrame | None = None, as_of: _dt.date = C.AS_OF,
                      run_ts: _dt.datetime = C.RUN_TS, materialize: bool = True,
-                     strict_minors: bool = False, dims: Dimensions | None = None) -> Rebuild:
+                     strict_minors: bool = False, dims: Dimensions | None = None, keyed_prior: bool = False) -> Rebuild:
     """refresh -> minors -> dimensions -> duplicates.
 
     With ``materialize`` the merged rows, with their change flags, are
@@ -466,7 +483,7 @@ def rebuild_pipeline(sources: dict, registry=None, prior: DataFrame | None = Non
         # Keep every ledger address out, compared on the corrected key
         # (the ledger holds the raw lower/trim address).
         exclude = full_ledger.select(F.lower(F.trim(fix_domain(F.col("email"), (dims or Dimensions()).corrections))).alias("email"))
-    res = merge_sources(sources, registry, prior, as_of, exclude=exclude, dims=dims)
+    res = merge_sources(sources, registry, prior, as_of, exclude=exclude, dims=dims, keyed_prior=keyed_prior)
     if materialize:
         root = ensure_checkpoint_dir(res.master.sparkSession).rstrip("/")
         path = f"{root}/merged/{uuid.uuid4().hex}"

@@ -37,6 +37,21 @@ def rebuild(spark: SparkSession, sf_dir: str, with_prior: bool = False) -> maste
     return master.rebuild_pipeline(stored_sources(spark, sf_dir), prior=prior)
 
 
+_KEYED: dict = {}
+
+
+def keyed_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prior master stored by address (bucketed), once per session and
+    state of its inputs."""
+    key = (spark.sparkContext.applicationId, sf_dir, folder_version(spark, sf_dir))
+    if key not in _KEYED:
+        name = f"custfold_prior_{uuid.uuid4().hex}"
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+        master.store_keyed(fixture(spark, sf_dir, "prior_master"), name, path)
+        _KEYED[key] = name
+    return spark.table(_KEYED[key])
+
+
 def master_table(spark: SparkSession, sf_dir: str, with_prior: bool = False) -> DataFrame:
     """The rebuilt master as a lazy plan."""
     return rebuild(spark, sf_dir, with_prior).master

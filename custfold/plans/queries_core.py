@@ -31,6 +31,13 @@ def q_refresh_master(spark, sf):
     return master_view(pipeline.master_table(spark, sf, with_prior=True))
 
 
+@register("refresh_master_keyed", D.with_ctes(["master_inc"], f"SELECT {D.master_cols()} FROM master_inc"))
+def q_refresh_master_keyed(spark, sf):
+    """A refresh over a prior master stored by address, which is not shuffled."""
+    rb = M.rebuild_pipeline(pipeline.stored_sources(spark, sf), prior=pipeline.keyed_prior(spark, sf), keyed_prior=True)
+    return master_view(rb.master)
+
+
 @register("merge_sources", D.with_ctes(["merged_full"], """
 SELECT email, first_name, last_name, nationality, birthday, allow_email,
   array_to_string(tags, ',') AS tags, array_to_string(sources, ',') AS sources FROM merged_full"""))
@@ -97,6 +104,11 @@ def q_refresh_counts_inc(spark, sf):
     return M.refresh_counts(M.merge_sources(pipeline.stored_sources(spark, sf), prior=prior))
 
 
+@register("refresh_counts_keyed", _COUNTS_INC)
+def q_refresh_counts_keyed(spark, sf):
+    return M.refresh_counts(M.merge_sources(pipeline.stored_sources(spark, sf), prior=pipeline.keyed_prior(spark, sf), keyed_prior=True))
+
+
 @register("refresh_changed", D.with_ctes(["merged_inc"], """
 SELECT email, CASE WHEN change = 'inserted' THEN true ELSE needs_push END AS needs_push, change
 FROM merged_inc"""))

@@ -100,3 +100,22 @@ def test_repeated_outcomes_without_order_are_refused(spark):
     with pytest.raises(Exception, match="no attempt order"):
         A.record_push_state(state, log).collect()
     assert A.record_push_state(state, log.limit(1)).where("email = 'a@x.com'").count() == 1
+
+
+def test_keyed_prior_is_not_shuffled(spark):
+    prior = pipeline.keyed_prior(spark, SMALL)
+    merged = M.merge_sources(pipeline.stored_sources(spark, SMALL), prior=prior, keyed_prior=True).master
+    lines = _plan(merged).split("\n")
+    at = next(i for i, x in enumerate(lines) if "custfold_prior" in x)
+    assert "Bucketed: true" in lines[at]
+    depth = [len(x) - len(x.lstrip(" :+-|")) for x in lines]
+    above, d = [], depth[at]
+    for i in range(at - 1, -1, -1):  # the operators over the scan, up to the join
+        if depth[i] < d:
+            d = depth[i]
+            above.append(lines[i])
+            if "Join" in lines[i]:
+                break
+    assert "Join" in above[-1] and not any("Exchange" in x for x in above), above
+    plain = M.merge_sources(pipeline.stored_sources(spark, SMALL), prior=fixture(spark, SMALL, "prior_master")).master
+    assert sorted(map(str, merged.collect())) == sorted(map(str, plain.select(*merged.columns).collect()))
