@@ -40,5 +40,6 @@ ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
     "op6_benchmark_decontamination": decontaminate.OP6_SQL,
+    "op12_conversation_repair": conversations.OP12_SQL,
     "op13_phrase_collocations": collocations.OP13_SQL,
 }

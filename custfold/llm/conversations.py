@@ -434,3 +434,79 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.join(found, same_key(ids, found, ["conv_id"]), "left").select(
         ids["conv_id"], *[F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"))
+
+
+def _oracle_sql() -> str:
+    """The rules in DuckDB: per conversation a fold over its rows from the last
+    to the first, which keeps per state of the pattern the cheapest (then
+    ASCII-least) edits and the rows they leave."""
+    def cell(c: str, a: str, t: str) -> str:
+        return f"{{'c': CAST({c} AS BIGINT), 'a': {a}, 't': {t}}}"
+
+    def before(row: str, rest: str) -> str:  # no row is empty text, it holds a colon
+        return f"{row} || CASE WHEN {rest} = '' THEN '' ELSE chr(10) || {rest} END"
+
+    def insert(base: str, to: int) -> str:
+        return cell(f"{base}.c + {INSERT}", f"'I' || {base}.a", before(f"'{ROLE[to]}:'", f"{base}.t"))
+
+    def edits(q: int) -> str:
+        to, found = TURN[q], [cell(f"st.q{q}.c + {DELETE}", f"'D' || st.q{q}.a", f"st.q{q}.t")]
+        extra = f"CASE WHEN r.f = 'truncated' THEN {CUT} ELSE 0 END"
+        rerole = cell(f"st.q{to}.c + {REROLE} + {extra}", f"'R' || st.q{to}.a", before(f"'{ROLE[to]}:' || r.x", f"st.q{to}.t"))
+        found.append(f"CASE WHEN r.f NOT IN ('blank', 'duplicate') THEN {rerole} END")
+        for initial, states in KEPT.items():
+            if (k := states[q]) >= 0:
+                keep = cell(f"st.q{k}.c + {extra}", f"'K' || st.q{k}.a", before("r.b", f"st.q{k}.t"))
+                found.append(f"CASE WHEN r.f NOT IN ('blank', 'duplicate') AND r.s = '{initial}' THEN {keep} END")
+        return f"list_min([{', '.join(found)}])"
+
+    def row(cells: str) -> str:
+        return f"{{{cells}, 's': s, 'f': f, 'b': role || ':' || text, 'x': text}}"
+
+    kind = "STRUCT(c BIGINT, a VARCHAR, t VARCHAR)"
+    none = ", ".join(f"'q{q}': CAST(NULL AS {kind})" for q in range(4))
+    end = [cell("0", "''", "''"), cell("10", "'II'", "'user:' || chr(10) || 'assistant:'"), cell("5", "'I'", "'assistant:'"), cell("0", "''", "''")]
+    same = "'s': r.s, 'f': r.f, 'b': r.b, 'x': r.x"
+    step = f"lambda st, r: {{{', '.join(f"'q{q}': {edits(q)}" for q in range(4))}, {same}}}"
+    wider = ", ".join(f"'q{q}': list_min([st.q{q}, {insert(f'st.q{TURN[q]}', TURN[q])}])" for q in range(4))
+    # Up to two inserts stand before a row: two steps over the costs without them.
+    twice = f"list_reduce([m, m], lambda st, r: {{{wider}, 's': st.s, 'f': st.f, 'b': st.b, 'x': st.x}}, m)"
+    fold = step.replace("lambda st, r: ", "", 1)
+    body = f"list_transform([{fold}], lambda m: {twice})[1]"
+    start = row(", ".join(f"'q{q}': {c}" for q, c in enumerate(end))).replace("'s': s, 'f': f, 'b': role || ':' || text, 'x': text", "'s': '', 'f': '', 'b': '', 'x': ''")
+    blank = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    bits = "list_reduce(range(8), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte))"
+    crc = f"xor(list_reduce(list_transform(string_split({key}, ''), lambda ch: CAST(ascii(ch) AS BIGINT)), lambda crc, byte: {bits}, CAST(4294967295 AS BIGINT)), 4294967295)"
+    return f"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS kind FROM conversations),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM rows WHERE kind <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+    FROM damaged),
+judged AS (
+    SELECT *, left(role, 1) AS s, rtrim(text, {blank}) AS v FROM placed),
+faulty AS (
+    SELECT *, CASE WHEN v = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(v, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS f,
+           lag(s) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM judged),
+folded AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE f = 'blank') AS blank, count(*) FILTER (WHERE f = 'duplicate') AS duplicate,
+           count(*) FILTER (WHERE f = 'truncated') AS truncated,
+           count(*) FILTER (WHERE before IS NOT NULL AND before || s NOT IN ('su', 'ua', 'au')) AS illegal,
+           list_reduce(list({row(none)} ORDER BY i DESC), lambda st, r: {body}, {start}).q0 AS best
+    FROM faulty GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(best.c, 0) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(best.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN folded ON folded.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+OP12_SQL = _oracle_sql()
