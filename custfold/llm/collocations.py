@@ -10,17 +10,19 @@
    sorted to the depth of the longest phrase.  A phrase is an interval in each;
    ``extend`` adds a word at either end and moves both.  The interval gives the
    count, and the transforms over it give the words before and after.
-4. Word pairs are enumerated first and summed over shards.  Longer phrases
-   extend intervals only over pairs that are frequent everywhere, which every
-   part of a frequent phrase is; their counts are summed over shards again.
+4. Word pairs are enumerated first, as sorted numbers packed per bucket of
+   pairs; each bucket adds its shards' counts and tells every shard which of its
+   pairs are frequent everywhere.  Phrases then extend intervals only over such
+   pairs, which every part of a frequent phrase is; their counts are summed over
+   shards again.
 5. A phrase lies inside a longer candidate of the same count exactly where all
    its occurrences, in all shards, have the same word before or after it, and
    the shards report that word.  One word more is enough: what lies between has
    the same count.
 
-A shard's index is one row of bounded size; a hot word or phrase is one row per
-shard, summed with map-side combining or in a spilling window.  All tables in
-between are Parquet files in the shared folder.
+A shard's index is one row of bounded size; a hot word, pair or phrase counts once
+per shard, and buckets grow in number with the words.  All tables in between are
+Parquet files in the shared folder.
 
 Defined cases: a null text counts as empty; a null language is ``und``; an empty
 text adds nothing; rows with equal ``doc_id`` and text are counted each time; a very long
@@ -45,6 +47,10 @@ from custfold.llm.common import LOWER, UPPER, ship, store, table, text_of
 
 LEAST, DEPTH, TOP = 100, 5, 2000
 SHARD_WORDS = 1 << 21
+#: Words of the corpus for each bucket of pairs, so pairs that a bucket may hold.
+BUCKET_WORDS = 1 << 20
+#: Rows of an index that are extended at once.
+ROWS = 1 << 19
 #: Words in the buffer that is turned into numbers at once.
 SOME = 1 << 18
 _BREAK = b"\n"
@@ -58,12 +64,14 @@ class BiIndex:
     ``bwt[0]`` holds the symbol before each suffix in sorted order, ``bwt[1]``
     the symbol after each reversed prefix.  Suffixes are sorted by their first
     ``depth`` symbols, which is all that phrases up to ``depth`` words need.
+    Where only one direction is walked, the other may be None.
     """
 
-    def __init__(self, bwt: tuple[np.ndarray, np.ndarray], size: int):
-        self.bwt, self.size, self.rows = bwt, size, len(bwt[0])
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(bwt[0], minlength=size + 1))]).astype(np.int64)
-        self.runs = [np.cumsum(np.concatenate([[0], b[1:] != b[:-1]])) if len(b) else b for b in bwt]
+    def __init__(self, bwt: tuple, size: int):
+        self.bwt, self.size = bwt, size
+        held = bwt[0] if bwt[0] is not None else bwt[1]
+        self.rows = len(held)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(held, minlength=size + 1))]).astype(np.int64)
         self.at: list[np.ndarray | None] = [None, None]
 
     @staticmethod
@@ -86,59 +94,85 @@ class BiIndex:
         lo = self.first[w]
         return {"lo": (lo, lo), "n": self.first[w + 1] - lo, "phrase": w[:, None]}
 
+    def followers(self, found: dict, side: int) -> Iterator[tuple]:
+        """``(interval, symbol, count, offset)`` of the symbols before (``side`` 0)
+        or after (1) each interval, some intervals at a time; in the other
+        index the longer phrases divide the interval in symbol order, so
+        ``offset`` counts the smaller ones."""
+        lo, n = found["lo"][side], found["n"]
+        for i, j in _blocks(n, ROWS):
+            which = np.repeat(np.arange(i, j), n[i:j])
+            row = np.arange(len(which)) + np.repeat(lo[i:j] - (np.cumsum(n[i:j]) - n[i:j]), n[i:j])
+            key, count = np.unique(which * (self.size + 1) + self.bwt[side][row], return_counts=True)
+            which, symbol = np.divmod(key, self.size + 1)
+            before = np.cumsum(count) - count
+            yield which, symbol, count, before - before[np.searchsorted(which, np.arange(i, j))][which - i]
+
     def extend(self, found: dict, side: int, allowed: np.ndarray | None = None) -> dict:
         """All phrases one word longer, before (``side`` 0) or after (1).
         ``allowed`` holds the sorted pairs ``first * (size + 1) + second`` to go over."""
-        lo, n = found["lo"][side], found["n"]
-        if not len(n):
-            return {"lo": (lo, lo), "n": n, "phrase": np.zeros((0, found["phrase"].shape[1] + 1), np.int64)}
-        which = np.repeat(np.arange(len(n)), n)
-        row = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        key, count = np.unique(which * (self.size + 1) + self.bwt[side][row], return_counts=True)
-        which, symbol = np.divmod(key, self.size + 1)
-        # In the other index the longer phrases divide the interval in symbol order.
-        before = np.cumsum(count) - count
-        head = np.searchsorted(which, np.arange(len(n)))
-        other = found["lo"][1 - side][which] + before - before[head][which]
-        keep = symbol > 0
-        if allowed is not None:
-            edge = found["phrase"][which, 0 if side == 0 else -1]
-            pair = (symbol * (self.size + 1) + edge) if side == 0 else (edge * (self.size + 1) + symbol)
-            keep &= np.isin(pair, allowed)
-        which, symbol, count, other = which[keep], symbol[keep], count[keep], other[keep]
-        here = self.first[symbol] + self.occurrences(side, symbol, lo[which])
-        parts = [symbol[:, None], found["phrase"][which]]
-        return {"lo": (here, other) if side == 0 else (other, here), "n": count,
-                "phrase": np.concatenate(parts if side == 0 else parts[::-1], axis=1)}
+        out = [(np.zeros(0, np.int64),) * 3 + (np.zeros((0, found["phrase"].shape[1] + 1), np.int64),)]
+        for which, symbol, count, offset in self.followers(found, side):
+            keep = symbol > 0
+            if allowed is not None:
+                edge = found["phrase"][which, 0 if side == 0 else -1]
+                pair = (symbol * (self.size + 1) + edge) if side == 0 else (edge * (self.size + 1) + symbol)
+                keep &= np.isin(pair, allowed)
+            which, symbol, count, offset = which[keep], symbol[keep], count[keep], offset[keep]
+            here = self.first[symbol] + self.occurrences(side, symbol, found["lo"][side][which])
+            parts = [symbol[:, None], found["phrase"][which]]
+            out.append((here, found["lo"][1 - side][which] + offset, count, np.concatenate(parts if side == 0 else parts[::-1], axis=1)))
+        here, other, count, phrase = (np.concatenate(x) for x in zip(*out, strict=True))
+        return {"lo": (here, other) if side == 0 else (other, here), "n": count, "phrase": phrase}
 
     def always(self, found: dict, side: int) -> np.ndarray:
         """The word that every occurrence has before (0) or after (1) it, else 0."""
-        lo, n = found["lo"][side], found["n"]
-        same = self.runs[side][lo] == self.runs[side][lo + n - 1] if len(n) else np.zeros(0, bool)
-        return np.where(same, self.bwt[side][lo], 0) if len(n) else np.zeros(0, np.int64)
+        b, lo, n = self.bwt[side], found["lo"][side], found["n"]
+        if not len(n):
+            return np.zeros(0, np.int64)
+        run = np.concatenate([[0], np.cumsum(b[1:] != b[:-1], dtype=np.int32)])
+        return np.where(run[lo] == run[lo + n - 1], b[lo], 0)
+
+
+def _blocks(size: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring items of about ``most`` together."""
+    if len(size):
+        group = np.cumsum(size, dtype=np.int64) // most
+        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(size)]
+        yield from zip(cuts, cuts[1:], strict=False)
+
+
+def _ordered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of ``key``, then of their place, and the sorted keys.
+    Key and place share one number where they fit, which sorts fastest."""
+    n = len(key)
+    if n and int(key.max()) < (1 << 63) // n - 1:
+        packed = key * n + np.arange(n)
+        packed.sort()
+        keys, order = np.divmod(packed, n)
+        return order, keys
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
 
 
 def _sorted_suffixes(t: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols (cyclic: the text
     ends in breaks, which no phrase holds)."""
-    rank = t.astype(np.int64)
-    have = 1
+    rank, have = t.astype(np.int64), 1
     while have < depth:
         step = min(have, depth - have)
-        key = rank * (rank.max() + 1) + np.roll(rank, -step) if len(rank) else rank
-        order = np.argsort(key, kind="stable")
-        new = np.empty(len(t), np.int64)
-        new[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
-        rank, have = new, have + step
-    return np.argsort(rank, kind="stable")
+        order, keys = _ordered(rank * (int(rank.max()) + 1) + np.roll(rank, -step))
+        rank[order] = np.concatenate([[0], np.cumsum(keys[1:] != keys[:-1])])
+        have += step
+    return _ordered(rank)[0]
 
 
-def _pack(a: np.ndarray) -> bytes:
-    return zlib.compress(a.astype("<i4").tobytes(), 1)
+def _pack(a: np.ndarray, kind: str = "<i4") -> bytes:
+    return zlib.compress(a.astype(kind).tobytes(), 1)
 
 
-def _unpack(b: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(b), "<i4").astype(np.int64)
+def _unpack(b: bytes, kind: str = "<i4") -> np.ndarray:
+    return np.frombuffer(zlib.decompress(b), kind)
 
 
 class _Shard:
@@ -196,8 +230,9 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS, text_col: str = "tex
     return rows.mapInPandas(read, "shard long, lang string, n long, words array<string>, counts array<long>, body binary")
 
 
-_INDEX = "shard long, lang string, ids array<long>, before binary, after binary"
-_FOUND = "shard long, lang string, phrase array<long>, a long, left long, right long"
+_INDEX = "shard long, lang string, ids array<int>, before binary, after binary"
+_FOUND = "lang string, phrase array<int>, a long, left int, right int"
+_PAIRS = "lang string, bucket int, shard long, keys binary, counts binary"
 
 
 def index_shards(parts: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -206,7 +241,7 @@ def index_shards(parts: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> D
     ship(parts.sparkSession)
     own = parts.select("shard", "lang", F.posexplode("words").alias("at", "word"))
     known = (own.join(frequent.select("lang", "word", "id"), ["lang", "word"]).groupBy("shard")
-             .agg(F.collect_list("at").alias("at"), F.collect_list("id").alias("ids")))
+             .agg(F.collect_list("at").alias("at"), F.collect_list("id").alias("ids")))  # in the same order
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -214,11 +249,11 @@ def index_shards(parts: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> D
                 text = _unpack(body)
                 at, ids = np.asarray(at, np.int64), np.asarray(ids, np.int64)
                 at, ids = at[np.argsort(ids)], np.sort(ids)
-                to = np.zeros(max(text.max(initial=0), at.max(initial=0) + 2) + 1, np.int64)
+                to = np.zeros(max(text.max(initial=0), at.max(initial=0) + 2) + 1, np.int32)
                 to[at + 2] = np.arange(1, len(ids) + 1)
                 text = to[text]
                 text = text[np.concatenate([[True], (text[1:] > 0) | (text[:-1] > 0)])]  # one break is enough
-                text = np.concatenate([[0], text, [0]])
+                text = np.concatenate([text[:0], [0], text, [0]]).astype(np.int32)
                 before, after = BiIndex.transforms(text, depth)
                 yield pd.DataFrame([(shard, lang, ids.tolist(), _pack(before), _pack(after))],
                                    columns=["shard", "lang", "ids", "before", "after"])
@@ -226,50 +261,82 @@ def index_shards(parts: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> D
     return parts.select("shard", "lang", "body").join(known, "shard").mapInPandas(build, _INDEX)
 
 
-def _rows(shard: int, lang: str, ids: np.ndarray, index: BiIndex, found: dict) -> Iterator[pd.DataFrame]:
-    names = np.concatenate([[-1], ids])
+def _rows(lang: str, ids: np.ndarray, index: BiIndex, found: dict) -> Iterator[pd.DataFrame]:
+    names = np.concatenate([[-1], ids]).astype(np.int32)
     left, right = names[index.always(found, 0)], names[index.always(found, 1)]
     phrase = names[found["phrase"]]
     for lo in range(0, len(phrase), SOME):
         hi = lo + SOME
-        yield pd.DataFrame({"shard": shard, "lang": lang, "phrase": list(phrase[lo:hi]), "a": found["n"][lo:hi],
-                            "left": left[lo:hi], "right": right[lo:hi]})
+        yield pd.DataFrame({"lang": lang, "phrase": list(phrase[lo:hi]), "a": found["n"][lo:hi], "left": left[lo:hi], "right": right[lo:hi]})
 
 
-def pairs(index: DataFrame) -> DataFrame:
-    """All phrases of two words of every shard, with local counts and the
-    words that always stand before and after (-1: none)."""
+def pairs(index: DataFrame, buckets: int) -> DataFrame:
+    """``lang, bucket, shard, keys, counts``: every shard's phrases of two words,
+    as sorted keys (both ids in one number, differences packed) per bucket."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for shard, lang, ids, before, after in b.itertuples(index=False):
+            for shard, lang, ids, after in b.itertuples(index=False):
                 ids = np.asarray(ids, np.int64)
-                fm = BiIndex((_unpack(before), _unpack(after)), len(ids))
-                yield from _rows(shard, lang, ids, fm, fm.extend(fm.words(), 1))
-
-    return index.mapInPandas(walk, _FOUND)
-
-
-def longer(index: DataFrame, frequent_pairs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Phrases of 3 to ``depth`` words of every shard whose neighbouring words
-    are all in the shard's rows of ``frequent_pairs (shard, phrase)``."""
-    allowed = (frequent_pairs.groupBy("shard")
-               .agg(F.collect_list(F.col("phrase")[0]).alias("first"), F.collect_list(F.col("phrase")[1]).alias("second")))
+                fm = BiIndex((None, _unpack(after)), len(ids))
+                keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for which, symbol, count, _ in fm.followers(words := fm.words(), 1):
+                    at = symbol > 0
+                    keys.append(ids[words["phrase"][which[at], 0] - 1] << 31 | ids[symbol[at] - 1])
+                    counts.append(count[at])
+                key, count = np.concatenate(keys), np.concatenate(counts)
+                of = ((key * 0x9E3779B1 >> 20) % buckets).astype(np.int32)
+                order = np.lexsort((key, of))
+                key, count, of = key[order], count[order], of[order]
+                rows = [(lang, int(of[i]), shard, _pack(np.diff(key[i:j], prepend=0), "<i8"), _pack(count[i:j]))
+                        for i, j in _blocks_of(of)]
+                yield pd.DataFrame(rows, columns=["lang", "bucket", "shard", "keys", "counts"])
+
+    return index.select("shard", "lang", "ids", "after").mapInPandas(walk, _PAIRS)
+
+
+def _blocks_of(of: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)] if len(of) else [0]
+    yield from zip(cuts, cuts[1:], strict=False)
+
+
+def frequent_pairs(packed: DataFrame, least: int) -> DataFrame:
+    """``shard, keys``: of each shard's pairs those that all shards together hold
+    ``least`` times, bucket by bucket."""
+
+    def merge(g: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.cumsum(_unpack(k, "<i8")) for k in g["keys"]]
+        every = np.concatenate(keys)
+        order = np.argsort(every, kind="stable")
+        new = np.flatnonzero(np.concatenate([[True], every[order][1:] != every[order][:-1]]))
+        total = np.add.reduceat(np.concatenate([_unpack(c) for c in g["counts"]]).astype(np.int64)[order], new)
+        often = every[order][new][total >= least]
+        mine = [k[np.isin(k, often, assume_unique=True)] for k in keys]
+        return pd.DataFrame([(s, _pack(k, "<i8")) for s, k in zip(g["shard"], mine, strict=True) if len(k)], columns=["shard", "keys"])
+
+    return packed.groupBy("lang", "bucket").applyInPandas(merge, "shard long, keys binary")
+
+
+def phrases_over(index: DataFrame, often: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """Phrases of 2 to ``depth`` words of every shard whose neighbouring words
+    are all in the shard's rows of ``often (shard, keys)``, with local counts and
+    the words that always stand before and after (-1: none)."""
+    allowed = often.groupBy("shard").agg(F.collect_list("keys").alias("keys"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for shard, lang, ids, before, after, first, second in b.itertuples(index=False):
+            for lang, ids, before, after, keys in b.itertuples(index=False):
                 ids = np.asarray(ids, np.int64)
                 fm = BiIndex((_unpack(before), _unpack(after)), len(ids))
-                over = np.searchsorted(ids, np.asarray(first, np.int64)) + 1
-                over = np.sort(over * (len(ids) + 1) + np.searchsorted(ids, np.asarray(second, np.int64)) + 1)
-                found = fm.extend(fm.words(), 1, over)
-                for d in range(3, depth + 1):
-                    found = fm.extend(found, d % 2, over)  # in turn after and before
-                    yield from _rows(shard, lang, ids, fm, found)
+                key = np.concatenate([_unpack(k, "<i8") for k in keys])
+                over = np.searchsorted(ids, key >> 31) + 1
+                over = np.sort(over * (len(ids) + 1) + np.searchsorted(ids, key & ((1 << 31) - 1)) + 1)
+                found = fm.words()
+                for d in range(2, depth + 1):
+                    found = fm.extend(found, 1 - d % 2, over)  # in turn after and before
+                    yield from _rows(lang, ids, fm, found)
 
-    # The two lists of a shard are collected from the same rows in the same order.
-    return index.join(allowed, "shard").select("shard", "lang", "ids", "before", "after", "first", "second").mapInPandas(walk, _FOUND)
+    return index.join(allowed, "shard").select("lang", "ids", "before", "after", "keys").mapInPandas(walk, _FOUND)
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard_words: int = SHARD_WORDS,
@@ -282,15 +349,16 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard
     totals = parts.groupBy("lang").agg(F.sum("n").alias("n"))
     own = parts.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
     words = (own.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
-             .where(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()))
+             .where(F.col("f") >= least).withColumn("_row", F.monotonically_increasing_id()))
     words = store(words, "phrase-words")
+    # Small numbers: the place in a partition times the number of partitions, plus the partition.
+    part, tasks = F.shiftright("_row", 33), words.agg(F.coalesce(F.max(F.shiftright("_row", 33)), F.lit(0)) + 1).scalar()
+    words = store(words.withColumn("id", (F.col("_row").bitwiseAND((1 << 33) - 1) * tasks + part).cast("int")).drop("_row"), "phrase-ids")
     index = store(index_shards(parts, words, depth), "phrase-index")
 
-    # A pair has one row per shard, so the window holds as many rows as there are shards.
-    per = Window.partitionBy("lang", "phrase")
-    two = store(pairs(index).withColumn("f", F.sum("a").over(per)).where(F.col("f") >= least).drop("f"), "phrase-pairs")
-    more = longer(index, two, depth) if depth > 2 else two.limit(0)
-    summed = (two.unionByName(more).groupBy("lang", "phrase")
+    n = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = store(frequent_pairs(pairs(index, max(1, n // BUCKET_WORDS)), least), "phrase-pairs")
+    summed = (phrases_over(index, often, depth).groupBy("lang", "phrase")
               .agg(F.sum("a").alias("a"), F.min("left").alias("l0"), F.max("left").alias("l1"),
                    F.min("right").alias("r0"), F.max("right").alias("r1"))
               .where(F.col("a") >= least))

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
@@ -80,7 +81,7 @@ def test_memo_turns_over(library):
     old, packing.MEMO = packing.MEMO, 3
     try:
         for t in ["a b c d", "e f g a", "b c a h", "a b."]:
-            assert list(np.frombuffer(next(e.ids([t])), "<u4")) == library.encode(t, add_special_tokens=False).ids
+            assert list(np.frombuffer(next(e.ids(pa.array([t]))), "<u4")) == library.encode(t, add_special_tokens=False).ids
     finally:
         packing.MEMO = old
 
@@ -184,6 +185,21 @@ def test_damage_and_dropped_conversations(spark, tmp_path):
     assert got == want and len(got) == 41
 
 
+def test_sql_of_the_repair_equals_plain_version():
+    import duckdb
+    rnd = random.Random(8)
+    rows = [(c, rnd.choice([None, t]), rnd.choice(["system", "user", "user", "assistant", "assistant", "tool", "", None]),
+             rnd.choice(["Hi.", "Well?", "no end", "", " \n", None, "Yes! "])) for c in [None, *range(40)] for t in range(rnd.choice([1, 3, 9]))]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    db.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    got = {r[0]: tuple(r[1:]) for r in db.execute(conversations.OP12_SQL).fetchall()}
+    convs = defaultdict(list)
+    for c, *r in rows:
+        convs[c].append(tuple(r))
+    assert got == {c: plain_repair(plain_damage(c, rs)) for c, rs in convs.items()}
+
+
 def test_square_root_checkpoints():
     codes = [(conversations.KEPT["u"], False, 0), (conversations.KEPT["a"], False, 5)] * 50
     step, marks = conversations.checkpoints(codes, conversations.END)
