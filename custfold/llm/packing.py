@@ -30,8 +30,11 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,11 @@ from custfold.llm.common import ship, table, text_of
 MOST = 4096  # ids in the longest piece, a power of two
 END_ID = 2  # closes every document
 MEMO = 1 << 18  # words in a generation of a worker's memo
-SOME = 1 << 20  # characters encoded at once
+SOME = 1 << 24  # bytes of text whose words are numbered together
+BLOCK = 1 << 19  # words whose ids are laid out together
+HELD = 1 << 23  # bytes of ids in a batch of pieces
+RUN = 256  # words in one list for the library
+STOP = "([a-zß-öø-ÿ])([.,])( |$)"
 _ENCODERS: dict = {}
 
 
@@ -58,10 +65,14 @@ class WordEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.digit = self.tok.encode("0", add_special_tokens=False).ids[0]
+        self.merges = Tokenizer(self.tok.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -71,43 +82,90 @@ class WordEncoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        return [little_endian(e.ids) for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-
-    def learn(self, words: set[str]) -> None:
+    def encode(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of each word; words go to the library in lists, whose
+        tokens name the word they belong to."""
+        lists = [words[lo:lo + RUN] for lo in range(0, len(words), RUN)]
+        for ws, e in zip(lists, self.tok.encode_batch(lists, is_pretokenized=True, add_special_tokens=False), strict=True):
+            yield from _cut(little_endian(e.ids), np.bincount(np.asarray(e.word_ids, np.int64), minlength=len(ws)))
+
+    def encode_letters(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of words that ``plain`` allows: nothing is left to normalise
+        or to split in them, so the vocabulary's merges alone are run, over one
+        text per list in which a digit, never part of a longer token, stands
+        between words."""
+        lists = [words[lo:lo + RUN] for lo in range(0, len(words), RUN)]
+        for e in self.merges.encode_batch_fast([" 0 ".join([*ws, ""]) for ws in lists], add_special_tokens=False):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(ids == self.digit)
+            yield from _cut(np.delete(ids, ends).tobytes(), np.diff(ends, prepend=-1) - 1)
+
+    def learn(self, words: list[str]) -> None:
         """Put the ids of these words into the memo."""
         if len(self.memo) > MEMO:
             self.old, self.memo = self.memo, {}
         memo, old = self.memo, self.old
-        new = words - memo.keys()
-        memo.update({w: old[w] for w in new if w in old})
-        # A word of ASCII letters is encoded as its lower case; a full stop or
-        # comma after an ASCII letter is a word of its own.
-        parts = {w: split_word(w) for w in new if w not in memo}
-        stems = {p for ps in parts.values() for p in ps} - memo.keys()
-        todo = []
-        for s in stems:
-            if s in old:
-                memo[s] = old[s]
-            else:
-                todo.append(s)
-        memo.update(zip(todo, self.encode(todo), strict=True))
+        parts, letters, others = {}, set(), set()
+        for w in filterfalse(memo.__contains__, words):
+            if w in old:
+                memo[w] = old[w]
+                continue
+            if plain(w):
+                letters.add(w)
+                continue
+            parts[w] = ps = split_word(w)
+            for p in ps:
+                if p not in memo:
+                    if p in old:
+                        memo[p] = old[p]
+                    else:
+                        (letters if plain(p) else others).add(p)
+        for todo, encode in ((list(letters), self.encode_letters), (list(others), self.encode)):
+            memo.update(zip(todo, encode(todo), strict=True))
         for w, ps in parts.items():
-            memo[w] = b"".join([memo[p] for p in ps])
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text."""
-        lo = 0
-        while lo < len(texts):  # some texts at a time, to bound the words in memory
-            hi, size = lo, 0
-            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SOME):
-                size += len(texts[hi])
-                hi += 1
-            cut = [t.replace("\n", " ").split(" ") for t in texts[lo:hi]]
-            self.learn(set().union(*cut))
-            for words in cut:
-                yield b"".join(map(self.memo.__getitem__, words))
-            lo = hi
+            if len(ps) > 1 or ps[0] != w:
+                memo[w] = b"".join([memo[p] for p in ps])
+
+    def ids(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text.  The words of some texts at a time are
+        numbered, looked up once each, and their ids laid out by number."""
+        # A-Z may be lowered first, except where a special string may stand: the
+        # library looks for these before it lowers.  A full stop or comma
+        # between a letter and a space is a word of its own.
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        size = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        for lo, hi in _slices(size, SOME):
+            spaced = pc.replace_substring_regex(pc.replace_substring(texts.slice(lo, hi - lo), "\n", " "), STOP, r"\1 \2\3")
+            cut = pc.split_pattern(spaced, " ")
+            coded = cut.flatten().dictionary_encode()
+            words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            self.learn(words)
+            found = [self.memo[w] for w in words]
+            length = np.array([len(f) for f in found], np.int64) // 4
+            flat, begin = np.frombuffer(b"".join(found), "<u4"), np.cumsum(length) - length
+            at, offsets = coded.indices.to_numpy(), cut.offsets.to_numpy()
+            offsets = offsets - offsets[0]
+            for i, j in _slices(np.diff(offsets), BLOCK):
+                here = at[offsets[i]:offsets[j]]
+                n = length[here]
+                ends = np.cumsum(n)
+                out = flat[np.repeat(begin[here] - (ends - n), n) + np.arange(n.sum())].tobytes()
+                bounds = (4 * np.concatenate([[0], ends]))[offsets[i:j + 1] - offsets[i]].tolist()
+                yield from (out[x:y] for x, y in zip(bounds, bounds[1:], strict=False))
+
+
+def _cut(ids: bytes, counts: np.ndarray) -> Iterator[bytes]:
+    pos = 0
+    for n in counts.tolist():
+        yield ids[pos:pos + 4 * n]
+        pos += 4 * n
+
+
+def _slices(size: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring rows of about ``most`` together."""
+    group = np.cumsum(size, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(size)] if len(size) else [0]
+    yield from zip(cuts, cuts[1:], strict=False)
 
 
 def little_endian(ids: list[int]) -> bytes:
@@ -117,15 +175,20 @@ def little_endian(ids: list[int]) -> bytes:
     return a.tobytes()
 
 
+def plain(word: str) -> bool:
+    """Lower-case Latin letters, composed: the library changes nothing in them."""
+    return word.isalpha() and max(word) < "\u0250" and word == word.lower()
+
+
 def split_word(word: str) -> tuple[str, ...]:
-    """The parts of a word that are encoded on their own."""
-    if word.isascii():
-        if word.isalpha():
-            return (word.lower(),)
-        if word[-1:] in (".", ",") and word[:-1].isalpha():
-            return word[:-1].lower(), word[-1]
-    elif word[-1:] in (".", ",") and word[-2:-1].isascii() and word[-2:-1].isalpha():
-        return word[:-1], word[-1]
+    """The parts of a word that are encoded on their own: Latin letters in
+    lower case (where that leaves letters only), and a full stop or comma behind
+    them, which the library cuts off."""
+    stem, rest = (word[:-1], (word[-1],)) if word[-1:] in (".", ",") else (word, ())
+    if stem.isalpha() and max(stem) < "\u0250":
+        low = stem.lower()
+        if low.isalpha():
+            return (low, *rest)
     return (word,)
 
 
@@ -157,7 +220,7 @@ def binary_pieces(docs: DataFrame, tokenizer: str | None = None, most: int = MOS
         for b in batches:
             doc = b.column(0)
             at, start, length, ids, total, held = [], [], [], [], [], 0
-            for i, found in enumerate(encoder.ids(b.column(1).to_pylist())):
+            for i, found in enumerate(encoder.ids(b.column(1))):
                 found += close
                 pos = 0
                 for n in powers(len(found) // 4, most):
@@ -168,7 +231,7 @@ def binary_pieces(docs: DataFrame, tokenizer: str | None = None, most: int = MOS
                     total.append(len(found) // 4)
                     pos += n
                 held += len(found)
-                if held > 8 * SOME:
+                if held > HELD:
                     yield _pieces(doc, at, start, length, ids, total)
                     at, start, length, ids, total, held = [], [], [], [], [], 0
             if at:
