@@ -3,9 +3,10 @@
 1. ``shards``: documents of one language are read into shards of at most about
    ``shard_words`` words (cut between pieces only), as numbers over the shard's own
    words.  Word counts are summed over all shards.
-2. A phrase that occurs ``least`` times has only words that do.  Each shard
-   gets the numbers of its words that are frequent everywhere (a join on the
-   word, nothing is broadcast); any other word is a break.
+2. A phrase that occurs ``least`` times has only words that do.  Shards pack
+   their words per bucket of words; each bucket adds the counts and tells every
+   shard which of its words are frequent everywhere (nothing is broadcast).
+   Any other word is a break.
 3. ``BiIndex``: the Burrows-Wheeler transforms of a shard and of its reverse,
    sorted to the depth of the longest phrase.  A phrase is an interval in each;
    ``extend`` adds a word at either end and moves both.  The interval gives the
@@ -168,11 +169,14 @@ def _sorted_suffixes(t: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _pack(a: np.ndarray, kind: str = "<i4") -> bytes:
-    return zlib.compress(a.astype(kind).tobytes(), 1)
+    """Little-endian numbers, their bytes regrouped by place (which compresses
+    small numbers well)."""
+    return zlib.compress(a.astype(kind).view(np.uint8).reshape(len(a), -1).T.tobytes(), 1)
 
 
 def _unpack(b: bytes, kind: str = "<i4") -> np.ndarray:
-    return np.frombuffer(zlib.decompress(b), kind)
+    raw = np.frombuffer(zlib.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(raw.T).view(kind).reshape(-1)
 
 
 class _Shard:
@@ -235,19 +239,61 @@ _FOUND = "lang string, phrase array<int>, a long, left int, right int"
 _PAIRS = "lang string, bucket int, shard long, keys binary, counts binary"
 
 
+def pack_words(parts: DataFrame, buckets: int) -> DataFrame:
+    """``lang, bucket, shard, at, words, counts``: every shard's own words, packed
+    per bucket."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for lang, shard, words, counts in b.itertuples(index=False):
+                words, counts = np.asarray(words, object), np.asarray(counts, np.int64)
+                of = (pd.util.hash_array(words, categorize=False) % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(of, kind="stable")
+                rows = [(lang, int(of[order[i]]), shard, _pack(order[i:j]), zlib.compress("\n".join(words[order[i:j]]).encode(), 1), _pack(counts[order[i:j]], "<i8"))
+                        for i, j in _blocks_of(of[order])]
+                yield pd.DataFrame(rows, columns=["lang", "bucket", "shard", "at", "words", "counts"])
+
+    return parts.select("lang", "shard", "words", "counts").mapInPandas(pack, "lang string, bucket int, shard long, at binary, words binary, counts binary")
+
+
+def frequent_words(packed: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Bucket by bucket the words that all shards together hold ``least`` times.
+    Per shard ``at, ids``: its frequent words and their ids; and one row without
+    a shard, ``words, f, own`` (the words, their counts and ids)."""
+
+    def merge(g: pd.DataFrame) -> pd.DataFrame:
+        lists = [zlib.decompress(w).decode().split("\n") for w in g["words"]]
+        code, words = pd.factorize(np.array([w for ws in lists for w in ws], object))
+        f = np.zeros(len(words), np.int64)
+        np.add.at(f, code, np.concatenate([_unpack(c, "<i8") for c in g["counts"]]))
+        often = np.flatnonzero(f >= least)
+        ids = np.full(len(words), -1, np.int64)
+        ids[often] = np.arange(len(often)) * buckets + g["bucket"].iloc[0]
+        rows, pos = [(None, None, None, list(words[often]), f[often].tolist(), ids[often].tolist())] if len(often) else [], 0
+        for shard, at, ws in zip(g["shard"], g["at"], lists, strict=True):
+            mine = ids[code[pos:pos + len(ws)]]
+            pos += len(ws)
+            if (mine >= 0).any():
+                rows.append((shard, _pack(_unpack(at)[mine >= 0]), _pack(mine[mine >= 0]), None, None, None))
+        out = pd.DataFrame(rows, columns=["shard", "at", "ids", "words", "f", "own"])
+        return out.astype({"shard": "Int64"}).assign(lang=g["lang"].iloc[0])
+
+    return packed.groupBy("lang", "bucket").applyInPandas(
+        merge, "shard long, at binary, ids binary, words array<string>, f array<long>, own array<int>, lang string")
+
+
 def index_shards(parts: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """The index of every shard over its words that are in ``frequent (lang,
-    word, id)``: ``shard, lang, ids, before, after``."""
+    """The index of every shard over its words that ``frequent (shard, at, ids)``
+    names: ``shard, lang, ids, before, after``."""
     ship(parts.sparkSession)
-    own = parts.select("shard", "lang", F.posexplode("words").alias("at", "word"))
-    known = (own.join(frequent.select("lang", "word", "id"), ["lang", "word"]).groupBy("shard")
-             .agg(F.collect_list("at").alias("at"), F.collect_list("id").alias("ids")))  # in the same order
+    known = frequent.groupBy("shard").agg(F.collect_list(F.struct("at", "ids")).alias("known"))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for shard, lang, at, ids, body in b[["shard", "lang", "at", "ids", "body"]].itertuples(index=False):
+            for shard, lang, body, known in b.itertuples(index=False):
                 text = _unpack(body)
-                at, ids = np.asarray(at, np.int64), np.asarray(ids, np.int64)
+                at = np.concatenate([_unpack(k["at"]) for k in known]).astype(np.int64)
+                ids = np.concatenate([_unpack(k["ids"]) for k in known]).astype(np.int64)
                 at, ids = at[np.argsort(ids)], np.sort(ids)
                 to = np.zeros(max(text.max(initial=0), at.max(initial=0) + 2) + 1, np.int32)
                 to[at + 2] = np.arange(1, len(ids) + 1)
@@ -258,7 +304,7 @@ def index_shards(parts: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> D
                 yield pd.DataFrame([(shard, lang, ids.tolist(), _pack(before), _pack(after))],
                                    columns=["shard", "lang", "ids", "before", "after"])
 
-    return parts.select("shard", "lang", "body").join(known, "shard").mapInPandas(build, _INDEX)
+    return parts.select("shard", "lang", "body").join(known, "shard").select("shard", "lang", "body", "known").mapInPandas(build, _INDEX)
 
 
 def _rows(lang: str, ids: np.ndarray, index: BiIndex, found: dict) -> Iterator[pd.DataFrame]:
@@ -342,22 +388,19 @@ def phrases_over(index: DataFrame, often: DataFrame, depth: int = DEPTH) -> Data
 def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard_words: int = SHARD_WORDS,
                   text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(totals, words, phrases)``: ``lang, n``; ``lang, word, f, id`` of words
-    with ``f >= least``; ``lang, phrase, a, inside`` of phrases of 2 to ``depth``
+    with ``f >= least`` (ids are unique in a language); ``lang, phrase, a, inside`` of phrases of 2 to ``depth``
     words with ``a >= least``, where ``phrase`` holds word ids and ``inside`` tells
     whether a longer phrase within ``depth`` has the same count."""
     parts = store(shards(docs, shard_words, text_col, lang_col), "phrase-shards")
     totals = parts.groupBy("lang").agg(F.sum("n").alias("n"))
-    own = parts.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    words = (own.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
-             .where(F.col("f") >= least).withColumn("_row", F.monotonically_increasing_id()))
-    words = store(words, "phrase-words")
-    # Small numbers: the place in a partition times the number of partitions, plus the partition.
-    part, tasks = F.shiftright("_row", 33), words.agg(F.coalesce(F.max(F.shiftright("_row", 33)), F.lit(0)) + 1).scalar()
-    words = store(words.withColumn("id", (F.col("_row").bitwiseAND((1 << 33) - 1) * tasks + part).cast("int")).drop("_row"), "phrase-ids")
-    index = store(index_shards(parts, words, depth), "phrase-index")
-
     n = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    often = store(frequent_pairs(pairs(index, max(1, n // BUCKET_WORDS)), least), "phrase-pairs")
+    buckets = max(1, n // BUCKET_WORDS)
+    often = store(frequent_words(pack_words(parts, buckets), least, buckets), "phrase-words")
+    listed = often.where("shard IS NULL").select("lang", F.explode(F.arrays_zip("words", "f", "own")).alias("w"))
+    words = listed.select("lang", F.col("w.words").alias("word"), "w.f", F.col("w.own").alias("id"))
+    index = store(index_shards(parts, often.where("shard IS NOT NULL").select("shard", "at", "ids"), depth), "phrase-index")
+
+    often = store(frequent_pairs(pairs(index, buckets), least), "phrase-pairs")
     summed = (phrases_over(index, often, depth).groupBy("lang", "phrase")
               .agg(F.sum("a").alias("a"), F.min("left").alias("l0"), F.max("left").alias("l1"),
                    F.min("right").alias("r0"), F.max("right").alias("r1"))
@@ -386,7 +429,7 @@ def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, top: i
               .withColumn("score", F.expr(score)))
     best = (scored.groupBy("lang", "phrase", "a", "n")
             .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")))
-    spelled = (best.select("lang", "phrase", F.posexplode("phrase").alias("at", "id")).join(words.select("id", "word"), "id")
+    spelled = (best.select("lang", "phrase", F.posexplode("phrase").alias("at", "id")).join(words.select("lang", "id", "word"), ["lang", "id"])
                .groupBy("lang", "phrase").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("spelled")))
     rows = best.join(spelled, ["lang", "phrase"]).select("lang", F.col("spelled").alias("phrase"), "a", "cut.l", "cut.r", "n", "cut.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
