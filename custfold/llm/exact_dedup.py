@@ -13,8 +13,9 @@
 
 Defined cases: a null text counts as empty; equal empty texts are copies; a
 null ``doc_id`` is smaller than any other; of rows with equal text and equal
-``doc_id`` exactly one is kept; an empty table gives an empty result.  Other
-columns of the input are not read, so their names cannot clash.
+``doc_id`` exactly one is kept; a very long text is hashed whole
+where it is read and moves only if its fingerprint repeats; an empty table gives an
+empty result.  Other columns of the input are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

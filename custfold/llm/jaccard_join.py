@@ -26,8 +26,9 @@ by min-label rounds with pointer jumping, on tables in the shared folder.
 
 Defined cases: a null or wordless text has no shingles and no links; a text
 of one to four words has one shingle; rows that repeat a ``doc_id`` and text
-count as rows; a null ``doc_id`` comes last when a class is named; an empty
-table gives an empty result; no other column of the input is read.
+count as rows; a null ``doc_id`` comes last when a class is named; a very long text is
+cut into shingles whole, in segments, and its set moves only where it has a likely
+partner; an empty table gives an empty result; no other column of the input is read.
 """
 
 from __future__ import annotations

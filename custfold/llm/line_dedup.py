@@ -11,7 +11,8 @@ the rows of joins that adaptive execution splits, never one task's group.
 
 Defined cases: a null text counts as empty (one empty line); a document of
 fewer lines than a window loses nothing; rows with equal ``doc_id`` and text
-are one document and give equal rows; an empty table gives an empty result;
+are one document and give equal rows; a very long text has all its
+windows taken and is put together in one task; an empty table gives an empty result;
 no other column of the input is read.
 """
 

@@ -13,8 +13,9 @@ The count combines before the shuffle, and only repeated spans go on; joins
 on them are split by adaptive execution where one span is very frequent.
 
 Defined cases: a null text counts as empty; white space alone is no sentence;
-rows with equal ``doc_id`` and text are one document and give equal rows; an
-empty table gives an empty result; no other column of the input is read.
+rows with equal ``doc_id`` and text are one document and give equal rows; a
+very long text has all its spans taken, one batch at a time; an empty table gives an
+empty result; no other column of the input is read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ the word total nearest to the target.  All draws come from hashes, so reruns agr
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 last in the order; a source without words has target 0 and gives nothing; a
-null ``doc_id`` and repeated rows are rows like others; an empty table gives an
+null ``doc_id`` and repeated rows are rows like others; a very
+long text is counted whole and moves as its size only; an empty table gives an
 empty result; no other column of the input is read.
 """
 

@@ -19,8 +19,8 @@ of rows.  The rounds read edges written once to the shared folder; joins on
 hosts of very many edges are split by adaptive execution.
 
 Defined cases: a null url or one without ``://`` has empty host and path, no
-rule, and is allowed; null html has no links; repeated pages count as pages; an
-empty table gives an empty result; without allowed (or blocked) pages no trust
+rule, and is allowed; null html has no links; repeated pages count as pages; very long html is
+scanned in one task as one row; an empty table gives an empty result; without allowed (or blocked) pages no trust
 (distrust) exists; no other column of the input is read.
 """
 
