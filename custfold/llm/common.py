@@ -63,9 +63,27 @@ def store(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    stored_paths(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_paths(spark: SparkSession) -> list[str]:
+    """The tables that ``store`` wrote in this application, in order."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_llm_paths"):
+        sc._llm_paths = []
+    return sc._llm_paths
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that no result reads any more."""
+    held, jvm = stored_paths(spark), spark._jvm
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        held.remove(p)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -49,3 +49,15 @@ def test_stages_on_odd_rows(spark):
         if name != "mix":
             assert out.columns == docs.columns
             docs = out
+
+
+def test_run_leaves_only_what_its_result_reads(spark):
+    import os
+
+    from custfold.llm.common import stored_paths
+    before = list(stored_paths(spark))
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = [p for p in stored_paths(spark) if p not in before]
+    names = [p.rsplit("/", 1)[1] for p in left]
+    assert out.count() > 0 and [n for n in names if n.startswith("stage-")] == [n for n in names if n.startswith("stage-decontaminate")]
+    assert all(os.path.isdir(p) for p in left) and not any(n.startswith(("join-", "bench-", "dedup-")) for n in names)
