@@ -8,7 +8,7 @@
 
 Each stage is a function of ``(spark, docs, sf_dir)``; all but the last return
 the columns of ``documents``.  Null, empty and repeated rows are treated as the
-stages' operators define it.
+stages' operators define it; very long texts are rows like others.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from custfold.llm import decontaminate, exact_dedup, jaccard_join, source_mix
 from custfold.llm import toxicity as tox
-from custfold.llm.common import store, table, without
+from custfold.llm.common import release, store, stored_paths, table, without
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,16 @@ ORACLE_SQL = None  # no stage but the second and fourth can be put in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
+    """All stages over ``documents``; each result is written and read again.
+    What a stage and the one before it stored on the way is deleted then."""
     docs = table(spark, sf_dir, "documents")
+    last: list[str] = []
     for i, (name, stage) in enumerate(STAGES):
+        before = len(stored_paths(spark))
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = store(docs, f"stage-{name}")
+            *made, out = stored_paths(spark)[before:]
+            release(spark, last + made)
+            last = [out]
     return docs
