@@ -106,6 +106,13 @@ PLACEHOLDER_ADDRESSES = [
 ]
 DISCARD_REASONS = ["internal_domain"]
 GIBBERISH_REJECT_AT = 5
+# Signals of the gibberish score, in rule order, and their weights.
+GIBBERISH_SIGNALS = [
+    ("repeat_char", 2), ("repeat_unit", 3), ("no_vowels", 3),
+    ("low_vowels", 2), ("consonant_run", 2), ("cc_density", 2),
+    ("low_diversity", 3), ("mid_diversity", 2), ("repeat_bigrams", 2),
+    ("repeat_bigram_x3", 2),
+]
 CONSONANTS = "bcdfghjklmnpqrstvwxz"
 VOWELS = "aeiouy"
 

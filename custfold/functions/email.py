@@ -91,12 +91,7 @@ def inbox_key(c) -> Column:
 # ---------------------------------------------------------------------------
 # Gibberish score over the local part.
 # ---------------------------------------------------------------------------
-_SIGNAL_WEIGHTS = [
-    ("repeat_char", 2), ("repeat_unit", 3), ("no_vowels", 3),
-    ("low_vowels", 2), ("consonant_run", 2), ("cc_density", 2),
-    ("low_diversity", 3), ("mid_diversity", 2), ("repeat_bigrams", 2),
-    ("repeat_bigram_x3", 2),
-]
+_SIGNAL_WEIGHTS = C.GIBBERISH_SIGNALS
 
 
 def gibberish_word(local) -> Column:

@@ -16,6 +16,13 @@ from custfold.session import ensure_checkpoint_dir, folder_version
 from custfold.sources.fixtures import fixture
 
 BRL = "[" + ", ".join(f"'{b}'" for b in C.BRANDS) + "]"
+
+
+def _q(text: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
 BRANDS_T = f"(SELECT unnest({BRL}) AS brand)"
 
 # Example per-brand field configuration for payloads (a parameter: which
@@ -161,11 +168,11 @@ SELECT email, brand,
        WHEN {_ok('create_body')} THEN 'ok'
        WHEN list_contains({_codes('create_body')}, '{C.CODE_ALREADY_EXISTS}') THEN 'exists'
        ELSE 'failed' END AS status,
-  CASE WHEN {_ok('lookup_body')} THEN 'already in Como - left alone'
+  CASE WHEN {_ok('lookup_body')} THEN {_q(C.DETAIL_LEFT_ALONE)}
        WHEN NOT list_contains({_codes('lookup_body')}, '{C.CODE_CUSTOMER_NOT_FOUND}')
-         THEN 'couldn''t check whether they exist'
-       WHEN {_ok('create_body')} THEN 'created'
-       WHEN list_contains({_codes('create_body')}, '{C.CODE_ALREADY_EXISTS}') THEN 'already in Como'
+         THEN {_q(C.DETAIL_NOT_CHECKED)}
+       WHEN {_ok('create_body')} THEN {_q(C.DETAIL_CREATED)}
+       WHEN list_contains({_codes('create_body')}, '{C.CODE_ALREADY_EXISTS}') THEN {_q(C.DETAIL_ALREADY)}
        ELSE {_failure('create_body')} END AS detail,
   CASE WHEN {_ok('lookup_body')} THEN json_extract_string(lookup_body, '$.membership.comoMemberId')
        WHEN list_contains({_codes('lookup_body')}, '{C.CODE_CUSTOMER_NOT_FOUND}') AND {_ok('create_body')}
@@ -184,8 +191,8 @@ SELECT email, brand,
        WHEN {_NF} THEN 'failed'
        WHEN list_contains({_codes('update_body')}, '{C.CODE_ALREADY_EXISTS}') THEN 'conflict'
        ELSE 'failed' END AS status,
-  CASE WHEN {_ok('update_body')} THEN 'updated'
-       WHEN {_NF} AND {_ok('create_body')} THEN 'created'
+  CASE WHEN {_ok('update_body')} THEN {_q(C.DETAIL_UPDATED)}
+       WHEN {_NF} AND {_ok('create_body')} THEN {_q(C.DETAIL_CREATED)}
        WHEN {_NF} THEN {_failure('create_body')}
        ELSE {_failure('update_body')} END AS detail,
   CASE WHEN NOT {_ok('update_body')} AND {_NF} AND {_ok('create_body')}
@@ -209,8 +216,8 @@ SIGNUP_OUTCOME_SQL = f"""
   SELECT email,
     CASE WHEN {_ok('create_body')} THEN 'ok' WHEN contains(coalesce(create_body, 'null'), 'already exists')
          THEN 'exists' ELSE 'failed' END AS como_status,
-    CASE WHEN {_ok('create_body')} THEN 'created' WHEN contains(coalesce(create_body, 'null'), 'already exists')
-         THEN 'already in Como' ELSE {_failure('create_body', 300, 300)} END AS como_detail
+    CASE WHEN {_ok('create_body')} THEN {_q(C.DETAIL_CREATED)} WHEN contains(coalesce(create_body, 'null'), 'already exists')
+         THEN {_q(C.DETAIL_ALREADY)} ELSE {_failure('create_body', 300, 300)} END AS como_detail
   FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY attempt DESC) AS rn FROM push_responses) r WHERE rn = 1"""
 
 
