@@ -32,17 +32,22 @@ def test_kinds_and_least_types(spark):
 
 def test_widening_is_free_of_order_and_keeps_values(spark):
     values = [1, 2.5, True, "x", "2024-01-02", "2024-01-02T00:00:00Z", None, {"z": 1}]
-    for pair in itertools.combinations(values, 2):
-        found = []
-        for one, two in (pair, pair[::-1]):
-            table = TD.ingest_docs_typed(None, docs(spark, {"v": one, "w": 0}))
-            second = spark.createDataFrame([(9, "other", json.dumps({"v": two}))], "_seq long, doc_id string, body string")
-            table = TD.ingest_docs_typed(table, second)
-            found.append(types(table).get("v"))
-            stored = {r["doc_id"]: r["v"] for r in table.collect()}
-            assert (stored["d0"] is None) == (one is None) and (stored["other"] is None) == (two is None)
-        one_batch = TD.ingest_docs_typed(None, docs(spark, {"v": pair[0]}, {"v": pair[1]}))
-        assert found == [types(one_batch)["v"]] * 2, pair
+    pairs = dict(enumerate(itertools.combinations(values, 2)))  # one field per pair
+    first, second = ({f"p{i}": p[k] for i, p in pairs.items()} for k in (0, 1))
+
+    def other(doc):
+        return spark.createDataFrame([(9, "other", json.dumps(doc))], "_seq long, doc_id string, body string")
+
+    found = []
+    for one, two in ((first, second), (second, first)):
+        table = TD.ingest_docs_typed(TD.ingest_docs_typed(None, docs(spark, one)), other(two))
+        found.append(types(table))
+        stored = {r["doc_id"]: r.asDict() for r in table.collect()}
+        for doc, name in ((one, "d0"), (two, "other")):
+            assert all((stored[name].get(f) is None) == (v is None) for f, v in doc.items())
+    together = types(TD.ingest_docs_typed(None, docs(spark, first, second)))
+    assert found == [together] * 2
+    assert together["p0"] == "double" and together["p22"] == "timestamp"  # 1 with 2.5, a date with a timestamp
 
 
 def test_absent_fields_keep_and_nulls_overwrite(spark):
