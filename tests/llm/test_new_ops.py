@@ -232,17 +232,16 @@ def collocation_rows(df):
     return {(r["lang"], r["rank"]): (r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("shard_words", [30, 400, 1 << 21])
-def test_collocations_over_shards(spark, shard_words):
+@pytest.mark.parametrize("shard_words, least, depth, top", [(30, 3, 5, 20), (400, 2, 4, 500), (1 << 21, 1, 2, 50)])
+def test_collocations_over_shards(spark, shard_words, least, depth, top):
     rnd = random.Random(shard_words)
     vocab = ["a", "b", "C", "d\te", "é", "f-g", "h"]
     texts = [" ".join(rnd.choice(vocab) + rnd.choice(["", "", "", ".", " x y", "\n"]) for _ in range(rnd.choice([0, 3, 30, 90]))) for _ in range(60)]
     texts += [None, "", " .,", "one two three four five six seven"] * 3 + ["long one two three four five six"] * 3
     docs = [(rnd.choice(["en", None, "und", "fr"]), t) for t in texts]
     df = spark.createDataFrame([(*d, 1, "x", 2) for d in docs], "lang string, text string, shard int, words string, n int").repartition(3)
-    for least, depth, top in ((3, 5, 20), (2, 3, 500), (1, 2, 50)):
-        got = collocation_rows(collocations.collocations(df, least=least, depth=depth, top=top, shard_words=shard_words))
-        assert got == plain_collocations(docs, least, depth, top)
+    got = collocation_rows(collocations.collocations(df, least=least, depth=depth, top=top, shard_words=shard_words))
+    assert got == plain_collocations(docs, least, depth, top)
 
 
 def test_collocation_edges(spark):
