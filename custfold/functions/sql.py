@@ -76,7 +76,7 @@ def register_rules(spark: SparkSession, dims: Dimensions | None = None, as_of: _
     """Create the functions in this session; returns their names."""
     made = rules(dims, as_of)
     wanted = {n: f"CREATE OR REPLACE TEMPORARY FUNCTION {n}({p}) RETURNS {t} RETURN {body}" for n, (p, t, body) in made.items()}
-    held = _REGISTERED.setdefault(id(spark._jsparkSession), {})
+    held = _REGISTERED.setdefault((spark.sparkContext.applicationId, spark._jsparkSession.hashCode()), {})
     for name, statement in wanted.items():
         if held.get(name) != statement:
             spark.sql(statement)
@@ -85,4 +85,4 @@ def register_rules(spark: SparkSession, dims: Dimensions | None = None, as_of: _
 
 
 #: Session -> function -> statement last run, so that a repeated call costs nothing.
-_REGISTERED: dict[int, dict[str, str]] = {}
+_REGISTERED: dict[tuple, dict[str, str]] = {}
