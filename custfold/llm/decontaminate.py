@@ -17,7 +17,10 @@ functions only).
    ``LEAST`` different *rare* terms of an item within ``SLOP`` positions, in any
    order.  A term is rare where at most a ``RARE_SHARE`` of the documents (but
    ``RARE_DOCS`` in any case) hold it, so common words neither match nor cost.
-   ``contamination`` does this on request only.
+   ``contamination`` does this on request only.  Rarity belongs to what a
+   match is (``OP6_SQL`` states the same rule); ``rare_share=1.0`` counts every
+   term, so items of common words are searched exactly too.  Its cost is each
+   posting of a common term times the items that have it.
 
 Terms are words with A-Z lowered, in the index as in the comparison, so that
 a word is the same term wherever it stands (Spark's ``lower`` depends on the
@@ -136,15 +139,16 @@ def _matches(words: Column, window: int) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text: str = "text", proximity: bool = False) -> DataFrame:
+                  item_col: str = "item_id", item_text: str = "text", proximity: bool = False, rare_share: float = RARE_SHARE) -> DataFrame:
     """``doc_id, _h, n_words, hits, near`` of every row; ``hits`` lists the
     item and the word positions of each exact match (null: none), ``near`` with
-    ``proximity`` the items with a proximity match (null: none)."""
+    ``proximity`` the items with a proximity match (null: none) by terms that at
+    most ``rare_share`` of the rows hold (1.0: all terms)."""
     rows = _keyed(docs, id_col, text_col)
     bench = store(benchmark_items(items, item_col, item_text), "bench-items")
     counts = term_counts(rows, bench)
     probes = store(rarest_probes(rows, bench, window, counts=counts), "bench-probes")
-    rare = store(rare_terms(bench, counts, rows), "bench-rare") if proximity else None
+    rare = store(rare_terms(bench, counts, rows, rare_share), "bench-rare") if proximity else None
     index = positional_index(rows, probes.select("term").union(rare.select("term")) if proximity else probes)
     cands = (diagonals(index, probes).join(bench, "_item").select("doc_id", "_h", F.struct("item_id", "diag", "words").alias("c"))
              .groupBy("doc_id", "_h").agg(F.collect_list("c").alias("cands")))

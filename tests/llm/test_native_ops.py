@@ -168,6 +168,14 @@ def test_near_matches_with_production_parameters(spark):
     assert all(r["n_near"] == (i in near) and r["contaminated"] == (i == 8) for i, r in got.items())
 
 
+def test_near_matches_by_common_words_on_request(spark):
+    bench = items(spark, [(1, "the and of to in is"), (2, "alpha bravo charlie delta")])
+    docs = docs_of(spark, ["to of and the"] * 25 + ["the " + "filler " * 20 + "and of to", "delta charlie bravo alpha", None])
+    for share, near in ((decontaminate.RARE_SHARE, [0] * 25 + [0, 1, 0]), (1.0, [1] * 25 + [0, 1, 0])):
+        found = decontaminate.contamination_digest(decontaminate.contamination(docs, bench, proximity=True, rare_share=share))
+        assert [r["n_near"] for r in found.orderBy("doc_id").collect()] == near
+
+
 def test_secret_scan(spark):
     good = "0123456789abcdef0123456789abcdef01234567"
     texts = [f'some words token = "{good[k % 16:]}{k:04d}" more' if k % 2 else f"call 40{k:014d} or see /path/{k:020d}/x now" for k in range(120)]
