@@ -96,9 +96,22 @@ def stored_master(spark: SparkSession, sf_dir: str, with_prior: bool | None = No
     return stored(spark, sf_dir, f"master:{with_prior}", lambda: master_table(spark, sf_dir, with_prior))
 
 
+# Feeds stored row by row: without a shuffle of their own they keep the files of
+# the input, and one small file would be projected by one task.
+_ROW_BY_ROW = {"wifi_guests"}
+
+
+def stored_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One source table, written when it is asked for."""
+    def build() -> DataFrame:
+        df = source_tables(spark, sf_dir)[name]
+        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if name in _ROW_BY_ROW else df
+
+    return stored(spark, sf_dir, name, build)
+
+
 def stored_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = source_tables(spark, sf_dir)
-    return {k: stored(spark, sf_dir, k, lambda v=v: v) for k, v in raw.items()}
+    return {k: stored_source(spark, sf_dir, k) for k in source_tables(spark, sf_dir)}
 
 
 def push_state(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,7 +225,7 @@ SIGNUP_OUTCOME_SQL = f"""
 SELECT n.email, n.brand, o.como_status, o.como_detail FROM newsletter_signups n LEFT JOIN ({SIGNUP_OUTCOME_SQL}) o
   ON o.email = n.email"""))
 def q_push_outcome_signup(spark, sf):
-    news = pipeline.stored_sources(spark, sf)["newsletter_signups"]
+    news = pipeline.stored_source(spark, sf, "newsletter_signups")
     out = A.apply_signup_outcomes(news, A.push_outcome_signup(_responses(spark, sf)))
     return out.select("email", "brand", "como_status", "como_detail")
 
@@ -398,7 +398,7 @@ def q_lookup_master(spark, sf):
 @register("lookup_wifi", D.with_ctes(["wifi_guests"], f"""
 SELECT doc_id, fname, lname, email, dob, lastmarket, {_STAMP.format(c='updated_at')} FROM wifi_guests WHERE lower(email) IN {_ASKED_SQL}"""))
 def q_lookup_wifi(spark, sf):
-    table = _lookup_table(spark, sf, "wifi", lambda: pipeline.stored_sources(spark, sf)["wifi_guests"])
+    table = _lookup_table(spark, sf, "wifi", lambda: pipeline.stored_source(spark, sf, "wifi_guests"))
     return lookup.lookup(table, ASKED).withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -406,7 +406,7 @@ def q_lookup_wifi(spark, sf):
 SELECT revel_id, brand, first_name, last_name, email, email_ok, email_opt_in, CAST(updated_date AS VARCHAR) AS updated_date, email_reason
 FROM revel_customers WHERE lower(email) IN {_ASKED_SQL}"""))
 def q_lookup_pos(spark, sf):
-    table = _lookup_table(spark, sf, "pos", lambda: pipeline.stored_sources(spark, sf)["revel_customers"])
+    table = _lookup_table(spark, sf, "pos", lambda: pipeline.stored_source(spark, sf, "revel_customers"))
     return lookup.lookup(table, ASKED).drop("updated_at").withColumn("updated_date", F.date_format("updated_date", "yyyy-MM-dd HH:mm:ss"))
 
 

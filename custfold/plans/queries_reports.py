@@ -28,11 +28,11 @@ def _m(spark, sf):
 
 
 def _pos(spark, sf):
-    return pipeline.stored_sources(spark, sf)["revel_customers"]
+    return pipeline.stored_source(spark, sf, "revel_customers")
 
 
 def _news(spark, sf):
-    return pipeline.stored_sources(spark, sf)["newsletter_signups"]
+    return pipeline.stored_source(spark, sf, "newsletter_signups")
 
 
 def _state(spark, sf):
