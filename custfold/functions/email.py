@@ -26,6 +26,9 @@ DIGITS_ONLY_RE = r"^[0-9]+\z"
 MASTER_ADDRESS_RE = r"^(?![0-9]+@)[^@\s]+@[^@\s]+\.[A-Za-z]{2,}\z"
 # White space as Python's ``str`` methods and patterns see it.
 PY_SPACE = r"\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The same characters one by one (for ``trim``, which is cheaper than a pattern).
+PY_SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
+             + "\u2028\u2029\u202f\u205f\u3000")
 # The same address shape under that white space (the point-of-sale check).
 POS_EMAIL_RE = rf"^[^@{PY_SPACE}]+@[^@{PY_SPACE}]+\.[A-Za-z]{{2,}}\z"
 
@@ -44,7 +47,7 @@ def _map_literal(mapping: dict) -> Column:
 def py_strip(c) -> Column:
     """Whitespace strip on both ends (rules that came from Python ``strip``,
     which strips every Unicode space)."""
-    return F.regexp_replace(_col(c), rf"^[{PY_SPACE}]+|[{PY_SPACE}]+\z", "")
+    return F.btrim(_col(c), F.lit(PY_SPACES))
 
 
 def fix_domain(c, corrections: dict | None = None) -> Column:
@@ -168,12 +171,13 @@ def gibberish_signals(local) -> Column:
 
 def with_gibberish(df: DataFrame, local_col: str, prefix: str = "gibberish") -> DataFrame:
     """Add ``<prefix>_signals`` and ``<prefix>_score``, computed in staged
-    columns entirely inside generated code (regex and string functions)."""
+    columns entirely inside generated code (regex and string functions).  Words
+    of fewer than six characters have no signals, so no pattern is tried on them."""
     t = f"_{prefix}"
     out = df.withColumn(f"{t}_w", gibberish_word(F.col(local_col)))
     w = F.col(f"{t}_w")
-    out = out.withColumns({f"{t}_n": F.length(w), f"{t}_mask": _consonant_mask(w),
-                           f"{t}_big": _sorted_bigrams(w)})
+    out = out.withColumns({f"{t}_n": F.length(w), f"{t}_w": F.when(F.length(w) >= 6, w)})
+    out = out.withColumns({f"{t}_mask": _consonant_mask(w), f"{t}_big": _sorted_bigrams(w)})
     n = F.col(f"{t}_n")
     flags = _gibberish_flags(w, n, F.col(f"{t}_mask"), F.col(f"{t}_big"))
     out = out.withColumn(f"{t}_f", F.array(*flags))
@@ -244,8 +248,9 @@ def with_email_check(df: DataFrame, raw_col: str = "email") -> DataFrame:
         .withColumn("_ec_domain", F.substring_index(F.col("_ec_email"), "@", -1))
     out = out.withColumn("email_reason_pre", _cheap_reason(F.col("_ec_raw"), F.col("_ec_strip"),
                                                            F.col("_ec_email"), F.col("_ec_domain")))
-    out = with_gibberish(out, "_ec_local", "_ec_g")
     pre = F.col("email_reason_pre")
+    # The score counts only where every other check passes.
+    out = with_gibberish(out.withColumn("_ec_local", F.when(pre.isNull(), F.col("_ec_local"))), "_ec_local", "_ec_g")
     reason = F.when(pre.isNotNull(), pre).when(
         F.col("_ec_g_score") >= C.GIBBERISH_REJECT_AT,
         F.concat(F.lit("gibberish:"), F.array_join(F.col("_ec_g_signals"), ",")))
@@ -260,8 +265,8 @@ def with_email_check(df: DataFrame, raw_col: str = "email") -> DataFrame:
 def has_reason(raw, reasons) -> Column:
     """Whether the reason that ``with_email_check`` would give is one of the
     domain lists of ``reasons`` (``internal_domain``, ``disposable``): a test on the
-    address alone, with the raw value evaluated once.  None where a reason
-    needs more than that."""
+    address alone, with the raw value evaluated once unless the domain is listed
+    (only then the pattern is tried).  None where a reason needs more than that."""
     lists = {"internal_domain": C.INTERNAL_DOMAINS, "disposable": [d for d in C.DISPOSABLE_DOMAINS if d not in C.INTERNAL_DOMAINS]}
     if not set(reasons) <= set(lists):
         return None
@@ -271,7 +276,8 @@ def has_reason(raw, reasons) -> Column:
         return F.lit(False)
     but = "".join(f"(?!{re.escape(a)}\\z)" for a in addresses)
     pattern = rf"^{but}[^@{PY_SPACE}]+@(?:" + "|".join(re.escape(d) for d in domains) + r")\z"
-    return F.coalesce(F.lower(py_strip(_col(raw).cast("string"))).rlike(pattern), F.lit(False))
+    email = F.lower(py_strip(_col(raw).cast("string")))
+    return F.coalesce(F.substring_index(email, "@", -1).isin(domains) & email.rlike(pattern), F.lit(False))
 
 
 def reason_class(reason) -> Column:

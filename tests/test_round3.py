@@ -36,3 +36,36 @@ def test_a_feed_in_one_file_is_stored_in_many(spark, tmp_path):
     wifi = pipeline.stored_sources(spark, sf)["wifi_guests"]
     assert len(wifi.inputFiles()) > 1
     assert sorted(map(tuple, wifi.collect())) == sorted(map(tuple, pipeline.source_tables(spark, sf)["wifi_guests"].collect()))
+
+
+def test_strip_takes_every_python_space_without_a_pattern(spark):
+    texts = [f"{a}x {a} y{a}{a}" for a in map(chr, range(0x3100)) if not 0xd800 <= ord(a) < 0xe000] + ["", " \t　", None, "​x﻿"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", E.py_strip("t").alias("s"))
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r.s == (None if r.t is None else r.t.strip()) for r in df.collect())
+
+
+def test_listed_domains_are_found_as_the_check_finds_them(spark):
+    d = C.DISCARD_REASONS
+    domains = [*C.INTERNAL_DOMAINS, *C.DISPOSABLE_DOMAINS, "x.com"]
+    texts = [f for x in domains for f in (f"a@{x}", f" A@{x.upper()} ", f"a@b@{x}", f"@{x}", f"a b@{x}", x, f"a@{x}x", f"a@{x}\n.")] + ["", None, *C.PLACEHOLDER_ADDRESSES]
+    df = spark.createDataFrame([(t, t) for t in texts], "raw string, email string")
+    got = E.with_email_check(df).select("raw", E.has_reason("raw", d).alias("hit"), F.coalesce(E.reason_class("email_reason").isin(list(d)), F.lit(False)).alias("want"))
+    assert [r.raw for r in got.collect() if r.hit != r.want] == []
+    assert got.where("hit").count() > 0
+
+
+def test_short_or_rejected_words_try_no_pattern(spark, monkeypatch):
+    mask = E._consonant_mask
+    tried = lambda w: F.when((F.length(w) < 6) | (w == "discardedword"), F.raise_error("tried").cast("string")).otherwise(mask(w))
+    monkeypatch.setattr(E, "_consonant_mask", tried)
+    texts = ["discardedword@grubtech.com", "aaa@x.com", "aaaaa@x.com", "aaaaaa@x.com", "sdfgsdfgsdfg@x.com", "sdfgsdfgsdfg@grubtech.com", "sdfgsdfgsdfg", "abc.sdfgsdfg@x.com", "", None, "hjklhjkl12@x.com"]
+    df = spark.createDataFrame([(t, t) for t in texts], "raw string, email string")
+    staged = E.with_email_check(df).select("raw", "email", "email_ok", "email_reason")
+    got = staged.collect()
+    monkeypatch.undo()
+    whole = df.select("raw", E.classify_email("raw").alias("c")).select("raw", "c.*")
+    assert got == whole.collect()
+    signals = df.select("raw", F.substring_index("raw", "@", 1).alias("l")).where("l IS NOT NULL")
+    both = E.with_gibberish(signals, "l").select("gibberish_signals", E.gibberish_signals("l").alias("w")).collect()
+    assert all(r.gibberish_signals == r.w for r in both)
