@@ -98,7 +98,8 @@ class Interrupted(RuntimeError):
 
 
 def run_interrupted_sync(spark: SparkSession, feed: DataFrame, pages: int = 6) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """A backfill that is cut off: half of the pages land, the first run dies
+    """A backfill that is cut off: half of the pages land (each in several files,
+    so that a large feed is not written by one task a page), the first run dies
     after writing rows and state of its epoch but before the commit, the second
     run replays that epoch, the other pages land and a third run ends the
     backfill.  Returns the customers, the state after the replay and the last
@@ -107,21 +108,22 @@ def run_interrupted_sync(spark: SparkSession, feed: DataFrame, pages: int = 6) -
     total = feed.groupBy(F.col("_brand").alias("_b")).agg(F.count(F.lit(1)).alias("_total"))
     page = feed.join(total, F.col("_brand") == F.col("_b")).drop("_b").withColumn("_page", F.pmod("_seq", F.lit(pages)))
     src, table, chk = f"{root}/landed", f"{root}/table", f"{root}/chk"
-    first = page.where(F.col("_page") < pages // 2)
-    first.repartition(pages // 2, "_page").write.parquet(src)
+    half, files = pages // 2, max(1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) // pages)
+    part = F.pmod(F.xxhash64("_seq"), F.lit(files))
+    page.where(F.col("_page") < half).repartition(half * files, "_page", part).write.parquet(src)
     schema = spark.read.parquet(src).schema
 
     def die(epoch: int) -> None:
         raise Interrupted(f"cut off in epoch {epoch}")
 
-    query = start_pos_sync(spark, src, table, chk, schema, before_commit=die)
+    query = start_pos_sync(spark, src, table, chk, schema, half * files, before_commit=die)
     try:
         query.awaitTermination()
     except Exception as e:
         if "cut off in epoch" not in str(e):
             raise
-    start_pos_sync(spark, src, table, chk, schema).awaitTermination()
+    start_pos_sync(spark, src, table, chk, schema, half * files).awaitTermination()
     halfway = epochs.marked(spark, table, EPOCH)[-1]
-    page.where(F.col("_page") >= pages // 2).repartition(pages - pages // 2, "_page").write.mode("append").parquet(src)
-    start_pos_sync(spark, src, table, chk, schema, files_per_trigger=2).awaitTermination()
+    page.where(F.col("_page") >= half).repartition((pages - half) * files, "_page", part).write.mode("append").parquet(src)
+    start_pos_sync(spark, src, table, chk, schema, files_per_trigger=2 * files).awaitTermination()
     return read_pos_table(spark, table), spark.read.parquet(_path(table, "state", halfway)), read_sync_state(spark, table)

@@ -38,6 +38,20 @@ def test_a_feed_in_one_file_is_stored_in_many(spark, tmp_path):
     assert sorted(map(tuple, wifi.collect())) == sorted(map(tuple, pipeline.source_tables(spark, sf)["wifi_guests"].collect()))
 
 
+def test_pages_land_in_several_files(spark):
+    root = session.ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{root}/pos-sync-*"))
+    feed = spark.range(60).selectExpr("id AS _seq", "concat('/c/', id % 9) AS resource_uri", "'A' AS _brand", "'Ana' AS first_name", "'K' AS last_name",
+                                      "concat('u', id, '@x.com') AS email", "true AS email_opt_in", "'2024-01-02 00:00:00' AS updated_date")
+    rows, half, last = run_interrupted_sync(spark, feed)
+    (made,) = set(glob.glob(f"{root}/pos-sync-*")) - before
+    assert len(glob.glob(os.path.join(made, "landed", "*.parquet"))) > 6
+    want = ingest.revel_customers(feed)
+    assert sorted(map(tuple, rows.select(*ingest.POS_COLUMNS).collect())) == sorted(map(tuple, want.select(*ingest.POS_COLUMNS).collect()))
+    assert [(r.backfill_offset, r.backfill_complete) for r in half.collect()] == [(30, False)]
+    assert [(r.backfill_offset, r.backfill_complete) for r in last.collect()] == [(0, True)]
+
+
 def test_strip_takes_every_python_space_without_a_pattern(spark):
     texts = [f"{a}x {a} y{a}{a}" for a in map(chr, range(0x3100)) if not 0xd800 <= ord(a) < 0xe000] + ["", " \t　", None, "​x﻿"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", E.py_strip("t").alias("s"))
