@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from custfold.llm.common import WORD, ascii_lower, same_key, store, table, text_of
+from custfold.llm.common import WORD, ascii_lower, doc_hash, same_key, sift, store, table, text_of
 
 WINDOW, PROBES = 10, 2
 LEAST, SLOP = 4, 20
@@ -160,8 +160,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     else:
         cands = cands.withColumn("near", F.lit(None).cast("array<string>"))
     cands = store(cands, "bench-cands")
-    joined = rows.join(cands.hint("shuffle_hash"), same_key(rows, cands, ["doc_id", "_h"]), "left").select(
+    some, rest = sift(rows, doc_hash(rows["doc_id"], rows["_h"]), cands, doc_hash("doc_id", "_h"))
+    joined = some.join(cands.hint("shuffle_hash"), same_key(rows, cands, ["doc_id", "_h"]), "left").select(
         rows["doc_id"], rows["_h"], "body", "cands", "near")
+    none = [F.lit(None).cast(cands.schema[c].dataType).alias(c) for c in ("cands", "near")]
+    joined = joined.union(rest.select("doc_id", "_h", "body", *none))
     exact = F.transform(F.array(words_of(ascii_lower(F.col("body")))), lambda ws: _matches(ws, window))
     hits = F.when(F.col("cands").isNotNull(), F.get(exact, F.lit(0)))
     return joined.select("doc_id", "_h", F.regexp_count("body", F.lit(WORD)).cast("long").alias("n_words"), hits.alias("hits"), "near")

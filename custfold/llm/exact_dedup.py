@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custfold.llm.common import ship, store, table, text_of
+from custfold.llm.common import doc_hash, ship, sift, store, table, text_of
 
 #: Fingerprints that a shard of merged filters holds on average.
 SHARD_ROWS = 1 << 20
@@ -97,8 +97,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     repeated = store(repeated_fingerprints(ids), "dedup-repeated")
 
     # Byte verification of the routed texts: grouped by the bytes themselves.
-    routed = (docs.select(docs[id_col].alias("doc_id"), text.alias("body"), F.xxhash64(text).alias("fp"))
-              .join(repeated.select("fp"), "fp"))
+    bodies = docs.select(docs[id_col].alias("doc_id"), text.alias("body"), F.xxhash64(text).alias("fp"))
+    routed = sift(bodies, bodies["fp"], repeated, F.col("fp"))[0].join(repeated.select("fp"), "fp")
     groups = (routed.groupBy("body").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
               .where("group_size > 1")
               .select(F.sha2("body", 256).alias("text_sha256"), "keep_id", "group_size"))
@@ -121,13 +121,15 @@ def unique_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 .select("doc_id", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("tie"), "text_sha256"), "dedup-dropped")
     sha = F.sha2(text_of(docs, text_col), 256)
 
+    some, rest = sift(docs, doc_hash(docs[id_col], sha), out, doc_hash("doc_id", "text_sha256"))
+
     def matching(rows: DataFrame, kind: str) -> DataFrame:
         named = rows.select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
-        return docs.join(named, docs[id_col].eqNullSafe(named["_gone_id"]) & (sha == named["_gone_sha"]), kind)
+        return some.join(named, docs[id_col].eqNullSafe(named["_gone_id"]) & (sha == named["_gone_sha"]), kind)
 
-    stay = matching(out, "left_anti")
+    stay = rest.union(matching(out, "left_anti"))
     ties = out.where("tie")
-    return stay if ties.isEmpty() else stay.unionByName(matching(ties, "left_semi").dropDuplicates([id_col, text_col]))
+    return stay if ties.isEmpty() else stay.union(matching(ties, "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custfold.llm.common import same_key, ship, store, table, text_of
+from custfold.llm.common import doc_hash, same_key, ship, sift, store, table, text_of
 from custfold.llm.shingles import mix, shingle_sets
 
 THRESHOLD, LEAF, DEPTH, RECALL = 0.8, 128, 3, 0.995
@@ -352,7 +352,8 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
               .select("k", F.col("name.doc_id").alias("doc_id"), F.col("name._h").alias("_h"), "copies", "cells",
                       F.transform("at", lambda x: x["path"]).alias("paths")))
     wanted = store(wanted, "join-wanted")
-    texts = rows.join(wanted.hint("shuffle_hash"), same_key(rows, wanted, ["doc_id", "_h"])).select("k", "copies", "cells", "paths", "body")
+    some, _ = sift(rows, doc_hash(rows["doc_id"], rows["_h"]), wanted, doc_hash("doc_id", "_h"))
+    texts = some.join(wanted.hint("shuffle_hash"), same_key(rows, wanted, ["doc_id", "_h"])).select("k", "copies", "cells", "paths", "body")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -61,3 +61,26 @@ def test_run_leaves_only_what_its_result_reads(spark):
     names = [p.rsplit("/", 1)[1] for p in left]
     assert out.count() > 0 and [n for n in names if n.startswith("stage-")] == [n for n in names if n.startswith("stage-decontaminate")]
     assert all(os.path.isdir(p) for p in left) and not any(n.startswith(("join-", "bench-", "dedup-")) for n in names)
+
+
+def test_texts_without_a_match_are_not_shuffled(spark):
+    """A join by document key moves the texts that match, and few others."""
+    from pyspark.sql import functions as F
+
+    from custfold.llm.common import doc_hash, sift, without
+    docs = spark.range(20000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 5000).alias("text"),
+                                     F.lit(1).alias("_h"), F.lit(2).alias("_slot"))
+    docs = store(docs.withColumn("text", F.when(F.col("text") != "t9", F.col("text"))), "t")
+    gone = store(docs.where("doc_id % 13 = 0 or doc_id is null and text > 't4'")
+                 .select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h")).distinct(), "t")
+    keys = {tuple(r) for r in gone.collect()}
+    hashed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h")).collect()
+    want = sorted((str(r.doc_id), str(r.text)) for r in hashed if (r.doc_id, r._h) not in keys)
+    out = without(docs, gone)
+    assert out.columns == docs.columns and sorted((str(r.doc_id), str(r.text)) for r in out.collect()) == want
+    text = F.coalesce(docs["text"], F.lit(""))
+    some, rest = sift(docs, doc_hash(docs["doc_id"], F.xxhash64(text)), gone, doc_hash("doc_id", "_h"))
+    matches = len(hashed) - len(want)
+    assert some.count() + rest.count() == len(hashed) and matches <= some.count() <= matches + 0.15 * len(want)
+    empty = gone.limit(0)
+    assert without(docs, empty).count() == len(hashed) and without(docs.limit(0), gone).count() == 0
