@@ -11,19 +11,20 @@
    sorted to the depth of the longest phrase.  A phrase is an interval in each;
    ``extend`` adds a word at either end and moves both.  The interval gives the
    count, and the transforms over it give the words before and after.
-4. Word pairs are enumerated first, as sorted numbers packed per bucket of
-   pairs; each bucket adds its shards' counts and tells every shard which of its
-   pairs are frequent everywhere.  Phrases then extend intervals only over such
-   pairs, which every part of a frequent phrase is; their counts are summed over
-   shards again.
-5. A phrase lies inside a longer candidate of the same count exactly where all
-   its occurrences, in all shards, have the same word before or after it, and
-   the shards report that word.  One word more is enough: what lies between has
-   the same count.
-
-A shard's index is one row of bounded size; a hot word, pair or phrase counts once
+4. Phrases are enumerated length by length, as sorted numbers (the id of all but
+   the last word, then the last word) packed per bucket of phrases; each bucket
+   adds its shards' counts, gives the phrases that are frequent everywhere an id
+   and tells every shard which of its own these are.  The next length extends the
+   intervals of these alone, to phrases whose other part is frequent too, as both
+   parts of a frequent phrase are.
+5. A phrase lies inside a longer candidate of the same count where a frequent
+   phrase of one word more has it as a part.  One word more is enough: what lies
+   between has the same count.
+
+A shard's index is one row of bounded size, read for each length where it lies (the
+index is stored in buckets of shards); a hot word or phrase counts once
 per shard, and buckets grow in number with the words.  All tables in between are
-Parquet files in the shared folder.
+Parquet files in the shared folder, deleted when they were read last.
 
 Defined cases: a null text counts as empty; a null language is ``und``; an empty
 text adds nothing; rows with equal ``doc_id`` and text are counted each time; a very long
@@ -36,7 +37,8 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from custfold.llm.common import LOWER, UPPER, ship, store, table, text_of
+from custfold.llm.common import LOWER, UPPER, release, ship, store, stored_paths, table, text_of
 
 LEAST, DEPTH, TOP = 100, 5, 2000
 SHARD_WORDS = 1 << 21
@@ -109,20 +111,25 @@ class BiIndex:
             before = np.cumsum(count) - count
             yield which, symbol, count, before - before[np.searchsorted(which, np.arange(i, j))][which - i]
 
-    def extend(self, found: dict, side: int, allowed: np.ndarray | None = None) -> dict:
-        """All phrases one word longer, before (``side`` 0) or after (1).
-        ``allowed`` holds the sorted pairs ``first * (size + 1) + second`` to go over."""
-        out = [(np.zeros(0, np.int64),) * 3 + (np.zeros((0, found["phrase"].shape[1] + 1), np.int64),)]
+    def longer(self, found: dict, side: int, keep: Callable | None = None) -> Iterator[tuple]:
+        """``(interval, symbol, count, offset, phrase)`` of the phrases one word
+        longer, some at a time; ``keep`` tells which of an array of phrases to take."""
         for which, symbol, count, offset in self.followers(found, side):
-            keep = symbol > 0
-            if allowed is not None:
-                edge = found["phrase"][which, 0 if side == 0 else -1]
-                pair = (symbol * (self.size + 1) + edge) if side == 0 else (edge * (self.size + 1) + symbol)
-                keep &= np.isin(pair, allowed)
-            which, symbol, count, offset = which[keep], symbol[keep], count[keep], offset[keep]
-            here = self.first[symbol] + self.occurrences(side, symbol, found["lo"][side][which])
+            at = symbol > 0
+            which, symbol, count, offset = which[at], symbol[at], count[at], offset[at]
             parts = [symbol[:, None], found["phrase"][which]]
-            out.append((here, found["lo"][1 - side][which] + offset, count, np.concatenate(parts if side == 0 else parts[::-1], axis=1)))
+            phrase = np.concatenate(parts if side == 0 else parts[::-1], axis=1)
+            if keep is not None:
+                at = keep(phrase)
+                which, symbol, count, offset, phrase = which[at], symbol[at], count[at], offset[at], phrase[at]
+            yield which, symbol, count, offset, phrase
+
+    def extend(self, found: dict, side: int, keep: Callable | None = None) -> dict:
+        """All phrases one word longer that ``keep`` takes, before (``side`` 0) or after (1)."""
+        out = [(np.zeros(0, np.int64),) * 3 + (np.zeros((0, found["phrase"].shape[1] + 1), np.int64),)]
+        for which, symbol, count, offset, phrase in self.longer(found, side, keep):
+            here = self.first[symbol] + self.occurrences(side, symbol, found["lo"][side][which])
+            out.append((here, found["lo"][1 - side][which] + offset, count, phrase))
         here, other, count, phrase = (np.concatenate(x) for x in zip(*out, strict=True))
         return {"lo": (here, other) if side == 0 else (other, here), "n": count, "phrase": phrase}
 
@@ -235,8 +242,8 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS, text_col: str = "tex
 
 
 _INDEX = "shard long, lang string, ids array<int>, before binary, after binary"
-_FOUND = "lang string, phrase array<int>, a long, left int, right int"
-_PAIRS = "lang string, bucket int, shard long, keys binary, counts binary"
+_PACKED = "lang string, bucket int, shard long, keys binary, counts binary"
+_FREQUENT = "lang string, shard long, keys binary, ids binary, counts binary"
 
 
 def pack_words(parts: DataFrame, buckets: int) -> DataFrame:
@@ -307,28 +314,55 @@ def index_shards(parts: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> D
     return parts.select("shard", "lang", "body").join(known, "shard").select("shard", "lang", "body", "known").mapInPandas(build, _INDEX)
 
 
-def _rows(lang: str, ids: np.ndarray, index: BiIndex, found: dict) -> Iterator[pd.DataFrame]:
-    names = np.concatenate([[-1], ids]).astype(np.int32)
-    left, right = names[index.always(found, 0)], names[index.always(found, 1)]
-    phrase = names[found["phrase"]]
-    for lo in range(0, len(phrase), SOME):
-        hi = lo + SOME
-        yield pd.DataFrame({"lang": lang, "phrase": list(phrase[lo:hi]), "a": found["n"][lo:hi], "left": left[lo:hi], "right": right[lo:hi]})
+class _Levels:
+    """The frequent phrases of one shard, length by length: sorted keys
+    ``id of all but the last word << 31 | id of the last word`` and their ids."""
+
+    def __init__(self, ids: np.ndarray):
+        self.words, self.keys, self.ids = ids, [], []
+
+    def add(self, parts: list[tuple[bytes, bytes]]) -> None:
+        keys = np.concatenate([np.cumsum(_unpack(k, "<i8")) for k, _ in parts] or [np.zeros(0, np.int64)])
+        ids = np.concatenate([_unpack(i) for _, i in parts] or [np.zeros(0, np.int32)]).astype(np.int64)
+        order = np.argsort(keys)
+        self.keys.append(keys[order])
+        self.ids.append(ids[order])
 
+    def numbers(self, phrase: np.ndarray) -> np.ndarray:
+        """The ids of phrases (rows of the shard's words); -1 where one is not frequent."""
+        words = self.words[phrase - 1]
+        out = words[:, 0]
+        for m in range(1, words.shape[1]):
+            keys, ids = self.keys[m - 1], self.ids[m - 1]
+            if not len(keys):
+                return np.full(len(words), -1, np.int64)
+            want = out << 31 | words[:, m]
+            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            out = np.where((out >= 0) & (keys[at] == want), ids[at], -1)
+        return out
 
-def pairs(index: DataFrame, buckets: int) -> DataFrame:
-    """``lang, bucket, shard, keys, counts``: every shard's phrases of two words,
-    as sorted keys (both ids in one number, differences packed) per bucket."""
+
+def phrases_of(index: DataFrame, frequent: dict[int, DataFrame], size: int, buckets: int) -> DataFrame:
+    """``lang, bucket, shard, keys, counts``: every shard's phrases of ``size``
+    words whose parts are ``frequent`` (all shorter ones, by size), as sorted keys
+    with their differences packed per bucket."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for shard, lang, ids, after in b.itertuples(index=False):
+            for shard, lang, ids, before, after, known in b.itertuples(index=False):
                 ids = np.asarray(ids, np.int64)
-                fm = BiIndex((None, _unpack(after)), len(ids))
+                # The last step reads the transform of its own side only.
+                fm = BiIndex((_unpack(before) if size > 2 else None, _unpack(after)), len(ids))
+                found, levels = fm.words(), _Levels(ids)
+                for m in range(2, size):
+                    levels.add([(k["keys"], k["ids"]) for k in known if k["size"] == m])
+                    found = fm.extend(found, 1 - m % 2, lambda p: levels.numbers(p) >= 0)  # in turn after and before
                 keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                for which, symbol, count, _ in fm.followers(words := fm.words(), 1):
-                    at = symbol > 0
-                    keys.append(ids[words["phrase"][which[at], 0] - 1] << 31 | ids[symbol[at] - 1])
+                both = (lambda p: levels.numbers(p[:, 1:]) >= 0) if size > 2 else None
+                for _, _, count, _, phrase in fm.longer(found, 1 - size % 2, both):
+                    head = levels.numbers(phrase[:, :-1])
+                    at = head >= 0
+                    keys.append(head[at] << 31 | ids[phrase[at, -1] - 1])
                     counts.append(count[at])
                 key, count = np.concatenate(keys), np.concatenate(counts)
                 of = ((key * 0x9E3779B1 >> 20) % buckets).astype(np.int32)
@@ -338,7 +372,14 @@ def pairs(index: DataFrame, buckets: int) -> DataFrame:
                         for i, j in _blocks_of(of)]
                 yield pd.DataFrame(rows, columns=["lang", "bucket", "shard", "keys", "counts"])
 
-    return index.select("shard", "lang", "ids", "after").mapInPandas(walk, _PAIRS)
+    entry = "array<struct<size:int,keys:binary,ids:binary>>"
+    if size == 2:
+        rows = index.select("shard", "lang", "ids", F.lit(None).cast("binary").alias("before"), "after", F.lit(None).cast(entry).alias("known"))
+        return rows.mapInPandas(walk, _PACKED)
+    parts = [frequent[m].where("shard IS NOT NULL").select("shard", F.struct(F.lit(m).alias("size"), "keys", "ids").alias("k")) for m in range(2, size)]
+    known = reduce(DataFrame.union, parts).groupBy("shard").agg(F.collect_list("k").alias("known"))
+    # Nothing of this size stands where nothing one word shorter is frequent.
+    return index.join(known, "shard").select("shard", "lang", "ids", "before", "after", "known").mapInPandas(walk, _PACKED)
 
 
 def _blocks_of(of: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -346,43 +387,43 @@ def _blocks_of(of: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(cuts, cuts[1:], strict=False)
 
 
-def frequent_pairs(packed: DataFrame, least: int) -> DataFrame:
-    """``shard, keys``: of each shard's pairs those that all shards together hold
-    ``least`` times, bucket by bucket."""
+def frequent_phrases(packed: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Bucket by bucket the phrases that all shards together hold ``least`` times:
+    per shard ``keys, ids`` of its own, and one row without a shard of all, with
+    ``counts``.  There are at most ``1 / least`` as many as words, so ids fit 31 bits."""
 
     def merge(g: pd.DataFrame) -> pd.DataFrame:
         keys = [np.cumsum(_unpack(k, "<i8")) for k in g["keys"]]
-        every = np.concatenate(keys)
-        order = np.argsort(every, kind="stable")
-        new = np.flatnonzero(np.concatenate([[True], every[order][1:] != every[order][:-1]]))
-        total = np.add.reduceat(np.concatenate([_unpack(c) for c in g["counts"]]).astype(np.int64)[order], new)
-        often = every[order][new][total >= least]
-        mine = [k[np.isin(k, often, assume_unique=True)] for k in keys]
-        return pd.DataFrame([(s, _pack(k, "<i8")) for s, k in zip(g["shard"], mine, strict=True) if len(k)], columns=["shard", "keys"])
+        every, code = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(len(every), np.int64)
+        np.add.at(total, code, np.concatenate([_unpack(c) for c in g["counts"]]))
+        often = np.flatnonzero(total >= least)
+        ids = np.full(len(every), -1, np.int64)
+        ids[often] = np.arange(len(often)) * buckets + g["bucket"].iloc[0]
+        rows = [(None, _pack(np.diff(every[often], prepend=0), "<i8"), _pack(ids[often]), _pack(total[often], "<i8"))] if len(often) else []
+        pos = 0
+        for shard, k in zip(g["shard"], keys, strict=True):
+            mine = ids[code[pos:pos + len(k)]]
+            pos += len(k)
+            if (mine >= 0).any():
+                rows.append((shard, _pack(np.diff(k[mine >= 0], prepend=0), "<i8"), _pack(mine[mine >= 0]), None))
+        out = pd.DataFrame(rows, columns=["shard", "keys", "ids", "counts"]).astype({"shard": "Int64"})
+        return out.assign(lang=g["lang"].iloc[0])[["lang", "shard", "keys", "ids", "counts"]]
 
-    return packed.groupBy("lang", "bucket").applyInPandas(merge, "shard long, keys binary")
+    return packed.groupBy("lang", "bucket").applyInPandas(merge, _FREQUENT)
 
 
-def phrases_over(index: DataFrame, often: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Phrases of 2 to ``depth`` words of every shard whose neighbouring words
-    are all in the shard's rows of ``often (shard, keys)``, with local counts and
-    the words that always stand before and after (-1: none)."""
-    allowed = often.groupBy("shard").agg(F.collect_list("keys").alias("keys"))
+def listed_phrases(frequent: DataFrame) -> DataFrame:
+    """``lang, id, head, last, a`` of every frequent phrase of one size."""
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for lang, ids, before, after, keys in b.itertuples(index=False):
-                ids = np.asarray(ids, np.int64)
-                fm = BiIndex((_unpack(before), _unpack(after)), len(ids))
-                key = np.concatenate([_unpack(k, "<i8") for k in keys])
-                over = np.searchsorted(ids, key >> 31) + 1
-                over = np.sort(over * (len(ids) + 1) + np.searchsorted(ids, key & ((1 << 31) - 1)) + 1)
-                found = fm.words()
-                for d in range(2, depth + 1):
-                    found = fm.extend(found, 1 - d % 2, over)  # in turn after and before
-                    yield from _rows(lang, ids, fm, found)
+            for lang, keys, ids, counts in b.itertuples(index=False):
+                key = np.cumsum(_unpack(keys, "<i8"))
+                yield pd.DataFrame({"lang": lang, "id": _unpack(ids), "head": (key >> 31).astype(np.int32),
+                                    "last": (key & ((1 << 31) - 1)).astype(np.int32), "a": _unpack(counts, "<i8")})
 
-    return index.join(allowed, "shard").select("lang", "ids", "before", "after", "keys").mapInPandas(walk, _FOUND)
+    return frequent.where("shard IS NULL").select("lang", "keys", "ids", "counts").mapInPandas(read, "lang string, id int, head int, last int, a long")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard_words: int = SHARD_WORDS,
@@ -391,23 +432,38 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard
     with ``f >= least`` (ids are unique in a language); ``lang, phrase, a, inside`` of phrases of 2 to ``depth``
     words with ``a >= least``, where ``phrase`` holds word ids and ``inside`` tells
     whether a longer phrase within ``depth`` has the same count."""
-    parts = store(shards(docs, shard_words, text_col, lang_col), "phrase-shards")
-    totals = parts.groupBy("lang").agg(F.sum("n").alias("n"))
+    spark = docs.sparkSession
+    parts = store(shards(docs, shard_words, text_col, lang_col), "phrase-shards", "shard")
+    read_once = stored_paths(spark)[-1:]
+    totals = store(parts.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     n = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(1, n // BUCKET_WORDS)
     often = store(frequent_words(pack_words(parts, buckets), least, buckets), "phrase-words")
     listed = often.where("shard IS NULL").select("lang", F.explode(F.arrays_zip("words", "f", "own")).alias("w"))
     words = listed.select("lang", F.col("w.words").alias("word"), "w.f", F.col("w.own").alias("id"))
-    index = store(index_shards(parts, often.where("shard IS NOT NULL").select("shard", "at", "ids"), depth), "phrase-index")
-
-    often = store(frequent_pairs(pairs(index, buckets), least), "phrase-pairs")
-    summed = (phrases_over(index, often, depth).groupBy("lang", "phrase")
-              .agg(F.sum("a").alias("a"), F.min("left").alias("l0"), F.max("left").alias("l1"),
-                   F.min("right").alias("r0"), F.max("right").alias("r1"))
-              .where(F.col("a") >= least))
-    one = ((F.col("l0") == F.col("l1")) & (F.col("l0") >= 0)) | ((F.col("r0") == F.col("r1")) & (F.col("r0") >= 0))
-    phrases = summed.select("lang", "phrase", "a", (one & (F.size("phrase") < depth)).alias("inside"))
-    return totals, words, store(phrases, "phrase-counts")
+    index = store(index_shards(parts, often.where("shard IS NOT NULL").select("shard", "at", "ids"), depth), "phrase-index", "shard")
+    release(spark, read_once)
+    read_once = stored_paths(spark)[-1:]
+
+    frequent: dict[int, DataFrame] = {}
+    spelled = words.select("lang", "id", F.array("id").alias("phrase"))
+    found = []
+    for size in range(2, depth + 1):
+        frequent[size] = store(frequent_phrases(phrases_of(index, frequent, size, buckets), least, buckets), "phrase-frequent")
+        read_once += stored_paths(spark)[-1:]
+        shorter = spelled.select("lang", F.col("id").alias("head"), F.col("phrase").alias("begin"))
+        level = store(listed_phrases(frequent[size]).join(shorter, ["lang", "head"])
+                      .select("lang", "id", F.concat("begin", F.array("last")).alias("phrase"), "a"), "phrase-level")
+        read_once += stored_paths(spark)[-1:]
+        spelled = level.select("lang", "id", "phrase")
+        found.append(level.select("lang", "phrase", "a"))
+    every = reduce(DataFrame.union, found) if found else spark.createDataFrame([], "lang string, phrase array<int>, a long")
+    ends = every.where(F.size("phrase") > 2).select("lang", F.explode(F.array(F.expr("slice(phrase, 1, size(phrase) - 1)"), F.expr("slice(phrase, 2, size(phrase) - 1)"))).alias("phrase"), "a")
+    held = ends.groupBy("lang", "phrase").agg(F.max("a").alias("most"))
+    phrases = every.join(held, ["lang", "phrase"], "left").select("lang", "phrase", "a", F.coalesce(F.col("most") >= F.col("a"), F.lit(False)).alias("inside"))
+    phrases = store(phrases, "phrase-counts")
+    release(spark, read_once)
+    return totals, words, phrases
 
 
 def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, top: int | None = TOP, shard_words: int = SHARD_WORDS,

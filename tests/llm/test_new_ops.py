@@ -15,7 +15,7 @@ sys.path.insert(0, __file__.rsplit("/", 1)[0])
 from helpers import edge_docs  # noqa: E402
 
 from custfold.llm import collocations, conversations, packing  # noqa: E402
-from custfold.llm.common import table  # noqa: E402
+from custfold.llm.common import store, table  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -265,3 +265,23 @@ def test_index_counts_both_ways():
             for p, w in zip(found["phrase"].tolist(), index.always(found, side), strict=True):
                 ends = {text[(i - 1) if side == 0 else (i + 3)] for i in range(len(text) - 2) if list(text[i:i + 3]) == p}
                 assert w == (ends.pop() if len(ends) == 1 else 0)
+
+
+def test_rare_phrases_stop_at_the_next_length(spark):
+    """Three words over two frequent pairs that are rare together are counted, and
+    nothing longer; a shard reports a few packed rows, none for each phrase."""
+    texts = [f"a b {w}." for w in "pq"] * 30 + [f"{w} a b." for w in "rs"] * 30 + ["b c d e f g."] * 3 + ["x b c.", "c d y.", "d e z.", "e f w."] * 9
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(4)
+    parts = store(collocations.shards(docs, 40), "t", "shard")
+    often = store(collocations.frequent_words(collocations.pack_words(parts, 2), 10, 2), "t")
+    index = store(collocations.index_shards(parts, often.where("shard IS NOT NULL").select("shard", "at", "ids")), "t", "shard")
+    frequent, tables = {}, {}
+    for size in (2, 3, 4):
+        tables[size] = store(collocations.phrases_of(index, frequent, size, 2), "t")
+        frequent[size] = store(collocations.frequent_phrases(tables[size], 10, 2), "t")
+    shards = parts.count()
+    assert shards > 4 and all(t.count() <= 2 * shards for t in tables.values())
+    held = {s: collocations.listed_phrases(f).count() for s, f in frequent.items()}
+    assert held == {2: 9, 3: 4, 4: 0} and tables[4].isEmpty()
+    assert "Exchange hashpartitioning(shard" not in index.groupBy("shard").count()._jdf.queryExecution().executedPlan().toString()
+    assert collocation_rows(collocations.collocations(docs, least=10, shard_words=40)) == plain_collocations([("en", t) for t in texts], 10, 5, 2000)
