@@ -2,15 +2,16 @@
 
 1. ``shards``: documents of one language are read into shards of at most about
    ``shard_words`` words (cut between pieces only), as numbers over the shard's own
-   words.  Word counts are summed over all shards.
+   words, the most frequent first.  Word counts are summed over all shards.
 2. A phrase that occurs ``least`` times has only words that do.  Shards pack
    their words per bucket of words; each bucket adds the counts and tells every
    shard which of its words are frequent everywhere (nothing is broadcast).
    Any other word is a break.
 3. ``BiIndex``: the Burrows-Wheeler transforms of a shard and of its reverse,
-   sorted to the depth of the longest phrase.  A phrase is an interval in each;
-   ``extend`` adds a word at either end and moves both.  The interval gives the
-   count, and the transforms over it give the words before and after.
+   sorted to the depth of the longest phrase that is extended.  A phrase is an
+   interval in each; ``extend`` adds a word at either end and moves both.  The
+   interval gives the count, and the transforms over it give the words before and
+   after.
 4. Phrases are enumerated length by length, as sorted numbers (the id of all but
    the last word, then the last word) packed per bucket of phrases; each bucket
    adds its shards' counts, gives the phrases that are frequent everywhere an id
@@ -21,10 +22,14 @@
    phrase of one word more has it as a part.  One word more is enough: what lies
    between has the same count.
 
-A shard's index is one row of bounded size, read for each length where it lies (the
-index is stored in buckets of shards); a hot word or phrase counts once
-per shard, and buckets grow in number with the words.  All tables in between are
-Parquet files in the shared folder, deleted when they were read last.
+A shard is one row of bounded size, read for each length where it lies (shards are
+stored in buckets).  Its transforms take twice its size and are never stored: they
+are made in the task that walks them, sorted no deeper than that length needs.  A
+hot word or phrase counts once per shard, and buckets grow in number with the
+words.  The bucket of a phrase follows from its two numbers, so the last word is
+sent without the part that the bucket tells, and frequent words have small numbers.
+All tables in between are Parquet files in the shared folder, deleted when they
+were read last.
 
 Defined cases: a null text counts as empty; a null language is ``und``; an empty
 text adds nothing; rows with equal ``doc_id`` and text are counted each time; a very long
@@ -57,6 +62,8 @@ ROWS = 1 << 19
 #: Words in the buffer that is turned into numbers at once.
 SOME = 1 << 18
 _BREAK = b"\n"
+#: The bits of the last word's number in a phrase's key.
+_LAST = (1 << 31) - 1
 #: Bytes: A-Z lower-cased, a tab as a space, whatever ends a piece as a line feed.
 _BYTES = bytes.maketrans(UPPER.encode() + b"\t.,;:!?\x0b\x0c\r", LOWER.encode() + b" " + _BREAK * 9)
 
@@ -66,8 +73,9 @@ class BiIndex:
 
     ``bwt[0]`` holds the symbol before each suffix in sorted order, ``bwt[1]``
     the symbol after each reversed prefix.  Suffixes are sorted by their first
-    ``depth`` symbols, which is all that phrases up to ``depth`` words need.
-    Where only one direction is walked, the other may be None.
+    ``depth`` symbols, which is all that phrases up to ``depth`` words need
+    (these may be looked at one word further).  Where only one direction is
+    walked, the other may be None.
     """
 
     def __init__(self, bwt: tuple, size: int):
@@ -78,11 +86,12 @@ class BiIndex:
         self.at: list[np.ndarray | None] = [None, None]
 
     @staticmethod
-    def transforms(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        out = []
-        for t in (text, text[::-1]):
-            order = _sorted_suffixes(t, depth)
-            out.append(t[order - 1])  # before the first symbol stands the last one, a break
+    def transforms(text: np.ndarray, depth: int, sides: tuple = (0, 1)) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """The transforms of ``text`` and of its reverse; None where not in ``sides``."""
+        out: list[np.ndarray | None] = [None, None]
+        for side in sides:
+            t = text if side == 0 else text[::-1]
+            out[side] = t[_sorted_suffixes(t, depth) - 1]  # before the first symbol stands the last one, a break
         return out[0], out[1]
 
     def occurrences(self, side: int, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -167,23 +176,62 @@ def _sorted_suffixes(t: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols (cyclic: the text
     ends in breaks, which no phrase holds)."""
     rank, have = t.astype(np.int64), 1
-    while have < depth:
+    if depth == 1:
+        return _ordered(rank)[0]
+    while True:
         step = min(have, depth - have)
-        order, keys = _ordered(rank * (int(rank.max()) + 1) + np.roll(rank, -step))
-        rank[order] = np.concatenate([[0], np.cumsum(keys[1:] != keys[:-1])])
+        # One symbol more is a smaller number than the rank of several.
+        more = np.roll(t, -have) if step == 1 else np.roll(rank, -step)
+        order, keys = _ordered(rank * (int(more.max()) + 1) + more)
         have += step
-    return _ordered(rank)[0]
+        if have >= depth:
+            return order
+        rank[order] = np.concatenate([[0], np.cumsum(keys[1:] != keys[:-1])])
+
+
+def _pack(a: np.ndarray) -> bytes:
+    """Numbers from 0, their bytes regrouped by place, without the places that are
+    0 in all of them.  Bytes of one place repeat in runs or not at all, so only
+    runs and frequent bytes are made shorter."""
+    places = np.ascontiguousarray(a, "<i8").view(np.uint8).reshape(-1, 8).T
+    used = max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
+    z = zlib.compressobj(6, zlib.DEFLATED, -zlib.MAX_WBITS, zlib.DEF_MEM_LEVEL + 1, zlib.Z_RLE)
+    return bytes([used]) + z.compress(places[:used].tobytes()) + z.flush()
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    places = np.frombuffer(zlib.decompress(b[1:], -zlib.MAX_WBITS), np.uint8).reshape(b[0], -1)
+    out = np.zeros((places.shape[1], 8), np.uint8)
+    out[:, :b[0]] = places.T
+    return out.view("<i8").reshape(-1)
+
+
+def _pack_ids(ids: np.ndarray, buckets: int) -> bytes:
+    """Ids of one bucket, equal modulo ``buckets``."""
+    return _pack(np.concatenate([[buckets, ids[0] % buckets], ids // buckets]))
+
 
+def _unpack_ids(b: bytes) -> np.ndarray:
+    v = _unpack(b)
+    return v[2:] * v[0] + v[1]
 
-def _pack(a: np.ndarray, kind: str = "<i4") -> bytes:
-    """Little-endian numbers, their bytes regrouped by place (which compresses
-    small numbers well)."""
-    return zlib.compress(a.astype(kind).view(np.uint8).reshape(len(a), -1).T.tobytes(), 1)
 
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of phrases; numbers are even over the buckets, so these are, too,
+    whatever one number they share."""
+    return ((key >> 31) + (key & _LAST)) % buckets
 
-def _unpack(b: bytes, kind: str = "<i4") -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(raw.T).view(kind).reshape(-1)
+
+def _pack_keys(key: np.ndarray, buckets: int) -> tuple[bytes, bytes]:
+    """``heads, lasts`` of the sorted keys of one bucket, which tells each last
+    number modulo ``buckets``."""
+    rest = (key & _LAST) // buckets
+    return _pack(np.diff(key >> 31, prepend=0)), _pack(np.concatenate([[buckets, _bucket(key[:1], buckets)[0]], rest]))
+
+
+def _unpack_keys(heads: bytes, lasts: bytes) -> np.ndarray:
+    head, v = np.cumsum(_unpack(heads)), _unpack(lasts)
+    return head << 31 | (v[2:] * v[0] + (v[1] - head) % v[0])
 
 
 class _Shard:
@@ -206,12 +254,23 @@ class _Shard:
     def row(self, number: int, lang: str) -> tuple:
         ids = np.concatenate(self.parts)
         counts = np.bincount(ids, minlength=len(self.of))
-        return number, lang, self.words, [w.decode() for w in list(self.of)[2:]], counts[2:].tolist(), _pack(ids)
+        order = np.argsort(-counts[2:], kind="stable") + 2
+        to = np.zeros(len(counts), np.int64)
+        to[order] = np.arange(2, len(counts))
+        words = list(self.of)
+        return number, lang, self.words, zlib.compress(_BREAK.join([words[i] for i in order])), _pack(counts[order]), _pack(to[ids])
+
+
+def _words(b: bytes) -> list[str]:
+    """Words that were joined by breaks; none is empty."""
+    joined = zlib.decompress(b).decode()
+    return joined.split("\n") if joined else []
 
 
 def shards(docs: DataFrame, shard_words: int = SHARD_WORDS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``shard, lang, n, words, counts, body``: the documents as numbers over
-    each shard's own words (number i is ``words[i - 2]``, 0 a break)."""
+    each shard's own words (number i is word ``i - 2`` of ``words``, 0 a break);
+    the last three are packed."""
     ship(docs.sparkSession)
     rows = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), text_of(docs, text_col).alias("body"))
 
@@ -238,12 +297,11 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS, text_col: str = "tex
         for lang in list(open_):
             yield out(lang)
 
-    return rows.mapInPandas(read, "shard long, lang string, n long, words array<string>, counts array<long>, body binary")
+    return rows.mapInPandas(read, "shard long, lang string, n long, words binary, counts binary, body binary")
 
 
-_INDEX = "shard long, lang string, ids array<int>, before binary, after binary"
-_PACKED = "lang string, bucket int, shard long, keys binary, counts binary"
-_FREQUENT = "lang string, shard long, keys binary, ids binary, counts binary"
+_PACKED = "lang string, bucket int, shard long, heads binary, lasts binary, counts binary"
+_FREQUENT = "lang string, shard long, heads binary, lasts binary, ids binary, counts binary"
 
 
 def pack_words(parts: DataFrame, buckets: int) -> DataFrame:
@@ -253,10 +311,10 @@ def pack_words(parts: DataFrame, buckets: int) -> DataFrame:
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lang, shard, words, counts in b.itertuples(index=False):
-                words, counts = np.asarray(words, object), np.asarray(counts, np.int64)
+                words, counts = np.asarray(_words(words), object), _unpack(counts)
                 of = (pd.util.hash_array(words, categorize=False) % np.uint64(buckets)).astype(np.int32)
                 order = np.argsort(of, kind="stable")
-                rows = [(lang, int(of[order[i]]), shard, _pack(order[i:j]), zlib.compress("\n".join(words[order[i:j]]).encode(), 1), _pack(counts[order[i:j]], "<i8"))
+                rows = [(lang, int(of[order[i]]), shard, _pack(np.diff(order[i:j], prepend=0)), zlib.compress("\n".join(words[order[i:j]]).encode()), _pack(counts[order[i:j]]))
                         for i, j in _blocks_of(of[order])]
                 yield pd.DataFrame(rows, columns=["lang", "bucket", "shard", "at", "words", "counts"])
 
@@ -269,11 +327,12 @@ def frequent_words(packed: DataFrame, least: int, buckets: int) -> DataFrame:
     a shard, ``words, f, own`` (the words, their counts and ids)."""
 
     def merge(g: pd.DataFrame) -> pd.DataFrame:
-        lists = [zlib.decompress(w).decode().split("\n") for w in g["words"]]
+        lists = [_words(w) for w in g["words"]]
         code, words = pd.factorize(np.array([w for ws in lists for w in ws], object))
         f = np.zeros(len(words), np.int64)
-        np.add.at(f, code, np.concatenate([_unpack(c, "<i8") for c in g["counts"]]))
+        np.add.at(f, code, np.concatenate([_unpack(c) for c in g["counts"]]))
         often = np.flatnonzero(f >= least)
+        often = often[np.argsort(-f[often], kind="stable")]  # small numbers for frequent words
         ids = np.full(len(words), -1, np.int64)
         ids[often] = np.arange(len(often)) * buckets + g["bucket"].iloc[0]
         rows, pos = [(None, None, None, list(words[often]), f[often].tolist(), ids[often].tolist())] if len(often) else [], 0
@@ -281,7 +340,8 @@ def frequent_words(packed: DataFrame, least: int, buckets: int) -> DataFrame:
             mine = ids[code[pos:pos + len(ws)]]
             pos += len(ws)
             if (mine >= 0).any():
-                rows.append((shard, _pack(_unpack(at)[mine >= 0]), _pack(mine[mine >= 0]), None, None, None))
+                there = np.cumsum(_unpack(at))[mine >= 0]
+                rows.append((shard, _pack(np.diff(there, prepend=0)), _pack_ids(mine[mine >= 0], buckets), None, None, None))
         out = pd.DataFrame(rows, columns=["shard", "at", "ids", "words", "f", "own"])
         return out.astype({"shard": "Int64"}).assign(lang=g["lang"].iloc[0])
 
@@ -289,29 +349,26 @@ def frequent_words(packed: DataFrame, least: int, buckets: int) -> DataFrame:
         merge, "shard long, at binary, ids binary, words array<string>, f array<long>, own array<int>, lang string")
 
 
-def index_shards(parts: DataFrame, frequent: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """The index of every shard over its words that ``frequent (shard, at, ids)``
-    names: ``shard, lang, ids, before, after``."""
+def index_shards(parts: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``shard, lang, body, words``: what the index of every shard is made of, its
+    text and those of its words that ``frequent (shard, at, ids)`` names.  The
+    words are stored beside the text, in buckets of shards as ``parts`` is."""
     ship(parts.sparkSession)
-    known = frequent.groupBy("shard").agg(F.collect_list(F.struct("at", "ids")).alias("known"))
+    known = store(frequent.groupBy("shard").agg(F.collect_list(F.struct("at", "ids")).alias("words")), "phrase-known", "shard")
+    return parts.select("shard", "lang", "body").join(known, "shard")
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for shard, lang, body, known in b.itertuples(index=False):
-                text = _unpack(body)
-                at = np.concatenate([_unpack(k["at"]) for k in known]).astype(np.int64)
-                ids = np.concatenate([_unpack(k["ids"]) for k in known]).astype(np.int64)
-                at, ids = at[np.argsort(ids)], np.sort(ids)
-                to = np.zeros(max(text.max(initial=0), at.max(initial=0) + 2) + 1, np.int32)
-                to[at + 2] = np.arange(1, len(ids) + 1)
-                text = to[text]
-                text = text[np.concatenate([[True], (text[1:] > 0) | (text[:-1] > 0)])]  # one break is enough
-                text = np.concatenate([text[:0], [0], text, [0]]).astype(np.int32)
-                before, after = BiIndex.transforms(text, depth)
-                yield pd.DataFrame([(shard, lang, ids.tolist(), _pack(before), _pack(after))],
-                                   columns=["shard", "lang", "ids", "before", "after"])
-
-    return parts.select("shard", "lang", "body").join(known, "shard").select("shard", "lang", "body", "known").mapInPandas(build, _INDEX)
+
+def _text_of(body: bytes, words: list) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's text over its frequent words, and their ids; any other word is a break."""
+    text = _unpack(body)
+    at = np.concatenate([np.cumsum(_unpack(k["at"])) for k in words])
+    ids = np.concatenate([_unpack_ids(k["ids"]) for k in words])
+    order = np.argsort(at)
+    to = np.zeros(max(text.max(initial=0), at.max(initial=0) + 2) + 1, np.int32)
+    to[at[order] + 2] = np.arange(1, len(ids) + 1)
+    text = to[text]
+    text = text[np.concatenate([[True], (text[1:] > 0) | (text[:-1] > 0)])]  # one break is enough
+    return np.concatenate([[0], text, [0]]).astype(np.int32), ids[order]
 
 
 class _Levels:
@@ -321,9 +378,9 @@ class _Levels:
     def __init__(self, ids: np.ndarray):
         self.words, self.keys, self.ids = ids, [], []
 
-    def add(self, parts: list[tuple[bytes, bytes]]) -> None:
-        keys = np.concatenate([np.cumsum(_unpack(k, "<i8")) for k, _ in parts] or [np.zeros(0, np.int64)])
-        ids = np.concatenate([_unpack(i) for _, i in parts] or [np.zeros(0, np.int32)]).astype(np.int64)
+    def add(self, parts: list[tuple[bytes, bytes, bytes]]) -> None:
+        keys = np.concatenate([_unpack_keys(h, x) for h, x, _ in parts] or [np.zeros(0, np.int64)])
+        ids = np.concatenate([_unpack_ids(i) for _, _, i in parts] or [np.zeros(0, np.int64)])
         order = np.argsort(keys)
         self.keys.append(keys[order])
         self.ids.append(ids[order])
@@ -343,19 +400,19 @@ class _Levels:
 
 
 def phrases_of(index: DataFrame, frequent: dict[int, DataFrame], size: int, buckets: int) -> DataFrame:
-    """``lang, bucket, shard, keys, counts``: every shard's phrases of ``size``
-    words whose parts are ``frequent`` (all shorter ones, by size), as sorted keys
-    with their differences packed per bucket."""
+    """``lang, bucket, shard, heads, lasts, counts``: every shard's phrases of
+    ``size`` words whose parts are ``frequent`` (all shorter ones, by size), as
+    sorted keys packed per bucket."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for shard, lang, ids, before, after, known in b.itertuples(index=False):
-                ids = np.asarray(ids, np.int64)
-                # The last step reads the transform of its own side only.
-                fm = BiIndex((_unpack(before) if size > 2 else None, _unpack(after)), len(ids))
+            for shard, lang, body, words, known in b.itertuples(index=False):
+                text, ids = _text_of(body, words)
+                # Phrases one word shorter are extended; the last step reads its own side only.
+                fm = BiIndex(BiIndex.transforms(text, size - 1, (0, 1) if size > 2 else (1,)), len(ids))
                 found, levels = fm.words(), _Levels(ids)
                 for m in range(2, size):
-                    levels.add([(k["keys"], k["ids"]) for k in known if k["size"] == m])
+                    levels.add([(k["heads"], k["lasts"], k["ids"]) for k in known if k["size"] == m])
                     found = fm.extend(found, 1 - m % 2, lambda p: levels.numbers(p) >= 0)  # in turn after and before
                 keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 both = (lambda p: levels.numbers(p[:, 1:]) >= 0) if size > 2 else None
@@ -365,21 +422,19 @@ def phrases_of(index: DataFrame, frequent: dict[int, DataFrame], size: int, buck
                     keys.append(head[at] << 31 | ids[phrase[at, -1] - 1])
                     counts.append(count[at])
                 key, count = np.concatenate(keys), np.concatenate(counts)
-                of = ((key * 0x9E3779B1 >> 20) % buckets).astype(np.int32)
+                of = _bucket(key, buckets)
                 order = np.lexsort((key, of))
                 key, count, of = key[order], count[order], of[order]
-                rows = [(lang, int(of[i]), shard, _pack(np.diff(key[i:j], prepend=0), "<i8"), _pack(count[i:j]))
-                        for i, j in _blocks_of(of)]
-                yield pd.DataFrame(rows, columns=["lang", "bucket", "shard", "keys", "counts"])
+                rows = [(lang, int(of[i]), shard, *_pack_keys(key[i:j], buckets), _pack(count[i:j])) for i, j in _blocks_of(of)]
+                yield pd.DataFrame(rows, columns=["lang", "bucket", "shard", "heads", "lasts", "counts"])
 
-    entry = "array<struct<size:int,keys:binary,ids:binary>>"
     if size == 2:
-        rows = index.select("shard", "lang", "ids", F.lit(None).cast("binary").alias("before"), "after", F.lit(None).cast(entry).alias("known"))
-        return rows.mapInPandas(walk, _PACKED)
-    parts = [frequent[m].where("shard IS NOT NULL").select("shard", F.struct(F.lit(m).alias("size"), "keys", "ids").alias("k")) for m in range(2, size)]
+        entry = "array<struct<size:int,heads:binary,lasts:binary,ids:binary>>"
+        return index.select("shard", "lang", "body", "words", F.lit(None).cast(entry).alias("known")).mapInPandas(walk, _PACKED)
+    parts = [frequent[m].where("shard IS NOT NULL").select("shard", F.struct(F.lit(m).alias("size"), "heads", "lasts", "ids").alias("k")) for m in range(2, size)]
     known = reduce(DataFrame.union, parts).groupBy("shard").agg(F.collect_list("k").alias("known"))
     # Nothing of this size stands where nothing one word shorter is frequent.
-    return index.join(known, "shard").select("shard", "lang", "ids", "before", "after", "known").mapInPandas(walk, _PACKED)
+    return index.join(known, "shard").select("shard", "lang", "body", "words", "known").mapInPandas(walk, _PACKED)
 
 
 def _blocks_of(of: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -389,26 +444,26 @@ def _blocks_of(of: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def frequent_phrases(packed: DataFrame, least: int, buckets: int) -> DataFrame:
     """Bucket by bucket the phrases that all shards together hold ``least`` times:
-    per shard ``keys, ids`` of its own, and one row without a shard of all, with
+    per shard ``heads, lasts, ids`` of its own, and one row without a shard of all, with
     ``counts``.  There are at most ``1 / least`` as many as words, so ids fit 31 bits."""
 
     def merge(g: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.cumsum(_unpack(k, "<i8")) for k in g["keys"]]
+        keys = [_unpack_keys(h, x) for h, x in zip(g["heads"], g["lasts"], strict=True)]
         every, code = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.zeros(len(every), np.int64)
         np.add.at(total, code, np.concatenate([_unpack(c) for c in g["counts"]]))
         often = np.flatnonzero(total >= least)
         ids = np.full(len(every), -1, np.int64)
         ids[often] = np.arange(len(often)) * buckets + g["bucket"].iloc[0]
-        rows = [(None, _pack(np.diff(every[often], prepend=0), "<i8"), _pack(ids[often]), _pack(total[often], "<i8"))] if len(often) else []
+        rows = [(None, *_pack_keys(every[often], buckets), _pack_ids(ids[often], buckets), _pack(total[often]))] if len(often) else []
         pos = 0
         for shard, k in zip(g["shard"], keys, strict=True):
             mine = ids[code[pos:pos + len(k)]]
             pos += len(k)
             if (mine >= 0).any():
-                rows.append((shard, _pack(np.diff(k[mine >= 0], prepend=0), "<i8"), _pack(mine[mine >= 0]), None))
-        out = pd.DataFrame(rows, columns=["shard", "keys", "ids", "counts"]).astype({"shard": "Int64"})
-        return out.assign(lang=g["lang"].iloc[0])[["lang", "shard", "keys", "ids", "counts"]]
+                rows.append((shard, *_pack_keys(k[mine >= 0], buckets), _pack_ids(mine[mine >= 0], buckets), None))
+        out = pd.DataFrame(rows, columns=["shard", "heads", "lasts", "ids", "counts"]).astype({"shard": "Int64"})
+        return out.assign(lang=g["lang"].iloc[0])[["lang", "shard", "heads", "lasts", "ids", "counts"]]
 
     return packed.groupBy("lang", "bucket").applyInPandas(merge, _FREQUENT)
 
@@ -418,12 +473,12 @@ def listed_phrases(frequent: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for lang, keys, ids, counts in b.itertuples(index=False):
-                key = np.cumsum(_unpack(keys, "<i8"))
-                yield pd.DataFrame({"lang": lang, "id": _unpack(ids), "head": (key >> 31).astype(np.int32),
-                                    "last": (key & ((1 << 31) - 1)).astype(np.int32), "a": _unpack(counts, "<i8")})
+            for lang, heads, lasts, ids, counts in b.itertuples(index=False):
+                key = _unpack_keys(heads, lasts)
+                yield pd.DataFrame({"lang": lang, "id": _unpack_ids(ids).astype(np.int32), "head": (key >> 31).astype(np.int32),
+                                    "last": (key & _LAST).astype(np.int32), "a": _unpack(counts)})
 
-    return frequent.where("shard IS NULL").select("lang", "keys", "ids", "counts").mapInPandas(read, "lang string, id int, head int, last int, a long")
+    return frequent.where("shard IS NULL").select("lang", "heads", "lasts", "ids", "counts").mapInPandas(read, "lang string, id int, head int, last int, a long")
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard_words: int = SHARD_WORDS,
@@ -441,9 +496,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard
     often = store(frequent_words(pack_words(parts, buckets), least, buckets), "phrase-words")
     listed = often.where("shard IS NULL").select("lang", F.explode(F.arrays_zip("words", "f", "own")).alias("w"))
     words = listed.select("lang", F.col("w.words").alias("word"), "w.f", F.col("w.own").alias("id"))
-    index = store(index_shards(parts, often.where("shard IS NOT NULL").select("shard", "at", "ids"), depth), "phrase-index", "shard")
-    release(spark, read_once)
-    read_once = stored_paths(spark)[-1:]
+    index = index_shards(parts, often.where("shard IS NOT NULL").select("shard", "at", "ids"))
+    read_once += stored_paths(spark)[-1:]
 
     frequent: dict[int, DataFrame] = {}
     spelled = words.select("lang", "id", F.array("id").alias("phrase"))

@@ -285,3 +285,23 @@ def test_rare_phrases_stop_at_the_next_length(spark):
     assert held == {2: 9, 3: 4, 4: 0} and tables[4].isEmpty()
     assert "Exchange hashpartitioning(shard" not in index.groupBy("shard").count()._jdf.queryExecution().executedPlan().toString()
     assert collocation_rows(collocations.collocations(docs, least=10, shard_words=40)) == plain_collocations([("en", t) for t in texts], 10, 5, 2000)
+
+
+def test_a_shard_is_stored_once_and_pairs_are_sent_small(spark):
+    """What an index is read from is hardly more than the text of its shard, and a
+    pair takes less than two bytes on its way to its bucket, many buckets or few."""
+    def held(x):
+        return len(x) if isinstance(x, bytes | bytearray) else sum(map(held, x)) if isinstance(x, list | tuple) else 0
+
+    rnd = random.Random(13)
+    vocab = [f"w{i}" for i in range(2000)]
+    texts = [rnd.choices(vocab, [1 / (i + 1) for i in range(2000)], k=200) for _ in range(600)]
+    pairs = len({p for t in texts for p in zip(t, t[1:], strict=False)})
+    docs = spark.createDataFrame([("en", " ".join(t)) for t in texts], "lang string, text string").coalesce(1)
+    parts = store(collocations.shards(docs), "t", "shard")
+    for buckets in (1, 16):
+        often = store(collocations.frequent_words(collocations.pack_words(parts, buckets), 1, buckets), "t")
+        index = store(collocations.index_shards(parts, often.where("shard IS NOT NULL").select("shard", "at", "ids")), "t", "shard")
+        assert sum(map(held, index.collect())) < 1.2 * sum(held(r) for r in parts.select("body").collect())
+        sent = collocations.phrases_of(index, {}, 2, buckets).collect()
+        assert len(sent) == buckets and sum(map(held, sent)) < 2 * pairs
